@@ -61,8 +61,15 @@ def component_table() -> dict[str, list[float]]:
     return table
 
 
-def aspect_component(component: str, mask: Column) -> Column:
-    return F.get(F.lit(component_table()[component]), mask.cast("int"))
+def component_sql(component: str, mask: str) -> str:
+    """SQL for a component of a mask expression.
+
+    The table is written as one constant text, which the optimizer folds into an array
+    literal; wide plans are built from SQL text because each Column call costs a round
+    trip to the JVM.
+    """
+    values = ",".join(repr(value) for value in component_table()[component])
+    return f"get(cast(split('{values}', ',') AS array<double>), cast({mask} AS int))"
 
 
 def flag(value: Column) -> Column:
@@ -70,33 +77,25 @@ def flag(value: Column) -> Column:
     return F.when(F.nanvl(value.cast("double"), F.lit(0.0)) != 0, 1).otherwise(0)
 
 
-def aspect_mask(flags: list[Column]) -> Column:
-    """Eight flags, clockwise from north, as one mask."""
-    total = flag(flags[0])
-    for bit, value in enumerate(flags[1:], start=1):
-        total = total + flag(value) * F.lit(1 << bit)
-    return total
+def mask_sql(flags: list[str]) -> str:
+    """Eight 0/1 columns, clockwise from north, as one mask."""
+    return " + ".join(f"if({name} <> 0, {1 << position}, 0)" for position, name in enumerate(flags))
 
 
-def aspect_components(flags: list[Column]) -> dict[str, Column]:
-    mask = aspect_mask(flags)
-    return {name: aspect_component(name, mask) for name in COMPONENTS}
+def aspect_components(flags: list[str]) -> dict[str, Column]:
+    """The three components of eight flag columns."""
+    return {name: F.expr(component_sql(name, f"({mask_sql(flags)})")) for name in COMPONENTS}
 
 
 def slot_bits(slot: int) -> Column:
     """The 24 flag columns of a slot packed into one integer, elevation by elevation."""
-    total = F.lit(0)
-    for level, elevation in enumerate(ELEVATIONS):
-        for bit, aspect in enumerate(ASPECTS):
-            is_set = F.col(f"{aspect}_{elevation}_{slot}") != 0
-            total = total + F.when(is_set, 1 << 8 * level + bit).otherwise(0)
-    return total
+    return F.expr(mask_sql([f"{aspect}_{elevation}_{slot}" for elevation in ELEVATIONS for aspect in ASPECTS]))
 
 
-def unpack_flag(packed: Column, aspect: str, elevation: str) -> Column:
+def flag_of_bits_sql(slot: int, aspect: str, elevation: str) -> str:
     position = 8 * ELEVATIONS.index(elevation) + ASPECTS.index(aspect)
-    return F.shiftright(packed, position).bitwiseAND(F.lit(1)).cast("long")
+    return f"cast(shiftright(_bits_{slot}, {position}) & 1 AS bigint)"
 
 
-def unpack_mask(packed: Column, elevation: str) -> Column:
-    return F.shiftright(packed, 8 * ELEVATIONS.index(elevation)).bitwiseAND(F.lit(255))
+def mask_of_bits_sql(slot: int, elevation: str) -> str:
+    return f"(shiftright(_bits_{slot}, {8 * ELEVATIONS.index(elevation)}) & 255)"

@@ -32,27 +32,25 @@ def prevalence(names: Column, elevation: str) -> Column:
     return F.size(hits).cast("long")
 
 
-def slot_values(slot: int, problem: Column, flags: Column | None = None) -> dict[str, Column]:
-    """Wide columns of one problem struct (kind, likelihood, min_size, max_size, names).
+def slot_values(slot: int, problem: str, names: str, flags: str) -> dict[str, Column]:
+    """Wide columns of one coded problem column.
 
-    ``flags`` are the names that set the aspect flags when they differ from the names
-    the prevalence is counted on.
+    The prevalence counts the distinct ``names``; ``flags`` are the names that set the
+    aspect flags.
     """
-    names = problem["names"]
-    flags = names if flags is None else flags
-    by_elevation = {e: prevalence(names, e) for e in ELEVATIONS}
     values = {
-        f"problem_type_{slot}": problem["kind"],
-        f"likelihood_{slot}": problem["likelihood"],
-        f"min_size_{slot}": problem["min_size"],
-        f"max_size_{slot}": problem["max_size"],
-        f"prevalence_{slot}": sum((by_elevation[e] for e in ELEVATIONS[1:]), by_elevation[ELEVATIONS[0]]),
+        f"problem_type_{slot}": F.col(f"{problem}.kind"),
+        f"likelihood_{slot}": F.col(f"{problem}.likelihood"),
+        f"min_size_{slot}": F.col(f"{problem}.min_size"),
+        f"max_size_{slot}": F.col(f"{problem}.max_size"),
     }
+    by_elevation = {e: prevalence(F.col(names), e) for e in ELEVATIONS}
+    values |= {f"{e}_prevalence_{slot}": count for e, count in by_elevation.items()}
+    values[f"prevalence_{slot}"] = by_elevation["alp"] + by_elevation["tln"] + by_elevation["btl"]
     for elevation in ELEVATIONS:
-        values[f"{elevation}_prevalence_{slot}"] = by_elevation[elevation]
         for aspect in ASPECTS:
-            present = F.array_contains(flags, F.lit(f"{aspect}_{elevation}"))
-            values[f"{aspect}_{elevation}_{slot}"] = present.cast("long")
+            present = f"cast(array_contains({flags}, '{aspect}_{elevation}') AS bigint)"
+            values[f"{aspect}_{elevation}_{slot}"] = F.expr(present)
     return values
 
 
@@ -167,9 +165,12 @@ def normalise_caic(documents: DataFrame, mode: str = "fail", keep: tuple[str, ..
     }
     for elevation in ELEVATIONS:
         values[f"danger_{elevation}"] = codes.risk_code(F.col("danger")[elevation])
+    problems = {}
     for slot in SLOTS:
         problem = F.get(F.col("coded"), F.lit(slot))
-        values |= slot_values(slot, F.when(problem["present"], problem))
+        problems[f"_p{slot}"] = F.when(problem["present"], problem)
+        values |= slot_values(slot, f"_p{slot}", f"_p{slot}.names", f"_p{slot}.names")
+    days = days.withColumns(problems)
     errors = F.concat(
         F.array_compact(
             F.array(
@@ -239,10 +240,13 @@ def normalise_nwac(
         "danger_tln": F.col("danger_now.middle"),
         "danger_btl": F.col("danger_now.lower"),
     }
+    problems = {}
     for slot in SLOTS:
         ranked = F.filter("coded", lambda p: p["present"] & (p["slot"] == slot))
-        every_name = F.flatten(F.transform(ranked, lambda p: p["names"]))
-        values |= slot_values(slot, F.try_element_at(ranked, F.lit(-1)), every_name)
+        problems[f"_p{slot}"] = F.try_element_at(ranked, F.lit(-1))
+        problems[f"_f{slot}"] = F.flatten(F.transform(ranked, lambda p: p["names"]))
+        values |= slot_values(slot, f"_p{slot}", f"_p{slot}.names", f"_f{slot}")
+    rows = rows.withColumns(problems)
     errors = F.concat(
         F.array_compact(
             F.array(

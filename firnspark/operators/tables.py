@@ -13,10 +13,10 @@ from firnspark.functions.aspects import (
     COMPONENTS,
     ELEVATIONS,
     SLOTS,
-    aspect_component,
+    component_sql,
+    flag_of_bits_sql,
+    mask_of_bits_sql,
     slot_bits,
-    unpack_flag,
-    unpack_mask,
 )
 from firnspark.schema import BULLETIN, FEATURES, TARGETS, conform, slot_columns, stamp
 
@@ -54,31 +54,29 @@ def pack_slots(df: DataFrame) -> DataFrame:
     return df.withColumns({f"_bits_{slot}": slot_bits(slot) for slot in SLOTS}).drop(*flags)
 
 
-def component_columns() -> dict[str, Column]:
-    """The 27 aspect components from the packed slots."""
-    return {
-        f"aspect_{component}_{elevation}_{slot}": aspect_component(
-            component, unpack_mask(F.col(f"_bits_{slot}"), elevation)
-        )
+def component_columns() -> list[str]:
+    """The 27 aspect components from the packed slots, as named SQL expressions."""
+    return [
+        f"{component_sql(component, mask_of_bits_sql(slot, elevation))} AS aspect_{component}_{elevation}_{slot}"
         for slot in SLOTS
         for elevation in ELEVATIONS
         for component in COMPONENTS
-    }
+    ]
 
 
-def flag_columns() -> dict[str, Column]:
-    return {
-        f"{aspect}_{elevation}_{slot}": unpack_flag(F.col(f"_bits_{slot}"), aspect, elevation)
+def flag_columns() -> list[str]:
+    return [
+        f"{flag_of_bits_sql(slot, aspect, elevation)} AS {aspect}_{elevation}_{slot}"
         for slot in SLOTS
         for elevation in ELEVATIONS
         for aspect in ASPECTS
-    }
+    ]
 
 
 def with_aspect_components(df: DataFrame) -> DataFrame:
     """Add the 27 components to any frame that has the 72 flag columns."""
     packed = df.withColumns({f"_bits_{slot}": slot_bits(slot) for slot in SLOTS})
-    return packed.withColumns(component_columns()).drop(*[f"_bits_{slot}" for slot in SLOTS])
+    return packed.selectExpr(*[f"`{name}`" for name in df.columns], *component_columns())
 
 
 def requested_only(df: DataFrame, requested: DataFrame | None) -> DataFrame:
@@ -97,7 +95,7 @@ def build_targets(
     """Same-day bulletins, latest publication, with aspect components: 35 columns."""
     source = pack_slots(same_day_in_season(combined)).select(*TARGET_SOURCE, *[f"_bits_{k}" for k in SLOTS])
     winners = latest_publication(requested_only(source, requested))
-    rows = winners.withColumns(component_columns())
+    rows = winners.selectExpr("*", *component_columns())
     key = codes.run_key(F.col("forecast_date"), F.col("region_id"))
     return conform(stamp(rows, run_id, key, created), TARGETS)
 
@@ -114,7 +112,7 @@ def build_features(
     shifted = same_day_in_season(combined).withColumn("forecast_date", F.date_add("forecast_date", 1))
     source = pack_slots(shifted.select(*BULLETIN.names))
     winners = latest_publication(requested_only(source, requested))
-    rows = winners.withColumns(component_columns() | flag_columns())
+    rows = winners.selectExpr("*", *component_columns(), *flag_columns())
     key = codes.run_key(F.col("forecast_date"), F.col("region_id"))
     return conform(stamp(rows, run_id, key, created), FEATURES)
 

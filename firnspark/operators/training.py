@@ -35,7 +35,7 @@ def join_sources(sources: list[DataFrame]) -> DataFrame:
 def observed_targets(targets: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Targets renamed to ``target_*`` so that they stand beside features of the same name."""
     names = columns or TARGET_COLUMNS
-    return targets.select(*KEYS, *[F.col(name).alias(f"target_{name}") for name in names])
+    return targets.selectExpr(*KEYS, *[f"{name} AS target_{name}" for name in names])
 
 
 def before_season(df: DataFrame, model_year: Column | int) -> DataFrame:
@@ -200,24 +200,22 @@ WIDTH = 1 + len(SLOT_COMPONENTS)
 N_TARGETS = len(SLOT_COMPONENTS)
 
 
-def match_slot(problem_type: Column) -> list[Column]:
+def match_slot(problem_type: str) -> list[str]:
     """Inputs of an aspect model: the problem type, and the nine components of the first of
-    yesterday's slots that has this type (zeros when none has)."""
+    yesterday's slots that has this type (zeros when none has).  SQL text by column name."""
     matched = []
     for name in SLOT_COMPONENTS:
-        chosen = F
-        for slot in SLOTS:
-            chosen = chosen.when(F.col(f"problem_type_{slot}") == problem_type, F.col(f"{name}_{slot}"))
-        matched.append(chosen.otherwise(0.0))
-    return [problem_type.cast("double"), *matched]
+        arms = " ".join(f"WHEN problem_type_{slot} = {problem_type} THEN {name}_{slot}" for slot in SLOTS)
+        matched.append(f"CASE {arms} ELSE 0.0D END")
+    return [f"cast({problem_type} AS double)", *matched]
 
 
-def same_slot(slot: int) -> list[Column]:
+def same_slot(slot: int) -> list[str]:
     """Inputs of the earlier release: yesterday's type and components of the same slot."""
-    return [F.col(f"problem_type_{slot}").cast("double"), *[F.col(f"{name}_{slot}") for name in SLOT_COMPONENTS]]
+    return [f"cast(problem_type_{slot} AS double)", *[f"{name}_{slot}" for name in SLOT_COMPONENTS]]
 
 
-def design(release: str, slot: int, problem_type: Column) -> list[Column]:
+def design(release: str, slot: int, problem_type: str) -> list[str]:
     if release == "v001":
         return match_slot(problem_type)
     if release == "v000":
@@ -229,18 +227,13 @@ def design_rows(frame: DataFrame, release: str = "v001") -> DataFrame:
     """Three rows per training row, one per slot: inputs x0..x9 and targets y0..y8."""
     entries = []
     for slot in SLOTS:
-        inputs = design(release, slot, F.col(f"target_problem_type_{slot}"))
-        targets = [F.col(f"target_{name}_{slot}") for name in SLOT_COMPONENTS]
-        entries.append(
-            F.struct(
-                F.lit(slot).alias("slot"),
-                *[value.alias(f"x{i}") for i, value in enumerate(inputs)],
-                *[value.alias(f"y{j}") for j, value in enumerate(targets)],
-            )
-        )
-    return frame.select("region_id", "season_year", F.explode(F.array(*entries)).alias("e")).select(
-        "region_id", "season_year", "e.*"
-    )
+        inputs = design(release, slot, f"target_problem_type_{slot}")
+        targets = [f"target_{name}_{slot}" for name in SLOT_COMPONENTS]
+        fields = [f"'slot', {slot}"]
+        fields += [f"'x{i}', {value}" for i, value in enumerate(inputs)]
+        fields += [f"'y{j}', {value}" for j, value in enumerate(targets)]
+        entries.append(f"named_struct({', '.join(fields)})")
+    return frame.selectExpr("region_id", "season_year", f"inline(array({', '.join(entries)}))")
 
 
 PAIRS = [(i, j) for i in range(WIDTH) for j in range(i, WIDTH)]
@@ -255,15 +248,12 @@ MOMENTS = (
 
 def moments(rows: DataFrame) -> DataFrame:
     """Sums that determine the least-squares fits, once per slot for its nine targets."""
-    x = [F.col(f"x{i}") for i in range(WIDTH)]
-    y = [F.col(f"y{j}") for j in range(N_TARGETS)]
-    return rows.groupBy("region_id", "season_year", "slot").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(x[i]).alias(f"sx_{i}") for i in range(WIDTH)],
-        *[F.sum(x[i] * x[j]).alias(f"sxx_{i}_{j}") for i, j in PAIRS],
-        *[F.sum(y[j]).alias(f"sy_{j}") for j in range(N_TARGETS)],
-        *[F.sum(x[i] * y[j]).alias(f"sxy_{i}_{j}") for i, j in CROSS],
-    )
+    sums = ["count(1) AS n"]
+    sums += [f"sum(x{i}) AS sx_{i}" for i in range(WIDTH)]
+    sums += [f"sum(x{i} * x{j}) AS sxx_{i}_{j}" for i, j in PAIRS]
+    sums += [f"sum(y{j}) AS sy_{j}" for j in range(N_TARGETS)]
+    sums += [f"sum(x{i} * y{j}) AS sxy_{i}_{j}" for i, j in CROSS]
+    return rows.groupBy("region_id", "season_year", "slot").agg(*[F.expr(text) for text in sums])
 
 
 # Eigenvalues below this share of the largest moment count as zero: unused flags get weight 0.
@@ -315,8 +305,8 @@ def fit_linear(per_season: DataFrame, years: tuple[int, int]) -> DataFrame:
     summed = (
         fan_out_training(per_season, years)
         .groupBy(*GROUP, "slot")
-        .agg(F.sum("n").alias("n"), *[F.sum(name).alias(name) for name in MOMENTS])
-        .select(*GROUP, "slot", "n", F.array(*MOMENTS).alias("sums"))
+        .agg(F.sum("n").alias("n"), *[F.expr(f"sum({name}) AS {name}") for name in MOMENTS])
+        .selectExpr(*GROUP, "slot", "n", f"array({', '.join(MOMENTS)}) AS sums")
     )
     return summed.mapInPandas(_solve, LINEAR_SCHEMA)
 
@@ -329,10 +319,7 @@ def weights_by_group(model: DataFrame) -> DataFrame:
     return model.groupBy(*GROUP).agg(*per_slot)
 
 
-def linear_value(weights: Column, target: int, inputs: list[Column]) -> Column:
-    """Intercept plus dot product for one target of a slot."""
-    row = F.get(weights, F.lit(target))
-    value = F.get(row, F.lit(0))
-    for i, column in enumerate(inputs, start=1):
-        value = value + F.get(row, F.lit(i)) * column
-    return value
+def linear_value(weights: str, target: int, inputs: list[str]) -> str:
+    """Intercept plus dot product for one target of a slot, as SQL text."""
+    row = f"{weights}[{target}]"
+    return " + ".join([f"{row}[0]", *[f"{row}[{i}] * {name}" for i, name in enumerate(inputs, start=1)]])

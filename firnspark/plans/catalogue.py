@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from firnspark.functions import aspects, calendar as cal, codes
 from firnspark.operators import tables
 from firnspark.plans import oracles as sql
 from firnspark.plans import standin
@@ -27,15 +28,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def plain(df: DataFrame) -> DataFrame:
     """Dates as text and timestamps as milliseconds, so that engines agree on the types."""
-    out = []
-    for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DateType):
-            column = column.cast("string")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = F.unix_millis(column)
-        out.append(column.alias(field.name))
-    return df.select(*out)
+    forms = {"date": "cast(`{0}` AS string) AS `{0}`", "timestamp": "unix_millis(`{0}`) AS `{0}`"}
+    return df.selectExpr(*[forms.get(kind, "`{0}`").format(name) for name, kind in df.dtypes])
 
 
 @query("combined_view", sql.with_steps("combined", f"SELECT {sql.bulletin_columns()} FROM combined"))
@@ -73,3 +67,296 @@ def target_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(tables.build_features(standin.combined(spark, sf_dir), created=standin.created()))
+
+
+# --- calendar ---------------------------------------------------------------------------
+
+
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, day): order keys spread over the year, so that every season rule is met."""
+    orders = standin.read(spark, sf_dir, "orders")
+    return orders.select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("day"))
+
+
+_DAYS = "FROM (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day FROM orders)"
+_SHIFTED = (
+    "CASE WHEN {0} = 'OFF_SEASON' THEN NULL ELSE CAST(CAST(split_part({0}, '/', 1) AS INTEGER) + ({1}) AS VARCHAR) "
+    "|| '/' || CAST(CAST(split_part({0}, '/', 2) AS INTEGER) + ({1}) AS VARCHAR) END"
+)
+
+
+@query(
+    "season_of_order",
+    f"SELECT k, season, upcoming, in_season, day_number, {_SHIFTED.format('season', -1)} AS prior, "
+    f"{_SHIFTED.format('season', 1)} AS following FROM (SELECT k, {sql.season_sql('day')} AS season, "
+    f"{sql.season_sql('day', True)} AS upcoming, {sql.in_season_sql('day')} AS in_season, "
+    f"{sql.day_number_sql('day')} AS day_number {_DAYS})",
+)
+def season_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.col("day")
+    named = order_days(spark, sf_dir).select(
+        "k",
+        cal.season(day).alias("season"),
+        cal.season(day, use_upcoming=True).alias("upcoming"),
+        cal.in_season(day).alias("in_season"),
+        cal.season_day_number(day).alias("day_number"),
+    )
+    real = F.when(F.col("season") != cal.OFF_SEASON, F.col("season"))
+    return named.select("*", cal.prior_season(real).alias("prior"), cal.next_season(real).alias("following")).withColumns(
+        {name: F.when(real.isNotNull(), F.col(name)) for name in ("prior", "following")}
+    )
+
+
+@query(
+    "season_bounds",
+    "SELECT season, " + ", ".join(
+        f"CAST(make_date(y, 9, 1) + {lo} AS VARCHAR) AS {side}_first, CAST(make_date(y + 1, 6, 1) - {hi} AS VARCHAR) AS {side}_last"
+        for side, lo, hi in (("left_limit", 0, 1), ("right_limit", 1, 0), ("both_limits", 0, 0))
+    ).replace("make_date(y, 9, 1) + 0", "make_date(y, 9, 1)").replace("make_date(y + 1, 6, 1) - 0", "make_date(y + 1, 6, 1)")
+    + f" FROM (SELECT DISTINCT {sql.season_sql('day', True)} AS season, CASE WHEN month(day) >= 6 THEN year(day) "
+    f"ELSE year(day) - 1 END AS y {_DAYS})",
+)
+def season_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seasons = tables.season_list(order_days(spark, sf_dir), "day").withColumnRenamed("avalanche_season", "season")
+    columns = {}
+    for side, name in (("left", "left_limit"), ("right", "right_limit"), ("both", "both_limits")):
+        first, last = cal.season_bounds(F.col("season"), side)
+        columns |= {f"{name}_first": first, f"{name}_last": last}
+    return plain(seasons.withColumns(columns))
+
+
+@query("season_list", f"SELECT DISTINCT {sql.season_sql('day', True)} AS avalanche_season {_DAYS}")
+def season_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.season_list(order_days(spark, sf_dir), "day")
+
+
+@query(
+    "season_counts",
+    sql.with_steps(
+        "combined",
+        "SELECT region_id, avalanche_season, count(*) AS n FROM combined WHERE avalanche_season <> 'OFF_SEASON' GROUP BY ALL",
+    ),
+)
+def season_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.combined(spark, sf_dir).where(F.col("avalanche_season") != cal.OFF_SEASON)
+    return rows.groupBy("region_id", "avalanche_season").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Intervals of -2 to 4 days: the empty ones must stay empty.
+@query(
+    "day_ranges",
+    f"""SELECT k, CAST(greatest(n + 1, 0) AS INTEGER) AS n_inclusive, CAST(greatest(n, 0) AS INTEGER) AS n_exclusive,
+        CASE WHEN n >= 0 THEN CAST(day + n AS VARCHAR) END AS last_inclusive
+        FROM (SELECT k, day, CAST(k % 7 - 2 AS INTEGER) AS n {_DAYS})""",
+)
+def day_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = order_days(spark, sf_dir).withColumn("last", F.date_add("day", (F.col("k") % 7 - 2).cast("int")))
+    closed = cal.days_between(F.col("day"), F.col("last"))
+    half_open = cal.days_between(F.col("day"), F.col("last"), inclusive=False)
+    return plain(
+        days.select(
+            "k",
+            F.size(closed).alias("n_inclusive"),
+            F.size(half_open).alias("n_exclusive"),
+            F.try_element_at(closed, F.lit(-1)).alias("last_inclusive"),
+        )
+    )
+
+
+@query(
+    "days_per_region",
+    sql.with_steps(
+        "combined",
+        "SELECT region_id, CAST(d AS VARCHAR) AS day, count(*) AS n FROM "
+        "(SELECT region_id, unnest(CASE WHEN n >= 0 THEN generate_series(forecast_date, forecast_date + n, INTERVAL 1 DAY) ELSE [] END)::DATE AS d "
+        "FROM (SELECT *, CAST(danger_alp - 1 AS INTEGER) AS n FROM combined)) GROUP BY ALL",
+    ),
+)
+def days_per_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = F.date_add("forecast_date", (F.col("danger_alp") - 1).cast("int"))
+    rows = standin.combined(spark, sf_dir).select(
+        "region_id", F.explode(cal.days_between(F.col("forecast_date"), last)).alias("day")
+    )
+    return plain(rows.groupBy("region_id", "day").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query(
+    "parsed_timestamps",
+    "SELECT event_id, epoch_us(CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN ts "
+    "WHEN 2 THEN date_trunc('millisecond', ts) END) AS micros, "
+    "CASE WHEN event_id % 4 < 3 THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS day FROM events",
+)
+def parsed_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with no fraction, six and three digits, and one no format accepts."""
+    ts = F.col("ts").cast("timestamp")
+    forms = ["yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"]
+    text = F.when(F.col("event_id") % 4 == 3, F.date_format(ts, "dd/MM/yyyy HH:mm"))
+    for i, form in enumerate(forms):
+        text = text.when(F.col("event_id") % 4 == i, F.date_format(ts, form))
+    parsed = cal.parse_bulletin_timestamp(F.col("text"))
+    events = standin.read(spark, sf_dir, "events").select("event_id", text.alias("text"))
+    return events.select(
+        "event_id", F.unix_micros(parsed).alias("micros"), F.to_date(parsed).cast("string").alias("day")
+    )
+
+
+# Half-hour readings around both clock changes of every year the orders cover.
+_WALL = "(o_orderdate + to_minutes(30 * (o_orderkey % 48)))"
+
+
+@query(
+    "local_issue_time",
+    f"SELECT o_orderkey AS k, epoch_ms(timezone('America/Denver', {_WALL}) AT TIME ZONE 'UTC') AS utc_ms FROM orders",
+)
+def local_issue_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    wall = standin.plus_seconds(F.col("o_orderdate").cast("timestamp"), k % 48 * 1800)
+    orders = standin.read(spark, sf_dir, "orders").select(k.alias("k"), wall.alias("wall"))
+    return orders.select("k", F.unix_millis(cal.local_to_utc(F.col("wall"), "America/Denver")).alias("utc_ms"))
+
+
+@query(
+    "local_event_day",
+    "SELECT day, CAST(min(ts_day) AS VARCHAR) AS first_utc_day, count(*) AS n FROM (SELECT CAST(CAST((ts AT TIME ZONE 'UTC') "
+    "AT TIME ZONE 'America/Los_Angeles' AS DATE) AS VARCHAR) AS day, CAST(ts AS DATE) AS ts_day FROM events) GROUP BY ALL",
+)
+def local_event_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ts = F.col("ts").cast("timestamp")
+    events = standin.read(spark, sf_dir, "events").select(
+        cal.local_date(ts, "America/Los_Angeles").alias("day"), F.to_date(ts).alias("utc")
+    )
+    return plain(events.groupBy("day").agg(F.min("utc").alias("first_utc_day"), F.count(F.lit(1)).alias("n")))
+
+
+# --- names and identifiers ------------------------------------------------------------------
+
+
+def _upper_codes(table: dict[str, int], name: str, default: str = "NULL") -> str:
+    return f"CAST({sql.code_sql(table, name, default)} AS BIGINT)"
+
+
+_RISK = ["noForecast", "LOW", "moderate", "Considerable", "high", "EXTREME", "", "severe"]
+_PROBLEM = ["dryLoose", "LOOSEDRY", "stormSlab", "windSlab", "persistentSlab", "deepPersistentSlab", "wetLoose", "wetSlab", "cornice", "glide", "noForecast", "icefall"]
+_RANGED = ["unlikely", "possible_likely", "likely", "veryLikely_almostCertain", "certain", "almostCertain", "noForecast", "doubtful"]
+_SPACED = ["unlikely", "possible", "likely", "very likely", "almost certain", "no forecast", "certain", "Likely"]
+
+
+def named_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return standin.read(spark, sf_dir, "orders").select(
+        k.alias("k"),
+        F.when(k % 9 != 8, standin.pick(_RISK, k % 9)).alias("risk"),
+        standin.pick(_PROBLEM, k % 12).alias("problem"),
+        standin.pick(_RANGED, F.floor(k / 3) % 8).alias("ranged"),
+        standin.pick(_SPACED, F.floor(k / 5) % 8).alias("spaced"),
+    )
+
+
+_NAMED = (
+    f"FROM (SELECT o_orderkey AS k, {sql.pick_sql(_RISK, 'o_orderkey % 9')} AS risk, "
+    f"{sql.pick_sql(_PROBLEM, 'o_orderkey % 12')} AS problem, {sql.pick_sql(_RANGED, '(o_orderkey // 3) % 8')} AS ranged, "
+    f"{sql.pick_sql(_SPACED, '(o_orderkey // 5) % 8')} AS spaced FROM orders)"
+)
+
+
+@query(
+    "name_codes",
+    f"SELECT k, {_upper_codes(sql.RISK_CODES, 'upper(risk)', '0')} AS risk_code, "
+    f"{_upper_codes(sql.PROBLEM_CODES | {'DRYLOOSE': 1}, 'upper(problem)')} AS problem_code, "
+    f"{_upper_codes(sql.LIKELIHOOD_CODES | {'CERTAIN': 5}, 'upper(split_part(ranged, chr(95), 1))')} AS ranged_code, "
+    f"{_upper_codes(sql.LIKELIHOOD_CODES, 'upper(replace(spaced, chr(32), chr(0)))').replace('chr(0)', repr(''))} AS spaced_code {_NAMED}",
+)
+def name_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return named_orders(spark, sf_dir).select(
+        "k",
+        codes.risk_code(F.col("risk")).alias("risk_code"),
+        codes.problem_code(F.col("problem")).alias("problem_code"),
+        codes.likelihood_code_ranged(F.col("ranged")).alias("ranged_code"),
+        codes.likelihood_code_spaced(F.col("spaced")).alias("spaced_code"),
+    )
+
+
+_EXTRA_WORDS = [*standin.ASPECT_WORDS, "flat"]
+_EXTRA_LEVELS = [*standin.ELEVATION_WORDS, "valley"]
+
+
+@query(
+    "phrase_flags",
+    f"SELECT k, word || '_' || level AS flag FROM (SELECT o_orderkey AS k, "
+    f"{sql.pick_sql([*aspects.ASPECTS, 'flat'], 'o_orderkey % 9')} AS word, "
+    f"{sql.pick_sql([*aspects.ELEVATIONS, 'valley'], '(o_orderkey // 9) % 4')} AS level FROM orders)",
+)
+def phrase_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    phrase = F.concat_ws(" ", standin.pick(_EXTRA_WORDS, k % 9), standin.pick(_EXTRA_LEVELS, F.floor(k / 9) % 4))
+    orders = standin.read(spark, sf_dir, "orders").select(k.alias("k"), phrase.alias("phrase"))
+    return orders.select("k", codes.phrase_to_flag(F.col("phrase")).alias("flag"))
+
+
+@query(
+    "zone_regions",
+    f"""SELECT k, area_id, 'NWAC.' || area_id AS region_id, CAST(day AS VARCHAR) || chr(124) || 'NWAC.' || area_id AS run_key,
+        starts_with('NWAC.' || area_id, 'NWAC.11') AS mapped FROM (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day,
+        CAST(coalesce({sql.code_sql(sql.NWAC_AREA_IDS, sql.pick_sql(standin.ZONE_NAMES, 'o_orderkey % 5'))}, 2000 + o_orderkey % 7)
+        AS VARCHAR) AS area_id FROM orders)""",
+)
+def zone_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    area = codes.area_of_zone(standin.pick(standin.ZONE_NAMES, k % 5), 2000 + k % 7)
+    rows = standin.read(spark, sf_dir, "orders").select(
+        k.alias("k"), F.to_date("o_orderdate").alias("day"), area.alias("area_id")
+    )
+    region = codes.region_key("NWAC", F.col("area_id"))
+    return rows.select(
+        "k",
+        "area_id",
+        region.alias("region_id"),
+        codes.run_key(F.col("day"), region).alias("run_key"),
+        region.startswith("NWAC.11").alias("mapped"),
+    )
+
+
+@query(
+    "summary_fallback",
+    """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 2 THEN 'B' || o_orderkey
+        WHEN o_orderkey % 5 > 1 THEN 'H' || o_orderkey ELSE '' END AS summary FROM orders""",
+)
+def summary_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    first = F.when(k % 3 == 1, "").when(k % 3 == 2, F.concat(F.lit("B"), k.cast("string")))
+    second = F.when(k % 5 == 1, "").when(k % 5 > 1, F.concat(F.lit("H"), k.cast("string")))
+    orders = standin.read(spark, sf_dir, "orders").select(k.alias("k"), first.alias("a"), second.alias("b"))
+    return orders.select("k", codes.first_text(F.col("a"), F.col("b")).alias("summary"))
+
+
+# --- geometry ---------------------------------------------------------------------------------
+
+
+@query(
+    "aspect_components",
+    f"WITH geometry AS ({sql.STEPS['geometry']}) SELECT l.m AS mask, l.n AS n, g_sin AS aspect_sin, g_cos AS aspect_cos, "
+    "g_range AS aspect_range FROM (SELECT (l_suppkey * 37 + l_partkey) % 256 AS m, count(*) AS n FROM lineitem GROUP BY ALL) l "
+    "JOIN geometry g ON g.m = l.m",
+)
+def aspect_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of eight flag columns of every line, counted per mask."""
+    mask = "((l_suppkey * 37 + l_partkey) % 256)"
+    lines = standin.read(spark, sf_dir, "lineitem").selectExpr(
+        f"{mask} AS mask", *[f"shiftright({mask}, {i}) & 1 AS {name}" for i, name in enumerate(aspects.ASPECTS)]
+    )
+    parts = aspects.aspect_components(list(aspects.ASPECTS))
+    named = lines.select("mask", *[value.alias(f"aspect_{name}") for name, value in parts.items()])
+    return named.groupBy("mask", "aspect_sin", "aspect_cos", "aspect_range").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "flag_truth",
+    "SELECT k, CAST(CASE k % 4 WHEN 1 THEN 0 WHEN 3 THEN 0 WHEN 0 THEN 1 ELSE CASE WHEN k % 8 = 2 THEN 0 ELSE 1 END END AS INTEGER) "
+    "AS flag FROM (SELECT o_orderkey AS k FROM orders)",
+)
+def flag_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags of numbers that are one, missing, zero, large and NaN."""
+    k = F.col("o_orderkey")
+    value = F.when(k % 4 == 0, 1.0).when(k % 8 == 2, 0.0).when(k % 8 == 6, 7.5).when(k % 4 == 3, float("nan"))
+    orders = standin.read(spark, sf_dir, "orders").select(k.alias("k"), value.alias("value"))
+    return orders.select("k", aspects.flag(F.col("value")).alias("flag"))

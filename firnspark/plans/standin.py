@@ -89,7 +89,7 @@ def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = plus_seconds(F.col("at"), k % 86400)
     day = F.to_date("at")
     out = (k % 3).cast("int")
-    values = {
+    keys = {
         "publish_datetime": published,
         "region_id": F.concat(center, F.lit("."), region),
         "forecast_center": center,
@@ -103,24 +103,24 @@ def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
         "area_id": region,
         "polygons": F.concat(F.lit("p"), region),
         "avalanche_summary": F.col("o_orderpriority"),
-        "danger_alp": k % 6,
-        "danger_tln": F.floor(k / 6) % 6,
-        "danger_btl": F.floor(k / 36) % 6,
     }
+    values = ["k % 6 AS danger_alp", "floor(k / 6) % 6 AS danger_tln", "floor(k / 36) % 6 AS danger_btl"]
     for slot in SLOTS:
-        values[f"problem_type_{slot}"] = F.col(f"type_{slot}")
-        values[f"likelihood_{slot}"] = F.col(f"likelihood_{slot}")
-        values[f"min_size_{slot}"] = F.col(f"quantity_{slot}") / 10
-        values[f"max_size_{slot}"] = F.col(f"quantity_{slot}") / 5
-        counts = []
+        values += [
+            f"type_{slot} AS problem_type_{slot}",
+            f"likelihood_{slot}",
+            f"quantity_{slot} / 10 AS min_size_{slot}",
+            f"quantity_{slot} / 5 AS max_size_{slot}",
+        ]
         for elevation in ELEVATIONS:
-            mask = F.coalesce(F.col(f"{elevation}_{slot}"), F.lit(0))
+            mask = f"coalesce({elevation}_{slot}, 0)"
             for position, aspect in enumerate(ASPECTS):
-                values[f"{aspect}_{elevation}_{slot}"] = bit(mask, position)
-            counts.append(F.bit_count(mask))
-            values[f"{elevation}_prevalence_{slot}"] = counts[-1]
-        values[f"prevalence_{slot}"] = counts[0] + counts[1] + counts[2]
-    rows = bulletins(spark, sf_dir).select(*[value.alias(name) for name, value in values.items()])
+                values.append(f"shiftright({mask}, {position}) & 1 AS {aspect}_{elevation}_{slot}")
+            values.append(f"bit_count({mask}) AS {elevation}_prevalence_{slot}")
+        total = " + ".join(f"bit_count(coalesce({elevation}_{slot}, 0))" for elevation in ELEVATIONS)
+        values.append(f"{total} AS prevalence_{slot}")
+    named = [value.alias(name) for name, value in keys.items()]
+    rows = bulletins(spark, sf_dir).select(*named, *[F.expr(value) for value in values])
     key = F.concat_ws("|", F.date_format("distribution_date", "yyyy-MM-dd"), F.col("forecast_center"))
     return conform(stamp(rows, "run", key, created()), COMBINED)
 

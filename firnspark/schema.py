@@ -69,14 +69,15 @@ def table(*columns: ColumnSpec) -> TableSchema:
     return TableSchema(tuple(columns))
 
 
-def _fitted(spec: ColumnSpec, present: bool) -> Column:
-    value = F.col(f"`{spec.name}`") if present else F.lit(None)
-    value = value.cast(TYPES[spec.kind])
+def _fitted(spec: ColumnSpec, present: bool) -> str:
+    kind = TYPES[spec.kind].simpleString()
+    value = f"cast({f'`{spec.name}`' if present else 'NULL'} AS {kind})"
     if spec.kind == "timestamp":
-        value = F.date_trunc("MILLISECOND", value)
+        value = f"date_trunc('MILLISECOND', {value})"
     if spec.fills:
-        value = F.coalesce(value, F.lit(spec.default).cast(TYPES[spec.kind]))
-    return value.alias(spec.name)
+        default = f"'{spec.default}'" if spec.kind == "string" else str(spec.default)
+        value = f"coalesce({value}, cast({default} AS {kind}))"
+    return f"{value} AS `{spec.name}`"
 
 
 def conform(df: DataFrame, schema: TableSchema, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -85,7 +86,8 @@ def conform(df: DataFrame, schema: TableSchema, keep: tuple[str, ...] = ()) -> D
     Columns named in ``keep`` go along unchanged in front.
     """
     present = set(df.columns)
-    return df.select(*keep, *[_fitted(spec, spec.name in present) for spec in schema.columns])
+    fitted = [_fitted(spec, spec.name in present) for spec in schema.columns]
+    return df.selectExpr(*[f"`{name}`" for name in keep], *fitted)
 
 
 def missing_required(df: DataFrame, schema: TableSchema) -> Column:

@@ -61,18 +61,9 @@ def majority_payload(majority: DataFrame) -> DataFrame:
 
 def linear_payload(linear: DataFrame) -> DataFrame:
     """One row per aspect model with its own weights."""
-    entries = F.array(
-        *[
-            F.struct(
-                F.concat(F.lit(f"{name}_"), F.col("slot").cast("string")).alias("model_name"),
-                F.get("weights", F.lit(target)).alias("weights"),
-            )
-            for target, name in enumerate(SLOT_COMPONENTS)
-        ]
-    )
-    return linear.select(*GROUP, "n", "rank", F.explode(entries).alias("model")).select(
-        *GROUP, "n", "rank", "model.*"
-    )
+    pairs = ", ".join(f"concat('{name}_', slot), weights[{target}]" for target, name in enumerate(SLOT_COMPONENTS))
+    stacked = f"stack({len(SLOT_COMPONENTS)}, {pairs}) AS (model_name, weights)"
+    return linear.selectExpr(*GROUP, "n", "rank", stacked)
 
 
 @dataclass(frozen=True)
@@ -151,7 +142,7 @@ class Registry:
         slot = F.substring_index("model_name", "_", -1).cast("int")
         per_model = weights.withColumn("slot", slot)
         rows = [
-            F.first(F.when(F.col("model_name") == F.concat(F.lit(f"{name}_"), F.col("slot")), F.col("weights")), ignorenulls=True)
+            F.expr(f"first(CASE WHEN model_name = concat('{name}_', slot) THEN weights END, true)")
             for name in SLOT_COMPONENTS
         ]
         return per_model.groupBy(*GROUP, "slot").agg(
