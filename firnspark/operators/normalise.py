@@ -312,3 +312,18 @@ def combine(*frames: DataFrame) -> DataFrame:
     for frame in frames[1:]:
         combined = combined.unionByName(frame)
     return combined
+
+
+def pivot_problems(problems: DataFrame, keys: list[str], values: dict[str, str]) -> DataFrame:
+    """Long (key, slot, value...) rows to one row per key with ``name_slot`` columns.
+
+    The slots are known, so this is one aggregation without a pass to find them; a slot
+    listed twice keeps its largest values.
+    """
+    return problems.groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col("slot") == slot, F.col(value))).alias(f"{name}_{slot}")
+            for slot in SLOTS
+            for name, value in values.items()
+        ]
+    )

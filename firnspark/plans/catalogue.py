@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firnspark.functions import aspects, calendar as cal, codes
-from firnspark.operators import tables
+from firnspark.operators import normalise, tables
 from firnspark.plans import oracles as sql
 from firnspark.plans import standin
+from firnspark.schema import BULLETIN
+from firnspark.session import scratch_path
+from firnspark.sources import bulletins
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -360,3 +363,196 @@ def flag_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(k % 4 == 0, 1.0).when(k % 8 == 2, 0.0).when(k % 8 == 6, 7.5).when(k % 4 == 3, float("nan"))
     orders = standin.read(spark, sf_dir, "orders").select(k.alias("k"), value.alias("value"))
     return orders.select("k", aspects.flag(F.col("value")).alias("flag"))
+
+
+# --- normalised bulletins ---------------------------------------------------------------------
+
+_WIDE = "k, " + sql.bulletin_columns()
+
+
+def caic_rows(spark: SparkSession, sf_dir: str, mode: str = "fail") -> DataFrame:
+    documents = bulletins.parse_documents(standin.caic_documents(spark, sf_dir), "CAIC", keep=("k",))
+    return normalise.normalise(documents, "CAIC", mode=mode, keep=("k",))
+
+
+def nwac_rows(spark: SparkSession, sf_dir: str, mode: str = "quarantine", zones: str = "last") -> DataFrame:
+    documents = bulletins.parse_documents(standin.nwac_documents(spark, sf_dir), "NWAC", keep=("k",))
+    return normalise.normalise(documents, "NWAC", mode=mode, keep=("k",), zones=zones)
+
+
+@query("caic_bulletins", sql.with_steps("caic", f"SELECT {_WIDE} FROM caic"))
+def caic_bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(caic_rows(spark, sf_dir))
+
+
+@query("nwac_bulletins", sql.with_steps("nwac", f"SELECT {_WIDE} FROM nwac WHERE area_id IS NOT NULL"))
+def nwac_bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = normalise.split_quarantine(nwac_rows(spark, sf_dir))
+    return plain(good)
+
+
+@query("nwac_all_zones", sql.with_steps("nwac_zones", f"SELECT {_WIDE} FROM nwac_zones"))
+def nwac_all_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = normalise.split_quarantine(nwac_rows(spark, sf_dir, zones="all"))
+    return plain(good)
+
+
+@query(
+    "quarantined_bulletins",
+    sql.with_steps(
+        "nwac",
+        "SELECT k, CAST(forecast_date AS VARCHAR) AS forecast_date, "
+        "'missing region_id; missing area_id; missing polygons' AS problems FROM nwac WHERE area_id IS NULL",
+    ),
+)
+def quarantined_bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulletins without a zone, with what is wrong with them."""
+    _, bad = normalise.split_quarantine(nwac_rows(spark, sf_dir))
+    return plain(bad.select("k", "forecast_date", F.concat_ws("; ", normalise.ERRORS).alias("problems")))
+
+
+@query(
+    "strict_name_errors",
+    f"SELECT count(*) FILTER (WHERE problem = 'icefall') AS unknown_problem, "
+    f"count(*) FILTER (WHERE ranged = 'doubtful') AS unknown_likelihood, count(*) FILTER (WHERE problem <> 'icefall' "
+    f"AND ranged <> 'doubtful') AS good {_NAMED}",
+)
+def strict_name_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names no code exists for, as the quarantine mode reports them."""
+    k = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    names = named_orders(spark, sf_dir).select("k", "problem", "ranged")
+    orders = standin.read(spark, sf_dir, "orders").select(k.alias("k"), day.alias("text"))
+    problem = F.struct(
+        F.col("problem").alias("type"),
+        F.col("ranged").alias("likelihood"),
+        F.struct(F.lit("1").alias("min"), F.lit("2").alias("max")).alias("expectedSize"),
+        F.array(F.lit("n_alp")).alias("aspectElevations"),
+    )
+    document = F.struct(
+        F.lit("avalancheForecast").alias("type"),
+        F.col("text").alias("expiryDateTime"),
+        F.col("text").alias("issueDateTime"),
+        F.lit("1").alias("areaId"),
+        F.array(F.lit("p")).alias("polygons"),
+        F.struct(F.array(F.array(problem)).alias("days")).alias("avalancheProblems"),
+    )
+    texts = orders.join(names, "k").select("k", F.to_json(document).alias("document"))
+    documents = bulletins.parse_documents(texts, "CAIC", keep=("k",))
+    checked = normalise.normalise(documents, "CAIC", mode="quarantine", keep=("k",))
+
+    def having(message: str) -> Column:
+        return F.count(F.when(F.array_contains(normalise.ERRORS, message), 1))
+
+    return checked.agg(
+        having("unknown problem type").alias("unknown_problem"),
+        having("unknown likelihood").alias("unknown_likelihood"),
+        F.count(F.when(F.size(normalise.ERRORS) == 0, 1)).alias("good"),
+    )
+
+
+_SOME = ["region_id", "forecast_center", "forecast_date", "forecast_days_out", "avalanche_season"]
+
+
+@query(
+    "combined_centers",
+    sql.with_steps(
+        "caic nwac",
+        "SELECT forecast_center, region_id, avalanche_season, count(*) AS n, CAST(sum(problem_type_0) AS BIGINT) AS type_sum, "
+        "CAST(sum(prevalence_0 + prevalence_1 + prevalence_2) AS BIGINT) AS prevalence_sum, "
+        "CAST(sum(danger_alp) AS BIGINT) AS danger_sum FROM (SELECT * FROM caic UNION ALL "
+        "SELECT * FROM nwac WHERE area_id IS NOT NULL) GROUP BY ALL",
+    ),
+)
+def combined_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both centres in one table, summed up by region and season."""
+    good, _ = normalise.split_quarantine(nwac_rows(spark, sf_dir))
+    rows = normalise.combine(caic_rows(spark, sf_dir), good)
+    return rows.groupBy("forecast_center", "region_id", "avalanche_season").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("problem_type_0").alias("type_sum"),
+        F.sum(F.expr("prevalence_0 + prevalence_1 + prevalence_2")).alias("prevalence_sum"),
+        F.sum("danger_alp").alias("danger_sum"),
+    )
+
+
+@query(
+    "landed_documents",
+    sql.with_steps(
+        "caic",
+        "SELECT CAST(distribution_date AS VARCHAR) AS landed_date, count(*) AS n, CAST(sum(forecast_days_out) AS BIGINT) AS days_out, "
+        "CAST(sum(prevalence_0 + prevalence_1 + prevalence_2) AS BIGINT) AS prevalence_sum FROM caic GROUP BY ALL",
+    ),
+)
+def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as JSON by year, scanned again and normalised."""
+    documents = bulletins.parse_documents(standin.caic_documents(spark, sf_dir), "CAIC", keep=("day",))
+    path = scratch_path(spark, "landing")
+    # A folder per month keeps the number of small files of this test layout down.
+    bulletins.land_documents(documents.withColumn("distribution_date", F.trunc("day", "month")).drop("day"), path)
+    scanned = bulletins.scan_documents(spark, "CAIC", path)
+    rows = normalise.normalise(scanned, "CAIC", keep=("landed_date",))
+    in_folder = rows.where(F.col("landed_date") == F.trunc("distribution_date", "month"))
+    return plain(
+        in_folder.groupBy(F.col("distribution_date").alias("landed_date")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("forecast_days_out").alias("days_out"),
+            F.sum(F.expr("prevalence_0 + prevalence_1 + prevalence_2")).alias("prevalence_sum"),
+        )
+    )
+
+
+@query(
+    "served_documents",
+    "SELECT CAST(request_date AS VARCHAR) AS request_date, count(*) AS n, CAST(sum(k) AS BIGINT) AS key_sum FROM "
+    "(SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) - 1 AS request_date FROM orders UNION ALL "
+    "SELECT o_orderkey, CAST(o_orderdate AS DATE) FROM orders) GROUP BY ALL",
+)
+def served_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents the two-day index window serves to each request day."""
+    orders = order_days(spark, sf_dir)
+    index = orders.select(F.col("k").alias("id"), F.col("day").alias("listed_date"))
+    documents = standin.nwac_documents(spark, sf_dir).select(F.col("k").alias("id"), "document")
+    served = bulletins.assemble_documents(index, documents)
+    return plain(served.groupBy("request_date").agg(F.count("document").alias("n"), F.sum("id").alias("key_sum")))
+
+
+@query(
+    "day_expansion",
+    sql.with_steps("caic", "SELECT k, count(*) AS n_days, max(forecast_days_out) AS last_day FROM caic GROUP BY ALL"),
+)
+def day_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast days of every bulletin: the longer of its two day lists."""
+    documents = bulletins.parse_documents(standin.caic_documents(spark, sf_dir), "CAIC", keep=("k",))
+    days = normalise.caic_days(documents, keep=("k",))
+    return days.groupBy("k").agg(F.count(F.lit(1)).alias("n_days"), F.max("day").cast("long").alias("last_day"))
+
+
+@query(
+    "current_danger",
+    "SELECT o_orderkey AS k, o_orderkey % 6 AS upper, (o_orderkey // 6) % 6 AS middle, (o_orderkey // 36) % 6 AS lower "
+    "FROM orders",
+)
+def current_danger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = bulletins.parse_documents(standin.nwac_documents(spark, sf_dir), "NWAC", keep=("k",))
+    return documents.select("k", normalise.current_danger(F.col("danger")).alias("now")).select("k", "now.*")
+
+
+@query(
+    "pivoted_slots",
+    sql.with_steps(
+        "slots",
+        "SELECT l_orderkey AS k, " + ", ".join(
+            f"coalesce(type_{s}, 0) AS problem_type_{s}, CAST(bit_count(coalesce(alp_{s}, 0)) AS BIGINT) AS alp_prevalence_{s}"
+            for s in sql.SLOTS
+        ) + " FROM slots",
+    ),
+)
+def pivoted_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long problem rows pivoted to one row per key; slots beyond the third are dropped."""
+    lines = standin.read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS k", "l_linenumber - 1 AS slot", "l_partkey % 10 AS kind", "(l_suppkey * 37 + l_partkey) % 256 AS alp"
+    )
+    wide = normalise.pivot_problems(lines, ["k"], {"problem_type": "kind", "alp_mask": "alp"})
+    counts = [f"cast(bit_count(coalesce(alp_mask_{s}, 0)) AS bigint) AS alp_prevalence_{s}" for s in sql.SLOTS]
+    return wide.selectExpr("k", *[f"coalesce(problem_type_{s}, 0) AS problem_type_{s}" for s in sql.SLOTS], *counts)

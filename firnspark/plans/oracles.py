@@ -370,3 +370,127 @@ STEPS["weights"] = """
         list_transform(range(1, 11), i -> r.w[i][j]))) AS w0
     FROM refined r JOIN sums s ON s.region_id = r.region_id AND s.model_year = r.model_year AND s.slot = r.slot
     WHERE r.step = 31"""
+
+
+# --- normalised bulletins -------------------------------------------------------------------
+
+_RISK_BY_INDEX = "(CASE WHEN {0} % 8 < 6 THEN {0} % 8 ELSE 0 END)"
+
+
+def _bits(slot: int, chosen: dict[str, str]) -> dict[str, str]:
+    return {f"{a}_{e}_{slot}": f"({chosen[e]} >> {i}) & 1" for e in ELEVATIONS for i, a in enumerate(ASPECTS)}
+
+
+def _caic_values() -> dict[str, str]:
+    day = "CAST(d + CAST(day AS INTEGER) AS DATE)"
+    issued = "(t0 + to_minutes(30 * (k % 48)) + to_milliseconds(250 * (k % 2)))"
+    instant = f"(timezone('America/Denver', {issued}) AT TIME ZONE 'UTC')"
+    values = {
+        "publish_datetime": instant,
+        "region_id": "'CAIC.' || rk",
+        "forecast_center": "'CAIC'",
+        "analysis_datetime": instant,
+        "distribution_date": "d",
+        "forecast_date": day,
+        "forecast_days_out": "day",
+        "forecast_date_season_day_number": day_number_sql(day),
+        "avalanche_season": season_sql(day),
+        "area_name": "CASE WHEN k % 4 <> 0 THEN 'Zone ' || rk ELSE 'undefined' END",
+        "area_id": "rk",
+        "polygons": "'p' || rk || ',q' || (k % 3)",
+        "avalanche_summary": "CASE WHEN day = 0 THEN 'S' || k WHEN day = 1 AND k % 2 = 1 THEN 'T' || k ELSE '' END",
+    }
+    for elevation, index in (("alp", "(k + day)"), ("tln", "(k // 2 + day)"), ("btl", "(k // 3 + day)")):
+        values[f"danger_{elevation}"] = f"CASE WHEN day < k % 4 THEN {_RISK_BY_INDEX.format(index)} ELSE 0 END"
+    for s in SLOTS:
+        present = f"(day < (k // 4) % 3 AND coalesce(type_{s}, 0) <> 0" + (" AND day = 0)" if s == 0 else ")")
+        masks = {e: f"(CASE WHEN {present} THEN {e}_{s} ELSE 0 END)" for e in ELEVATIONS}
+        extra = f"(CASE WHEN {present} AND k % 5 = 0 THEN 1 ELSE 0 END)"
+        values[f"problem_type_{s}"] = f"CASE WHEN {present} THEN type_{s} ELSE 0 END"
+        values[f"likelihood_{s}"] = f"CASE WHEN {present} THEN likelihood_{s} ELSE 0 END"
+        values[f"min_size_{s}"] = f"CASE WHEN {present} THEN quantity_{s} / 10 ELSE 0.0::DOUBLE END"
+        values[f"max_size_{s}"] = f"CASE WHEN {present} THEN quantity_{s} / 5 ELSE 0.0::DOUBLE END"
+        values |= _bits(s, masks)
+        for e in ELEVATIONS:
+            more = f" + {extra}" if e == "alp" else ""
+            values[f"{e}_prevalence_{s}"] = f"CAST(bit_count({masks[e]}){more} AS BIGINT)"
+        total = " + ".join(f"bit_count({masks[e]})" for e in ELEVATIONS)
+        values[f"prevalence_{s}"] = f"CAST({total} + {extra} AS BIGINT)"
+    return values
+
+
+STEPS["caic_days"] = (
+    "SELECT *, unnest(range(0, greatest(k % 4, (k // 4) % 3))) AS day FROM bulletin WHERE k % 10 <> 9"
+)
+STEPS["caic"] = "SELECT k, " + ", ".join(f"{v} AS {n}" for n, v in _caic_values().items()) + " FROM caic_days"
+
+
+def _nwac_values() -> dict[str, str]:
+    values = {
+        "publish_datetime": "updated",
+        "region_id": "'NWAC.' || area",
+        "forecast_center": "'NWAC'",
+        "analysis_datetime": "updated",
+        "distribution_date": "day",
+        "forecast_date": "day",
+        "forecast_days_out": "CAST(0 AS BIGINT)",
+        "forecast_date_season_day_number": day_number_sql("day"),
+        "avalanche_season": season_sql("day"),
+        "area_name": "coalesce(zone, 'undefined')",
+        "area_id": "area",
+        "polygons": "zone_id",
+        "avalanche_summary": "CASE WHEN k % 3 = 2 THEN 'B' || k WHEN k % 5 > 1 THEN 'H' || k ELSE '' END",
+        "danger_alp": "k % 6",
+        "danger_tln": "(k // 6) % 6",
+        "danger_btl": "(k // 36) % 6",
+    }
+    for s in SLOTS:
+        own = f"(coalesce(type_{s}, 0) <> 0)"
+        late = f"(coalesce(type_3, 0) <> 0 AND k % 3 = {s})"
+
+        def chosen(name: str, zero: str, own: str = own, late: str = late, s: int = s) -> str:
+            return f"(CASE WHEN {late} THEN {name}_3{zero} WHEN {own} THEN {name}_{s}{zero} ELSE 0 END)"
+
+        values[f"problem_type_{s}"] = chosen("type", "")
+        values[f"likelihood_{s}"] = chosen("likelihood", "")
+        values[f"min_size_{s}"] = chosen("quantity", " / 10")
+        values[f"max_size_{s}"] = chosen("quantity", " / 5")
+        union = {
+            e: f"((CASE WHEN {own} THEN {e}_{s} ELSE 0 END) | (CASE WHEN {late} THEN {e}_3 ELSE 0 END))"
+            for e in ELEVATIONS
+        }
+        values |= _bits(s, union)
+        counts = {e: f"bit_count({chosen(e, '')})" for e in ELEVATIONS}
+        for e in ELEVATIONS:
+            values[f"{e}_prevalence_{s}"] = f"CAST({counts[e]} AS BIGINT)"
+        values[f"prevalence_{s}"] = "CAST(" + " + ".join(counts.values()) + " AS BIGINT)"
+    return values
+
+
+_NWAC_WALL = "(t0 + to_hours(k % 24) + to_hours(8 * (k % 2)))"
+
+
+def nwac_rows(zones: str) -> str:
+    """Bulletins with the zone that names them; ``zones`` gives (k, zone, zone_id)."""
+    local = f"CAST(({_NWAC_WALL} AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS DATE)"
+    area = f"CAST(coalesce({code_sql(NWAC_AREA_IDS, 'zone')}, 2000 + k % 7) AS VARCHAR)"
+    return (
+        f"SELECT *, CASE WHEN zone IS NOT NULL THEN {area} END AS area FROM (SELECT *, {local} AS day, "
+        f"{_NWAC_WALL} + INTERVAL 1 HOUR + to_milliseconds(250) AS updated, {zones} FROM bulletin WHERE k % 10 <> 7)"
+    )
+
+
+STEPS["nwac_rows"] = nwac_rows(
+    f"CASE k % 3 WHEN 1 THEN {pick_sql(standin.ZONE_NAMES, 'k % 5')} "
+    f"WHEN 2 THEN {pick_sql(standin.ZONE_NAMES, '(k // 5) % 5')} END AS zone, "
+    "CASE k % 3 WHEN 1 THEN 'y' || (k % 9) WHEN 2 THEN 'z' || (k % 9) END AS zone_id"
+)
+_NWAC_SELECT = "SELECT k, " + ", ".join(f"{v} AS {n}" for n, v in _nwac_values().items())
+STEPS["nwac"] = _NWAC_SELECT + " FROM nwac_rows"
+STEPS["zone_rows"] = nwac_rows(
+    f"unnest([{pick_sql(standin.ZONE_NAMES, 'k % 5')}, {pick_sql(standin.ZONE_NAMES, '(k // 5) % 5')}][:k % 3]) AS zone, "
+    "unnest(['y' || (k % 9), 'z' || (k % 9)][:k % 3]) AS zone_id"
+)
+STEPS["nwac_zones"] = _NWAC_SELECT + " FROM zone_rows"
+NEEDS["zone_rows"] = "bulletin"
+NEEDS["nwac_zones"] = "zone_rows"
