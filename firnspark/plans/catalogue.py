@@ -11,7 +11,7 @@ from firnspark.operators import normalise, tables
 from firnspark.plans import oracles as sql
 from firnspark.plans import standin
 from firnspark.schema import BULLETIN
-from firnspark.session import scratch_path
+from firnspark.session import materialise, scratch_path
 from firnspark.sources import bulletins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,14 +370,19 @@ def flag_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WIDE = "k, " + sql.bulletin_columns()
 
 
+def landed(spark: SparkSession, sf_dir: str, center: str, keep: str = "k") -> DataFrame:
+    """Parsed documents of a centre, stored once as a landing step would."""
+    build = {"CAIC": standin.caic_documents, "NWAC": standin.nwac_documents}[center]
+    stored = materialise(build(spark, sf_dir).select(keep, "document"))
+    return bulletins.parse_documents(stored, center, keep=(keep,))
+
+
 def caic_rows(spark: SparkSession, sf_dir: str, mode: str = "fail") -> DataFrame:
-    documents = bulletins.parse_documents(standin.caic_documents(spark, sf_dir), "CAIC", keep=("k",))
-    return normalise.normalise(documents, "CAIC", mode=mode, keep=("k",))
+    return normalise.normalise(landed(spark, sf_dir, "CAIC"), "CAIC", mode=mode, keep=("k",))
 
 
 def nwac_rows(spark: SparkSession, sf_dir: str, mode: str = "quarantine", zones: str = "last") -> DataFrame:
-    documents = bulletins.parse_documents(standin.nwac_documents(spark, sf_dir), "NWAC", keep=("k",))
-    return normalise.normalise(documents, "NWAC", mode=mode, keep=("k",), zones=zones)
+    return normalise.normalise(landed(spark, sf_dir, "NWAC"), "NWAC", mode=mode, keep=("k",), zones=zones)
 
 
 @query("caic_bulletins", sql.with_steps("caic", f"SELECT {_WIDE} FROM caic"))
@@ -437,7 +442,7 @@ def strict_name_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("p")).alias("polygons"),
         F.struct(F.array(F.array(problem)).alias("days")).alias("avalancheProblems"),
     )
-    texts = orders.join(names, "k").select("k", F.to_json(document).alias("document"))
+    texts = materialise(orders.join(names, "k").select("k", F.to_json(document).alias("document")))
     documents = bulletins.parse_documents(texts, "CAIC", keep=("k",))
     checked = normalise.normalise(documents, "CAIC", mode="quarantine", keep=("k",))
 
@@ -486,11 +491,11 @@ def combined_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as JSON by year, scanned again and normalised."""
-    documents = bulletins.parse_documents(standin.caic_documents(spark, sf_dir), "CAIC", keep=("day",))
+    documents = landed(spark, sf_dir, "CAIC", keep="day")
     path = scratch_path(spark, "landing")
     # A folder per month keeps the number of small files of this test layout down.
     bulletins.land_documents(documents.withColumn("distribution_date", F.trunc("day", "month")).drop("day"), path)
-    scanned = bulletins.scan_documents(spark, "CAIC", path)
+    scanned = bulletins.scan_documents(spark, "CAIC", path, lines=True)
     rows = normalise.normalise(scanned, "CAIC", keep=("landed_date",))
     in_folder = rows.where(F.col("landed_date") == F.trunc("distribution_date", "month"))
     return plain(
@@ -523,8 +528,7 @@ def served_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def day_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast days of every bulletin: the longer of its two day lists."""
-    documents = bulletins.parse_documents(standin.caic_documents(spark, sf_dir), "CAIC", keep=("k",))
-    days = normalise.caic_days(documents, keep=("k",))
+    days = normalise.caic_days(landed(spark, sf_dir, "CAIC"), keep=("k",))
     return days.groupBy("k").agg(F.count(F.lit(1)).alias("n_days"), F.max("day").cast("long").alias("last_day"))
 
 
@@ -534,8 +538,9 @@ def day_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM orders",
 )
 def current_danger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = bulletins.parse_documents(standin.nwac_documents(spark, sf_dir), "NWAC", keep=("k",))
-    return documents.select("k", normalise.current_danger(F.col("danger")).alias("now")).select("k", "now.*")
+    now = normalise.current_danger(F.col("danger")).alias("now")
+    rows = landed(spark, sf_dir, "NWAC").select("k", now)
+    return rows.select("k", "now.upper", "now.middle", "now.lower")
 
 
 @query(

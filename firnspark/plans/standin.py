@@ -78,10 +78,6 @@ def plus_seconds(moment: Column, seconds: Column) -> Column:
     return F.timestamp_seconds(F.unix_seconds(moment) + seconds)
 
 
-def bit(mask: Column, position: int) -> Column:
-    return F.shiftright(mask, position).bitwiseAND(F.lit(1))
-
-
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide combined table, one row per order."""
     k, region = F.col("k"), F.col("n_regionkey").cast("string")
@@ -134,12 +130,12 @@ def pick(names: list[str], index: Column) -> Column:
 
 def names_of_masks(slot: int, aspects: list[str], elevations: list[str], joiner: str) -> Column:
     """Names of the set bits of a slot's three masks."""
-    names = [
-        F.when(bit(F.col(f"{elevation}_{slot}"), position) == 1, F.lit(f"{aspect}{joiner}{word}"))
+    names = ", ".join(
+        f"if(shiftright({elevation}_{slot}, {position}) & 1 = 1, '{aspect}{joiner}{word}', NULL)"
         for elevation, word in zip(ELEVATIONS, elevations)
         for position, aspect in enumerate(aspects)
-    ]
-    return F.array_compact(F.array(*names))
+    )
+    return F.expr(f"array_compact(array({names}))")
 
 
 def has_problem(slot: int) -> Column:
@@ -150,10 +146,14 @@ def caic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, day, document): one JSON text per order, shaped like a CAIC bulletin."""
     k, region, at = F.col("k"), F.col("n_regionkey").cast("string"), F.col("at")
 
+    def listed(slot: int) -> Column:
+        """Names of the set flags, with a name beyond the flags and a repeated one."""
+        extra = F.when(k % 5 == 0, F.array(F.lit("x_alp"))).otherwise(F.array().cast("array<string>"))
+        names = F.concat(F.col(f"set_{slot}"), extra)
+        return F.concat(names, F.slice(names, F.lit(1), F.when(k % 7 == 0, 1).otherwise(0)))
+
     def problem(slot: int) -> Column:
-        names = names_of_masks(slot, list(ASPECTS), list(ELEVATIONS), "_")
-        names = F.when(k % 5 == 0, F.array_append(names, F.lit("x_alp"))).otherwise(names)
-        names = F.when((k % 7 == 0) & (F.size(names) > 0), F.array_append(names, F.get(names, F.lit(0)))).otherwise(names)
+        names = F.col(f"names_{slot}")
         present = has_problem(slot)
         full = F.struct(
             F.when(present, pick(PROBLEM_NAMES, F.col(f"type_{slot}"))).alias("type"),
@@ -203,7 +203,10 @@ def caic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.slice(F.array(*[rating(d) for d in range(3)]), F.lit(1), (k % 4).cast("int")).alias("days")).alias("dangerRatings"),
         F.struct(F.slice(F.array(first_day, second_day), F.lit(1), (F.floor(k / 4) % 3).cast("int")).alias("days")).alias("avalancheProblems"),
     )
-    return bulletins(spark, sf_dir).select("k", F.to_date("at").alias("day"), F.to_json(document).alias("document"))
+    rows = bulletins(spark, sf_dir).withColumns(
+        {f"set_{slot}": names_of_masks(slot, list(ASPECTS), list(ELEVATIONS), "_") for slot in LINES}
+    ).withColumns({f"names_{slot}": listed(slot) for slot in LINES})
+    return rows.select("k", F.to_date("at").alias("day"), F.to_json(document).alias("document"))
 
 
 def nwac_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

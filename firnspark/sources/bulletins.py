@@ -75,11 +75,16 @@ def landed_day() -> Column:
     return F.to_date(F.coalesce(F.nullif(stem, F.lit("")), F.nullif(folder, F.lit(""))))
 
 
-def scan_documents(spark: SparkSession, center: str, path: str) -> DataFrame:
-    """One row per bulletin of every landed file; a file holds one JSON array."""
+def scan_documents(spark: SparkSession, center: str, path: str, lines: bool = False) -> DataFrame:
+    """One row per bulletin of every landed file.
+
+    A file holds one JSON array, as the services deliver it, or with ``lines`` one
+    document per line, as ``land_documents`` writes it; only the latter can be split
+    among tasks.
+    """
     return (
         spark.read.schema(read_schema(center))
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
@@ -95,7 +100,7 @@ def parse_documents(df: DataFrame, center: str, column: str = "document", keep:
 
 
 def land_documents(df: DataFrame, path: str, day: str = "distribution_date") -> None:
-    """Write documents as JSON, replacing the days present in ``df``.
+    """Write documents as JSON lines, replacing the days present in ``df``.
 
     The rebalance hint lets AQE split a day that holds much of the data.
     """
