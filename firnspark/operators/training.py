@@ -38,12 +38,6 @@ def observed_targets(targets: DataFrame, columns: list[str] | None = None) -> Da
     return targets.selectExpr(*KEYS, *[f"{name} AS target_{name}" for name in names])
 
 
-def before_season(df: DataFrame, model_year: Column | int) -> DataFrame:
-    """Rows dated strictly before the first day of a season."""
-    year = F.lit(model_year) if isinstance(model_year, int) else model_year
-    return df.where(F.col("forecast_date") < cal.season_first_day(year))
-
-
 def training_frame(
     sources: list[DataFrame], targets: DataFrame, features: list[str] | None = None, columns: list[str] | None = None
 ) -> DataFrame:
@@ -53,13 +47,14 @@ def training_frame(
     return frame.withColumn("season_year", cal.season_start_year(F.col("forecast_date")))
 
 
-def fan_out_training(stats: DataFrame, years: tuple[int, int]) -> DataFrame:
+def fan_out_training(stats: DataFrame, years: tuple[int, int], gap: int = 2) -> DataFrame:
     """Hand statistics of a season to every model season that trains on it.
 
-    The model of season S trains on seasons up to S-2; S-1 is its test season.
+    The model of season S trains on seasons up to S-2; S-1 is its test season.  A gap of
+    one season covers both, that is, all rows before the first day of S.
     """
     first, last = years
-    start = F.greatest(F.col("season_year") + 2, F.lit(first))
+    start = F.greatest(F.col("season_year") + gap, F.lit(first))
     seasons = F.when(start <= last, F.sequence(start, F.lit(last)))
     return stats.withColumn("model_year", F.explode(seasons)).drop("season_year")
 

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firnspark.functions import aspects, calendar as cal, codes
-from firnspark.operators import normalise, tables
+from firnspark.operators import evaluate, normalise, scoring, tables, training
 from firnspark.plans import oracles as sql
-from firnspark.plans import standin
-from firnspark.schema import BULLETIN
+from firnspark.plans import pipeline, standin
+from firnspark.schema import ColumnSpec, conform, null_violations, table
 from firnspark.session import materialise, scratch_path
-from firnspark.sources import bulletins
+from firnspark.sources import bulletins, storage
+from firnspark.sources.registry import Registry, deployments
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -561,3 +562,597 @@ def pivoted_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = normalise.pivot_problems(lines, ["k"], {"problem_type": "kind", "alp_mask": "alp"})
     counts = [f"cast(bit_count(coalesce(alp_mask_{s}, 0)) AS bigint) AS alp_prevalence_{s}" for s in sql.SLOTS]
     return wide.selectExpr("k", *[f"coalesce(problem_type_{s}, 0) AS problem_type_{s}" for s in sql.SLOTS], *counts)
+
+
+# --- tables, grids and partitions ---------------------------------------------------------------
+
+_KEYS = "region_id, CAST(forecast_date AS VARCHAR) AS forecast_date"
+
+
+@query(
+    "latest_publication",
+    sql.with_steps(
+        "combined",
+        f"SELECT {_KEYS}, epoch_ms(publish_datetime) AS publish_datetime, epoch_ms(analysis_datetime) AS analysis_datetime, "
+        "area_name, avalanche_summary, problem_type_0 FROM combined QUALIFY row_number() OVER (PARTITION BY region_id, "
+        "forecast_date ORDER BY publish_datetime DESC, analysis_datetime DESC) = 1",
+    ),
+)
+def latest_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.combined(spark, sf_dir).select(
+        *tables.KEYS, "publish_datetime", "analysis_datetime", "area_name", "avalanche_summary", "problem_type_0"
+    )
+    return plain(tables.latest_publication(rows))
+
+
+@query(
+    "lagged_day",
+    sql.with_steps(
+        "winners",
+        "SELECT region_id, CAST(CAST(forecast_date + 1 AS DATE) AS VARCHAR) AS forecast_date, avalanche_season, "
+        "forecast_date_season_day_number, CAST(distribution_date AS VARCHAR) AS distribution_date, problem_type_0 FROM winners",
+    ),
+)
+def lagged_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yesterday's bulletin under today's date; season and day number stay yesterday's."""
+    columns = ["avalanche_season", "forecast_date_season_day_number", "distribution_date", "problem_type_0"]
+    return plain(tables.build_features(standin.combined(spark, sf_dir)).select(*tables.KEYS, *columns))
+
+
+@query(
+    "component_columns",
+    sql.with_steps("components", f"SELECT {_KEYS}, " + ", ".join(sql.COMPONENT_COLUMNS) + " FROM components"),
+)
+def component_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 27 component columns added to rows that keep their 72 flags."""
+    winners = tables.latest_publication(tables.same_day_in_season(standin.combined(spark, sf_dir)))
+    return plain(tables.with_aspect_components(winners).select(*tables.KEYS, *sql.COMPONENT_COLUMNS))
+
+
+@query(
+    "center_regions",
+    sql.with_steps("combined", "SELECT DISTINCT forecast_center, region_id FROM combined"),
+)
+def center_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.combined(spark, sf_dir)
+    return tables.regions_of_centers(rows.select("forecast_center"), tables.region_dimension(rows))
+
+
+_SERIES = (
+    "SELECT region_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS forecast_date FROM "
+    "(SELECT DISTINCT region_id FROM combined), (SELECT min(forecast_date) AS lo, max(forecast_date) AS hi FROM combined)"
+)
+
+
+def grid(rows: DataFrame) -> DataFrame:
+    return tables.daily_grid(tables.region_dimension(rows), *tables.day_range(rows))
+
+
+@query(
+    "daily_grid",
+    sql.with_steps(
+        "combined",
+        f"SELECT region_id, year(forecast_date) AS year, count(*) AS n_days, CAST(min(forecast_date) AS VARCHAR) AS first_day FROM ({_SERIES}) GROUP BY ALL",
+    ).replace("year(forecast_date) AS year", "CAST(year(forecast_date) AS INTEGER) AS year"),
+)
+def daily_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = grid(standin.combined(spark, sf_dir).select(*tables.KEYS))
+    per_year = days.groupBy("region_id", F.year("forecast_date").alias("year"))
+    return plain(per_year.agg(F.count(F.lit(1)).alias("n_days"), F.min("forecast_date").alias("first_day")))
+
+
+@query(
+    "season_grid",
+    sql.with_steps(
+        "combined spans",
+        "SELECT region_id, model_year AS season_year, model_year || '/' || (model_year + 1) AS avalanche_season "
+        "FROM (SELECT DISTINCT region_id FROM combined), spans",
+    ),
+)
+def season_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.combined(spark, sf_dir).select(*tables.KEYS)
+    return tables.season_grid(tables.region_dimension(rows), model_years(spark, sf_dir))
+
+
+@query(
+    "missing_partitions",
+    sql.with_steps(
+        "winners",
+        f"SELECT {_KEYS} FROM ({_SERIES}) g WHERE NOT EXISTS (SELECT 1 FROM winners w WHERE w.region_id = g.region_id "
+        "AND w.forecast_date = g.forecast_date)",
+    ),
+)
+def missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.combined(spark, sf_dir)
+    targets = tables.build_targets(rows)
+    return plain(tables.missing_partitions(grid(rows.select(*tables.KEYS)), targets).select("region_id", "forecast_date"))
+
+
+# The request of the partition queries: days and regions with an extreme bulletin.
+_REQUEST = "SELECT DISTINCT region_id, forecast_date FROM combined WHERE danger_alp = 5 AND danger_tln = 5"
+
+
+def request(rows: DataFrame) -> DataFrame:
+    return rows.where("danger_alp = 5 AND danger_tln = 5").select(*tables.KEYS).distinct()
+
+
+@query(
+    "partition_values",
+    sql.with_steps(
+        "combined",
+        f"SELECT 'day' AS dimension, CAST(forecast_date AS VARCHAR) AS value FROM ({_REQUEST}) UNION "
+        f"SELECT 'region', region_id FROM ({_REQUEST})",
+    ),
+)
+def partition_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days, regions = tables.partition_values(request(standin.combined(spark, sf_dir)))
+    listed = days.select(F.lit("day").alias("dimension"), F.col("forecast_date").cast("string").alias("value"))
+    return listed.unionByName(regions.select(F.lit("region").alias("dimension"), F.col("region_id").alias("value")))
+
+
+_SCANNED = "SELECT region_id, CAST(forecast_date AS VARCHAR) AS forecast_date, problem_type_0, prevalence_0 FROM combined c WHERE "
+
+
+@query(
+    "partition_scan",
+    sql.with_steps("combined", _SCANNED + f"(region_id, forecast_date) IN ({_REQUEST})"),
+)
+def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.combined(spark, sf_dir)
+    columns = [*tables.KEYS, "problem_type_0", "prevalence_0"]
+    return plain(tables.scan_partitions(rows, request(rows), tables.KEYS, columns))
+
+
+@query(
+    "partition_scan_rectangle",
+    sql.with_steps(
+        "combined",
+        _SCANNED + f"region_id IN (SELECT region_id FROM ({_REQUEST})) AND forecast_date IN (SELECT forecast_date FROM ({_REQUEST}))",
+    ),
+)
+def partition_scan_rectangle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.combined(spark, sf_dir)
+    columns = [*tables.KEYS, "problem_type_0", "prevalence_0"]
+    return plain(tables.scan_partitions(rows, request(rows), tables.KEYS, columns, rectangle=True))
+
+
+# A stored table of all same-day winners, of which the requested partitions are replaced:
+# those whose winner has an odd danger get new rows, the others become empty.
+@query(
+    "partition_replace",
+    sql.with_steps(
+        "winners",
+        "SELECT region_id, CAST(date_trunc('month', forecast_date) AS DATE)::VARCHAR AS month, CAST(forecast_date AS VARCHAR) AS forecast_date, "
+        "problem_type_0 + CASE WHEN problem_type_1 >= 5 THEN 100 ELSE 0 END AS problem_type_0 FROM winners "
+        "WHERE problem_type_1 < 5 OR danger_btl % 2 = 1",
+    ),
+)
+def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["region_id", "month", "forecast_date", "problem_type_0"]
+    source = tables.latest_publication(tables.same_day_in_season(standin.combined(spark, sf_dir)))
+    winners = materialise(
+        source.withColumn("month", F.trunc("forecast_date", "month")).select(*columns, "problem_type_1", "danger_btl")
+    )
+    keys = ["region_id", "month", "forecast_date"]
+    path = scratch_path(spark, "replaced")
+    storage.replace_partitions(winners.select(*columns), path, winners.select(*keys), keys, ["month"])
+    requested = winners.where("problem_type_1 >= 5")
+    fresh = requested.where("danger_btl % 2 = 1").withColumn("problem_type_0", F.col("problem_type_0") + 100)
+    storage.replace_partitions(fresh.select(*columns), path, requested.select(*keys), keys, ["month"])
+    return plain(spark.read.parquet(path).select(*columns))
+
+
+_REPORT = table(
+    ColumnSpec("k", "long"),
+    *[ColumnSpec(f"{name}_{s}", "long", 0) for name in ("type", "likelihood") for s in sql.SLOTS],
+    *[ColumnSpec(f"quantity_{s}", "double", 0.0) for s in sql.SLOTS],
+    ColumnSpec("o_orderpriority", "string", "none"),
+    ColumnSpec("region_code", "string"),
+)
+_REPORTED = [spec.name for spec in _REPORT.columns]
+
+
+@query(
+    "null_report",
+    sql.with_steps(
+        "bulletin",
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS column_name, "
+            + ("count(*)" if name == "region_code" else f"count(*) - count({name})")
+            + " AS null_rows FROM bulletin"
+            for name in _REPORTED
+        ),
+    ),
+)
+def null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a value for every non-nullable column; an absent column misses all."""
+    return null_violations(standin.bulletins(spark, sf_dir), _REPORT)
+
+
+@query(
+    "conformed_rows",
+    sql.with_steps(
+        "bulletin",
+        "SELECT " + ", ".join(
+            "k" if s.name == "k"
+            else "CAST(NULL AS VARCHAR) AS region_code" if s.name == "region_code"
+            else f"coalesce({s.name}, {repr(s.default) if s.kind == 'string' else str(s.default) + ('::DOUBLE' if s.kind == 'double' else '')}) AS {s.name}"
+            for s in _REPORT.columns
+        ) + " FROM bulletin",
+    ),
+)
+def conformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform(standin.bulletins(spark, sf_dir), _REPORT)
+
+
+# --- training ---------------------------------------------------------------------------------
+
+
+def model_years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Seasons from the first to the last order day."""
+    return tables.season_years(*tables.day_range(order_days(spark, sf_dir), "day"))
+
+
+def frame_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standin.combined(spark, sf_dir)
+    return training.training_frame([tables.build_features(rows)], tables.build_targets(rows))
+
+
+@query(
+    "training_frame",
+    sql.with_steps(
+        "frame",
+        f"SELECT {_KEYS}, season_year, " + ", ".join(f"{c}, target_{c}" for c in sql.MODEL_COLUMNS) + " FROM frame",
+    ),
+)
+def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(frame_of(spark, sf_dir))
+
+
+@query(
+    "training_targets",
+    sql.with_steps(
+        "winners spans",
+        "SELECT region_id, model_year, count(*) AS n, CAST(sum(problem_type_0) AS BIGINT) AS type_sum, "
+        "CAST(max(forecast_date) AS VARCHAR) AS last_day FROM winners JOIN spans "
+        "ON forecast_date < make_date(model_year, 9, 1) GROUP BY ALL",
+    ),
+)
+def training_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets dated before each model season: how many, their sum and the last day."""
+    targets = tables.build_targets(standin.combined(spark, sf_dir)).withColumn(
+        "season_year", cal.season_start_year(F.col("forecast_date"))
+    )
+    per_season = targets.groupBy("region_id", "season_year").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("problem_type_0").alias("type_sum"), F.max("forecast_date").alias("last_day")
+    )
+    fanned = training.fan_out_training(per_season, model_years(spark, sf_dir), gap=1)
+    return plain(
+        fanned.groupBy(*training.GROUP).agg(
+            F.sum("n").alias("n"), F.sum("type_sum").alias("type_sum"), F.max("last_day").alias("last_day")
+        )
+    )
+
+
+@query(
+    "training_features",
+    sql.with_steps(
+        "frame",
+        f"SELECT {_KEYS}, problem_type_0, problem_type_1, problem_type_2, aspect_sin_alp_1, target_problem_type_1 FROM frame",
+    ),
+)
+def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feature sources and one observed target column joined on their keys."""
+    rows = standin.combined(spark, sf_dir)
+    features = tables.build_features(rows)
+    types = features.select(*tables.KEYS, *training.PROBLEM_COLUMNS)
+    components = features.select(*tables.KEYS, "aspect_sin_alp_1")
+    observed = training.observed_targets(tables.build_targets(rows), ["problem_type_1"])
+    return plain(training.join_sources([types, components, observed]))
+
+
+@query(
+    "split_counts",
+    sql.with_steps(
+        "frame spans",
+        "SELECT region_id, model_year, count(*) FILTER (WHERE season_year <= model_year - 2) AS n_train, "
+        "count(*) FILTER (WHERE season_year = model_year - 1) AS n_test FROM frame JOIN spans ON season_year < model_year GROUP BY ALL",
+    ),
+)
+def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.split_counts(frame_of(spark, sf_dir), model_years(spark, sf_dir))
+
+
+@query(
+    "slot_match",
+    sql.with_steps(
+        "frame",
+        f"SELECT {_KEYS}, " + ", ".join(
+            f"{value} AS x{s}_{i}" for s in sql.SLOTS for i, value in enumerate(sql.matched_sql(f"target_problem_type_{s}"))
+        ) + " FROM frame",
+    ),
+)
+def slot_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matched = [
+        f"{value} AS x{s}_{i}" for s in sql.SLOTS for i, value in enumerate(training.match_slot(f"target_problem_type_{s}"))
+    ]
+    return plain(frame_of(spark, sf_dir).selectExpr(*tables.KEYS, *matched))
+
+
+def majority_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = training.class_counts(frame_of(spark, sf_dir))
+    return training.fit_majority(counts, model_years(spark, sf_dir))
+
+
+@query(
+    "majority_models",
+    sql.with_steps(
+        "majority",
+        "SELECT region_id, model_year, slot, level, k0, k1, k2, array_to_string(ranked, ',') AS ranked, n_rows FROM majority",
+    ),
+)
+def majority_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = majority_of(spark, sf_dir)
+    return model.withColumn("ranked", F.array_join(F.col("ranked").cast("array<string>"), ","))
+
+
+@query(
+    "problem_forecasts",
+    sql.with_steps("chained", f"SELECT {_KEYS}, p0, p1, p2 FROM chained"),
+)
+def problem_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = tables.build_features(standin.combined(spark, sf_dir)).select(*tables.KEYS, *training.PROBLEM_COLUMNS)
+    scored = scoring.score_problem_types(features, majority_of(spark, sf_dir))
+    return plain(scored.select(*tables.KEYS, "p0", "p1", "p2"))
+
+
+@query(
+    "unscored_days",
+    sql.with_steps(
+        "scoring_rows majority",
+        f"SELECT {_KEYS}, model_year FROM scoring_rows WHERE (region_id, model_year) NOT IN "
+        "(SELECT region_id, model_year FROM majority)",
+    ),
+)
+def unscored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = tables.build_features(standin.combined(spark, sf_dir)).select(*tables.KEYS, *training.PROBLEM_COLUMNS)
+    return plain(scoring.unscored(features, majority_of(spark, sf_dir)))
+
+
+def class_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    years = model_years(spark, sf_dir)
+    counts = materialise(training.class_counts(frame_of(spark, sf_dir)))
+    return scoring.evaluate_problem_types(counts, training.fit_majority(counts, years), years)
+
+
+_MODEL = ["model_name", *training.GROUP]
+
+
+@query(
+    "class_metrics",
+    sql.with_steps(
+        "test_confusion",
+        "SELECT model_name, region_id, model_year, n_rows, "
+        + ", ".join(f"{sql.rounded(m)} AS {m}" for m in ("accuracy_score", "precision_score", "recall_score", "f1_score"))
+        + " FROM (" + sql.classification_sql("test_confusion", "model_name, region_id, model_year") + ")",
+    ),
+)
+def class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = evaluate.classification_metrics(class_confusion(spark, sf_dir), _MODEL)
+    return rounded(metrics, "accuracy_score", "precision_score", "recall_score", "f1_score")
+
+
+def rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.round(F.col(n) + sql.OFF_TIE, 4) + 0.0 for n in names})
+
+
+@query(
+    "confusion_matrix",
+    sql.with_steps(
+        "test_confusion",
+        "SELECT g.model_name, g.region_id, g.model_year, t.range AS y_true, p.range AS y_pred, coalesce(c.n, 0) AS n FROM "
+        "(SELECT DISTINCT model_name, region_id, model_year FROM test_confusion) g, range(10) t, range(10) p LEFT JOIN test_confusion c "
+        "ON c.model_name = g.model_name AND c.region_id = g.region_id AND c.model_year = g.model_year "
+        "AND c.y_true = t.range AND c.y_pred = p.range",
+    ),
+)
+def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.confusion_matrix(class_confusion(spark, sf_dir), _MODEL)
+
+
+# --- aspect models ----------------------------------------------------------------------------
+
+
+def linear_of(spark: SparkSession, sf_dir: str, release: str = "v001") -> DataFrame:
+    sums = training.moments(training.design_rows(frame_of(spark, sf_dir), release))
+    return training.fit_linear(sums, model_years(spark, sf_dir))
+
+
+_WEIGHT_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}_' || slot AS model_name, region_id, model_year, n, {sql.rounded(f'w0[{j}]')} AS intercept, "
+    + ", ".join(f"{sql.rounded(f'w[{i}][{j}]')} AS w{i}" for i in range(1, 11))
+    + " FROM weights"
+    for j, name in enumerate(sql.SLOT_COMPONENTS, start=1)
+)
+
+
+@query("aspect_models", sql.with_steps("weights", _WEIGHT_ROWS))
+def aspect_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of the 27 aspect models of every region and season."""
+    from firnspark.sources.registry import linear_payload
+
+    rows = linear_payload(linear_of(spark, sf_dir))
+    named = rows.selectExpr(*_MODEL, "n", "weights[0] AS intercept", *[f"weights[{i}] AS w{i}" for i in range(1, 11)])
+    return rounded(named, "intercept", *[f"w{i}" for i in range(1, 11)])
+
+
+@query(
+    "aspect_forecasts",
+    sql.with_steps(
+        "forecasts",
+        f"SELECT {_KEYS}, p0, p1, p2, "
+        + ", ".join(f"{sql.rounded(f'forecast_{n}_{s}')} AS forecast_{n}_{s}" for s in sql.SLOTS for n in sql.SLOT_COMPONENTS)
+        + " FROM forecasts",
+    ),
+)
+def aspect_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain: three problem types, then 27 components that depend on them."""
+    features = tables.build_features(standin.combined(spark, sf_dir))
+    models = pipeline.train_models(frame_of(spark, sf_dir), model_years(spark, sf_dir))
+    wide = scoring.score_all(features, models.majority, models.linear).drop("model_year")
+    return plain(rounded(wide, *[c for c in wide.columns if c.startswith("forecast_aspect")]))
+
+
+_PREDICTED = ["problem_type_0", "problem_type_1", "problem_type_2"]
+
+
+@query(
+    "prediction_records",
+    sql.with_steps(
+        "forecasts",
+        "SELECT model_name, 'run' AS run_id, " + RUN_KEY.format(day="forecast_date") + f", {CREATED_MS}, "
+        "CAST(forecast_date AS VARCHAR) AS forecast_date, region_id, CAST(CAST(forecast_date - 1 AS DATE) AS VARCHAR) AS analysis_date, "
+        "model_year || '/' || (model_year + 1) AS avalanche_season, "
+        f"{sql.rounded('forecast')} AS forecast, CASE WHEN model_name LIKE 'problem%' THEN 'v000' ELSE 'v001' END AS release, "
+        "'models/' || model_name || '.' || model_year || '-' || (model_year + 1) || '.' || region_id || '/versions/1' AS model_uri "
+        "FROM (" + " UNION ALL ".join(
+            [f"SELECT region_id, forecast_date, model_year, 'problem_type_{s}' AS model_name, CAST(p{s} AS DOUBLE) AS forecast FROM forecasts" for s in sql.SLOTS]
+            + [f"SELECT region_id, forecast_date, model_year, '{n}_{s}', forecast_{n}_{s} FROM forecasts" for s in sql.SLOTS for n in sql.SLOT_COMPONENTS]
+        ) + ")",
+    ),
+)
+def prediction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = tables.build_features(standin.combined(spark, sf_dir))
+    models = pipeline.train_models(frame_of(spark, sf_dir), model_years(spark, sf_dir))
+    long = scoring.long_forecasts(scoring.score_all(features, models.majority, models.linear))
+    return plain(rounded(scoring.prediction_records(long, created=standin.created()), "forecast"))
+
+
+def regression_output(pairs: str) -> str:
+    """Relative errors span many powers of ten, so their logarithm is compared."""
+    return (
+        "SELECT model_name, region_id, model_year, n_rows, "
+        + ", ".join(f"{sql.rounded(m)} AS {m}" for m in ("mae", "rmse", "r2"))
+        + f", {sql.rounded('log10(1 + mape)')} AS log_mape FROM ("
+        + sql.regression_sql(pairs, "model_name, region_id, model_year")
+        + ")"
+    )
+
+
+def regression_view(pairs: DataFrame) -> DataFrame:
+    metrics = evaluate.regression_metrics(pairs, _MODEL)
+    return rounded(metrics.withColumn("log_mape", F.log10(1 + F.col("mape"))).drop("mape"), "mae", "rmse", "r2", "log_mape")
+
+
+@query("aspect_metrics", sql.with_steps("tested_pairs", regression_output("tested_pairs")))
+def aspect_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the aspect models on the season before each model season."""
+    models = pipeline.train_models(frame_of(spark, sf_dir), model_years(spark, sf_dir))
+    return regression_view(models.aspect_pairs())
+
+
+# Yesterday's component as the forecast of today's: a baseline both engines compute exactly.
+_PERSISTED = "(" + " UNION ALL ".join(
+    f"SELECT '{c}' AS model_name, region_id, season_year AS model_year, target_{c} AS y_true, {c} AS y_pred FROM frame"
+    for c in sql.COMPONENT_COLUMNS
+) + ")"
+
+
+def persisted_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame = frame_of(spark, sf_dir).withColumnRenamed("season_year", "model_year")
+    entries = ", ".join(f"'{c}', target_{c}, {c}" for c in sql.COMPONENT_COLUMNS)
+    return frame.selectExpr(*training.GROUP, f"stack({len(sql.COMPONENT_COLUMNS)}, {entries}) AS (model_name, y_true, y_pred)")
+
+
+@query("regression_metrics", sql.with_steps("frame", regression_output(_PERSISTED)))
+def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regression_view(persisted_pairs(spark, sf_dir))
+
+
+@query(
+    "fitted_lines",
+    sql.with_steps(
+        "frame",
+        "SELECT model_name, region_id, model_year, count(*) AS n_rows, "
+        f"{sql.rounded('regr_slope(y_pred, y_true)')} AS slope, {sql.rounded('regr_intercept(y_pred, y_true)')} AS intercept "
+        f"FROM {_PERSISTED} GROUP BY ALL",
+    ),
+)
+def fitted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.fitted_line(persisted_pairs(spark, sf_dir), _MODEL), "slope", "intercept")
+
+
+@query(
+    "evaluation_rows",
+    sql.with_steps("frame", f"SELECT y_true AS y_test, y_pred, count(*) AS n FROM {_PERSISTED} GROUP BY ALL"),
+)
+def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(y_test, y_pred) rows written as CSV, read again and counted."""
+    path = scratch_path(spark, "evaluation")
+    evaluate.write_evaluation_rows(persisted_pairs(spark, sf_dir), path)
+    rows = spark.read.option("header", True).schema("y_test double, y_pred double").csv(path)
+    return rows.groupBy("y_test", "y_pred").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- registry ---------------------------------------------------------------------------------
+
+
+@query(
+    "deployment_map",
+    "SELECT model_name, release, count(*) AS n_regions FROM (VALUES "
+    + ", ".join(f"('{n}', '{r}')" for n, r in sorted(sql.DEPLOYMENTS.items()))
+    + ") d(model_name, release), region GROUP BY ALL",
+)
+def deployment_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configured releases, with the number of regions each serves."""
+    from firnspark.sources.registry import describe_models
+
+    regions = standin.read(spark, sf_dir, "region").selectExpr("r_name AS region_id", "2000 AS model_year")
+    models = describe_models(regions, codes.DEPLOYMENTS).join(F.broadcast(deployments(spark)), ["model_name", "release"])
+    return models.groupBy("model_name", "release").agg(F.count(F.lit(1)).alias("n_regions"))
+
+
+@query(
+    "registered_models",
+    sql.with_steps(
+        "majority",
+        "SELECT m.model_name, g.region_id, g.model_year || '/' || (g.model_year + 1) AS avalanche_season, m.release, "
+        "m.release || '-deployment' AS alias, m.model_name || '.' || g.model_year || '-' || (g.model_year + 1) || '.' || g.region_id AS model_id, "
+        "CAST(CASE WHEN g.last_half THEN 2 ELSE 1 END AS BIGINT) AS version FROM (SELECT DISTINCT region_id, model_year, "
+        "model_year >= 1999 AS last_half FROM majority) g, (VALUES "
+        + ", ".join(f"('{n}', '{r}')" for n, r in sorted(sql.DEPLOYMENTS.items()))
+        + ") m(model_name, release)",
+    ),
+)
+def registered_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All models registered once, and those from 1999 on a second time."""
+    models = pipeline.train_models(frame_of(spark, sf_dir), model_years(spark, sf_dir))
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    registry.register(models.majority, models.linear, "first", created=standin.created())
+    later = F.col("model_year") >= 1999
+    registry.register(models.majority.where(later), models.linear.where(later), "second", created=standin.created())
+    return registry.deployed().select(
+        "model_name", "region_id", "avalanche_season", "release", "alias", "model_id", "version"
+    )
+
+
+@query(
+    "model_ids",
+    sql.with_steps(
+        "combined spans",
+        "SELECT m.model_name || '.' || s.model_year || '-' || (s.model_year + 1) || '.' || g.region_id AS model_id, "
+        "CAST(CASE WHEN m.model_name LIKE 'aspect%' THEN split_part(m.model_name, '_', 4) ELSE NULL END AS INTEGER) AS slot "
+        "FROM (SELECT DISTINCT region_id FROM combined) g, spans s, (VALUES "
+        + ", ".join(f"('{n}')" for n in sorted(sql.DEPLOYMENTS))
+        + ") m(model_name)",
+    ),
+)
+def model_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all models of all regions and seasons, and the slot an aspect model serves."""
+    from firnspark.sources.registry import describe_models
+
+    rows = standin.combined(spark, sf_dir).select("region_id")
+    groups = tables.season_grid(tables.region_dimension(rows), model_years(spark, sf_dir))
+    models = describe_models(groups.select("region_id", F.col("season_year").alias("model_year")), codes.DEPLOYMENTS)
+    slots = {name: codes.model_slot(name) for name in codes.ASPECT_MODELS}
+    return models.select("model_id", codes.literal_lookup(slots, F.col("model_name")).alias("slot"))

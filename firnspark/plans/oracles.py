@@ -34,7 +34,7 @@ def with_steps(names: str, body: str) -> str:
 
     for name in names.split():
         add(name)
-    recursive = "RECURSIVE " if any(name in ("inverse", "refined") for name in wanted) else ""
+    recursive = "RECURSIVE " if "inverse" in wanted else ""
     return f"WITH {recursive}" + ",\n".join(f"{n} AS ({STEPS[n]})" for n in wanted) + "\n" + body
 
 
@@ -494,3 +494,64 @@ STEPS["zone_rows"] = nwac_rows(
 STEPS["nwac_zones"] = _NWAC_SELECT + " FROM zone_rows"
 NEEDS["zone_rows"] = "bulletin"
 NEEDS["nwac_zones"] = "zone_rows"
+
+
+# --- forecasts of the aspect models -----------------------------------------------------------
+
+# Added before rounding to four places, so that exact fractions do not sit on a tie.
+OFF_TIE = 0.0000317
+
+
+def rounded(value: str) -> str:
+    return f"(round({value} + {OFF_TIE}, 4) + 0.0)"
+
+
+def forecast_steps(name: str, rows: str, problems: list[str], gate: bool, keep: str) -> None:
+    """Step with the 27 forecasts of the rows of another step."""
+    columns = []
+    for s in SLOTS:
+        inputs = matched_sql(problems[s])
+        for j, component in enumerate(SLOT_COMPONENTS, start=1):
+            value = f"w{s}.w0[{j}] + " + " + ".join(f"w{s}.w[{i}][{j}] * x{s}[{i}]" for i in range(1, len(inputs) + 1))
+            if gate:
+                value = f"CASE WHEN {problems[s]} = 0 THEN 0.0::DOUBLE ELSE {value} END"
+            columns.append(f"{value} AS forecast_{component}_{s}")
+    arrays = ", ".join(f"[{', '.join(matched_sql(problems[s]))}] AS x{s}" for s in SLOTS)
+    joins = " ".join(
+        f"JOIN weights w{s} ON w{s}.region_id = r.region_id AND w{s}.model_year = r.model_year AND w{s}.slot = {s}"
+        for s in SLOTS
+    )
+    STEPS[name] = f"SELECT {keep}, {', '.join(columns)} FROM (SELECT *, {arrays} FROM {rows}) r {joins}"
+    NEEDS[name] = f"{rows} weights"
+
+
+forecast_steps("forecasts", "chained", ["p0", "p1", "p2"], True, "r.region_id, r.forecast_date, r.model_year, p0, p1, p2")
+forecast_steps(
+    "tested", "test_frame", [f"target_problem_type_{s}" for s in SLOTS], False, "r.*"
+)
+STEPS["tested_pairs"] = " UNION ALL ".join(
+    f"SELECT '{name}_{s}' AS model_name, region_id, model_year, target_{name}_{s} AS y_true, forecast_{name}_{s} AS y_pred FROM tested"
+    for s in SLOTS
+    for name in SLOT_COMPONENTS
+)
+NEEDS["tested_pairs"] = "tested"
+
+
+def classification_sql(counts: str, group: str) -> str:
+    """Macro metrics over the labels that occur as observed or forecast class."""
+    return f"""SELECT {group}, CAST(sum(actual) AS BIGINT) AS n_rows, sum(hits) / sum(actual)::DOUBLE AS accuracy_score,
+        avg(CASE WHEN predicted > 0 THEN hits / predicted::DOUBLE ELSE 0 END) AS precision_score,
+        avg(CASE WHEN actual > 0 THEN hits / actual::DOUBLE ELSE 0 END) AS recall_score,
+        avg(CASE WHEN actual + predicted > 0 THEN 2 * hits / (actual + predicted)::DOUBLE ELSE 0 END) AS f1_score
+        FROM (SELECT {group}, label, sum(h) AS hits, sum(a) AS actual, sum(p) AS predicted FROM (
+            SELECT {group}, y_true AS label, CASE WHEN y_true = y_pred THEN n ELSE 0 END AS h, n AS a, 0 AS p FROM {counts}
+            UNION ALL SELECT {group}, y_pred, 0, 0, n FROM {counts}) GROUP BY ALL) GROUP BY ALL"""
+
+
+def regression_sql(pairs: str, group: str) -> str:
+    return f"""SELECT {group}, n_rows, mae, mape, rmse, CASE WHEN n_rows < 2 THEN 'NaN'::DOUBLE
+        WHEN lo = hi THEN CASE WHEN residual = 0 THEN 1.0 ELSE 0.0 END ELSE 1 - residual / spread END AS r2 FROM (
+        SELECT {group}, count(*) AS n_rows, avg(abs(y_true - y_pred)) AS mae,
+            avg(abs(y_true - y_pred) / greatest(abs(y_true), 2.220446049250313e-16)) AS mape,
+            sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse, sum((y_true - y_pred) * (y_true - y_pred)) AS residual,
+            var_pop(y_true) * count(*) AS spread, min(y_true) AS lo, max(y_true) AS hi FROM {pairs} GROUP BY ALL)"""
