@@ -314,7 +314,6 @@ def weights_by_group(model: DataFrame) -> DataFrame:
     return model.groupBy(*GROUP).agg(*per_slot)
 
 
-def linear_value(weights: str, target: int, inputs: list[str]) -> str:
-    """Intercept plus dot product for one target of a slot, as SQL text."""
-    row = f"{weights}[{target}]"
-    return " + ".join([f"{row}[0]", *[f"{row}[{i}] * {name}" for i, name in enumerate(inputs, start=1)]])
+def linear_value(weights: str, inputs: list[str]) -> str:
+    """Intercept plus dot product of one weight array, as SQL text."""
+    return " + ".join([f"get({weights}, 0)", *[f"get({weights}, {i}) * {x}" for i, x in enumerate(inputs, start=1)]])

@@ -292,8 +292,8 @@ def _resolve(rows: str, columns: str) -> str:
 STEPS["resolved"] = _resolve("scoring_rows", "r.*")
 STEPS["chained"] = (
     "SELECT *, CASE WHEN p0 = 0 OR p1 = 0 THEN 0 "
-    "ELSE coalesce(list_filter(ranked_2, x -> x <> p0 AND x <> p1)[1], 0) END AS p2 FROM ("
-    "SELECT *, CASE WHEN p0 = 0 THEN 0 ELSE coalesce(list_filter(ranked_1, x -> x <> p0)[1], 0) END AS p1 FROM ("
+    "ELSE coalesce(list_filter(ranked_2, lambda x: x <> p0 AND x <> p1)[1], 0) END AS p2 FROM ("
+    "SELECT *, CASE WHEN p0 = 0 THEN 0 ELSE coalesce(list_filter(ranked_1, lambda x: x <> p0)[1], 0) END AS p1 FROM ("
     "SELECT *, ranked_0[1] AS p0 FROM resolved))"
 )
 STEPS["test_confusion"] = (
@@ -348,28 +348,28 @@ STEPS["sums"] = f"""
       FROM x_rows JOIN spans ON model_year >= season_year + 2 GROUP BY ALL)"""
 # Inverse of A + eI by Gauss-Jordan elimination, one pivot a step.
 STEPS["inverse"] = f"""
-    SELECT region_id, model_year, slot, 1 AS p, list_transform(range(1, 11), i -> list_transform(range(1, 21),
-        j -> CASE WHEN j > 10 THEN (CASE WHEN j - 10 = i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
-             WHEN i = j THEN a[i][j] + 1e-6 * greatest(scale, 1e-9) ELSE a[i][j] END)) AS m FROM sums
+    SELECT region_id, model_year, slot, 1 AS p, list_transform(range(1, 11), lambda i: list_transform(range(1, 21),
+        lambda j: CASE WHEN j > 10 THEN (CASE WHEN j - 10 = i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+             WHEN i = j THEN a[i][j] + 1e-9 * greatest(scale, 1e-9) ELSE a[i][j] END)) AS m FROM sums
     UNION ALL
-    SELECT region_id, model_year, slot, p + 1, list_transform(range(1, 11), i -> list_transform(range(1, 21),
-        j -> CASE WHEN i = p THEN m[p][j] / m[p][p] ELSE m[i][j] - m[i][p] * m[p][j] / m[p][p] END)) FROM inverse WHERE p <= 10"""
+    SELECT region_id, model_year, slot, p + 1, list_transform(range(1, 11), lambda i: list_transform(range(1, 21),
+        lambda j: CASE WHEN i = p THEN m[p][j] / m[p][p] ELSE m[i][j] - m[i][p] * m[p][j] / m[p][p] END)) FROM inverse WHERE p <= 10"""
 # Repeated correction leads to the minimum-norm solution of A w = b.
 STEPS["refined"] = """
     SELECT s.region_id, s.model_year, s.slot, 1 AS step,
-        list_transform(range(1, 11), i -> list_transform(range(11, 21), j -> m[i][j])) AS g,
-        a, b, list_transform(range(1, 11), i -> list_transform(range(1, 10), j -> 0.0::DOUBLE)) AS w
+        list_transform(range(1, 11), lambda i: list_transform(range(11, 21), lambda j: m[i][j])) AS g,
+        a, b, list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: 0.0::DOUBLE)) AS w
     FROM sums s JOIN inverse v ON v.region_id = s.region_id AND v.model_year = s.model_year AND v.slot = s.slot AND v.p = 11
     UNION ALL
     SELECT region_id, model_year, slot, step + 1, g, a, b,
-        list_transform(range(1, 11), i -> list_transform(range(1, 10), j -> w[i][j] + list_dot_product(g[i], list_transform(range(1, 11),
-            q -> b[q][j] - list_dot_product(a[q], list_transform(range(1, 11), u -> w[u][j]))))))
-    FROM refined WHERE step <= 30"""
+        list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: w[i][j] + list_dot_product(g[i], list_transform(range(1, 11),
+            lambda q: b[q][j] - list_dot_product(a[q], list_transform(range(1, 11), lambda u: w[u][j]))))))
+    FROM refined WHERE step <= 12"""
 STEPS["weights"] = """
-    SELECT s.region_id, s.model_year, s.slot, s.n, r.w, list_transform(range(1, 10), j -> my[j] - list_dot_product(mx,
-        list_transform(range(1, 11), i -> r.w[i][j]))) AS w0
+    SELECT s.region_id, s.model_year, s.slot, s.n, r.w, list_transform(range(1, 10), lambda j: my[j] - list_dot_product(mx,
+        list_transform(range(1, 11), lambda i: r.w[i][j]))) AS w0
     FROM refined r JOIN sums s ON s.region_id = r.region_id AND s.model_year = r.model_year AND s.slot = r.slot
-    WHERE r.step = 31"""
+    WHERE r.step = 13"""
 
 
 # --- normalised bulletins -------------------------------------------------------------------
