@@ -13,7 +13,8 @@ from firnspark.plans import pipeline, standin
 from firnspark.schema import ColumnSpec, conform, null_violations, table
 from firnspark.session import materialise, scratch_path
 from firnspark.sources import bulletins, storage
-from firnspark.sources.registry import Registry, deployments
+from firnspark.sources.registry import Registry, deployments, describe_models, linear_payload
+from firnspark.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -979,8 +980,6 @@ _WEIGHT_ROWS = " UNION ALL ".join(
 @query("aspect_models", sql.with_steps("weights", _WEIGHT_ROWS))
 def aspect_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of the 27 aspect models of every region and season."""
-    from firnspark.sources.registry import linear_payload
-
     rows = linear_payload(linear_of(spark, sf_dir))
     named = rows.selectExpr(*_MODEL, "n", "weights[0] AS intercept", *[f"weights[{i}] AS w{i}" for i in range(1, 11)])
     return rounded(named, "intercept", *[f"w{i}" for i in range(1, 11)])
@@ -1105,8 +1104,6 @@ def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def deployment_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configured releases, with the number of regions each serves."""
-    from firnspark.sources.registry import describe_models
-
     regions = standin.read(spark, sf_dir, "region").selectExpr("r_name AS region_id", "2000 AS model_year")
     models = describe_models(regions, codes.DEPLOYMENTS).join(F.broadcast(deployments(spark)), ["model_name", "release"])
     return models.groupBy("model_name", "release").agg(F.count(F.lit(1)).alias("n_regions"))
@@ -1149,10 +1146,79 @@ def registered_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def model_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all models of all regions and seasons, and the slot an aspect model serves."""
-    from firnspark.sources.registry import describe_models
-
     rows = standin.combined(spark, sf_dir).select("region_id")
     groups = tables.season_grid(tables.region_dimension(rows), model_years(spark, sf_dir))
     models = describe_models(groups.select("region_id", F.col("season_year").alias("model_year")), codes.DEPLOYMENTS)
     slots = {name: codes.model_slot(name) for name in codes.ASPECT_MODELS}
     return models.select("model_id", codes.literal_lookup(slots, F.col("model_name")).alias("slot"))
+
+
+# --- incremental ------------------------------------------------------------------------------
+
+_SHOWN = [f"problem_type_{s}" for s in sql.SLOTS] + [c for c in sql.COMPONENT_COLUMNS if "range" in c]
+
+
+def land_by_month(spark: SparkSession, sf_dir: str, path: str, only: str = "true") -> None:
+    """Land the CAIC documents of the orders, one folder a month."""
+    stored = standin.caic_documents(spark, sf_dir).withColumn("distribution_date", F.trunc("day", "month"))
+    chosen = materialise(stored.where(only).select("distribution_date", "document"))
+    documents = bulletins.parse_documents(chosen, "CAIC", keep=("distribution_date",))
+    bulletins.land_documents(documents, path)
+
+
+@query(
+    "incremental_targets",
+    sql.with_steps("caic_components", f"SELECT {_KEYS}, {', '.join(_SHOWN)} FROM caic_components"),
+)
+def incremental_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets after two stream runs: the second corrects every landed month.
+
+    First only the bulletins of even keys land, then each month lands again complete.
+    """
+    root = scratch_path(spark, "warehouse")
+    warehouse = pipeline.Warehouse(spark, root, pipeline.MONTH)
+    for only in ("k % 2 = 0", "true"):
+        land_by_month(spark, sf_dir, f"{root}/landing", only)
+        run = incremental.run_incremental(
+            warehouse, "CAIC", f"{root}/landing", f"{root}/progress", created=standin.created(), lines=True
+        )
+        run.awaitTermination()
+    return plain(warehouse.table("targets").select(*tables.KEYS, *_SHOWN))
+
+
+@query(
+    "affected_partitions",
+    sql.with_steps(
+        "combined",
+        "SELECT DISTINCT region_id, CAST(day AS VARCHAR) AS forecast_date FROM (SELECT r.region_id, c.distribution_date AS day FROM "
+        "(SELECT DISTINCT forecast_center, distribution_date FROM combined WHERE danger_alp = 5) c JOIN "
+        "(SELECT DISTINCT forecast_center, region_id FROM combined) r ON r.forecast_center = c.forecast_center "
+        "UNION ALL SELECT region_id, forecast_date FROM combined WHERE danger_alp = 5 AND forecast_days_out = 0)",
+    ),
+)
+def affected_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions and days to recompute when the bulletins with an extreme danger change."""
+    rows = standin.combined(spark, sf_dir)
+    extreme = rows.where("danger_alp = 5")
+    changed = extreme.select("forecast_center", F.col("distribution_date").alias("landed_date")).distinct()
+    due = incremental.affected_partitions(changed, extreme.where("forecast_days_out = 0"), tables.region_dimension(rows))
+    return plain(due)
+
+
+@query(
+    "backfilled_features",
+    sql.with_steps(
+        "components",
+        "SELECT region_id, CAST(CAST(forecast_date + 1 AS DATE) AS VARCHAR) AS forecast_date, "
+        + ", ".join(_SHOWN)
+        + " FROM components WHERE CAST(forecast_date + 1 AS DATE) <= (SELECT max(forecast_date) FROM combined)",
+    ),
+)
+def backfilled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of every missing (region, day) of the grid, filled in one pass."""
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"), pipeline.MONTH)
+    rows = standin.combined(spark, sf_dir).withColumn("landed_date", F.trunc("distribution_date", "month"))
+    rows = materialise(rows)
+    warehouse.store_combined(rows, rows.select(*pipeline.COMBINED_FOLDERS).distinct())
+    warehouse.backfill(grid(rows.select(*tables.KEYS)), created=standin.created())
+    return plain(warehouse.table("features").select(*tables.KEYS, *_SHOWN))

@@ -42,8 +42,6 @@ NEEDS = {
     "bulletin": "slots",
     "combined": "bulletin",
     "winners": "combined",
-    "masked": "winners",
-    "components": "masked geometry",
     "frame": "components",
     "spans": "",
     "cells": "frame spans",
@@ -202,23 +200,26 @@ STEPS["geometry"] = """
         PARTITION BY v.range ORDER BY l.range DESC, CASE WHEN s.range + l.range > 8 THEN 0 ELSE s.range END) = 1
     ) arcs ON arcs.v = m.range"""
 
-STEPS["masked"] = (
-    "SELECT *, "
-    + ", ".join(
+
+
+def component_steps(source: str, masked: str, components: str) -> None:
+    """Steps that add the masks and the 27 components to the rows of another step."""
+    masks = ", ".join(
         "(" + " + ".join(f"{a}_{e}_{s} * {1 << i}" for i, a in enumerate(ASPECTS)) + f") AS m_{e}_{s}"
         for s in SLOTS
         for e in ELEVATIONS
     )
-    + " FROM winners"
-)
-STEPS["components"] = (
-    "SELECT masked.*, "
-    + ", ".join(
+    STEPS[masked] = f"SELECT *, {masks} FROM {source}"
+    values = ", ".join(
         f"g_{e}_{s}.g_{c} AS aspect_{c}_{e}_{s}" for s in SLOTS for e in ELEVATIONS for c in COMPONENTS
     )
-    + " FROM masked "
-    + " ".join(f"JOIN geometry g_{e}_{s} ON g_{e}_{s}.m = m_{e}_{s}" for s in SLOTS for e in ELEVATIONS)
-)
+    joins = " ".join(f"JOIN geometry g_{e}_{s} ON g_{e}_{s}.m = m_{e}_{s}" for s in SLOTS for e in ELEVATIONS)
+    STEPS[components] = f"SELECT r.*, {values} FROM {masked} r {joins}"
+    NEEDS[masked] = source
+    NEEDS[components] = f"{masked} geometry"
+
+
+component_steps("winners", "masked", "components")
 
 MODEL_COLUMNS = [f"problem_type_{s}" for s in SLOTS] + COMPONENT_COLUMNS
 STEPS["frame"] = (
@@ -383,7 +384,7 @@ def _bits(slot: int, chosen: dict[str, str]) -> dict[str, str]:
 
 def _caic_values() -> dict[str, str]:
     day = "CAST(d + CAST(day AS INTEGER) AS DATE)"
-    issued = "(t0 + to_minutes(30 * (k % 48)) + to_milliseconds(250 * (k % 2)))"
+    issued = "(t0 + to_minutes(30 * (k % 48)) + to_seconds((k // 48) % 1800) + to_milliseconds(250 * (k % 2)))"
     instant = f"(timezone('America/Denver', {issued}) AT TIME ZONE 'UTC')"
     values = {
         "publish_datetime": instant,
@@ -555,3 +556,13 @@ def regression_sql(pairs: str, group: str) -> str:
             avg(abs(y_true - y_pred) / greatest(abs(y_true), 2.220446049250313e-16)) AS mape,
             sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse, sum((y_true - y_pred) * (y_true - y_pred)) AS residual,
             var_pop(y_true) * count(*) AS spread, min(y_true) AS lo, max(y_true) AS hi FROM {pairs} GROUP BY ALL)"""
+
+
+# --- bulletins kept up to date -------------------------------------------------------------------
+
+STEPS["caic_winners"] = (
+    "SELECT * FROM caic WHERE forecast_days_out = 0 AND avalanche_season <> 'OFF_SEASON' "
+    "QUALIFY row_number() OVER (PARTITION BY region_id, forecast_date ORDER BY publish_datetime DESC) = 1"
+)
+NEEDS["caic_winners"] = "caic"
+component_steps("caic_winners", "caic_masked", "caic_components")

@@ -179,7 +179,8 @@ def caic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     first_day = F.array(*[problem(slot) for slot in LINES])
     second_day = F.array(F.when(F.lit(False), problem(0)), *[problem(slot) for slot in LINES[1:]])
-    issued = plus_seconds(at, (k % 48) * 1800)
+    # Half-hour steps through the day, told apart by seconds.
+    issued = plus_seconds(at, (k % 48) * 1800 + F.floor(k / 48) % 1800)
     whole = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     fraction = "yyyy-MM-dd'T'HH:mm:ss'.250Z'"
 
