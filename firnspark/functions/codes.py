@@ -108,10 +108,24 @@ def likelihood_code_spaced(name: Column) -> Column:
     return literal_lookup(LIKELIHOOD_CODES, spelled).cast("long")
 
 
+def _shorten(phrase: str) -> str:
+    for word, short in PHRASE_WORDS:
+        phrase = phrase.replace(word, short)
+    return phrase.replace(" ", "_")
+
+
+# The 24 regular phrases; anything else is shortened word by word at run time.
+KNOWN_PHRASES = {
+    f"{aspect} {elevation}": _shorten(f"{aspect} {elevation}")
+    for (aspect, _), (elevation, _) in product(PHRASE_WORDS[:8], PHRASE_WORDS[8:])
+}
+
+
 def phrase_to_flag(phrase: Column) -> Column:
     """``northeast upper`` -> ``ne_alp``; other words pass through."""
     shortened = reduce(lambda text, word: F.replace(text, F.lit(word[0]), F.lit(word[1])), PHRASE_WORDS, phrase)
-    return F.replace(shortened, F.lit(" "), F.lit("_"))
+    spelled_out = F.replace(shortened, F.lit(" "), F.lit("_"))
+    return F.coalesce(literal_lookup(KNOWN_PHRASES, phrase), spelled_out)
 
 
 def region_key(center: str | Column, area_id: Column) -> Column:

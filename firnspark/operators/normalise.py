@@ -7,6 +7,8 @@ shuffled before the write.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firnspark.functions import calendar as cal
@@ -22,10 +24,6 @@ NWAC_ZONE = "America/Los_Angeles"
 ERRORS = "_errors"
 
 
-def _no_text() -> Column:
-    return F.array().cast("array<string>")
-
-
 def prevalence(names: Column, elevation: str) -> Column:
     """Number of distinct listed names that mention the elevation."""
     hits = F.filter(F.array_distinct(names), lambda name: F.contains(name, F.lit(elevation)))
@@ -87,20 +85,16 @@ def _number(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def _problem_errors(problems: Column) -> Column:
-    """Messages for every non-empty problem whose names or sizes are not understood."""
+def _problem_errors(problems: Column, checks: Callable[[Column], dict[str, Column]], present: Callable) -> Column:
+    """Messages for every non-empty problem with a part that is missing or not understood."""
 
     def messages(problem: Column) -> Column:
         return F.array_compact(
-            F.array(
-                F.when(problem["kind"].isNull(), F.lit("unknown problem type")),
-                F.when(problem["likelihood"].isNull(), F.lit("unknown likelihood")),
-                F.when(problem["min_size"].isNull() | problem["max_size"].isNull(), F.lit("bad size")),
-                F.when(problem["names"].isNull(), F.lit("no aspect list")),
-            )
+            F.array(*[F.when(part.isNull(), F.lit(message)) for message, part in checks(problem).items()])
         )
 
-    return F.flatten(F.transform(F.filter(problems, lambda p: p["present"]), messages))
+    found = F.flatten(F.transform(F.filter(problems, present), messages))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def caic_days(documents: DataFrame, mode: str = "fail", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -139,9 +133,22 @@ def caic_days(documents: DataFrame, mode: str = "fail", keep: tuple[str, ...] =
     )
 
 
+def _caic_present(problem: Column) -> Column:
+    return ~_empty(problem, ("type", "likelihood", "expectedSize", "aspectElevations"))
+
+
+def _caic_checks(problem: Column) -> dict[str, Column]:
+    return {
+        "unknown problem type": codes.problem_code(problem["type"]),
+        "unknown likelihood": codes.likelihood_code_ranged(problem["likelihood"]),
+        "bad size": _number(problem["expectedSize"]["min"]) + _number(problem["expectedSize"]["max"]),
+        "no aspect list": problem["aspectElevations"],
+    }
+
+
 def _caic_problem(problem: Column) -> Column:
     return F.struct(
-        (~_empty(problem, ("type", "likelihood", "expectedSize", "aspectElevations"))).alias("present"),
+        _caic_present(problem).alias("present"),
         codes.problem_code(problem["type"]).alias("kind"),
         codes.likelihood_code_ranged(problem["likelihood"]).alias("likelihood"),
         _number(problem["expectedSize"]["min"]).alias("min_size"),
@@ -178,15 +185,29 @@ def normalise_caic(documents: DataFrame, mode: str = "fail", keep: tuple[str, ..
                 F.when(F.col("analysis_datetime").isNull(), F.lit("bad issue time")),
             )
         ),
-        F.coalesce(_problem_errors(F.col("coded")), _no_text()),
+        _problem_errors(F.col("problems"), _caic_checks, _caic_present),
     )
     return _finish(days, values, errors, mode, keep)
 
 
+def _nwac_present(problem: Column) -> Column:
+    return ~_empty(problem, ("rank", "avalanche_problem_id", "likelihood", "size", "location"))
+
+
+def _nwac_checks(problem: Column) -> dict[str, Column]:
+    return {
+        "problem without rank": problem["rank"],
+        "unknown problem type": problem["avalanche_problem_id"],
+        "unknown likelihood": codes.likelihood_code_spaced(problem["likelihood"]),
+        "bad size": _number(F.get(problem["size"], F.lit(0))) + _number(F.get(problem["size"], F.lit(1))),
+        "no aspect list": problem["location"],
+    }
+
+
 def _nwac_problem(problem: Column) -> Column:
     size = problem["size"]
     return F.struct(
-        (~_empty(problem, ("rank", "avalanche_problem_id", "likelihood", "size", "location"))).alias("present"),
+        _nwac_present(problem).alias("present"),
         (problem["rank"] - 1).alias("slot"),
         problem["avalanche_problem_id"].alias("kind"),
         codes.likelihood_code_spaced(problem["likelihood"]).alias("likelihood"),
@@ -253,14 +274,9 @@ def normalise_nwac(
                 F.when(F.col("distribution_date").isNull(), F.lit("bad publish time")),
                 F.when(F.col("analysis_datetime").isNull(), F.lit("bad update time")),
                 F.when(F.col("danger_now").isNull(), F.lit("no current danger")),
-                F.when(
-                    F.exists(F.coalesce("coded", F.array().cast(rows.schema["coded"].dataType)),
-                             lambda p: p["present"] & p["slot"].isNull()),
-                    F.lit("problem without rank"),
-                ),
             )
         ),
-        F.coalesce(_problem_errors(F.col("coded")), _no_text()),
+        _problem_errors(F.col("forecast_avalanche_problems"), _nwac_checks, _nwac_present),
     )
     return _finish(rows, values, errors, mode, keep)
 
@@ -286,9 +302,9 @@ def _finish(rows: DataFrame, values: dict[str, Column], errors: Column, mode: st
     checked = fitted.withColumn(ERRORS, F.concat(F.col(ERRORS), missing))
     if mode == "quarantine":
         return checked
-    message = F.concat_ws("; ", F.col(ERRORS))
-    fine = F.when(F.size(ERRORS) == 0, True).otherwise(F.raise_error(message).cast("boolean"))
-    return checked.where(fine).drop(ERRORS)
+    # The check sits in a key column: a filter would be pushed down and repeat the parsing.
+    stop = F.raise_error(F.concat_ws("; ", F.col(ERRORS))).cast("string")
+    return checked.withColumn("region_id", F.when(F.size(ERRORS) == 0, F.col("region_id")).otherwise(stop)).drop(ERRORS)
 
 
 def split_quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -86,37 +86,64 @@ def requested_only(df: DataFrame, requested: DataFrame | None) -> DataFrame:
     return df.join(requested.select(*KEYS).distinct(), KEYS, "left_semi")
 
 
-TARGET_SOURCE = ["publish_datetime", "analysis_datetime", *KEYS] + [f"problem_type_{k}" for k in SLOTS]
+MODEL_SOURCE = ["publish_datetime", "analysis_datetime", *KEYS] + [f"problem_type_{k}" for k in SLOTS]
 
 
-def build_targets(
-    combined: DataFrame, requested: DataFrame | None = None, run_id: str = "run", created: Column | None = None
-) -> DataFrame:
-    """Same-day bulletins, latest publication, with aspect components: 35 columns."""
-    source = pack_slots(same_day_in_season(combined)).select(*TARGET_SOURCE, *[f"_bits_{k}" for k in SLOTS])
-    winners = latest_publication(requested_only(source, requested))
+def daily_winners(combined: DataFrame, requested: DataFrame | None = None, wide: bool = False) -> DataFrame:
+    """The valid same-day bulletin of every region and day, with packed flags.
+
+    Targets and features are two readings of these rows.  Unless ``wide``, only what
+    targets and models need goes through the shuffle: keys, types and three integers.
+    """
+    flags = [name for slot in SLOTS for name in slot_columns(slot)]
+    columns = BULLETIN.names if wide else MODEL_SOURCE + flags
+    packed = pack_slots(same_day_in_season(combined).select(*columns))
+    return latest_publication(requested_only(packed, requested))
+
+
+def targets_of(winners: DataFrame, run_id: str = "run", created: Column | None = None) -> DataFrame:
+    """Winners with their aspect components as targets: 35 columns."""
     rows = winners.selectExpr("*", *component_columns())
     key = codes.run_key(F.col("forecast_date"), F.col("region_id"))
     return conform(stamp(rows, run_id, key, created), TARGETS)
 
 
-def build_features(
-    combined: DataFrame, requested: DataFrame | None = None, run_id: str = "run", created: Column | None = None
-) -> DataFrame:
-    """Yesterday's bulletin under today's date: 142 columns.
+def next_day(df: DataFrame) -> DataFrame:
+    return df.withColumn("forecast_date", F.date_add("forecast_date", 1))
+
+
+def features_of(winners: DataFrame, run_id: str = "run", created: Column | None = None) -> DataFrame:
+    """Wide winners under the next day's date: 142 columns.
 
-    The date is shifted before the winner is chosen, so the table leaves this step hash
-    partitioned by its own key and a later join on that key needs no further shuffle.
-    Season, day number and distribution date stay those of the source day.
+    The shift is one calendar day, so a day without a bulletin gives no feature for the
+    day after.  Season, day number and distribution date stay those of the source day.
     """
-    shifted = same_day_in_season(combined).withColumn("forecast_date", F.date_add("forecast_date", 1))
-    source = pack_slots(shifted.select(*BULLETIN.names))
-    winners = latest_publication(requested_only(source, requested))
-    rows = winners.selectExpr("*", *component_columns(), *flag_columns())
+    rows = next_day(winners).selectExpr("*", *component_columns(), *flag_columns())
     key = codes.run_key(F.col("forecast_date"), F.col("region_id"))
     return conform(stamp(rows, run_id, key, created), FEATURES)
 
 
+def model_inputs_of(winners: DataFrame) -> DataFrame:
+    """The feature columns models use, from narrow winners."""
+    types = [f"problem_type_{slot}" for slot in SLOTS]
+    return next_day(winners).selectExpr(*KEYS, *types, *component_columns())
+
+
+def build_targets(
+    combined: DataFrame, requested: DataFrame | None = None, run_id: str = "run", created: Column | None = None
+) -> DataFrame:
+    return targets_of(daily_winners(combined, requested), run_id, created)
+
+
+def build_features(
+    combined: DataFrame, requested: DataFrame | None = None, run_id: str = "run", created: Column | None = None
+) -> DataFrame:
+    """Features of the requested days, from the bulletins of the days before them."""
+    if requested is not None:
+        requested = requested.select("region_id", F.date_sub("forecast_date", 1).alias("forecast_date"))
+    return features_of(daily_winners(combined, requested, wide=True), run_id, created)
+
+
 # --- grids -------------------------------------------------------------------------
 
 

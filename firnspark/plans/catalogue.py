@@ -375,7 +375,7 @@ _WIDE = "k, " + sql.bulletin_columns()
 def landed(spark: SparkSession, sf_dir: str, center: str, keep: str = "k") -> DataFrame:
     """Parsed documents of a centre, stored once as a landing step would."""
     build = {"CAIC": standin.caic_documents, "NWAC": standin.nwac_documents}[center]
-    stored = materialise(build(spark, sf_dir).select(keep, "document"))
+    stored = materialise(build(spark, sf_dir).select(keep, "document").hint("rebalance"))
     return bulletins.parse_documents(stored, center, keep=(keep,))
 
 
@@ -384,6 +384,7 @@ def caic_rows(spark: SparkSession, sf_dir: str, mode: str = "fail") -> DataFrame
 
 
 def nwac_rows(spark: SparkSession, sf_dir: str, mode: str = "quarantine", zones: str = "last") -> DataFrame:
+    """Checked rows of the NWAC documents, of which some have no zone."""
     return normalise.normalise(landed(spark, sf_dir, "NWAC"), "NWAC", mode=mode, keep=("k",), zones=zones)
 
 
@@ -794,9 +795,21 @@ def model_years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     return tables.season_years(*tables.day_range(order_days(spark, sf_dir), "day"))
 
 
+def winners_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winners both targets and features come from, stored once for the jobs below."""
+    return materialise(tables.daily_winners(standin.combined(spark, sf_dir)))
+
+
+def frame_from(winners: DataFrame) -> DataFrame:
+    return training.training_frame([tables.model_inputs_of(winners)], tables.targets_of(winners))
+
+
 def frame_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = standin.combined(spark, sf_dir)
-    return training.training_frame([tables.build_features(rows)], tables.build_targets(rows))
+    return frame_from(winners_of(spark, sf_dir))
+
+
+def models_from(spark: SparkSession, sf_dir: str, winners: DataFrame) -> pipeline.TrainedModels:
+    return pipeline.train_models(frame_from(winners), model_years(spark, sf_dir))
 
 
 @query(
@@ -844,11 +857,11 @@ def training_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two feature sources and one observed target column joined on their keys."""
-    rows = standin.combined(spark, sf_dir)
-    features = tables.build_features(rows)
+    winners = winners_of(spark, sf_dir)
+    features = tables.model_inputs_of(winners)
     types = features.select(*tables.KEYS, *training.PROBLEM_COLUMNS)
     components = features.select(*tables.KEYS, "aspect_sin_alp_1")
-    observed = training.observed_targets(tables.build_targets(rows), ["problem_type_1"])
+    observed = training.observed_targets(tables.targets_of(winners), ["problem_type_1"])
     return plain(training.join_sources([types, components, observed]))
 
 
@@ -880,8 +893,8 @@ def slot_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(frame_of(spark, sf_dir).selectExpr(*tables.KEYS, *matched))
 
 
-def majority_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = training.class_counts(frame_of(spark, sf_dir))
+def majority_from(spark: SparkSession, sf_dir: str, winners: DataFrame) -> DataFrame:
+    counts = training.class_counts(frame_from(winners))
     return training.fit_majority(counts, model_years(spark, sf_dir))
 
 
@@ -893,7 +906,7 @@ def majority_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def majority_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = majority_of(spark, sf_dir)
+    model = majority_from(spark, sf_dir, winners_of(spark, sf_dir))
     return model.withColumn("ranked", F.array_join(F.col("ranked").cast("array<string>"), ","))
 
 
@@ -902,8 +915,9 @@ def majority_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql.with_steps("chained", f"SELECT {_KEYS}, p0, p1, p2 FROM chained"),
 )
 def problem_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = tables.build_features(standin.combined(spark, sf_dir)).select(*tables.KEYS, *training.PROBLEM_COLUMNS)
-    scored = scoring.score_problem_types(features, majority_of(spark, sf_dir))
+    winners = winners_of(spark, sf_dir)
+    features = tables.model_inputs_of(winners).select(*tables.KEYS, *training.PROBLEM_COLUMNS)
+    scored = scoring.score_problem_types(features, majority_from(spark, sf_dir, winners))
     return plain(scored.select(*tables.KEYS, "p0", "p1", "p2"))
 
 
@@ -916,8 +930,9 @@ def problem_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def unscored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = tables.build_features(standin.combined(spark, sf_dir)).select(*tables.KEYS, *training.PROBLEM_COLUMNS)
-    return plain(scoring.unscored(features, majority_of(spark, sf_dir)))
+    winners = winners_of(spark, sf_dir)
+    features = tables.model_inputs_of(winners).select(*tables.KEYS, *training.PROBLEM_COLUMNS)
+    return plain(scoring.unscored(features, majority_from(spark, sf_dir, winners)))
 
 
 def class_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -996,9 +1011,9 @@ def aspect_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def aspect_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: three problem types, then 27 components that depend on them."""
-    features = tables.build_features(standin.combined(spark, sf_dir))
-    models = pipeline.train_models(frame_of(spark, sf_dir), model_years(spark, sf_dir))
-    wide = scoring.score_all(features, models.majority, models.linear).drop("model_year")
+    winners = winners_of(spark, sf_dir)
+    models = models_from(spark, sf_dir, winners)
+    wide = scoring.score_all(tables.model_inputs_of(winners), models.majority, models.linear).drop("model_year")
     return plain(rounded(wide, *[c for c in wide.columns if c.startswith("forecast_aspect")]))
 
 
@@ -1021,9 +1036,9 @@ _PREDICTED = ["problem_type_0", "problem_type_1", "problem_type_2"]
     ),
 )
 def prediction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = tables.build_features(standin.combined(spark, sf_dir))
-    models = pipeline.train_models(frame_of(spark, sf_dir), model_years(spark, sf_dir))
-    long = scoring.long_forecasts(scoring.score_all(features, models.majority, models.linear))
+    winners = winners_of(spark, sf_dir)
+    models = models_from(spark, sf_dir, winners)
+    long = scoring.long_forecasts(scoring.score_all(tables.model_inputs_of(winners), models.majority, models.linear))
     return plain(rounded(scoring.prediction_records(long, created=standin.created()), "forecast"))
 
 
@@ -1046,7 +1061,7 @@ def regression_view(pairs: DataFrame) -> DataFrame:
 @query("aspect_metrics", sql.with_steps("tested_pairs", regression_output("tested_pairs")))
 def aspect_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of the aspect models on the season before each model season."""
-    models = pipeline.train_models(frame_of(spark, sf_dir), model_years(spark, sf_dir))
+    models = models_from(spark, sf_dir, winners_of(spark, sf_dir))
     return regression_view(models.aspect_pairs())
 
 
@@ -1123,7 +1138,7 @@ def deployment_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def registered_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All models registered once, and those from 1999 on a second time."""
-    models = pipeline.train_models(frame_of(spark, sf_dir), model_years(spark, sf_dir))
+    models = models_from(spark, sf_dir, winners_of(spark, sf_dir))
     registry = Registry(spark, scratch_path(spark, "registry"))
     registry.register(models.majority, models.linear, "first", created=standin.created())
     later = F.col("model_year") >= 1999
