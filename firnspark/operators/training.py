@@ -218,17 +218,26 @@ def design(release: str, slot: int, problem_type: str) -> list[str]:
     raise ValueError(f"unknown aspect model release {release!r}")
 
 
-def design_rows(frame: DataFrame, release: str = "v001") -> DataFrame:
-    """Three rows per training row, one per slot: inputs x0..x9 and targets y0..y8."""
+OBSERVED_TYPES = [f"target_{name}" for name in PROBLEM_COLUMNS]
+
+
+def design_rows(
+    rows: DataFrame,
+    release: str = "v001",
+    types: list[str] = OBSERVED_TYPES,
+    keep: tuple[str, ...] = ("region_id", "season_year"),
+    observed: bool = True,
+) -> DataFrame:
+    """Three rows per input row, one per slot: its problem type p, the model inputs x0..x9
+    and, where ``observed``, the targets y0..y8."""
     entries = []
     for slot in SLOTS:
-        inputs = design(release, slot, f"target_problem_type_{slot}")
-        targets = [f"target_{name}_{slot}" for name in SLOT_COMPONENTS]
-        fields = [f"'slot', {slot}"]
-        fields += [f"'x{i}', {value}" for i, value in enumerate(inputs)]
-        fields += [f"'y{j}', {value}" for j, value in enumerate(targets)]
+        fields = [f"'slot', {slot}", f"'p', {types[slot]}"]
+        fields += [f"'x{i}', {value}" for i, value in enumerate(design(release, slot, types[slot]))]
+        if observed:
+            fields += [f"'y{j}', target_{name}_{slot}" for j, name in enumerate(SLOT_COMPONENTS)]
         entries.append(f"named_struct({', '.join(fields)})")
-    return frame.selectExpr("region_id", "season_year", f"inline(array({', '.join(entries)}))")
+    return rows.selectExpr(*keep, f"inline(array({', '.join(entries)}))")
 
 
 PAIRS = [(i, j) for i in range(WIDTH) for j in range(i, WIDTH)]
@@ -306,14 +315,6 @@ def fit_linear(per_season: DataFrame, years: tuple[int, int]) -> DataFrame:
     return summed.mapInPandas(_solve, LINEAR_SCHEMA)
 
 
-def weights_by_group(model: DataFrame) -> DataFrame:
-    """The weights of the three slots side by side, one row per region and season."""
-    per_slot = [
-        F.first(F.when(F.col("slot") == s, F.col("weights")), ignorenulls=True).alias(f"weights_{s}") for s in SLOTS
-    ]
-    return model.groupBy(*GROUP).agg(*per_slot)
-
-
 def linear_value(weights: str, inputs: list[str]) -> str:
     """Intercept plus dot product of one weight array, as SQL text."""
     return " + ".join([f"get({weights}, 0)", *[f"get({weights}, {i}) * {x}" for i, x in enumerate(inputs, start=1)]])

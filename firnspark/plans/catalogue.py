@@ -1000,46 +1000,58 @@ def aspect_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(named, "intercept", *[f"w{i}" for i in range(1, 11)])
 
 
+_LONG_FORECASTS = "(" + " UNION ALL ".join(
+    [
+        f"SELECT region_id, forecast_date, model_year, 'problem_type_{s}' AS model_name, CAST(p{s} AS DOUBLE) AS forecast FROM forecasts"
+        for s in sql.SLOTS
+    ]
+    + [
+        f"SELECT region_id, forecast_date, model_year, '{n}_{s}', forecast_{n}_{s} FROM forecasts"
+        for s in sql.SLOTS
+        for n in sql.SLOT_COMPONENTS
+    ]
+) + ")"
+
+
 @query(
-    "aspect_forecasts",
+    "prediction_records",
     sql.with_steps(
         "forecasts",
-        f"SELECT {_KEYS}, p0, p1, p2, "
-        + ", ".join(f"{sql.rounded(f'forecast_{n}_{s}')} AS forecast_{n}_{s}" for s in sql.SLOTS for n in sql.SLOT_COMPONENTS)
-        + " FROM forecasts",
+        "SELECT model_name, 'run' AS run_id, " + RUN_KEY.format(day="forecast_date") + f", {CREATED_MS}, "
+        "CAST(forecast_date AS VARCHAR) AS forecast_date, region_id, CAST(CAST(forecast_date - 1 AS DATE) AS VARCHAR) AS analysis_date, "
+        "model_year || '/' || (model_year + 1) AS avalanche_season, "
+        f"{sql.rounded('forecast')} AS forecast, CASE WHEN model_name LIKE 'problem%' THEN 'v000' ELSE 'v001' END AS release, "
+        "'models/' || model_name || '.' || model_year || '-' || (model_year + 1) || '.' || region_id || '/versions/1' AS model_uri "
+        f"FROM {_LONG_FORECASTS}",
     ),
 )
-def aspect_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prediction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: three problem types, then 27 components that depend on them."""
     winners = winners_of(spark, sf_dir)
     models = models_from(spark, sf_dir, winners)
-    wide = scoring.score_all(tables.model_inputs_of(winners), models.majority, models.linear).drop("model_year")
-    return plain(rounded(wide, *[c for c in wide.columns if c.startswith("forecast_aspect")]))
-
-
-_PREDICTED = ["problem_type_0", "problem_type_1", "problem_type_2"]
+    forecasts = scoring.score_all(tables.model_inputs_of(winners), models.majority, models.linear)
+    return plain(rounded(scoring.prediction_records(forecasts, created=standin.created()), "forecast"))
 
 
 @query(
-    "prediction_records",
+    "aspect_gate",
     sql.with_steps(
         "forecasts",
-        "SELECT model_name, 'run' AS run_id, " + RUN_KEY.format(day="forecast_date") + f", {CREATED_MS}, "
-        "CAST(forecast_date AS VARCHAR) AS forecast_date, region_id, CAST(CAST(forecast_date - 1 AS DATE) AS VARCHAR) AS analysis_date, "
-        "model_year || '/' || (model_year + 1) AS avalanche_season, "
-        f"{sql.rounded('forecast')} AS forecast, CASE WHEN model_name LIKE 'problem%' THEN 'v000' ELSE 'v001' END AS release, "
-        "'models/' || model_name || '.' || model_year || '-' || (model_year + 1) || '.' || region_id || '/versions/1' AS model_uri "
-        "FROM (" + " UNION ALL ".join(
-            [f"SELECT region_id, forecast_date, model_year, 'problem_type_{s}' AS model_name, CAST(p{s} AS DOUBLE) AS forecast FROM forecasts" for s in sql.SLOTS]
-            + [f"SELECT region_id, forecast_date, model_year, '{n}_{s}', forecast_{n}_{s} FROM forecasts" for s in sql.SLOTS for n in sql.SLOT_COMPONENTS]
-        ) + ")",
+        f"SELECT region_id, model_year, model_name, count(*) AS n, count(*) FILTER (WHERE forecast = 0) AS n_zero, "
+        f"{sql.rounded('avg(forecast)')} AS mean_forecast FROM {_LONG_FORECASTS} GROUP BY ALL",
     ),
 )
-def prediction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def aspect_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts per model: how many, how many are zero, and their mean."""
     winners = winners_of(spark, sf_dir)
     models = models_from(spark, sf_dir, winners)
-    long = scoring.long_forecasts(scoring.score_all(tables.model_inputs_of(winners), models.majority, models.linear))
-    return plain(rounded(scoring.prediction_records(long, created=standin.created()), "forecast"))
+    forecasts = scoring.score_all(tables.model_inputs_of(winners), models.majority, models.linear)
+    summary = forecasts.groupBy(*training.GROUP, "model_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("forecast") == 0, 1)).alias("n_zero"),
+        F.avg("forecast").alias("mean_forecast"),
+    )
+    return rounded(summary, "mean_forecast")
 
 
 def regression_output(pairs: str) -> str:
