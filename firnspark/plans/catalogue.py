@@ -1070,11 +1070,15 @@ def regression_view(pairs: DataFrame) -> DataFrame:
     return rounded(metrics.withColumn("log_mape", F.log10(1 + F.col("mape"))).drop("mape"), "mae", "rmse", "r2", "log_mape")
 
 
-@query("aspect_metrics", sql.with_steps("tested_pairs", regression_output("tested_pairs")))
+# Forecasts are rounded first: a relative error of 0 against 1e-17 says nothing.
+_TESTED = "(SELECT model_name, region_id, model_year, y_true, round(y_pred, 6) + 0.0 AS y_pred FROM tested_pairs)"
+
+
+@query("aspect_metrics", sql.with_steps("tested_pairs", regression_output(_TESTED)))
 def aspect_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of the aspect models on the season before each model season."""
     models = models_from(spark, sf_dir, winners_of(spark, sf_dir))
-    return regression_view(models.aspect_pairs())
+    return regression_view(models.aspect_pairs().withColumn("y_pred", F.round("y_pred", 6) + 0.0))
 
 
 # Yesterday's component as the forecast of today's: a baseline both engines compute exactly.
@@ -1100,7 +1104,11 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql.with_steps(
         "frame",
         "SELECT model_name, region_id, model_year, count(*) AS n_rows, "
-        f"{sql.rounded('regr_slope(y_pred, y_true)')} AS slope, {sql.rounded('regr_intercept(y_pred, y_true)')} AS intercept "
+        + ", ".join(
+            f"CASE WHEN min(y_true) <> max(y_true) THEN {sql.rounded(f'regr_{name}(y_pred, y_true)')} END AS {name}"
+            for name in ("slope", "intercept")
+        )
+        + " "
         f"FROM {_PERSISTED} GROUP BY ALL",
     ),
 )
