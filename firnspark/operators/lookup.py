@@ -12,10 +12,9 @@ SALTS = 32
 def fits_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether ``small`` has few enough rows of at most ``row_bytes`` bytes.
 
-    The count stops one row beyond the bound; call it on a stored or materialised frame.
+    Counts the frame, so call it on a stored or materialised one.
     """
-    most = max(limit // row_bytes, 1)
-    return small.limit(most + 1).count() <= most
+    return small.count() * row_bytes <= limit
 
 
 def lookup_join(
@@ -43,5 +42,22 @@ def lookup_join(
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+# A request naming more days than this is narrowed by its first and last day instead.
+LISTED_DAYS = 400
+
+
+def days_named(requested: DataFrame, day: str = "forecast_date") -> Column:
+    """Predicate on ``day`` that holds for every requested row.
+
+    It is made of constants, so it prunes folders and parquet row groups, which a join
+    alone would not do.
+    """
+    days = [row[0] for row in requested.select(day).distinct().limit(LISTED_DAYS + 1).collect()]
+    if len(days) <= LISTED_DAYS:
+        return F.col(day).isin(days) if days else F.lit(False)
+    first, last = requested.agg(F.min(day), F.max(day)).first()
+    return F.col(day).between(first, last)
+
+
 def salt_of(columns: list[str], salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")

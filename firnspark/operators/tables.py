@@ -18,7 +18,9 @@ from firnspark.functions.aspects import (
     mask_of_bits_sql,
     slot_bits,
 )
+from firnspark.operators.lookup import days_named, lookup_join
 from firnspark.schema import BULLETIN, FEATURES, TARGETS, conform, slot_columns, stamp
+from firnspark.session import materialise
 
 KEYS = ["region_id", "forecast_date"]
 
@@ -80,10 +82,15 @@ def with_aspect_components(df: DataFrame) -> DataFrame:
 
 
 def requested_only(df: DataFrame, requested: DataFrame | None) -> DataFrame:
-    """Keep the exact (forecast_date, region_id) pairs of a request."""
+    """Keep the exact (forecast_date, region_id) pairs of a request.
+
+    The request is joined without shuffling ``df`` by its keys, so a pair that owns much
+    of the table is still reduced map-side by whatever follows.
+    """
     if requested is None:
         return df
-    return df.join(requested.select(*KEYS).distinct(), KEYS, "left_semi")
+    pairs = materialise(requested.select(*KEYS).distinct())
+    return lookup_join(df.where(days_named(pairs)), pairs, KEYS, "left_semi", 96)
 
 
 MODEL_SOURCE = ["publish_datetime", "analysis_datetime", *KEYS] + [f"problem_type_{k}" for k in SLOTS]
@@ -225,7 +232,8 @@ def scan_partitions(
     if rectangle:
         kept = df
         for key in keys:
-            kept = kept.join(requested.select(key).distinct(), key, "left_semi")
+            values = materialise(requested.select(key).distinct())
+            kept = lookup_join(kept, values, [key], "left_semi", 64)
     else:
-        kept = df.join(requested.select(*keys).distinct(), keys, "left_semi")
+        kept = lookup_join(df, materialise(requested.select(*keys).distinct()), keys, "left_semi", 96)
     return kept.select(*(columns or df.columns))

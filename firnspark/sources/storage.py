@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from firnspark.operators.lookup import lookup_join
 from firnspark.session import materialise
 
 
@@ -41,38 +42,52 @@ def _drop_folders(spark: SparkSession, paths: list[str]) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def in_folders(folders: list[str], named: list) -> Column:
+    """Constant predicate that holds for the named folders, for partition pruning."""
+    predicate = F.lit(bool(named))
+    for folder in folders:
+        predicate = predicate & F.col(folder).isin(sorted({row[folder] for row in named}))
+    return predicate
+
+
 def replace_partitions(
-    df: DataFrame, path: str, requested: DataFrame, keys: list[str], folders: list[str]
+    df: DataFrame,
+    path: str,
+    requested: DataFrame,
+    keys: list[str],
+    folders: list[str],
+    materialised: bool = False,
 ) -> None:
     """Delete the rows of the requested keys, then insert ``df``.
 
     ``folders`` are the columns the table is laid out by and a subset of ``keys``; a
     folder may hold keys that were not requested, and those rows are kept.  Only touched
     folders are read and written.  A requested key without new rows still loses its old
-    rows, which a dynamic overwrite alone would leave in place.
+    rows, which a dynamic overwrite alone would leave in place.  ``materialised`` says
+    that ``df`` is cheap to read more than once.
     """
     spark = df.sparkSession
-    requested = materialise(requested.select(*keys).distinct())
+    incoming = df if materialised else materialise(df)
     stored = read_table(spark, path, df.schema)
     if stored is None:
-        write_partitions(df, path, folders)
+        write_partitions(incoming, path, folders)
         return
-    incoming = materialise(df)
-    touched = materialise(
-        requested.select(*folders).unionByName(incoming.select(*folders)).distinct()
-    )
-    old = stored.join(touched, folders, "left_semi")
-    survivors = old.join(requested, keys, "left_anti").select(*df.columns)
+    requested = materialise(requested.select(*keys).distinct())
+    # Folder names only: one row per touched folder.
+    named = requested.select(*folders).unionByName(incoming.select(*folders)).distinct().collect()
+    touched = spark.createDataFrame(named, requested.select(*folders).schema)
+    old = stored.where(in_folders(folders, named)).join(F.broadcast(touched), folders, "left_semi")
     # The copy keeps the surviving rows safe while their folders are being replaced.
-    result = materialise(incoming.unionByName(survivors))
+    survivors = materialise(lookup_join(old, requested, keys, "left_anti", 96).select(*df.columns))
+    result = incoming.unionByName(survivors)
     folder_path = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1)
     emptied = (
-        stored.select(*folders, folder_path.alias("folder"))
-        .join(touched, folders, "left_semi")
+        stored.where(in_folders(folders, named))
+        .select(*folders, folder_path.alias("folder"))
         .distinct()
+        .join(F.broadcast(touched), folders, "left_semi")
         .join(result.select(*folders).distinct(), folders, "left_anti")
     )
-    # Folder names only, one per emptied folder.
     paths = [row["folder"] for row in emptied.select("folder").collect()]
     write_partitions(result, path, folders)
     _drop_folders(spark, paths)
