@@ -984,20 +984,31 @@ def linear_of(spark: SparkSession, sf_dir: str, release: str = "v001") -> DataFr
     return training.fit_linear(sums, model_years(spark, sf_dir))
 
 
-_WEIGHT_ROWS = " UNION ALL ".join(
-    f"SELECT '{name}_' || slot AS model_name, region_id, model_year, n, {sql.rounded(f'w0[{j}]')} AS intercept, "
-    + ", ".join(f"{sql.rounded(f'w[{i}][{j}]')} AS w{i}" for i in range(1, 11))
-    + " FROM weights"
-    for j, name in enumerate(sql.SLOT_COMPONENTS, start=1)
-)
+def weight_rows(step: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}_' || slot AS model_name, region_id, model_year, n, {sql.rounded(f'w0[{j}]')} AS intercept, "
+        + ", ".join(f"{sql.rounded(f'w[{i}][{j}]')} AS w{i}" for i in range(1, 11))
+        + f" FROM {step}"
+        for j, name in enumerate(sql.SLOT_COMPONENTS, start=1)
+    )
+
+
+def weight_view(linear: DataFrame) -> DataFrame:
+    columns = ["weights[0] AS intercept", *[f"weights[{i}] AS w{i}" for i in range(1, 11)]]
+    named = linear_payload(linear).selectExpr(*_MODEL, "n", *columns)
+    return rounded(named, "intercept", *[f"w{i}" for i in range(1, 11)])
 
 
-@query("aspect_models", sql.with_steps("weights", _WEIGHT_ROWS))
+@query("aspect_models", sql.with_steps("weights", weight_rows("weights")))
 def aspect_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of the 27 aspect models of every region and season."""
-    rows = linear_payload(linear_of(spark, sf_dir))
-    named = rows.selectExpr(*_MODEL, "n", "weights[0] AS intercept", *[f"weights[{i}] AS w{i}" for i in range(1, 11)])
-    return rounded(named, "intercept", *[f"w{i}" for i in range(1, 11)])
+    return weight_view(linear_of(spark, sf_dir))
+
+
+@query("aspect_models_own_slot", sql.with_steps("weights_own", weight_rows("weights_own")))
+def aspect_models_own_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the earlier release, which looks at the model's own slot only."""
+    return weight_view(linear_of(spark, sf_dir, "v000"))
 
 
 _LONG_FORECASTS = "(" + " UNION ALL ".join(

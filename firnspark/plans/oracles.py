@@ -6,6 +6,8 @@ together by ``with_steps``.
 
 from __future__ import annotations
 
+import re
+
 from firnspark.functions.aspects import ASPECTS, COMPONENT_COLUMNS, COMPONENTS, ELEVATIONS, SLOTS
 from firnspark.functions.codes import (
     ASPECT_MODELS,
@@ -34,7 +36,7 @@ def with_steps(names: str, body: str) -> str:
 
     for name in names.split():
         add(name)
-    recursive = "RECURSIVE " if "inverse" in wanted else ""
+    recursive = "RECURSIVE " if any(name.startswith("inverse") for name in wanted) else ""
     return f"WITH {recursive}" + ",\n".join(f"{n} AS ({STEPS[n]})" for n in wanted) + "\n" + body
 
 
@@ -372,6 +374,21 @@ STEPS["weights"] = """
     FROM refined r JOIN sums s ON s.region_id = r.region_id AND s.model_year = r.model_year AND s.slot = r.slot
     WHERE r.step = 13"""
 
+# The same for the earlier release, whose inputs are those of the model's own slot.
+for _name in ("sums", "inverse", "refined", "weights"):
+    STEPS[f"{_name}_own"] = re.sub(r"\b(x_rows|sums|inverse|refined)\b", r"\1_own", STEPS[_name])
+STEPS["x_rows_own"] = " UNION ALL ".join(
+    f"SELECT region_id, season_year, {s} AS slot, [CAST(problem_type_{s} AS DOUBLE), {', '.join(f'{n}_{s}' for n in SLOT_COMPONENTS)}] AS x, "
+    f"[{', '.join(f'target_{name}_{s}' for name in SLOT_COMPONENTS)}] AS y FROM frame"
+    for s in SLOTS
+)
+NEEDS |= {
+    "x_rows_own": "frame",
+    "sums_own": "x_rows_own spans",
+    "inverse_own": "sums_own",
+    "refined_own": "inverse_own",
+    "weights_own": "refined_own",
+}
 
 # --- normalised bulletins -------------------------------------------------------------------
 

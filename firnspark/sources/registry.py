@@ -14,6 +14,10 @@ from firnspark.session import materialise
 from firnspark.sources.storage import read_table
 
 ID = ["model_name", *GROUP]
+# Input columns of every model, kept with it as a parameter.
+MODEL_INPUTS = {"problem_type_0": "problem_type_0"}
+MODEL_INPUTS |= {name: ",".join(codes.PROBLEM_MODELS) for name in codes.PROBLEM_MODELS[1:]}
+MODEL_INPUTS |= {name: f"problem_type,{','.join(SLOT_COMPONENTS)}" for name in codes.ASPECT_MODELS}
 PAYLOAD_KEY = ["model_id", "version", "registration"]
 
 
@@ -107,6 +111,7 @@ class Registry:
         new = materialise(
             new.withColumns(
                 {
+                    "params": F.create_map(F.lit("inputs"), codes.literal_lookup(MODEL_INPUTS, F.col("model_name"))),
                     "run_id": F.lit(run_id),
                     "created": F.current_timestamp() if created is None else created,
                     "registration": F.lit(uuid.uuid4().hex),

@@ -138,3 +138,18 @@ def test_every_in_season_day_is_scored_or_reported(spark, winners, models):
     scored = scoring.score_problem_types(features, models.majority).count()
     missed = scoring.unscored(features, models.majority).count()
     assert scored + missed == features.where(cal.in_season(F.col("forecast_date"))).count()
+
+
+def test_families(spark, models):
+    from firnspark.operators import families
+
+    family = families.family_of("aspect_sin_alp_0", "v000")
+    model = materialise(family.fit(models.frame, models.years))
+    assert family.metrics(models.frame, model, models.years).select("model_name").distinct().count() == 27
+    majority = families.family_of("problem_type_2")
+    fitted = materialise(majority.fit(models.frame, models.years))
+    assert majority.metrics(models.frame, fitted, models.years).count() == models.classification().count()
+    with pytest.raises(ValueError):
+        families.family_of("aspect_sin_alp_0", "v009")
+    with pytest.raises(ValueError):
+        families.family_of("aspect_tan_alp_0")
