@@ -266,10 +266,10 @@ _NAMED = (
 
 @query(
     "name_codes",
-    f"SELECT k, {_upper_codes(sql.RISK_CODES, 'upper(risk)', '0')} AS risk_code, "
-    f"{_upper_codes(sql.PROBLEM_CODES | {'DRYLOOSE': 1}, 'upper(problem)')} AS problem_code, "
-    f"{_upper_codes(sql.LIKELIHOOD_CODES | {'CERTAIN': 5}, 'upper(split_part(ranged, chr(95), 1))')} AS ranged_code, "
-    f"{_upper_codes(sql.LIKELIHOOD_CODES, 'upper(replace(spaced, chr(32), chr(0)))').replace('chr(0)', repr(''))} AS spaced_code {_NAMED}",
+    f"SELECT k, {_upper_codes(codes.RISK_CODES, 'upper(risk)', '0')} AS risk_code, "
+    f"{_upper_codes(codes.PROBLEM_CODES | {'DRYLOOSE': 1}, 'upper(problem)')} AS problem_code, "
+    f"{_upper_codes(codes.LIKELIHOOD_CODES | {'CERTAIN': 5}, 'upper(split_part(ranged, chr(95), 1))')} AS ranged_code, "
+    f"{_upper_codes(codes.LIKELIHOOD_CODES, 'upper(replace(spaced, chr(32), chr(0)))').replace('chr(0)', repr(''))} AS spaced_code {_NAMED}",
 )
 def name_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named_orders(spark, sf_dir).select(
@@ -302,7 +302,7 @@ def phrase_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     "zone_regions",
     f"""SELECT k, area_id, 'NWAC.' || area_id AS region_id, CAST(day AS VARCHAR) || chr(124) || 'NWAC.' || area_id AS run_key,
         starts_with('NWAC.' || area_id, 'NWAC.11') AS mapped FROM (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day,
-        CAST(coalesce({sql.code_sql(sql.NWAC_AREA_IDS, sql.pick_sql(standin.ZONE_NAMES, 'o_orderkey % 5'))}, 2000 + o_orderkey % 7)
+        CAST(coalesce({sql.code_sql(codes.NWAC_AREA_IDS, sql.pick_sql(standin.ZONE_NAMES, 'o_orderkey % 5'))}, 2000 + o_orderkey % 7)
         AS VARCHAR) AS area_id FROM orders)""",
 )
 def zone_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,9 +459,6 @@ def strict_name_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SOME = ["region_id", "forecast_center", "forecast_date", "forecast_days_out", "avalanche_season"]
-
-
 @query(
     "combined_centers",
     sql.with_steps(
@@ -1145,7 +1142,7 @@ def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "deployment_map",
     "SELECT model_name, release, count(*) AS n_regions FROM (VALUES "
-    + ", ".join(f"('{n}', '{r}')" for n, r in sorted(sql.DEPLOYMENTS.items()))
+    + ", ".join(f"('{n}', '{r}')" for n, r in sorted(codes.DEPLOYMENTS.items()))
     + ") d(model_name, release), region GROUP BY ALL",
 )
 def deployment_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1163,7 +1160,7 @@ def deployment_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         "m.release || '-deployment' AS alias, m.model_name || '.' || g.model_year || '-' || (g.model_year + 1) || '.' || g.region_id AS model_id, "
         "CAST(CASE WHEN g.last_half THEN 2 ELSE 1 END AS BIGINT) AS version FROM (SELECT DISTINCT region_id, model_year, "
         "model_year >= 1999 AS last_half FROM majority) g, (VALUES "
-        + ", ".join(f"('{n}', '{r}')" for n, r in sorted(sql.DEPLOYMENTS.items()))
+        + ", ".join(f"('{n}', '{r}')" for n, r in sorted(codes.DEPLOYMENTS.items()))
         + ") m(model_name, release)",
     ),
 )
@@ -1186,7 +1183,7 @@ def registered_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SELECT m.model_name || '.' || s.model_year || '-' || (s.model_year + 1) || '.' || g.region_id AS model_id, "
         "CAST(CASE WHEN m.model_name LIKE 'aspect%' THEN split_part(m.model_name, '_', 4) ELSE NULL END AS INTEGER) AS slot "
         "FROM (SELECT DISTINCT region_id FROM combined) g, spans s, (VALUES "
-        + ", ".join(f"('{n}')" for n in sorted(sql.DEPLOYMENTS))
+        + ", ".join(f"('{n}')" for n in sorted(codes.DEPLOYMENTS))
         + ") m(model_name)",
     ),
 )

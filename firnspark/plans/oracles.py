@@ -9,16 +9,9 @@ from __future__ import annotations
 import re
 
 from firnspark.functions.aspects import ASPECTS, COMPONENT_COLUMNS, COMPONENTS, ELEVATIONS, SLOTS
-from firnspark.functions.codes import (
-    ASPECT_MODELS,
-    DEPLOYMENTS,
-    LIKELIHOOD_CODES,
-    NWAC_AREA_IDS,
-    PROBLEM_CODES,
-    RISK_CODES,
-)
+from firnspark.functions.codes import NWAC_AREA_IDS
 from firnspark.plans import standin
-from firnspark.schema import BULLETIN, slot_columns
+from firnspark.schema import BULLETIN
 
 STEPS: dict[str, str] = {}
 
