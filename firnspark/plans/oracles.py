@@ -350,22 +350,27 @@ STEPS["inverse"] = f"""
     UNION ALL
     SELECT region_id, model_year, slot, p + 1, list_transform(range(1, 11), lambda i: list_transform(range(1, 21),
         lambda j: CASE WHEN i = p THEN m[p][j] / m[p][p] ELSE m[i][j] - m[i][p] * m[p][j] / m[p][p] END)) FROM inverse WHERE p <= 10"""
-# Repeated correction leads to the minimum-norm solution of A w = b.
+# Repeated correction leads to the minimum-norm solution w of A w = b (steps 1 to 12).  What rounding
+# left outside the range of A is then singled out in v, where e (A + eI)^-1 keeps only that, and taken off.
 STEPS["refined"] = """
-    SELECT s.region_id, s.model_year, s.slot, 1 AS step,
+    SELECT s.region_id, s.model_year, s.slot, 1 AS step, 1e-9 * greatest(scale, 1e-9) AS eps,
         list_transform(range(1, 11), lambda i: list_transform(range(11, 21), lambda j: m[i][j])) AS g,
-        a, b, list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: 0.0::DOUBLE)) AS w
+        a, b, list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: 0.0::DOUBLE)) AS w,
+        list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: 0.0::DOUBLE)) AS v
     FROM sums s JOIN inverse v ON v.region_id = s.region_id AND v.model_year = s.model_year AND v.slot = s.slot AND v.p = 11
     UNION ALL
-    SELECT region_id, model_year, slot, step + 1, g, a, b,
-        list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: w[i][j] + list_dot_product(g[i], list_transform(range(1, 11),
-            lambda q: b[q][j] - list_dot_product(a[q], list_transform(range(1, 11), lambda u: w[u][j]))))))
-    FROM refined WHERE step <= 12"""
+    SELECT region_id, model_year, slot, step + 1, eps, g, a, b,
+        CASE WHEN step > 12 THEN w ELSE list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: w[i][j] + list_dot_product(g[i], list_transform(range(1, 11),
+            lambda q: b[q][j] - list_dot_product(a[q], list_transform(range(1, 11), lambda u: w[u][j])))))) END,
+        CASE WHEN step <= 13 THEN w ELSE list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: eps * list_dot_product(g[i],
+            list_transform(range(1, 11), lambda u: v[u][j])))) END
+    FROM refined WHERE step <= 25"""
 STEPS["weights"] = """
-    SELECT s.region_id, s.model_year, s.slot, s.n, r.w, list_transform(range(1, 10), lambda j: my[j] - list_dot_product(mx,
-        list_transform(range(1, 11), lambda i: r.w[i][j]))) AS w0
-    FROM refined r JOIN sums s ON s.region_id = r.region_id AND s.model_year = r.model_year AND s.slot = r.slot
-    WHERE r.step = 13"""
+    SELECT region_id, model_year, slot, n, w, list_transform(range(1, 10), lambda j: my[j] - list_dot_product(mx,
+        list_transform(range(1, 11), lambda i: w[i][j]))) AS w0
+    FROM (SELECT s.*, list_transform(range(1, 11), lambda i: list_transform(range(1, 10), lambda j: r.w[i][j] - r.v[i][j])) AS w
+        FROM refined r JOIN sums s ON s.region_id = r.region_id AND s.model_year = r.model_year AND s.slot = r.slot
+        WHERE r.step = 26)"""
 
 # The same for the earlier release, whose inputs are those of the model's own slot.
 for _name in ("sums", "inverse", "refined", "weights"):
