@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,10 @@ SETTINGS = {
 }
 
 
+# Folders made for local sessions that name none, by application.
+_own_roots: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in SETTINGS.items():
@@ -45,30 +51,36 @@ def local_session(cpus: int | str = 8, app: str = "firnspark", **extra: str) ->
 def shared_root(spark: SparkSession) -> str:
     """Folder that all executors can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master may run without the setting: driver and executors are then one
+    process, and its folder goes when that process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
     if named:
-        if sc._jsc.sc().getCheckpointDir().isEmpty():
-            sc.setCheckpointDir(named)
-        return named
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    if not sc.master.startswith("local"):
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="firnspark-")
-    sc.setCheckpointDir(root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _own_roots:
+        root = tempfile.mkdtemp(prefix="firnspark-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        _own_roots[app] = f"file://{root}"
+    return _own_roots[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, removed when the application ends."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from that copy."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once to the shared folder, as compressed columns, and continue from that copy.
+
+    Lineage ends there, the copy outlives lost executors, and later readers get column
+    pruning and pushed filters.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from firnspark.plans import catalogue
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, con, name):
     statement = contract.oracle_sql().get(name)
     problem = compare(spark, con, name, contract.queries()[name], statement, SF)
@@ -25,7 +26,8 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalogue.QUERIES) == set(catalogue.ORACLES)
+    assert set(catalogue.QUERIES) <= set(contract.queries())
 
 
 def test_entry(spark):
