@@ -36,7 +36,7 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def text_steps(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_steps(column: pa.Array, step: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Consecutive rows of a text column as (first row, last row + 1, bytes, offsets).
 
     The bytes are a view of the Arrow buffer; offsets start at 0.  A null counts as empty.
@@ -52,7 +52,7 @@ def text_steps(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(offsets, offsets[first] + STEP_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + step, side="right")) - 1
         last = min(max(last, first + 1), len(column))
         yield first, last, whole[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last

@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from firnspark.llm.near_dup import near_duplicates
+from firnspark.llm.suffix_dedup import without_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
