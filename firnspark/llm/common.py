@@ -64,9 +64,17 @@ def batches(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+# Separators for words of letters and digits: all ASCII bytes that are neither.
+IS_SYMBOL = np.zeros(256, dtype=bool)
+IS_SYMBOL[:128] = True
+IS_SYMBOL[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+
+
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of all texts, and how many words each text has."""
-    wordy = ~IS_SPACE[data]
+    wordy = ~separator[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     before = np.empty(len(data), dtype=bool)
@@ -92,10 +100,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64(np.add.reduceat(terms, first) + lengths.astype(np.uint64))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of all texts, and how many words each text has."""
     lowered = LOWER[data]
-    starts, ends, counts = word_spans(lowered, offsets)
+    starts, ends, counts = word_spans(lowered, offsets, separator)
     return span_hashes(lowered, starts, ends), counts
 
 

@@ -42,7 +42,7 @@ SKETCH = 64
 SKETCH_ERRORS = 31
 PARITY_BITS = 1024
 # Members of one key, still in different components, beyond which the key is divided.
-LARGE_KEY = 1024
+LARGE_KEY = 8192
 BLOCK = 512
 
 _rng = np.random.default_rng(75)
