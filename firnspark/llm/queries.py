@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from firnspark.llm.near_dup import near_duplicates
 from firnspark.llm.suffix_dedup import without_repeats
+from firnspark.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,12 +17,17 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op6_toxicity": op6_toxicity,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}

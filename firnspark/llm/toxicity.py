@@ -1,16 +1,17 @@
 """Toxicity scores from two class-conditional Kneser-Ney models.
 
-Words (lower-cased runs of letters and digits) fall into ``WORDS`` slots and, as contexts,
-into ``CONTEXTS`` classes, both by hash, so a model is a table of fixed size whatever the
-corpus.  Its counts are gathered by Spark over all labelled rows.  Each class has an
-interpolated Kneser-Ney model: discounted counts of a word after its context, backing off to
-the class's continuation counts, and those to continuation counts that both classes share,
-which is what smooths rare words.
-
-A text's evidence is the difference of its log-likelihoods under the two models divided by
-its number of words, and the same for its strongest stretch of ``STRETCH`` words.  A logistic
-curve over both turns it into a score; it is fitted on one fold that the models have not
-seen, from at most ``FIT_ROWS`` rows of each class in hash order.
+Words are lower-cased runs of letters and digits.  Words, pairs of a context class and a word,
+and word beginnings of ``HEAD`` bytes fall into slots by hash, so a model is a table of fixed
+size whatever the corpus.  Spark gathers, over all labelled rows and per class, in how many
+texts each slot occurs.  A class's model discounts the counts of a word after its context and
+gives what that frees to the word alone; a rare word's freed share goes to its beginning, and a
+rare beginning's to the counts of both classes together.  Discounts grow up to a count of three,
+as in modified Kneser-Ney smoothing.
+
+A text's evidence is the difference of its log-likelihoods under the two models divided by its
+number of words, and the highest such figure among its stretches of ``STRETCHES`` words.  A
+logistic curve over these turns them into a score; it is fitted on one fold that the models have
+not seen, from at most ``FIT_ROWS`` rows of each class in hash order.
 
 Nulls count as empty texts; an empty text has no evidence and gets the curve's base score.
 Labels that are null are ignored; of several labels of an id the highest counts.  Without
@@ -27,15 +28,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from firnspark.llm.common import IS_SYMBOL, batches, text_or_empty, text_steps, word_hashes
+from firnspark.llm.common import IS_SYMBOL, LOWER, batches, span_hashes, text_or_empty, text_steps, word_spans
 from firnspark.session import materialise
 
-WORDS = 1 << 19
-CONTEXTS = 8
-SLOTS = WORDS * CONTEXTS
+WORDS, CONTEXTS, HEADS = 1 << 19, 8, 1 << 18
+HEAD = 4
+# Slots of pairs, then of words, then of beginnings.
+SIZES = (CONTEXTS * WORDS, WORDS, HEADS)
+SLOTS = sum(SIZES)
 SLICE = 1 << 16
-DISCOUNT = 0.75
-STRETCH = 16
+# Discounts of counts of one, two and more; a word seen in one text only says nothing.
+DISCOUNTS = (1.0, 2.0, 3.0)
+STRETCHES = (1, 4, 16)
 FIT_ROWS = 20_000
 FOLDS = 5
 FIT_FOLD = 4
@@ -48,15 +52,18 @@ def fold_of(id_column: str) -> Column:
     return F.crc32(F.col(id_column).cast("string")) % FOLDS
 
 
-def ngram_slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slot of each word after its context, and how many words each text has."""
-    words, counts = word_hashes(data, offsets, IS_SYMBOL)
+def word_slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Context class, word and beginning of each word (3 x words), and how many words each text has."""
+    lowered = LOWER[data]
+    starts, ends, counts = word_spans(lowered, offsets, IS_SYMBOL)
+    words = span_hashes(lowered, starts, ends)
+    heads = span_hashes(lowered, starts, np.minimum(ends, starts + HEAD))
     context = np.zeros(len(words), np.uint64)
     context[1:] = words[:-1] >> np.uint64(40)
     first = np.cumsum(counts) - counts
     context[first[counts > 0]] = 0
-    slots = (context % np.uint64(CONTEXTS)) * np.uint64(WORDS) + words % np.uint64(WORDS)
-    return slots.astype(np.int64), counts
+    sizes = np.array([[CONTEXTS], [WORDS], [HEADS]], np.uint64)
+    return (np.stack([context, words, heads]) % sizes).astype(np.int64), counts
 
 
 def _count_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,9 +79,12 @@ def _count_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(table):
         labels = np.asarray(batch.column("toxic")).astype(np.int64)
         for lo, hi, data, offsets in text_steps(batch.column("text")):
-            slots, counts = ngram_slots(data, offsets)
-            held.append(slots * 2 + np.repeat(labels[lo:hi], counts))
-            size += len(slots)
+            (context, word, head), counts = word_slots(data, offsets)
+            text = np.tile(np.repeat(np.arange(lo, hi), counts), 3) * SLOTS
+            slots = np.concatenate([context * WORDS + word, SIZES[0] + word, SIZES[0] + SIZES[1] + head])
+            once = np.unique(text + slots)
+            held.append(once % SLOTS * 2 + labels[once // SLOTS])
+            size += len(once)
             if size >= GATHER:
                 yield summed()
                 held, size = [], 0
@@ -90,7 +100,7 @@ def _slice_rows(table: pa.Table) -> pa.Table:
 
 
 def class_counts(texts: DataFrame) -> np.ndarray:
-    """Counts (2 x CONTEXTS x WORDS) of the slots in (text, toxic) rows; a table of fixed size."""
+    """In how many (text, toxic) rows of each class a slot occurs (2 x SLOTS): a table of fixed size."""
     rows = texts.select("text", "toxic").mapInArrow(_count_rows, "slot int, toxic int, n bigint")
     n0, n1 = (F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).cast("double") for c in (0, 1))
     slots = rows.groupBy("slot").agg(n0.alias("n0"), n1.alias("n1")).withColumn("part", F.expr(f"slot div {SLICE}"))
@@ -98,43 +108,59 @@ def class_counts(texts: DataFrame) -> np.ndarray:
     counts = np.zeros((SLOTS // SLICE, 2, SLICE), np.float32)
     for row in parts:
         counts[row["part"]] = np.frombuffer(row["counts"], np.float32).reshape(2, SLICE)
-    return counts.transpose(1, 0, 2).reshape(2, CONTEXTS, WORDS)
-
-
-def log_ratios(counts: np.ndarray) -> np.ndarray:
-    """Per slot, the log of its probability under the toxic model less that under the ordinary one."""
-
-    def discounted(n: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Interpolated estimate along the last axis."""
-        total = np.maximum(n.sum(axis=-1, keepdims=True), 1)
-        spare = np.minimum(n, DISCOUNT).sum(axis=-1, keepdims=True)
-        out = np.maximum(n - DISCOUNT, 0) / total
-        return out + np.where(n.sum(axis=-1, keepdims=True) > 0, spare / total, 1) * lower
-
-    seen = counts > 0
-    shared = seen.any(axis=0).sum(axis=0).astype(np.float64) + 1
-    shared /= shared.sum()
-    logs = []
-    for own in (0, 1):
-        unigram = discounted(seen[own].sum(axis=0).astype(np.float64), shared)
-        logs.append(np.log(np.stack([discounted(row.astype(np.float64), unigram) for row in counts[own]])))
-    return (logs[1] - logs[0]).astype(np.float32).reshape(-1)
-
-
-def evidence(ratios: np.ndarray, slots: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Per text: mean log ratio of its words, and of its strongest stretch (0 for no words)."""
-    out = np.zeros((len(counts), 2))
+    return counts.transpose(1, 0, 2).reshape(2, SLOTS)
+
+
+class Models:
+    """The two models as tables of discounted shares; axis 0 is the class."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        pairs, words, heads = np.split(counts, np.cumsum(SIZES[:-1]), axis=1)
+        self.pairs, self.from_pairs = self._discounted(pairs.reshape(2, CONTEXTS, WORDS))
+        self.words, self.from_words = self._discounted(words)
+        own, freed = self._discounted(heads)
+        shared = heads.sum(axis=0) + np.float32(1)
+        shared /= shared.sum(dtype=np.float64)
+        self.heads = own + freed * shared
+        within = words.sum(axis=0) + np.float32(1)
+        self.within = (within / within.sum(dtype=np.float64)).astype(np.float32)
+        self.shared = shared.astype(np.float32)
+
+    @staticmethod
+    def _discounted(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Discounted shares along the last axis, and the share freed for the lower order."""
+        cut = np.select([n >= 3, n >= 2], DISCOUNTS[:0:-1], DISCOUNTS[0]).astype(np.float32)
+        cut = np.minimum(cut, n)
+        total = n.sum(axis=-1, keepdims=True, dtype=np.float64)
+        spare = np.where(total > 0, cut.sum(axis=-1, keepdims=True, dtype=np.float64) / np.maximum(total, 1), 1)
+        return ((n - cut) / np.maximum(total, 1)).astype(np.float32), spare.astype(np.float32)
+
+    def log_ratios(self, slots: np.ndarray) -> np.ndarray:
+        """Per word, the log of its probability under the toxic model less that under the ordinary one."""
+        context, word, head = slots
+        share = self.within[word] / self.shared[head]
+        logs = []
+        for own in (0, 1):
+            alone = self.words[own][word] + self.from_words[own] * self.heads[own][head] * share
+            logs.append(np.log(self.pairs[own][context, word] + self.from_pairs[own][context, 0] * alone))
+        return logs[1] - logs[0]
+
+
+def evidence(ratios: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Per text: the mean log ratio of its words, and of its strongest stretch of each length."""
+    out = np.zeros((len(counts), 1 + len(STRETCHES)))
     full = counts > 0
     if not full.any():
         return out
     n = counts[full]
     first = np.cumsum(n) - n
-    sums = np.concatenate([[0.0], np.cumsum(ratios[slots], dtype=np.float64)])
+    sums = np.concatenate([[0.0], np.cumsum(ratios, dtype=np.float64)])
     out[full, 0] = (sums[first + n] - sums[first]) / n
-    # Stretches that begin at each word; towards a text's end they begin earlier instead.
-    at = np.minimum(np.arange(len(slots)), np.repeat(np.maximum(first + n - STRETCH, first), n))
-    stop = np.minimum(at + STRETCH, np.repeat(first + n, n))
-    out[full, 1] = np.maximum.reduceat((sums[stop] - sums[at]) / (stop - at), first)
+    for i, length in enumerate(STRETCHES):
+        # Stretches that begin at each word; towards a text's end they begin earlier instead.
+        at = np.minimum(np.arange(len(ratios)), np.repeat(np.maximum(first + n - length, first), n))
+        stop = np.minimum(at + length, np.repeat(first + n, n))
+        out[full, 1 + i] = np.maximum.reduceat((sums[stop] - sums[at]) / (stop - at), first)
     return out
 
 
@@ -176,18 +202,21 @@ def toxicity(
     known = known.groupBy("id", "fold").agg(F.max("toxic").alias("toxic"))
     learnt = docs.where((fold_of("id") != 0) & (fold_of("id") != FIT_FOLD))
     counts = class_counts(learnt.join(known.where(F.col("fold") != FIT_FOLD), "id"))
-    ratios = spark.sparkContext.broadcast(log_ratios(counts))
+    models = spark.sparkContext.broadcast(Models(counts))
+
+    names = ["mean", *(f"top{n}" for n in STRETCHES)]
 
     def rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(table):
             for lo, hi, data, offsets in text_steps(batch.column(1)):
-                found = evidence(ratios.value, *ngram_slots(data, offsets))
+                slots, counts = word_slots(data, offsets)
+                found = evidence(models.value.log_ratios(slots), counts)
                 columns = [batch.column(0).slice(lo, hi - lo), *(pa.array(c) for c in found.T)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "mean", "stretch"])
+                yield pa.RecordBatch.from_arrays(columns, ["id", *names])
 
     kind = docs.schema["id"].dataType.simpleString()
-    found = materialise(docs.mapInArrow(rows, f"id {kind}, mean double, stretch double"), "evidence")
-    fit = found.join(known.where(F.col("fold") == FIT_FOLD), "id").select("id", "mean", "stretch", "toxic")
+    found = materialise(docs.mapInArrow(rows, f"id {kind}, {', '.join(f'{n} double' for n in names)}"), "evidence")
+    fit = found.join(known.where(F.col("fold") == FIT_FOLD), "id").select("id", *names, "toxic")
     order = F.xxhash64("id")
     sample = [
         r for c in (0, 1) for r in fit.where(F.col("toxic") == c).orderBy(order, "id").limit(FIT_ROWS).collect()
@@ -195,11 +224,11 @@ def toxicity(
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(shares) < 2 or len({r["toxic"] for r in sample}) < 2:
         share = shares.get(1, 0) / max(sum(shares.values()), 1)
-        beta = np.array([0.0, 0.0, np.clip(np.log(max(share, 1e-13) / max(1 - share, 1e-13)), -30, 30)])
+        beta = np.array([0.0] * len(names) + [np.clip(np.log(max(share, 1e-13) / max(1 - share, 1e-13)), -30, 30)])
     else:
-        x = np.array([(r["mean"], r["stretch"]) for r in sample])
+        x = np.array([[r[n] for n in names] for r in sample])
         beta = fit_curve(x, np.array([r["toxic"] for r in sample], float))
-    line = F.lit(float(beta[2])) + F.col("mean") * float(beta[0]) + F.col("stretch") * float(beta[1])
+    line = sum((F.col(n) * float(b) for n, b in zip(names, beta[:-1], strict=True)), F.lit(float(beta[-1])))
     score = 1 / (1 + F.exp(-line))
     return found.select(
         F.col("id").alias(id_column),
