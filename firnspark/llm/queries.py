@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from firnspark.llm.decontaminate import contaminated
 from firnspark.llm.near_dup import near_duplicates
+from firnspark.llm.packing import pack
 from firnspark.llm.suffix_dedup import without_repeats
 from firnspark.llm.toxicity import toxicity
 
@@ -13,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -25,9 +31,15 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {}
