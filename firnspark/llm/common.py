@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from firnspark.session import materialise
 
 # Bytes of text that one numpy step works on; a longer text is a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 19
 
 # The bytes that separate words (space and \t \n \v \f \r), and A-Z to a-z.
 SPACES = b" \t\n\x0b\x0c\r"

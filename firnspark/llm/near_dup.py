@@ -43,7 +43,7 @@ SKETCH_ERRORS = 31
 PARITY_BITS = 1024
 # Members of one key, still in different components, beyond which the key is divided.
 LARGE_KEY = 8192
-BLOCK = 512
+BLOCK = 256
 
 _rng = np.random.default_rng(75)
 _SEEDS = _rng.integers(1, 2**63, SYMBOLS + SKETCH, dtype=np.uint64)
