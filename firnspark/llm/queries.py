@@ -1,14 +1,19 @@
-"""Registered queries of the text operators, with production parameters over whole tables."""
+"""Registered queries of the text operators, with production parameters over whole tables, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from firnspark.llm.decontaminate import contaminated
+from firnspark.llm.licenses import scan
+from firnspark.llm.merkle import edited_fingerprints
 from firnspark.llm.near_dup import near_duplicates
 from firnspark.llm.packing import pack
+from firnspark.llm.sharding import balanced_shards
 from firnspark.llm.suffix_dedup import without_repeats
 from firnspark.llm.toxicity import toxicity
+from firnspark.llm.url_filter import RULES, judge
+from firnspark.llm.warc import archived
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,27 +24,144 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
+    return judge(table(spark, sf_dir, "pages"), spark.sql(f"select * from values {rules} as t(verdict, host, path)"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"), payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
-    "op1_best_fit_packing": op1_best_fit_packing,
-    "op3_suffix_array_dedup": op3_suffix_array_dedup,
-    "op6_toxicity": op6_toxicity,
-    "op8_minhash_near_dedup": op8_minhash_near_dedup,
-    "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing, op2_license_scan, op3_suffix_array_dedup, op4_document_fingerprints, op5_balanced_shards,
+        op6_toxicity, op7_url_filter, op8_minhash_near_dedup, op9_warc, op10_benchmark_decontamination,
+    )
+}
+
+# The notices, written out: label and words of which nine in ten must stand in one line.
+_NOTICES = [
+    ("mit", "released under the mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("apache", "licensed under the apache license version 2 0"),
+    ("apache", "you may not use this file except in compliance with the license"),
+    ("gpl", "licensed under the gnu general public license version 3"),
+    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license"),
+    ("lgpl", "under the terms of the gnu lesser general public license"),
+    ("mpl", "subject to the terms of the mozilla public license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("cc-by-nc", "licensed under cc by nc 4 0"),
+    ("cc-by-sa", "licensed under cc by sa 4 0"),
+]
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x{7F}]+"
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_NONE = "array[]::bigint[]"
+
+
+def _places(phrase: str) -> str:
+    parts = phrase.split()
+    here = " and ".join(f"w[i + {j + 1}] = '{p}'" for j, p in enumerate(parts))
+    return f"list_filter(range(len(w)), i -> {here})"
+
+
+ORACLES: dict[str, str] = {
+    "op2_license_scan": f"""
+        with t(label, words) as (select label, list_distinct(string_split(notice, ' '))
+            from (values {", ".join(f"('{a}', '{b}')" for a, b in _NOTICES)}) v(label, notice)),
+        d as (select row_number() over () n, doc_id, {_LOW} as low from documents),
+        w as (select n, doc_id, low, regexp_extract_all(low, '{_WORD}') as w from d),
+        p as (select n, doc_id, len(w) as n_words, {_places("mit license")} as m, {_places("apache license")} as a,
+            {_places("general public license")} as g from w),
+        l as (select n, i, list_distinct(regexp_extract_all(unnest(string_split(low, chr(10))), '{_WORD}')) as words,
+            from (select n, low, 0 as i from d)),
+        k as (select l.n, t.label, len(list_intersect(l.words, t.words)) / len(t.words) as share
+            from l, t where len(l.words) >= 0.9 * len(t.words) and len(list_intersect(l.words, t.words)) >= ceil(0.9 * len(t.words))),
+        f as (select n, list_distinct(list(label)) as more, max(share) as best from k group by n),
+        b as (select n, count(*) as n_blocks from (
+            select distinct n, line from (
+                select n, line, words from (select n, generate_subscripts(ls, 1) as line, unnest(ls) as text from
+                    (select n, string_split(low, chr(10)) as ls from d)), lateral (select list_distinct(regexp_extract_all(text, '{_WORD}')) as words)) x, t
+            where len(list_intersect(x.words, t.words)) >= ceil(0.9 * len(t.words))) group by n)
+        select doc_id, n_words::bigint as n_words, (len(m) + len(a) + len(g))::bigint as n_base,
+            list_min(m || a || g)::bigint as first_word, list_max(m || a || g)::bigint as last_word,
+            array_to_string(own, ',') as base_labels,
+            array_to_string(list_sort(list_distinct(own || coalesce(more, []))), ',') as labels,
+            case when len(m) + len(a) + len(g) > 0 then 1.0 else coalesce(best, 0.0) end::double as score,
+            coalesce(n_blocks, 0)::bigint as n_blocks
+        from (select *, (case when len(a) > 0 then ['apache'] else []::varchar[] end)
+            || (case when len(g) > 0 then ['gpl'] else []::varchar[] end)
+            || (case when len(m) > 0 then ['mit'] else []::varchar[] end) as own from p)
+        left join f using (n) left join b using (n)""",
+    "op7_url_filter": r"""
+        with u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end as rest from pages),
+        h as (select page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '') as host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from u),
+        r(verdict, rh, rp) as (values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+            ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+        best as (select page_id, max_by(rh || rp, length(rh || rp)) as rule, max_by(verdict, length(rh || rp)) as verdict
+            from h join r on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp) group by page_id)
+        select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from h left join best using (page_id)""",
+    "op9_warc": """
+        with p as (select page_id, coalesce(html, '') as body from pages),
+        d as (select page_id, strlen(body) as n, sha256(body) as digest from p),
+        f as (select digest, min(page_id) as first from d group by digest)
+        select page_id, n::bigint as payload_bytes, digest as payload_digest,
+            case when n >= 100 and page_id > first then 'revisit' else 'response' end as record_type,
+            case when n >= 100 and page_id > first then first end as refers_to
+        from d join f using (digest)""",
+    "op4_document_fingerprints": r"""
+        with d as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n from documents),
+        o as (select *, coalesce(lead(text) over w, first_value(text) over w) as nxt from d window w as (order by doc_id desc
+            rows between unbounded preceding and unbounded following)),
+        e as (select *, substr(text, 1, n - n // 3) || substr(nxt, 1, n // 3) as edited from o),
+        l as (select *, list_distinct(string_split_regex(regexp_replace(text, '([.!?])(\s)', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as own,
+            list_distinct(string_split_regex(regexp_replace(edited, '([.!?])(\s)', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as new,
+            list_distinct(string_split_regex(regexp_replace(nxt, '([.!?])(\s)', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as other,
+            list_transform(string_split(text, chr(10) || chr(10)), s -> list_transform(string_split(s, chr(10)), p -> sha256(p))) as tree,
+            list_transform(string_split(edited, chr(10) || chr(10)), s -> list_transform(string_split(s, chr(10)), p -> sha256(p))) as new_tree
+            from e),
+        r as (select *, list_transform(tree, s -> sha256(array_to_string(s, ''))) as nodes,
+            list_transform(new_tree, s -> sha256(array_to_string(s, ''))) as new_nodes from l),
+        x as (select *, list_position(list_transform(range(1, greatest(len(nodes), len(new_nodes)) + 1),
+            i -> nodes[i] is distinct from new_nodes[i]), true) - 1 as es from r),
+        y as (select *, case when es >= 0 and es < least(len(tree), len(new_tree)) then list_position(list_transform(
+            range(1, greatest(len(tree[es + 1]), len(new_tree[es + 1])) + 1), i -> tree[es + 1][i] is distinct from new_tree[es + 1][i]), true) - 1 end as ep from x)
+        select doc_id, n::bigint as n_chars, sha256(edited) as edited_sha256,
+            sha256(len(nodes) || ':' || array_to_string(nodes, '')) as fingerprint,
+            sha256(len(new_nodes) || ':' || array_to_string(new_nodes, '')) as edited_fingerprint,
+            2.0 * len(list_intersect(own, new)) / (len(own) + len(new)) as near_edited,
+            2.0 * len(list_intersect(own, other)) / (len(own) + len(other)) as near_next,
+            nullif(es, -1)::bigint as edit_section, ep::bigint as edit_paragraph from y""",
 }
-ORACLES: dict[str, str] = {}
