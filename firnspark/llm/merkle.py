@@ -27,8 +27,8 @@ from firnspark.llm.common import text_or_empty
 from firnspark.session import materialise
 
 NO_ID = -(2**63)
-# A leaf ends with a stop and goes on to the next blank or the end of its paragraph.
-LEAF_CUT = r"(?<=[.!?])(?=\s)|\n"
+# Leaves end with a stop before a blank or tab, or with their paragraph.
+LEAF_CUT = r"(?<=[.!?])(?=[ \t])|\n"
 
 
 def sections(text: str) -> str:

@@ -87,13 +87,12 @@ _NOTICES = [
 ]
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x{7F}]+"
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_NONE = "array[]::bigint[]"
 
 
 def _places(phrase: str) -> str:
     parts = phrase.split()
     here = " and ".join(f"w[i + {j + 1}] = '{p}'" for j, p in enumerate(parts))
-    return f"list_filter(range(len(w)), i -> {here})"
+    return f"list_filter(range(len(w)), lambda i: {here})"
 
 
 ORACLES: dict[str, str] = {
@@ -104,16 +103,12 @@ ORACLES: dict[str, str] = {
         w as (select n, doc_id, low, regexp_extract_all(low, '{_WORD}') as w from d),
         p as (select n, doc_id, len(w) as n_words, {_places("mit license")} as m, {_places("apache license")} as a,
             {_places("general public license")} as g from w),
-        l as (select n, i, list_distinct(regexp_extract_all(unnest(string_split(low, chr(10))), '{_WORD}')) as words,
-            from (select n, low, 0 as i from d)),
-        k as (select l.n, t.label, len(list_intersect(l.words, t.words)) / len(t.words) as share
-            from l, t where len(l.words) >= 0.9 * len(t.words) and len(list_intersect(l.words, t.words)) >= ceil(0.9 * len(t.words))),
-        f as (select n, list_distinct(list(label)) as more, max(share) as best from k group by n),
-        b as (select n, count(*) as n_blocks from (
-            select distinct n, line from (
-                select n, line, words from (select n, generate_subscripts(ls, 1) as line, unnest(ls) as text from
-                    (select n, string_split(low, chr(10)) as ls from d)), lateral (select list_distinct(regexp_extract_all(text, '{_WORD}')) as words)) x, t
-            where len(list_intersect(x.words, t.words)) >= ceil(0.9 * len(t.words))) group by n)
+        s as (select n, string_split(low, chr(10)) as ls from d),
+        l as (select n, line, list_distinct(regexp_extract_all(ls[line], '{_WORD}')) as words
+            from (select n, ls, unnest(range(1, len(ls) + 1)) as line from s)),
+        k as (select l.n, l.line, t.label, len(list_intersect(l.words, t.words)) / len(t.words) as share from l, t
+            where len(list_intersect(l.words, t.words)) >= ceil(0.9 * len(t.words))),
+        f as (select n, list(distinct label) as more, max(share) as best, count(distinct line) as n_blocks from k group by n)
         select doc_id, n_words::bigint as n_words, (len(m) + len(a) + len(g))::bigint as n_base,
             list_min(m || a || g)::bigint as first_word, list_max(m || a || g)::bigint as last_word,
             array_to_string(own, ',') as base_labels,
@@ -123,7 +118,7 @@ ORACLES: dict[str, str] = {
         from (select *, (case when len(a) > 0 then ['apache'] else []::varchar[] end)
             || (case when len(g) > 0 then ['gpl'] else []::varchar[] end)
             || (case when len(m) > 0 then ['mit'] else []::varchar[] end) as own from p)
-        left join f using (n) left join b using (n)""",
+        left join f using (n)""",
     "op7_url_filter": r"""
         with u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end as rest from pages),
         h as (select page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -146,18 +141,18 @@ ORACLES: dict[str, str] = {
         o as (select *, coalesce(lead(text) over w, first_value(text) over w) as nxt from d window w as (order by doc_id desc
             rows between unbounded preceding and unbounded following)),
         e as (select *, substr(text, 1, n - n // 3) || substr(nxt, 1, n // 3) as edited from o),
-        l as (select *, list_distinct(string_split_regex(regexp_replace(text, '([.!?])(\s)', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as own,
-            list_distinct(string_split_regex(regexp_replace(edited, '([.!?])(\s)', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as new,
-            list_distinct(string_split_regex(regexp_replace(nxt, '([.!?])(\s)', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as other,
-            list_transform(string_split(text, chr(10) || chr(10)), s -> list_transform(string_split(s, chr(10)), p -> sha256(p))) as tree,
-            list_transform(string_split(edited, chr(10) || chr(10)), s -> list_transform(string_split(s, chr(10)), p -> sha256(p))) as new_tree
+        l as (select *, list_distinct(string_split_regex(regexp_replace(text, '([.!?])([ \t])', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as own,
+            list_distinct(string_split_regex(regexp_replace(edited, '([.!?])([ \t])', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as new,
+            list_distinct(string_split_regex(regexp_replace(nxt, '([.!?])([ \t])', '\1' || chr(1) || '\2', 'g'), '[\x01\n]')) as other,
+            list_transform(string_split(text, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: sha256(p))) as tree,
+            list_transform(string_split(edited, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: sha256(p))) as new_tree
             from e),
-        r as (select *, list_transform(tree, s -> sha256(array_to_string(s, ''))) as nodes,
-            list_transform(new_tree, s -> sha256(array_to_string(s, ''))) as new_nodes from l),
+        r as (select *, list_transform(tree, lambda s: sha256(array_to_string(s, ''))) as nodes,
+            list_transform(new_tree, lambda s: sha256(array_to_string(s, ''))) as new_nodes from l),
         x as (select *, list_position(list_transform(range(1, greatest(len(nodes), len(new_nodes)) + 1),
-            i -> nodes[i] is distinct from new_nodes[i]), true) - 1 as es from r),
+            lambda i: nodes[i] is distinct from new_nodes[i]), true) - 1 as es from r),
         y as (select *, case when es >= 0 and es < least(len(tree), len(new_tree)) then list_position(list_transform(
-            range(1, greatest(len(tree[es + 1]), len(new_tree[es + 1])) + 1), i -> tree[es + 1][i] is distinct from new_tree[es + 1][i]), true) - 1 end as ep from x)
+            range(1, greatest(len(tree[es + 1]), len(new_tree[es + 1])) + 1), lambda i: tree[es + 1][i] is distinct from new_tree[es + 1][i]), true) - 1 end as ep from x)
         select doc_id, n::bigint as n_chars, sha256(edited) as edited_sha256,
             sha256(len(nodes) || ':' || array_to_string(nodes, '')) as fingerprint,
             sha256(len(new_nodes) || ':' || array_to_string(new_nodes, '')) as edited_fingerprint,
