@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # A side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 def fits_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
@@ -24,40 +23,29 @@ def lookup_join(
     how: str = "inner",
     row_bytes: int = 256,
     limit: int = BROADCAST_BYTES,
-    spread: list[str] | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join on ``keys``, unique in ``small``, without gathering a hot key in one task.
 
-    A small side of checked size is broadcast.  Beyond that the large side is salted by
-    the ``spread`` columns (all columns by default) and every row of the small side is
-    repeated once per salt, so the rows of one key meet in ``salts`` tasks.
+    A stored or materialised small side of checked size is broadcast.  Beyond that both sides
+    are shuffled as they are, so AQE splits the partition of a hot key into as many tasks as
+    its size asks for.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if fits_broadcast(small, row_bytes, limit):
-        return large.join(F.broadcast(small), keys, how)
-    salted = large.withColumn("_salt", salt_of(spread or large.columns, salts))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return large.join(F.broadcast(small) if fits_broadcast(small, row_bytes, limit) else small, keys, how)
 
 
-# A request naming more days than this is narrowed by its first and last day instead.
-LISTED_DAYS = 400
+def within(df: DataFrame, wanted: DataFrame, keys: list[str], row_bytes: int = 96) -> DataFrame:
+    """Rows of ``df`` whose keys are among the materialised ``wanted`` ones.
 
-
-def days_named(requested: DataFrame, day: str = "forecast_date") -> Column:
-    """Predicate on ``day`` that holds for every requested row.
-
-    It is made of constants, so it prunes folders and parquet row groups, which a join
-    alone would not do.
+    One plan for requests of any size: the range of the wanted values is a constant that prunes
+    folders and row groups, and the semi join prunes the folders in between at run time.
     """
-    days = [row[0] for row in requested.select(day).distinct().limit(LISTED_DAYS + 1).collect()]
-    if len(days) <= LISTED_DAYS:
-        return F.col(day).isin(days) if days else F.lit(False)
-    first, last = requested.agg(F.min(day), F.max(day)).first()
-    return F.col(day).between(first, last)
-
-
-def salt_of(columns: list[str], salts: int = SALTS) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+    ends = [f(k) for k in keys for f in (F.min, F.max)]
+    bounds = list(wanted.agg(*ends).first())
+    if None in bounds:
+        return df.where(F.lit(False))
+    inside = F.lit(True)
+    for i, key in enumerate(keys):
+        inside = inside & F.col(key).between(F.lit(bounds[2 * i]), F.lit(bounds[2 * i + 1]))
+    return lookup_join(df.where(inside), wanted.where(inside).select(*keys), keys, "left_semi", row_bytes)

@@ -22,19 +22,38 @@ CAIC_ZONE = "America/Denver"
 NWAC_ZONE = "America/Los_Angeles"
 
 ERRORS = "_errors"
+UNREADABLE = "unreadable document or no product type"
+PRODUCT_COLUMNS = {"CAIC": "type", "NWAC": "product_type"}
 
+# Bit of every flag name in the packed form of a list of names.
+FLAG_BITS = {f"{a}_{e}": 8 * i + j for i, e in enumerate(ELEVATIONS) for j, a in enumerate(ASPECTS)}
 
-def prevalence(names: Column, elevation: str) -> Column:
-    """Number of distinct listed names that mention the elevation."""
-    hits = F.filter(F.array_distinct(names), lambda name: F.contains(name, F.lit(elevation)))
-    return F.size(hits).cast("long")
 
+def packed_names(names: Column) -> Column:
+    """One integer with the bits of all listed flag names; null for no list."""
+    bits = F.create_map(*[F.lit(v) for name, bit in FLAG_BITS.items() for v in (name, 1 << bit)])
+    none = F.lit(0)
+    return F.aggregate(names, none, lambda seen, name: seen.bitwiseOR(F.coalesce(F.try_element_at(bits, name), none)))
 
-def slot_values(slot: int, problem: str, names: str, flags: str) -> dict[str, Column]:
-    """Wide columns of one coded problem column.
 
-    The prevalence counts the distinct ``names``; ``flags`` are the names that set the
-    aspect flags.
+def unlisted_names(names: Column) -> Column:
+    """The distinct names that are no flags."""
+    return F.array_except(names, F.array(*[F.lit(name) for name in FLAG_BITS]))
+
+
+def packed_columns(slot: int, names: Column, flags: Column) -> dict[str, Column]:
+    """One pass over each list of a slot: bits of the flags, and of the names that are counted."""
+    return {
+        f"_bits_{slot}": packed_names(flags),
+        f"_named_{slot}": packed_names(names),
+        f"_other_{slot}": unlisted_names(names),
+    }
+
+
+def slot_values(slot: int, problem: str) -> dict[str, Column]:
+    """Wide columns of one coded problem column and the slot's ``packed_columns``.
+
+    The prevalence of an elevation counts the distinct names that mention it, flags or not.
     """
     values = {
         f"problem_type_{slot}": F.col(f"{problem}.kind"),
@@ -42,13 +61,16 @@ def slot_values(slot: int, problem: str, names: str, flags: str) -> dict[str, Co
         f"min_size_{slot}": F.col(f"{problem}.min_size"),
         f"max_size_{slot}": F.col(f"{problem}.max_size"),
     }
-    by_elevation = {e: prevalence(F.col(names), e) for e in ELEVATIONS}
+    by_elevation = {}
+    for i, elevation in enumerate(ELEVATIONS):
+        listed = F.bit_count(F.col(f"_named_{slot}").bitwiseAND(F.lit(255 << 8 * i)))
+        other = F.expr(f"size(filter(_other_{slot}, name -> contains(name, '{elevation}')))")
+        more = F.when(F.size(f"_other_{slot}") > 0, other).otherwise(0)
+        by_elevation[elevation] = (listed + more).cast("long")
     values |= {f"{e}_prevalence_{slot}": count for e, count in by_elevation.items()}
     values[f"prevalence_{slot}"] = by_elevation["alp"] + by_elevation["tln"] + by_elevation["btl"]
-    for elevation in ELEVATIONS:
-        for aspect in ASPECTS:
-            present = f"cast(array_contains({flags}, '{aspect}_{elevation}') AS bigint)"
-            values[f"{aspect}_{elevation}_{slot}"] = F.expr(present)
+    for name, bit in FLAG_BITS.items():
+        values[f"{name}_{slot}"] = F.expr(f"cast(shiftright(_bits_{slot}, {bit}) & 1 AS bigint)")
     return values
 
 
@@ -62,18 +84,32 @@ def _season_columns(day: Column) -> dict[str, Column]:
 def _of_product(documents: DataFrame, column: str, product: str, mode: str) -> DataFrame:
     """Documents of one product type, whatever its case; other products are dropped.
 
-    A document without a type, or one the reader could not parse, is an error.
+    A document without a type, or one the reader could not parse, is an error; outside the mode
+    ``fail`` it is left to ``unreadable_documents``.
     """
     wanted = F.upper(column) == product
     if mode == "fail":
-        unreadable = F.col(column).isNull()
-        if CORRUPT in documents.columns:
-            unreadable = unreadable | F.col(CORRUPT).isNotNull()
-        stop = F.raise_error(F.lit("unreadable document or no product type")).cast("boolean")
-        wanted = F.when(unreadable, stop).otherwise(wanted)
+        stop = F.raise_error(F.lit(UNREADABLE)).cast("boolean")
+        wanted = F.when(_unreadable(documents, column), stop).otherwise(wanted)
+    elif CORRUPT in documents.columns:
+        wanted = wanted & F.col(CORRUPT).isNull()
     return documents.where(wanted)
 
 
+def _unreadable(documents: DataFrame, column: str) -> Column:
+    unreadable = F.col(column).isNull()
+    return unreadable | F.col(CORRUPT).isNotNull() if CORRUPT in documents.columns else unreadable
+
+
+def unreadable_documents(documents: DataFrame, center: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents that no normaliser can take, as ``keep`` columns, their text and a message."""
+    rest = F.to_json(F.struct(*[c for c in documents.columns if c not in (*keep, CORRUPT)]))
+    text = F.coalesce(F.col(CORRUPT), rest) if CORRUPT in documents.columns else rest
+    return documents.where(_unreadable(documents, PRODUCT_COLUMNS[center])).select(
+        *keep, text.alias("document"), F.array(F.lit(UNREADABLE)).alias(ERRORS)
+    )
+
+
 def _empty(problem: Column, fields: tuple[str, ...]) -> Column:
     empty = problem[fields[0]].isNull()
     for name in fields[1:]:
@@ -118,7 +154,7 @@ def caic_days(documents: DataFrame, mode: str = "fail", keep: tuple[str, ...] =
     expiry = cal.parse_bulletin_timestamp(F.col("expiryDateTime"))
     issued = cal.local_to_utc(cal.parse_bulletin_timestamp(F.col("issueDateTime")), CAIC_ZONE)
     return (
-        _of_product(documents, "type", "AVALANCHEFORECAST", mode)
+        _of_product(documents, PRODUCT_COLUMNS["CAIC"], "AVALANCHEFORECAST", mode)
         .select(
             *keep,
             F.col("areaId").alias("area_id"),
@@ -176,8 +212,10 @@ def normalise_caic(documents: DataFrame, mode: str = "fail", keep: tuple[str, ..
     for slot in SLOTS:
         problem = F.get(F.col("coded"), F.lit(slot))
         problems[f"_p{slot}"] = F.when(problem["present"], problem)
-        values |= slot_values(slot, f"_p{slot}", f"_p{slot}.names", f"_p{slot}.names")
+        values |= slot_values(slot, f"_p{slot}")
     days = days.withColumns(problems)
+    names = {slot: F.col(f"_p{slot}.names") for slot in SLOTS}
+    days = days.withColumns({k: v for slot in SLOTS for k, v in packed_columns(slot, names[slot], names[slot]).items()})
     errors = F.concat(
         F.array_compact(
             F.array(
@@ -235,7 +273,7 @@ def normalise_nwac(
     zone = F.explode_outer("forecast_zone") if zones == "all" else F.try_element_at("forecast_zone", F.lit(-1))
     day = cal.local_date(F.try_to_timestamp(F.col("published_time")), NWAC_ZONE)
     rows = (
-        _of_product(documents, "product_type", "FORECAST", mode)
+        _of_product(documents, PRODUCT_COLUMNS["NWAC"], "FORECAST", mode)
         .withColumn("zone", zone)
         .withColumns(
             {
@@ -266,8 +304,10 @@ def normalise_nwac(
         ranked = F.filter("coded", lambda p: p["present"] & (p["slot"] == slot))
         problems[f"_p{slot}"] = F.try_element_at(ranked, F.lit(-1))
         problems[f"_f{slot}"] = F.flatten(F.transform(ranked, lambda p: p["names"]))
-        values |= slot_values(slot, f"_p{slot}", f"_p{slot}.names", f"_f{slot}")
+        values |= slot_values(slot, f"_p{slot}")
     rows = rows.withColumns(problems)
+    packed = [packed_columns(slot, F.col(f"_p{slot}.names"), F.col(f"_f{slot}")) for slot in SLOTS]
+    rows = rows.withColumns({k: v for columns in packed for k, v in columns.items()})
     errors = F.concat(
         F.array_compact(
             F.array(

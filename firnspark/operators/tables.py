@@ -18,7 +18,7 @@ from firnspark.functions.aspects import (
     mask_of_bits_sql,
     slot_bits,
 )
-from firnspark.operators.lookup import days_named, lookup_join
+from firnspark.operators.lookup import lookup_join, within
 from firnspark.schema import BULLETIN, FEATURES, TARGETS, conform, slot_columns, stamp
 from firnspark.session import materialise
 
@@ -89,8 +89,7 @@ def requested_only(df: DataFrame, requested: DataFrame | None) -> DataFrame:
     """
     if requested is None:
         return df
-    pairs = materialise(requested.select(*KEYS).distinct())
-    return lookup_join(df.where(days_named(pairs)), pairs, KEYS, "left_semi", 96)
+    return within(df, materialise(requested.select(*KEYS).distinct()), KEYS)
 
 
 MODEL_SOURCE = ["publish_datetime", "analysis_datetime", *KEYS] + [f"problem_type_{k}" for k in SLOTS]
@@ -215,7 +214,8 @@ def regions_of_centers(centers: DataFrame, regions: DataFrame) -> DataFrame:
         F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), ".")),
     )
     offered = regions.withColumn("forecast_center", F.explode(prefixes))
-    return offered.join(centers.distinct(), "forecast_center").select("forecast_center", "region_id")
+    few = materialise(centers.distinct())
+    return lookup_join(offered, few, ["forecast_center"], "inner", 64).select("forecast_center", "region_id")
 
 
 # --- partition scans ---------------------------------------------------------------

@@ -246,7 +246,7 @@ _RANGED = ["unlikely", "possible_likely", "likely", "veryLikely_almostCertain",
 _SPACED = ["unlikely", "possible", "likely", "very likely", "almost certain", "no forecast", "certain", "Likely"]
 
 
-def named_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def named_orders(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     k = F.col("o_orderkey")
     return standin.read(spark, sf_dir, "orders").select(
         k.alias("k"),
@@ -254,6 +254,7 @@ def named_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         standin.pick(_PROBLEM, k % 12).alias("problem"),
         standin.pick(_RANGED, F.floor(k / 3) % 8).alias("ranged"),
         standin.pick(_SPACED, F.floor(k / 5) % 8).alias("spaced"),
+        *more,
     )
 
 
@@ -427,10 +428,8 @@ def quarantined_bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def strict_name_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names no code exists for, as the quarantine mode reports them."""
-    k = F.col("o_orderkey")
     day = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    names = named_orders(spark, sf_dir).select("k", "problem", "ranged")
-    orders = standin.read(spark, sf_dir, "orders").select(k.alias("k"), day.alias("text"))
+    orders = named_orders(spark, sf_dir, day.alias("text"))
     problem = F.struct(
         F.col("problem").alias("type"),
         F.col("ranged").alias("likelihood"),
@@ -445,7 +444,7 @@ def strict_name_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("p")).alias("polygons"),
         F.struct(F.array(F.array(problem)).alias("days")).alias("avalancheProblems"),
     )
-    texts = materialise(orders.join(names, "k").select("k", F.to_json(document).alias("document")))
+    texts = materialise(orders.select("k", F.to_json(document).alias("document")))
     documents = bulletins.parse_documents(texts, "CAIC", keep=("k",))
     checked = normalise.normalise(documents, "CAIC", mode="quarantine", keep=("k",))
 
@@ -715,6 +714,60 @@ def partition_scan_rectangle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(tables.scan_partitions(rows, request(rows), tables.KEYS, columns, rectangle=True))
 
 
+@query(
+    "empty_request",
+    sql.with_steps(
+        "combined",
+        f"SELECT 'none' AS request, 0::BIGINT AS n, {len(sql.SLOTS)}::BIGINT * 32 + 19 AS n_columns UNION ALL "
+        f"SELECT 'all', count(*), {len(sql.SLOTS)}::BIGINT * 32 + 19 FROM combined WHERE forecast_date IS NOT NULL",
+    ),
+)
+def empty_request(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty request gives no rows but all columns; asking for every key gives everything."""
+    rows = standin.combined(spark, sf_dir)
+
+    def counted(name: str, requested: DataFrame) -> DataFrame:
+        found = tables.scan_partitions(rows, requested, tables.KEYS)
+        return found.agg(F.lit(name).alias("request"), F.count(F.lit(1)).alias("n")).withColumn(
+            "n_columns", F.lit(len(found.columns)).cast("long")
+        )
+
+    keys = rows.select(*tables.KEYS)
+    return counted("none", keys.where("false")).unionByName(counted("all", keys))
+
+
+@query(
+    "stored_day",
+    sql.with_steps(
+        "components",
+        f"SELECT {_KEYS}, " + ", ".join(sql.COMPONENT_COLUMNS) + " FROM components WHERE (region_id, forecast_date) IN "
+        "(SELECT region_id, max(forecast_date) FROM components GROUP BY region_id)",
+    ),
+)
+def stored_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every region's last day, each read back from its folder of the stored targets."""
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"), pipeline.MONTH)
+    targets = materialise(tables.build_targets(standin.combined(spark, sf_dir), created=standin.created()))
+    warehouse.store_daily("targets", targets, targets.select(*tables.KEYS))
+    last = targets.groupBy("region_id").agg(F.max("forecast_date").alias("forecast_date"))
+    return plain(warehouse.daily_rows("targets", last).select(*tables.KEYS, *sql.COMPONENT_COLUMNS))
+
+
+@query(
+    "run_times",
+    sql.with_steps("components", "SELECT 'now' AS run_id, count(*) AS n, 1::BIGINT AS n_times, count(*) AS n_recent FROM components"),
+)
+def run_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a given creation time all rows of a run carry the one at which it started."""
+    targets = tables.build_targets(standin.combined(spark, sf_dir), run_id="now")
+    recent = F.unix_seconds(F.current_timestamp()) - F.unix_seconds("creation_datetime") < 86400
+    return targets.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("creation_datetime").alias("n_times"),
+        F.count(F.when(recent, 1)).alias("n_recent"),
+    )
+
+
 # A stored table of all same-day winners, of which the requested partitions are replaced:
 # those whose winner has an odd danger get new rows, the others become empty.
 @query(
@@ -1029,7 +1082,7 @@ _LONG_FORECASTS = "(" + " UNION ALL ".join(
         "CAST(forecast_date AS VARCHAR) AS forecast_date, region_id, CAST(CAST(forecast_date - 1 AS DATE) AS VARCHAR) AS analysis_date, "
         "model_year || '/' || (model_year + 1) AS avalanche_season, "
         f"{sql.rounded('forecast')} AS forecast, CASE WHEN model_name LIKE 'problem%' THEN 'v000' ELSE 'v001' END AS release, "
-        "'models/' || model_name || '.' || model_year || '-' || (model_year + 1) || '.' || region_id || '/versions/1' AS model_uri "
+        "'models/' || model_name || '.' || model_year || '-' || (model_year + 1) || '.' || region_id || '/versions/1' AS mlflow_model_uri "
         f"FROM {_LONG_FORECASTS}",
     ),
 )
@@ -1139,17 +1192,32 @@ def evaluation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- registry ---------------------------------------------------------------------------------
 
 
+# The deployed release of every model, written out.
+_DEPLOYED = [("problem_type_0", "v000"), ("problem_type_1", "v000"), ("problem_type_2", "v000")] + [
+    (f"aspect_{part}_{elevation}_{slot}", "v001")
+    for part in ("sin", "cos", "range")
+    for elevation in ("alp", "tln", "btl")
+    for slot in ("0", "1", "2")
+]
+
+
 @query(
     "deployment_map",
-    "SELECT model_name, release, count(*) AS n_regions FROM (VALUES "
-    + ", ".join(f"('{n}', '{r}')" for n, r in sorted(codes.DEPLOYMENTS.items()))
-    + ") d(model_name, release), region GROUP BY ALL",
+    sql.with_steps(
+        "combined",
+        "SELECT m.model_name, m.release, g.region_id, count(*) AS n_seasons FROM (SELECT DISTINCT region_id, avalanche_season "
+        "FROM combined WHERE avalanche_season <> 'OFF_SEASON') g, (VALUES "
+        + ", ".join(f"('{n}', '{r}')" for n, r in _DEPLOYED)
+        + ") m(model_name, release) GROUP BY ALL",
+    ),
 )
 def deployment_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Configured releases, with the number of regions each serves."""
-    regions = standin.read(spark, sf_dir, "region").selectExpr("r_name AS region_id", "2000 AS model_year")
-    models = describe_models(regions, codes.DEPLOYMENTS).join(F.broadcast(deployments(spark)), ["model_name", "release"])
-    return models.groupBy("model_name", "release").agg(F.count(F.lit(1)).alias("n_regions"))
+    """Configured releases of the models of every region and season of the bulletins."""
+    rows = standin.combined(spark, sf_dir).where(F.col("avalanche_season") != cal.OFF_SEASON)
+    year = F.substring_index("avalanche_season", "/", 1).cast("int")
+    groups = rows.select("region_id", year.alias("model_year")).distinct()
+    models = describe_models(groups, codes.DEPLOYMENTS).join(F.broadcast(deployments(spark)), ["model_name", "release"])
+    return models.groupBy("model_name", "release", "region_id").agg(F.count(F.lit(1)).alias("n_seasons"))
 
 
 @query(
@@ -1222,13 +1290,58 @@ def incremental_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = pipeline.Warehouse(spark, root, pipeline.MONTH)
     for only in ("k % 2 = 0", "true"):
         land_by_month(spark, sf_dir, f"{root}/landing", only)
-        run = incremental.run_incremental(
+        incremental.run_incremental(
             warehouse, "CAIC", f"{root}/landing", f"{root}/progress", created=standin.created(), lines=True
         )
-        run.awaitTermination()
     return plain(warehouse.table("targets").select(*tables.KEYS, *_SHOWN))
 
 
+@query(
+    "incremental_overwrite",
+    sql.with_steps("caic_components", f"SELECT {_KEYS}, {', '.join(_SHOWN)} FROM caic_components"),
+)
+def incremental_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with one JSON array per month, written again under its own name."""
+    root = scratch_path(spark, "warehouse")
+    warehouse = pipeline.Warehouse(spark, root, pipeline.MONTH)
+    stored = standin.caic_documents(spark, sf_dir).withColumn("distribution_date", F.trunc("day", "month"))
+    stored = materialise(stored.select("k", "distribution_date", "document"))
+    for only in ("k % 2 = 0", "true"):
+        bulletins.land_arrays(stored.where(only), f"{root}/landing")
+        incremental.run_incremental(warehouse, "CAIC", f"{root}/landing", f"{root}/progress", created=standin.created())
+    return plain(warehouse.table("targets").select(*tables.KEYS, *_SHOWN))
+
+
+@query(
+    "quarantined_store",
+    sql.with_steps(
+        "nwac_rows",
+        "SELECT CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS landed_date, problems, count(*) AS n FROM ("
+        "SELECT d, CASE WHEN area IS NULL THEN 'missing region_id; missing area_id; missing polygons' ELSE '' END AS problems "
+        "FROM nwac_rows WHERE k % 13 <> 0 AND k % 17 <> 0 UNION ALL "
+        "SELECT d, 'unreadable document or no product type' FROM bulletin WHERE k % 13 = 0 OR k % 17 = 0) GROUP BY ALL",
+    ),
+)
+def quarantined_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows by landed month, and refused ones by what is wrong: texts cut short, documents
+    without a product type, and bulletins without a zone."""
+    k, text = F.col("k"), F.col("document")
+    broken = F.when(k % 13 == 0, F.expr("substring(document, 1, 20)")).when(
+        k % 17 == 0, F.regexp_replace(text, '"product_type":"[^"]*",', "")
+    )
+    rows = standin.nwac_documents(spark, sf_dir).withColumn("document", F.coalesce(broken, text))
+    rows = materialise(rows.select(F.trunc("day", "month").alias("landed_date"), "document"))
+    documents = bulletins.parse_documents(rows, "NWAC", keep=("landed_date",))
+    warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"), pipeline.MONTH)
+    good, refused = pipeline.checked_rows(documents, "NWAC", created=standin.created(), mode="quarantine")
+    requested = materialise(rows.select(F.lit("NWAC").alias("forecast_center"), "landed_date").distinct())
+    warehouse.store_combined(good, requested)
+    warehouse.store_quarantine(refused, requested)
+    stored = warehouse.table("combined").select("landed_date", F.lit("").alias("problems"))
+    bad = warehouse.table("quarantine").select("landed_date", F.concat_ws("; ", "problems").alias("problems"))
+    return plain(stored.unionByName(bad).groupBy("landed_date", "problems").agg(F.count(F.lit(1)).alias("n")))
+
+
 @query(
     "affected_partitions",
     sql.with_steps(

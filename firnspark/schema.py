@@ -196,7 +196,7 @@ PREDICTIONS = (
         ColumnSpec("avalanche_season", "string"),
         ColumnSpec("forecast", "double"),
         ColumnSpec("release", "string"),
-        ColumnSpec("model_uri", "string"),
+        ColumnSpec("mlflow_model_uri", "string"),
     )
 )
 EVALUATION = table(ColumnSpec("y_test", "double"), ColumnSpec("y_pred", "double"))

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The wide tables have up to 142 columns, their moments 164 sums.
+    "spark.sql.codegen.maxFields": "1000",
 }
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 _text = T.StringType()
@@ -67,15 +70,21 @@ def read_schema(center: str) -> T.StructType:
     return T.StructType(document_schema(center).fields + [T.StructField(CORRUPT, _text, True)])
 
 
-def landed_day() -> Column:
-    """Partition day of a landed file: ``<day>.json`` or a ``distribution_date=<day>`` folder."""
-    path = F.col("_metadata.file_path")
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4}-\d{2}-\d{2})\.json$", 1)
+def landed_day(path: str = "_metadata.file_path") -> Column:
+    """Partition day of a landed file: ``<day>.json`` or a ``distribution_date=<day>`` folder; else null."""
+    stem = F.regexp_extract(path, r"(?:^|/)(\d{4}-\d{2}-\d{2})\.json$", 1)
     folder = F.regexp_extract(path, r"distribution_date=(\d{4}-\d{2}-\d{2})", 1)
-    return F.to_date(F.coalesce(F.nullif(stem, F.lit("")), F.nullif(folder, F.lit(""))))
+    named = F.coalesce(F.nullif(stem, F.lit("")), F.nullif(folder, F.lit("")))
+    return named.try_cast("date")
+
 
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, modified, length, landed_date) of every file below ``path``; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", F.col("modificationTime").alias("modified"), "length", landed_day("path").alias("landed_date"))
 
-def scan_documents(spark: SparkSession, center: str, path: str, lines: bool = False) -> DataFrame:
+
+def scan_documents(spark: SparkSession, center: str, path: str | list[str], lines: bool = False) -> DataFrame:
     """One row per bulletin of every landed file.
 
     A file holds one JSON array, as the services deliver it, or with ``lines`` one
@@ -113,6 +122,26 @@ def land_documents(df: DataFrame, path: str, day: str = "distribution_date") ->
     )
 
 
+def land_arrays(df: DataFrame, path: str, day: str = "distribution_date") -> None:
+    """Write (day, document text) rows as the services deliver them: one JSON array per day in
+    ``<day>.json``, replacing a file of that name.
+
+    A day is one file and so one task; documents are streamed into it.
+    """
+
+    def write(rows) -> None:
+        store, root = fs.FileSystem.from_uri(path)
+        store.create_dir(root, recursive=True)
+        for own, group in itertools.groupby(rows, key=lambda row: row[0]):
+            with store.open_output_stream(f"{root}/{own}.json") as out:
+                for n, row in enumerate(group):
+                    out.write(("," if n else "[").encode() + row[1].encode())
+                out.write(b"]")
+
+    chosen = df.select(F.col(day).cast("string"), "document").where(F.col(day).isNotNull())
+    chosen.repartition(F.col(day)).sortWithinPartitions(day).foreachPartition(write)
+
+
 def corrupt_documents(documents: DataFrame) -> DataFrame:
     """Files the JSON reader could not parse, with their text."""
     return documents.where(F.col(CORRUPT).isNotNull())

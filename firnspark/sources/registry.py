@@ -1,4 +1,4 @@
-"""Versioned model registry as three append-only tables below one path."""
+"""Versioned model registry as three append-only tables below one path, payloads by season."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firnspark.functions import calendar as cal
 from firnspark.functions import codes
+from firnspark.operators.lookup import within
 from firnspark.operators.training import GROUP, SLOT_COMPONENTS
 from firnspark.session import materialise
 from firnspark.sources.storage import read_table
@@ -121,29 +122,35 @@ class Registry:
         version = new.select(*ID, "model_id", "version", "registration")
         classes = majority_payload(majority).join(version, ID)
         weights = linear_payload(linear).join(version, ID)
-        classes.write.mode("append").parquet(self._table("classes"))
-        weights.write.mode("append").parquet(self._table("weights"))
+        classes.write.mode("append").partitionBy("model_year").parquet(self._table("classes"))
+        weights.write.mode("append").partitionBy("model_year").parquet(self._table("weights"))
         new.write.mode("append").parquet(self._table("models"))
 
-    def deployed(self) -> DataFrame:
-        """Newest version of every model at its configured release."""
+    def deployed(self, years: tuple[int, int] | None = None) -> DataFrame:
+        """Newest version of every model at its configured release, of all seasons or from the
+        first to the last of ``years``."""
         models = self.models()
         if models is None:
             raise LookupError(f"no models are registered below {self.path}")
         wanted = codes.literal_lookup(codes.DEPLOYMENTS, F.col("model_name"))
+        if years is not None:
+            models = models.where(F.col("model_year").between(*years))
         return latest_versions(models).where(F.col("release") == wanted)
 
-    def load_majority(self) -> DataFrame:
+    def _payload(self, name: str, deployed: DataFrame | None) -> DataFrame:
+        """Stored rows of the deployed models, read from the folders of their seasons only."""
+        wanted = materialise((self.deployed() if deployed is None else deployed).select("model_year", *PAYLOAD_KEY))
+        return within(self.spark.read.parquet(self._table(name)), wanted, ["model_year", *PAYLOAD_KEY], 256)
+
+    def load_majority(self, deployed: DataFrame | None = None) -> DataFrame:
         slot = F.substring_index("model_name", "_", -1).cast("int")
-        classes = self.spark.read.parquet(self._table("classes"))
-        return classes.join(self.deployed().select(*PAYLOAD_KEY), PAYLOAD_KEY, "left_semi").select(
+        return self._payload("classes", deployed).select(
             *GROUP, slot.alias("slot"), "level", "k0", "k1", "k2", "ranked", "n_rows"
         )
 
-    def load_linear(self) -> DataFrame:
+    def load_linear(self, deployed: DataFrame | None = None) -> DataFrame:
         """Weights of the deployed aspect models, nine per region, season and slot."""
-        stored = self.spark.read.parquet(self._table("weights"))
-        weights = stored.join(self.deployed().select(*PAYLOAD_KEY), PAYLOAD_KEY, "left_semi")
+        weights = self._payload("weights", deployed)
         slot = F.substring_index("model_name", "_", -1).cast("int")
         per_model = weights.withColumn("slot", slot)
         rows = [

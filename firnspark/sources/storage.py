@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from firnspark.operators.lookup import lookup_join
+from firnspark.operators.lookup import lookup_join, within
 from firnspark.session import materialise
 
 
@@ -34,20 +37,17 @@ def write_partitions(df: DataFrame, path: str, folders: list[str]) -> None:
     )
 
 
-def _drop_folders(spark: SparkSession, paths: list[str]) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
+def _drop_folders(folders: DataFrame) -> None:
+    """Delete the folders of a one-column frame, in parallel."""
 
+    def drop(rows) -> None:
+        for row in rows:
+            store, path = fs.FileSystem.from_uri(row["folder"])
+            # A repeated task may find its folders gone.
+            with contextlib.suppress(FileNotFoundError):
+                store.delete_dir(path)
 
-def in_folders(folders: list[str], named: list) -> Column:
-    """Constant predicate that holds for the named folders, for partition pruning."""
-    predicate = F.lit(bool(named))
-    for folder in folders:
-        predicate = predicate & F.col(folder).isin(sorted({row[folder] for row in named}))
-    return predicate
+    folders.foreachPartition(drop)
 
 
 def replace_partitions(
@@ -73,22 +73,14 @@ def replace_partitions(
         write_partitions(incoming, path, folders)
         return
     requested = materialise(requested.select(*keys).distinct())
-    # Folder names only: one row per touched folder.
-    named = requested.select(*folders).unionByName(incoming.select(*folders)).distinct().collect()
-    touched = spark.createDataFrame(named, requested.select(*folders).schema)
-    old = stored.where(in_folders(folders, named)).join(F.broadcast(touched), folders, "left_semi")
+    touched = materialise(requested.select(*folders).unionByName(incoming.select(*folders)).distinct())
     # The copy keeps the surviving rows safe while their folders are being replaced.
+    old = within(stored, touched, folders)
     survivors = materialise(lookup_join(old, requested, keys, "left_anti", 96).select(*df.columns))
     result = incoming.unionByName(survivors)
     folder_path = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1)
-    emptied = (
-        stored.where(in_folders(folders, named))
-        .select(*folders, folder_path.alias("folder"))
-        .distinct()
-        .join(F.broadcast(touched), folders, "left_semi")
-        .join(result.select(*folders).distinct(), folders, "left_anti")
-    )
-    paths = [row["folder"] for row in emptied.select("folder").collect()]
+    present = within(stored.select(*folders, folder_path.alias("folder")), touched, folders).distinct()
+    emptied = materialise(present.join(result.select(*folders).distinct(), folders, "left_anti").select("folder"))
     write_partitions(result, path, folders)
-    _drop_folders(spark, paths)
+    _drop_folders(emptied)
     spark.catalog.refreshByPath(path)

@@ -35,12 +35,9 @@ def land(folder, day, documents):
     (folder / f"{day}.json").write_text(json.dumps(documents))
 
 
-def run(spark, root):
+def run(spark, root, **options):
     warehouse = pipeline.Warehouse(spark, str(root / "warehouse"))
-    query = incremental.run_incremental(
-        warehouse, "NWAC", str(root / "landing"), str(root / "progress"), files_per_batch=20
-    )
-    query.awaitTermination()
+    incremental.run_incremental(warehouse, "NWAC", str(root / "landing"), str(root / "progress"), files_per_batch=20, **options)
     return warehouse
 
 
@@ -74,11 +71,9 @@ def test_stream_then_train_then_forecast(spark, root):
     land(root / "landing", late, [document(late, zone, 2) for zone in ("Olympics", "Mt Hood")])
     run(spark, root)
     assert len(keyed(warehouse.table("targets"), "problem_type_0")) == 2 * len(DAYS) + 2
-    documents = spark.createDataFrame([(json.dumps(document(late, "Olympics", 3, 13)),)], "document string")
-    from firnspark.sources.bulletins import parse_documents
-
-    again = parse_documents(documents, "NWAC").withColumn("landed_date", F.lit(late))
-    incremental.apply_documents(warehouse, again, "NWAC", [late])
+    # The same file, overwritten.
+    land(root / "landing", late, [document(late, "Olympics", 3, 13)])
+    run(spark, root)
     targets = keyed(warehouse.table("targets"), "problem_type_0")
     assert targets["NWAC.1128", late] == 3 and ("NWAC.1140", late) not in targets
     features = keyed(warehouse.table("features"), "problem_type_0")
@@ -88,7 +83,7 @@ def test_stream_then_train_then_forecast(spark, root):
     warehouse.train((2020, 2022), "first", created=F.lit("2024-01-01").cast("timestamp"))
     models = warehouse.registry.models()
     assert models.count() == 30 * 2 and {r.version for r in models.collect()} == {1}
-    assert models.where("metrics['R2'] IS NOT NULL OR metrics['r2'] IS NOT NULL").count() == 27 * 2
+    assert models.where("metrics['R2'] IS NOT NULL AND metrics['MAE'] IS NOT NULL").count() == 27 * 2
     warehouse.train((2020, 2022), "second")
     deployed = warehouse.registry.deployed()
     assert deployed.count() == 30 * 2 and {r.version for r in deployed.collect()} == {2}
@@ -101,12 +96,71 @@ def test_stream_then_train_then_forecast(spark, root):
         warehouse.forecast(request, "run")
     forecasts = warehouse.table("forecasts")
     assert forecasts.count() == 2 * 30
+    with pytest.raises(LookupError):
+        warehouse.table("unscored")
+    # The first season has features but no model to score them with.
+    early = spark.createDataFrame([("NWAC.1128", DAYS[3])], "region_id string, forecast_date date")
+    with pytest.raises(LookupError, match="NWAC.1128"):
+        warehouse.forecast(early, "run", strict=True)
+    warehouse.forecast(early, "run")
+    assert [(r.region_id, r.forecast_date) for r in warehouse.table("unscored").collect()] == [("NWAC.1128", DAYS[3])]
+    assert forecasts.count() == 2 * 30
+    assert {r.run_id for r in spark.read.parquet(warehouse.path("evaluation/confusion")).collect()} == {"first", "second"}
+    assert spark.read.parquet(warehouse.path("evaluation/lines")).count() > 0
+
+    # Models of one region and season only.
+    one = spark.createDataFrame([("NWAC.1128", 2022)], "region_id string, model_year int")
+    warehouse.train((2020, 2022), "third", groups=one)
+    again = warehouse.registry.deployed().where("version = 3")
+    assert {(r.region_id, r.model_year) for r in again.collect()} == {("NWAC.1128", 2022)} and again.count() == 30
+
+    # A refresh of a day reads the landed folders that hold it, and a season's models theirs.
+    day = spark.createDataFrame([("NWAC.1128", late)], "region_id string, forecast_date date")
+    plan = warehouse.landed_for(day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in plan and "landed_date" in plan.split("PartitionFilters")[1][:200]
+    plan = warehouse.registry.load_majority()._jdf.queryExecution().executedPlan().toString()
+    assert "model_year" in plan.split("PartitionFilters")[1][:200]
     row = forecasts.where("model_name = 'problem_type_0' AND region_id = 'NWAC.1128'").first()
     # Types cycle 1, 2, 3, so yesterday's type tells today's.
     yesterday = targets["NWAC.1128", DAYS[-3]]
     assert row.forecast == yesterday % 3 + 1
     assert (row.analysis_date, row.avalanche_season, row.release) == (DAYS[-3], "2022/2023", "v000")
-    assert row.model_uri == "models/problem_type_0.2022-2023.NWAC.1128/versions/2"
+    assert row.mlflow_model_uri == "models/problem_type_0.2022-2023.NWAC.1128/versions/2"
+
+
+def test_file_without_a_day(spark, tmp_path):
+    day = dt.date(2020, 11, 5)
+    land(tmp_path / "landing", f"{day}-late", [document(day, "Olympics", 2)])
+    land(tmp_path / "landing", day, [document(day, "Olympics", 1)])
+    with pytest.raises(ValueError, match="no landed day"):
+        run(spark, tmp_path)
+    warehouse = run(spark, tmp_path, unplaced="quarantine")
+    assert warehouse.table("combined").count() == 1
+    assert [r.path.rpartition("/")[2] for r in warehouse.table("unplaced").collect()] == [f"{day}-late.json"]
+    assert run(spark, tmp_path).table("unplaced").count() == 1
+
+
+def test_bad_documents_are_kept_apart(spark, tmp_path):
+    day = dt.date(2020, 11, 5)
+    doubtful = document(day, "Mt Hood", 2)
+    doubtful["forecast_avalanche_problems"][0]["likelihood"] = "doubtful"
+    untyped = document(day, "Mt Hood", 2) | {"product_type": None}
+    land(tmp_path / "landing", day, [document(day, "Olympics", 1), doubtful, untyped])
+    (tmp_path / "landing" / "2020-11-06.json").write_text("[{ not json")
+    with pytest.raises(Exception, match="unknown likelihood|unreadable"):
+        run(spark, tmp_path)
+    warehouse = run(spark, tmp_path, mode="quarantine")
+    assert [r.region_id for r in warehouse.table("combined").collect()] == ["NWAC.1128"]
+    assert warehouse.table("targets").count() == 1
+    refused = {(str(r.landed_date), r.region_id, *r.problems) for r in warehouse.table("quarantine").collect()}
+    unreadable = "unreadable document or no product type"
+    assert refused == {
+        (str(day), "NWAC.1140", "unknown likelihood"), (str(day), None, unreadable), ("2020-11-06", None, unreadable),
+    }
+    # A corrected file takes its refused rows away.
+    land(tmp_path / "landing", day, [document(day, "Olympics", 1), document(day, "Mt Hood", 2)])
+    warehouse = run(spark, tmp_path, mode="quarantine")
+    assert warehouse.table("combined").count() == 2 and warehouse.table("quarantine").count() == 1
 
 
 def test_versions_and_aliases(spark):
