@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from firnspark.llm.common import IS_SYMBOL, LOWER, batches, span_hashes, text_or_empty, text_steps, word_spans
 from firnspark.session import materialise
 
-WORDS, CONTEXTS, HEADS = 1 << 19, 8, 1 << 18
+WORDS, CONTEXTS, HEADS = 1 << 19, 4, 1 << 18
 HEAD = 4
 # Slots of pairs, then of words, then of beginnings.
 SIZES = (CONTEXTS * WORDS, WORDS, HEADS)
@@ -104,11 +104,11 @@ def class_counts(texts: DataFrame) -> np.ndarray:
     rows = texts.select("text", "toxic").mapInArrow(_count_rows, "slot int, toxic int, n bigint")
     n0, n1 = (F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).cast("double") for c in (0, 1))
     slots = rows.groupBy("slot").agg(n0.alias("n0"), n1.alias("n1")).withColumn("part", F.expr(f"slot div {SLICE}"))
-    parts = slots.groupBy("part").applyInArrow(_slice_rows, "part bigint, counts binary").collect()
-    counts = np.zeros((SLOTS // SLICE, 2, SLICE), np.float32)
-    for row in parts:
-        counts[row["part"]] = np.frombuffer(row["counts"], np.float32).reshape(2, SLICE)
-    return counts.transpose(1, 0, 2).reshape(2, SLOTS)
+    counts = np.zeros((2, SLOTS), np.float32)
+    for row in slots.groupBy("part").applyInArrow(_slice_rows, "part bigint, counts binary").collect():
+        first = row["part"] * SLICE
+        counts[:, first : first + SLICE] = np.frombuffer(row["counts"], np.float32).reshape(2, SLICE)
+    return counts
 
 
 class Models:
@@ -128,12 +128,17 @@ class Models:
 
     @staticmethod
     def _discounted(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted shares along the last axis, and the share freed for the lower order."""
-        cut = np.select([n >= 3, n >= 2], DISCOUNTS[:0:-1], DISCOUNTS[0]).astype(np.float32)
-        cut = np.minimum(cut, n)
-        total = n.sum(axis=-1, keepdims=True, dtype=np.float64)
-        spare = np.where(total > 0, cut.sum(axis=-1, keepdims=True, dtype=np.float64) / np.maximum(total, 1), 1)
-        return ((n - cut) / np.maximum(total, 1)).astype(np.float32), spare.astype(np.float32)
+        """Discounted shares along the last axis, and the share freed for the lower order; row by
+        row, as the tables are large for a driver."""
+        shares, freed = np.empty(n.shape, np.float32), np.ones((*n.shape[:-1], 1), np.float32)
+        for at in np.ndindex(n.shape[:-1]):
+            row = n[at]
+            cut = np.minimum(np.select([row >= 3, row >= 2], DISCOUNTS[:0:-1], DISCOUNTS[0]), row)
+            total = max(row.sum(dtype=np.float64), 1)
+            shares[at] = (row - cut) / total
+            if row.any():
+                freed[at] = cut.sum() / total
+        return shares, freed
 
     def log_ratios(self, slots: np.ndarray) -> np.ndarray:
         """Per word, the log of its probability under the toxic model less that under the ordinary one."""
