@@ -121,6 +121,8 @@ def suffix_array(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     rank = np.empty(n, np.int64)
     ends = (n + 1) * pieces  # room below all ranks for suffixes that end within reach, shorter ones first
 
+    span = ends + n + 1
+
     def place(members: np.ndarray, at: np.ndarray, fresh: np.ndarray) -> np.ndarray:
         """Rank sorted members by the first place of their group; which are still in groups of several."""
         heads = np.flatnonzero(fresh)
@@ -138,7 +140,8 @@ def suffix_array(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         inside = left[members] > far
         key = np.where(inside, rank[np.where(inside, after, 0)], left[members] * pieces + piece[members])
         group = rank[members]
-        turn = np.lexsort((key, group))
+        # Both in one number where it holds them, which sorts faster.
+        turn = np.argsort((group - ends) * span + key) if n * span < 2**62 else np.lexsort((key, group))
         members, key, group = members[turn], key[turn], group[turn]
         order[at] = members
         open_ = place(members, at, np.concatenate([[True], (group[1:] != group[:-1]) | (key[1:] != key[:-1])]))
