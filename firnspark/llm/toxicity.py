@@ -11,7 +11,8 @@ as in modified Kneser-Ney smoothing.
 A text's evidence is the difference of its log-likelihoods under the two models divided by its
 number of words, and the highest such figure among its stretches of ``STRETCHES`` words.  A
 logistic curve over these turns them into a score; it is fitted on one fold that the models have
-not seen, from at most ``FIT_ROWS`` rows of each class in hash order.
+not seen, from at most ``FIT_ROWS`` rows of each class in hash order.  Both classes of that fold are
+counted in full and the rows taken weigh as much as their class, so scores keep its true shares.
 
 Nulls count as empty texts; an empty text has no evidence and gets the curve's base score.
 Labels that are null are ignored; of several labels of an id the highest counts.  Without
@@ -169,25 +170,27 @@ def evidence(ratios: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression on standardised columns with a ridge, by damped Newton steps; the
-    intercept comes last."""
-    share = y.mean()
-    middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Logistic regression of weighted rows on standardised columns with a ridge, by damped Newton
+    steps; the intercept comes last."""
+    share = np.average(y, weights=weight)
+    middle = np.average(x, axis=0, weights=weight)
+    spread = np.sqrt(np.average((x - middle) ** 2, axis=0, weights=weight)) + 1e-9
     design = np.column_stack([(x - middle) / spread, np.ones(len(x))])
     beta = np.append(np.zeros(x.shape[1]), np.log(share / (1 - share)))
     ridge = np.append(np.full(x.shape[1], RIDGE), 0.0)
 
     def loss(b: np.ndarray) -> float:
         z = design @ b
-        return np.logaddexp(0, z).sum() - y @ z + 0.5 * ridge @ b**2
+        return weight @ (np.logaddexp(0, z) - y * z) + 0.5 * ridge @ b**2
 
     for _ in range(100):
         p = 1 / (1 + np.exp(-(design @ beta)))
-        slope = design.T @ (y - p) - ridge * beta
-        bend = (design * (p * (1 - p))[:, None]).T @ design + np.diag(ridge + 1e-9)
+        slope = design.T @ (weight * (y - p)) - ridge * beta
+        bend = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag(ridge + 1e-9)
         step = np.linalg.solve(bend, slope)
-        while loss(beta + step) > loss(beta) + 1e-12 and np.abs(step).max() > 1e-9:
+        now = loss(beta)
+        while loss(beta + step) > now + 1e-12 * max(1.0, now) and np.abs(step).max() > 1e-9:
             step = step / 2
         beta = beta + step
         if np.abs(step).max() < 1e-7:
@@ -232,7 +235,10 @@ def toxicity(
         beta = np.array([0.0] * len(names) + [np.clip(np.log(max(share, 1e-13) / max(1 - share, 1e-13)), -30, 30)])
     else:
         x = np.array([[r[n] for n in names] for r in sample])
-        beta = fit_curve(x, np.array([r["toxic"] for r in sample], float))
+        y = np.array([r["toxic"] for r in sample])
+        totals = {r["toxic"]: r["n"] for r in fit.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        weight = np.array([totals[0], totals[1]])[y] / np.bincount(y)[y]
+        beta = fit_curve(x, y.astype(float), weight)
     line = sum((F.col(n) * float(b) for n, b in zip(names, beta[:-1], strict=True)), F.lit(float(beta[-1])))
     score = 1 / (1 + F.exp(-line))
     return found.select(

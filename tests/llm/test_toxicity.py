@@ -73,3 +73,16 @@ def test_models_are_distributions():
         assert np.allclose(models.pairs[own].sum(axis=-1) + models.from_pairs[own][:, 0], 1, atol=1e-3)
         assert np.isclose(models.words[own].sum() + models.from_words[own][0], 1, atol=1e-3)
         assert np.isclose(models.heads[own].sum(), 1, atol=1e-3)
+
+
+def test_bounded_fit_keeps_the_share(spark, monkeypatch):
+    """Labels that no text explains: the scores' mean is the toxic share, however few rows are fitted."""
+    draw = random.Random(9)
+    rows, _ = corpus(1500)
+    labels = [(i, 1, int(draw.random() < 0.12)) for i, _ in rows]
+    fold = [t for i, _, t in labels if zlib.crc32(str(i).encode()) % 5 == module.FIT_FOLD]
+    monkeypatch.setattr(module, "FIT_ROWS", sum(fold))
+    assert sum(fold) < len(fold) / 4
+    got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)).collect()
+    held = [r.score for r in got if r.held_out]
+    assert abs(np.mean(held) - np.mean(fold)) < 0.05
