@@ -1,12 +1,14 @@
 """Toxicity scores from two class-conditional Kneser-Ney models.
 
-Words are lower-cased runs of letters and digits.  Words, pairs of a context class and a word,
-and word beginnings of ``HEAD`` bytes fall into slots by hash, so a model is a table of fixed
-size whatever the corpus.  Spark gathers, over all labelled rows and per class, in how many
-texts each slot occurs.  A class's model discounts the counts of a word after its context and
-gives what that frees to the word alone; a rare word's freed share goes to its beginning, and a
-rare beginning's to the counts of both classes together.  Discounts grow up to a count of three,
-as in modified Kneser-Ney smoothing.
+Words are lower-cased runs of letters and digits, told apart by 64-bit hashes; a word's
+beginning are its first ``HEAD`` bytes as they are.  Spark gathers, over all labelled rows of the
+folds learnt from, in how many texts of each class every pair of a word and the word before it
+occurs: a table that grows with the input, never on the driver or in a broadcast.  A class's model
+discounts the counts of a pair and gives what that frees to the word alone; a word's freed share
+goes to its beginning, and a beginning's to the counts of both classes together.  The lower orders
+count in how many different contexts a word occurs, and how many different words begin alike.
+Texts are scored in blocks of ``2 ** BLOCK_BITS``: the distinct pairs, words and beginnings of each
+block are joined with the table, and what is found goes with the block's texts to one task.
 
 A text's evidence is the difference of its log-likelihoods under the two models divided by its
 number of words, and the highest such figure among its stretches of ``STRETCHES`` words.  A
@@ -37,7 +39,6 @@ HEAD = 4
 # Slots of pairs, then of words, then of beginnings.
 SIZES = (CONTEXTS * WORDS, WORDS, HEADS)
 SLOTS = sum(SIZES)
-SLICE = 1 << 16
 # Discounts of counts of one, two and more; a word seen in one text only says nothing.
 DISCOUNTS = (1.0, 2.0, 3.0)
 STRETCHES = (1, 4, 16)
@@ -45,75 +46,213 @@ FIT_ROWS = 20_000
 FOLDS = 5
 FIT_FOLD = 4
 RIDGE = 0.5
-# Slots gathered in a task before they are summed up and sent on.
-GATHER = 1 << 21
+# Words gathered in a task before what is to be looked up for them is sent on.
+GATHER = 1 << 22
+# Texts of a block, for which the model table is joined as one.
+BLOCK_BITS = 12
+# Second keys of words alone and of beginnings in the model table; those of pairs are odd.
+ALONE, BEGINNING = 0, 2
 
 
 def fold_of(id_column: str) -> Column:
     return F.crc32(F.col(id_column).cast("string")) % FOLDS
 
 
-def word_slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Context class, word and beginning of each word (3 x words), and how many words each text has."""
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each word (0 at a text's start), the word and its beginning (3 x words), and how
+    many words each text has.  Words are odd 64-bit hashes, beginnings their bytes."""
     lowered = LOWER[data]
     starts, ends, counts = word_spans(lowered, offsets, IS_SYMBOL)
-    words = span_hashes(lowered, starts, ends)
-    heads = span_hashes(lowered, starts, np.minimum(ends, starts + HEAD))
-    context = np.zeros(len(words), np.uint64)
-    context[1:] = words[:-1] >> np.uint64(40)
+    words = (span_hashes(lowered, starts, ends) | np.uint64(1)).view(np.int64)
+    before = np.zeros(len(words), np.int64)
+    before[1:] = words[:-1]
     first = np.cumsum(counts) - counts
-    context[first[counts > 0]] = 0
-    sizes = np.array([[CONTEXTS], [WORDS], [HEADS]], np.uint64)
-    return (np.stack([context, words, heads]) % sizes).astype(np.int64), counts
+    before[first[counts > 0]] = 0
+    heads = np.zeros(len(words), np.int64)
+    for j in range(HEAD):
+        inside = np.flatnonzero(starts + j < ends)
+        heads[inside] |= lowered[starts[inside] + j].astype(np.int64) << (8 * j)
+    return np.stack([before, words, heads]), counts
+
+
+def _distinct(*columns: np.ndarray) -> np.ndarray:
+    """Places of one row of each combination of values."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for column in columns:
+        held = column[order]
+        new[1:] |= held[1:] != held[:-1]
+    return order[new]
+
+
+def _pair_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each pair of words of each text, once."""
+    for batch in batches(table):
+        labels = np.asarray(batch.column("toxic")).astype(np.int32)
+        for lo, hi, data, offsets in text_steps(batch.column("text")):
+            (before, word, head), counts = words_of(data, offsets)
+            text = np.repeat(np.arange(lo, hi), counts)
+            once = _distinct(word, before, text)
+            columns = [before[once], word[once], head[once], labels[text[once]]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["before", "word", "head", "toxic"])
 
 
-def _count_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
+def _wanted_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What to look up for each block: its distinct pairs, words and beginnings."""
+    held, size, block = [], 0, None
 
-    def summed() -> pa.RecordBatch:
-        slots, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array((slots >> 1).astype(np.int32)), pa.array((slots & 1).astype(np.int32)), pa.array(counts)],
-            ["slot", "toxic", "n"],
-        )
+    def wanted() -> pa.RecordBatch:
+        before, word, head = np.concatenate(held, axis=1)
+        pairs = _distinct(word, before)
+        alone, heads = np.unique(np.append(word, 0)), np.unique(head)
+        a = np.concatenate([before[pairs], alone, heads])
+        b = np.concatenate([word[pairs], np.full(len(alone), ALONE), np.full(len(heads), BEGINNING)])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), block)), pa.array(a), pa.array(b)], ["block", "a", "b"])
 
     for batch in batches(table):
-        labels = np.asarray(batch.column("toxic")).astype(np.int64)
-        for lo, hi, data, offsets in text_steps(batch.column("text")):
-            (context, word, head), counts = word_slots(data, offsets)
-            text = np.tile(np.repeat(np.arange(lo, hi), counts), 3) * SLOTS
-            slots = np.concatenate([context * WORDS + word, SIZES[0] + word, SIZES[0] + SIZES[1] + head])
-            once = np.unique(text + slots)
-            held.append(once % SLOTS * 2 + labels[once // SLOTS])
-            size += len(once)
-            if size >= GATHER:
-                yield summed()
+        blocks = np.asarray(batch.column("block"))
+        cuts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]])
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if held and (blocks[start] != block or size >= GATHER):
+                yield wanted()
                 held, size = [], 0
-    if size:
-        yield summed()
+            block = blocks[start]
+            for _, _, data, offsets in text_steps(batch.column("text").slice(start, stop - start)):
+                held.append(words_of(data, offsets)[0])
+                size += held[-1].shape[1]
+    if held:
+        yield wanted()
+
+
+def estimated_discounts(counts: DataFrame, names: list[str]) -> list[tuple[float, ...]]:
+    """Discounts of counts of one, two and more in each of the columns."""
+    return [DISCOUNTS for _ in names]
+
 
+def _cut(name: str, discounts: tuple[float, ...]) -> Column:
+    """What is taken off a count."""
+    n = F.col(name)
+    return F.when(n >= 3, discounts[2]).when(n >= 2, discounts[1]).when(n >= 1, discounts[0]).otherwise(0.0)
 
-def _slice_rows(table: pa.Table) -> pa.Table:
-    counts = np.zeros((2, SLICE), np.float32)
-    slots = np.asarray(table["slot"]) % SLICE
-    counts[0, slots], counts[1, slots] = np.asarray(table["n0"]), np.asarray(table["n1"])
-    return pa.table({"part": [table["part"][0].as_py()], "counts": [counts.tobytes()]})
 
+def _freed(counts: DataFrame, names: list[str], discounts: list[tuple[float, ...]]) -> list[tuple[float, float]]:
+    """Sum of each column, and the share of it that the discounts free."""
+    row = counts.agg(*[f for n, d in zip(names, discounts, strict=True) for f in (F.sum(n), F.sum(_cut(n, d)))]).first()
+    return [(float(t), c / t) if t else (1.0, 1.0) for t, c in zip(row[::2], row[1::2], strict=True)]
 
-def class_counts(texts: DataFrame) -> np.ndarray:
-    """In how many (text, toxic) rows of each class a slot occurs (2 x SLOTS): a table of fixed size."""
-    rows = texts.select("text", "toxic").mapInArrow(_count_rows, "slot int, toxic int, n bigint")
-    n0, n1 = (F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).cast("double") for c in (0, 1))
-    slots = rows.groupBy("slot").agg(n0.alias("n0"), n1.alias("n1")).withColumn("part", F.expr(f"slot div {SLICE}"))
-    counts = np.zeros((2, SLOTS), np.float32)
-    for row in slots.groupBy("part").applyInArrow(_slice_rows, "part bigint, counts binary").collect():
-        first = row["part"] * SLICE
-        counts[:, first : first + SLICE] = np.frombuffer(row["counts"], np.float32).reshape(2, SLICE)
-    return counts
+
+def _values(*columns: Column) -> Column:
+    return F.array(*[c.cast("float") for c in columns]).alias("v")
+
+
+def model_table(texts: DataFrame) -> tuple[DataFrame, list[tuple[float, ...]], list[float]]:
+    """The two models as a table keyed by what is looked up, gathered from (text, toxic) rows by Spark;
+    the discounts of pairs of each class; and the shares of a word with a beginning never seen.
+
+    Values are, of a pair, its texts in each class; of a word alone, for each class the texts of its
+    pairs as the word before, the share these free, and its own share; of a beginning, the share of any
+    word never seen that begins so.
+    """
+    pairs = texts.select("text", "toxic").mapInArrow(_pair_rows, "before bigint, word bigint, head bigint, toxic int")
+    n = [F.sum(F.when(F.col("toxic") == c, 1).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
+    pairs = materialise(pairs.groupBy("before", "word").agg(F.min("head").alias("head"), *n), "toxic-pairs")
+    cuts = estimated_discounts(pairs, ["n0", "n1"])
+    contexts = pairs.groupBy(F.col("before").alias("a")).agg(
+        *[F.sum(f"n{c}").alias(f"t{c}") for c in (0, 1)], *[F.sum(_cut(f"n{c}", cuts[c])).alias(f"f{c}") for c in (0, 1)]
+    )
+    # Lower orders count the different words before a word, and the different words of a beginning.
+    k = [F.sum(F.when(F.col(f"n{c}") > 0, 1).otherwise(0)).alias(f"k{c}") for c in (0, 1)]
+    words = materialise(pairs.groupBy("word").agg(F.min("head").alias("head"), *k), "toxic-words")
+    word_cuts = estimated_discounts(words, ["k0", "k1"])
+    word_sums = _freed(words, ["k0", "k1"], word_cuts)
+    h = [F.sum(F.when(F.col(f"k{c}") > 0, 1).otherwise(0)).alias(f"h{c}") for c in (0, 1)]
+    heads = materialise(words.groupBy("head").agg(*h, F.sum(F.expr("k0 + k1")).alias("k")), "toxic-heads")
+    head_cuts = estimated_discounts(heads, ["h0", "h1"])
+    head_sums = _freed(heads, ["h0", "h1"], head_cuts)
+    both = head_sums[0][0] + head_sums[1][0] + 1
+    shares = [
+        (word_sums[c][1] * ((F.col(f"h{c}") - _cut(f"h{c}", head_cuts[c])) / head_sums[c][0] + head_sums[c][1] * F.expr("h0 + h1") / both))
+        .alias(f"s{c}")
+        for c in (0, 1)
+    ]
+    heads = heads.select("head", "k", *shares)
+    own = [
+        ((F.col(f"k{c}") - _cut(f"k{c}", word_cuts[c])) / word_sums[c][0] + F.col(f"s{c}") * F.expr("(k0 + k1) / (k + 1)")).alias(f"p{c}")
+        for c in (0, 1)
+    ]
+    words = words.join(heads, "head").select(F.col("word").alias("a"), *own)
+    alone = contexts.join(words, "a", "full").select(
+        "a", F.lit(ALONE).alias("b"),
+        _values(
+            *[F.coalesce(f"t{c}", F.lit(0)) for c in (0, 1)],
+            *[F.when(F.col(f"t{c}") > 0, F.col(f"f{c}") / F.col(f"t{c}")).otherwise(1.0) for c in (0, 1)],
+            *[F.coalesce(f"p{c}", F.lit(0.0)) for c in (0, 1)],
+        ),
+    )
+    model = pairs.select(F.col("before").alias("a"), F.col("word").alias("b"), _values(F.col("n0"), F.col("n1"))).unionByName(alone)
+    model = model.unionByName(heads.select(F.col("head").alias("a"), F.lit(BEGINNING).alias("b"), _values(F.col("s0"), F.col("s1"))))
+    return model, cuts, [word_sums[c][1] * head_sums[c][1] / both for c in (0, 1)]
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the wanted values stand in sorted keys, and whether they do."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), dtype=bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+class Found:
+    """What the model table holds of a block's pairs, words and beginnings."""
+
+    def __init__(self, rows: list[pa.RecordBatch], cuts: list[tuple[float, ...]], unseen: list[float]) -> None:
+        a, b, lengths, flat = (
+            np.concatenate([np.zeros(0, kind), *parts])
+            for kind, parts in (
+                (np.int64, [np.asarray(r.column("a")) for r in rows]),
+                (np.int64, [np.asarray(r.column("b")) for r in rows]),
+                (np.int64, [np.asarray(r.column("v").value_lengths()) for r in rows]),
+                (np.float32, [np.asarray(r.column("v").flatten()) for r in rows]),
+            )
+        )
+        first = np.cumsum(lengths) - lengths
+
+        def part(which: np.ndarray, keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+            keys, once = np.unique(keys, return_index=True)
+            return keys, flat[first[which][once][:, None] + np.arange(width)].astype(np.float64)
+
+        alone, heads = np.flatnonzero(b == ALONE), np.flatnonzero(b == BEGINNING)
+        self.words, self.of_words = part(alone, a[alone], 6)
+        self.heads, self.of_heads = part(heads, a[heads], 2)
+        pairs = np.flatnonzero((b != ALONE) & (b != BEGINNING))
+        before, word = _places(self.words, a[pairs])[0], _places(self.words, b[pairs])[0]
+        self.pairs, self.of_pairs = part(pairs, before * len(self.words) + word, 2)
+        self.cuts, self.unseen = cuts, unseen
+
+    def log_ratios(self, words: np.ndarray) -> np.ndarray:
+        """Per word, the log of its probability under the toxic model less that under the ordinary one."""
+        before, word, head = words
+        left, left_known = _places(self.words, before)
+        at, known = _places(self.words, word)
+        begun, head_known = _places(self.heads, head)
+        pair, seen = _places(self.pairs, left * len(self.words) + at)
+        seen &= left_known & known
+        logs = []
+        for c in (0, 1):
+            share = np.full(len(word), self.unseen[c])
+            share[head_known] = self.of_heads[begun[head_known], c]
+            share[known] = self.of_words[at[known], 4 + c]
+            share[left_known] *= self.of_words[left[left_known], 2 + c]
+            n = self.of_pairs[pair[seen], c]
+            cut = np.array([0.0, *self.cuts[c]])[np.minimum(n, 3).astype(np.int64)]
+            share[seen] += (n - cut) / np.maximum(self.of_words[left[seen], c], 1)
+            logs.append(np.log(share))
+        return logs[1] - logs[0]
 
 
 class Models:
-    """The two models as tables of discounted shares; axis 0 is the class."""
+    """Two models over ``SLOTS`` hash slots, which ``model_table`` has replaced; only its test uses it."""
 
     def __init__(self, counts: np.ndarray) -> None:
         pairs, words, heads = np.split(counts, np.cumsum(SIZES[:-1]), axis=1)
@@ -208,22 +347,43 @@ def toxicity(
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("toxic")).dropna()
     known = known.where("toxic in (0, 1)").withColumn("fold", fold_of("id")).where("fold <> 0")
     known = known.groupBy("id", "fold").agg(F.max("toxic").alias("toxic"))
+    docs = materialise(docs.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)), "toxic-texts")
     learnt = docs.where((fold_of("id") != 0) & (fold_of("id") != FIT_FOLD))
-    counts = class_counts(learnt.join(known.where(F.col("fold") != FIT_FOLD), "id"))
-    models = spark.sparkContext.broadcast(Models(counts))
+    model, cuts, unseen = model_table(learnt.join(known.where(F.col("fold") != FIT_FOLD), "id"))
+    wanted = docs.select("block", "text").mapInArrow(_wanted_rows, "block bigint, a bigint, b bigint")
+    kind = docs.schema["id"].dataType.simpleString()
+    held = wanted.join(model, ["a", "b"]).selectExpr(
+        "block", "false as whole", "a", "b", "v", f"cast(null as {kind}) as id", "cast(null as string) as text"
+    )
+    texts = docs.selectExpr(
+        "block", "true as whole", "cast(null as bigint) as a", "cast(null as bigint) as b", "cast(null as array<float>) as v", "id", "text"
+    )
+    # In each block first what was found, then the texts.
+    both = held.unionByName(texts).repartition("block").sortWithinPartitions("block", "whole")
 
     names = ["mean", *(f"top{n}" for n in STRETCHES)]
 
     def rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, found = None, [], None
         for batch in batches(table):
-            for lo, hi, data, offsets in text_steps(batch.column(1)):
-                slots, counts = word_slots(data, offsets)
-                found = evidence(models.value.log_ratios(slots), counts)
-                columns = [batch.column(0).slice(lo, hi - lo), *(pa.array(c) for c in found.T)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", *names])
-
-    kind = docs.schema["id"].dataType.simpleString()
-    found = materialise(docs.mapInArrow(rows, f"id {kind}, {', '.join(f'{n} double' for n in names)}"), "evidence")
+            keys = np.asarray(batch.column("block")) * 2 + np.asarray(batch.column("whole").cast(pa.int8()))
+            cuts_ = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+            for start, stop in zip(cuts_[:-1].tolist(), cuts_[1:].tolist(), strict=True):
+                own = batch.slice(start, stop - start)
+                if keys[start] // 2 != block:
+                    block, parts, found = keys[start] // 2, [], None
+                if keys[start] % 2 == 0:
+                    parts.append(own.select(["a", "b", "v"]))
+                    continue
+                if found is None:
+                    found, parts = Found(parts, cuts, unseen), []
+                for lo, hi, data, offsets in text_steps(own.column("text")):
+                    words, counts = words_of(data, offsets)
+                    figures = evidence(found.log_ratios(words), counts)
+                    columns = [own.column("id").slice(lo, hi - lo), *(pa.array(c) for c in figures.T)]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", *names])
+
+    found = materialise(both.mapInArrow(rows, f"id {kind}, {', '.join(f'{n} double' for n in names)}"), "evidence")
     fit = found.join(known.where(F.col("fold") == FIT_FOLD), "id").select("id", *names, "toxic")
     order = F.xxhash64("id")
     sample = [

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 
 from firnspark.llm import toxicity as module
+from firnspark.llm.common import word_hashes
 from firnspark.llm.toxicity import toxicity
 from tests.llm.cases import awkward, awkward_rows, no_rows
 
@@ -86,3 +87,24 @@ def test_bounded_fit_keeps_the_share(spark, monkeypatch):
     got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)).collect()
     held = [r.score for r in got if r.held_out]
     assert abs(np.mean(held) - np.mean(fold)) < 0.05
+
+
+def test_word_order_is_evidence(spark):
+    """Both classes use the same words; only which word follows which tells them apart, and the words
+    before agree in the bits of their hashes that once stood for them."""
+    draw = random.Random(12)
+    left, right = [f"left{i}" for i in range(400)], [f"right{i}" for i in range(40)]
+    data = np.frombuffer(" ".join(left).encode(), np.uint8)
+    bits = word_hashes(data, np.array([0, len(data)]))[0] >> np.uint64(40)
+    left = [w for w, b in zip(left, bits, strict=True) if b % 4 == 0][:40]
+    rows, labels = [], []
+    for i in range(1200):
+        bad = i % 3 == 0
+        text = []
+        for _ in range(30):
+            j = draw.randrange(40)
+            text += [left[j], right[(j + 1) % 40 if bad else j]]
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(bad)))
+    got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)).collect()
+    assert np.mean([r.predicted == (r.doc_id % 3 == 0) for r in got if r.held_out]) > 0.95
