@@ -7,6 +7,8 @@ occurs: a table that grows with the input, never on the driver or in a broadcast
 discounts the counts of a pair and gives what that frees to the word alone; a word's freed share
 goes to its beginning, and a beginning's to the counts of both classes together.  The lower orders
 count in how many different contexts a word occurs, and how many different words begin alike.
+Discounts are estimated per class and order from the counts of counts and stay below the count, so
+a pair seen in one text of a class already is evidence.
 Texts are scored in blocks of ``2 ** BLOCK_BITS``: the distinct pairs, words and beginnings of each
 block are joined with the table, and what is found goes with the block's texts to one task.
 
@@ -39,7 +41,7 @@ HEAD = 4
 # Slots of pairs, then of words, then of beginnings.
 SIZES = (CONTEXTS * WORDS, WORDS, HEADS)
 SLOTS = sum(SIZES)
-# Discounts of counts of one, two and more; a word seen in one text only says nothing.
+# Discounts of the slot counts of ``Models``.
 DISCOUNTS = (1.0, 2.0, 3.0)
 STRETCHES = (1, 4, 16)
 FIT_ROWS = 20_000
@@ -126,8 +128,18 @@ def _wanted_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def estimated_discounts(counts: DataFrame, names: list[str]) -> list[tuple[float, ...]]:
-    """Discounts of counts of one, two and more in each of the columns."""
-    return [DISCOUNTS for _ in names]
+    """Discounts of counts of one, two and more in each of the columns, as modified Kneser-Ney
+    smoothing takes them from how many counts are one, two, three and four.  Where these give none
+    between nothing and the count itself, half the count."""
+    often = [F.count(F.when(F.col(n) == i, 1)) for n in names for i in (1, 2, 3, 4)]
+    row = counts.agg(*often).first()
+    out = []
+    for at in range(0, len(row), 4):
+        ones, twos, *_ = n = row[at : at + 4]
+        share = ones / max(ones + 2 * twos, 1)
+        found = [i - (i + 1) * share * n[i] / max(n[i - 1], 1) for i in (1, 2, 3)]
+        out.append(tuple(float(d) if 0 < d < i and n[i - 1] and n[i] else i / 2 for i, d in enumerate(found, 1)))
+    return out
 
 
 def _cut(name: str, discounts: tuple[float, ...]) -> Column:

@@ -108,3 +108,24 @@ def test_word_order_is_evidence(spark):
         labels.append((i, 1, int(bad)))
     got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)).collect()
     assert np.mean([r.predicted == (r.doc_id % 3 == 0) for r in got if r.held_out]) > 0.95
+
+
+def test_rare_expressions_are_evidence(spark):
+    """Every telling word occurs in two or three training texts, and no two of them begin alike."""
+    draw = random.Random(21)
+    pools = {f: [i for i in range(6000) if zlib.crc32(str(i).encode()) % 5 == f] for f in range(5)}
+    learnt = [i for f in (1, 2, 3) for i in pools[f]]
+    filler = [f"f{i}" for i in range(50)]
+    rows, labels = [], []
+    for group in range(240):
+        bad, letters, rest = group % 3 == 0, "bcdfghjklm", group
+        word = "".join(letters[rest // 10**k % 10] for k in range(3)) + "xqa"
+        ids = [learnt.pop() for _ in range(2 + group % 2)] + [pools[0].pop(), pools[4].pop()]
+        for i in ids:
+            text = [draw.choice(filler) for _ in range(12)]
+            text.insert(draw.randrange(13), word)
+            rows.append((i, " ".join(text)))
+            labels.append((i, 1, int(bad)))
+    truth = {i: t for i, _, t in labels}
+    got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)).collect()
+    assert np.mean([r.predicted == truth[r.doc_id] for r in got if r.held_out]) > 0.9
