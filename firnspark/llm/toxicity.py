@@ -351,11 +351,16 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic"
+    docs: DataFrame,
+    labels: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    label_column: str = "toxic",
+    row_column: str | None = None,
 ) -> DataFrame:
-    """One row per document: id, held_out, score and predicted."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
+    """One row per document: id, held_out, score and predicted; with ``row_column``, a long, first that."""
+    row = F.lit(None) if row_column is None else F.col(row_column)
+    docs = docs.select(row.cast("long").alias("row"), F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("toxic")).dropna()
     known = known.where("toxic in (0, 1)").withColumn("fold", fold_of("id")).where("fold <> 0")
     known = known.groupBy("id", "fold").agg(F.max("toxic").alias("toxic"))
@@ -365,11 +370,12 @@ def toxicity(
     wanted = docs.select("block", "text").mapInArrow(_wanted_rows, "block bigint, a bigint, b bigint")
     kind = docs.schema["id"].dataType.simpleString()
     held = wanted.join(model, ["a", "b"]).selectExpr(
-        "block", "false as whole", "a", "b", "v", f"cast(null as {kind}) as id", "cast(null as string) as text"
+        "block", "false as whole", "a", "b", "v", "cast(null as bigint) as row", f"cast(null as {kind}) as id", "cast(null as string) as text"
     )
     texts = docs.selectExpr(
-        "block", "true as whole", "cast(null as bigint) as a", "cast(null as bigint) as b", "cast(null as array<float>) as v", "id", "text"
-    )
+        "block", "true as whole", "cast(null as bigint) as a", "cast(null as bigint) as b", "cast(null as array<float>) as v",
+        "row", "id", "text",
+    )
     # In each block first what was found, then the texts.
     both = held.unionByName(texts).repartition("block").sortWithinPartitions("block", "whole")
 
@@ -392,10 +398,11 @@ def toxicity(
                 for lo, hi, data, offsets in text_steps(own.column("text")):
                     words, counts = words_of(data, offsets)
                     figures = evidence(found.log_ratios(words), counts)
-                    columns = [own.column("id").slice(lo, hi - lo), *(pa.array(c) for c in figures.T)]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", *names])
+                    columns = [own.column(c).slice(lo, hi - lo) for c in ("row", "id")]
+                    columns += [pa.array(c) for c in figures.T]
+                    yield pa.RecordBatch.from_arrays(columns, ["row", "id", *names])
 
-    found = materialise(both.mapInArrow(rows, f"id {kind}, {', '.join(f'{n} double' for n in names)}"), "evidence")
+    found = materialise(both.mapInArrow(rows, f"row bigint, id {kind}, {', '.join(f'{n} double' for n in names)}"), "evidence")
     fit = found.join(known.where(F.col("fold") == FIT_FOLD), "id").select("id", *names, "toxic")
     order = F.xxhash64("id")
     sample = [
@@ -414,6 +421,7 @@ def toxicity(
     line = sum((F.col(n) * float(b) for n, b in zip(names, beta[:-1], strict=True)), F.lit(float(beta[-1])))
     score = 1 / (1 + F.exp(-line))
     return found.select(
+        *([] if row_column is None else [F.col("row").alias(row_column)]),
         F.col("id").alias(id_column),
         F.coalesce(fold_of("id") == 0, F.lit(False)).alias("held_out"),
         score.alias("score"),

@@ -1,7 +1,7 @@
 import corpus_pipeline
 from firnspark.llm import toxicity
 from firnspark.session import materialise
-from tests.llm.cases import SF, awkward, no_rows
+from tests.llm.cases import SCHEMA, SF, awkward, no_rows, words
 from tests.llm.test_decontaminate import distance
 from tests.llm.test_near_dup import brute as near_groups
 from tests.llm.test_suffix_dedup import LENGTH
@@ -64,3 +64,26 @@ def test_registered():
 
     names = {n.split("_")[0] for n in contract.queries() if n.startswith("op")}
     assert names == {f"op{n}" for n in range(1, 11)} and contract.queries()["pipeline"] is corpus_pipeline.run
+
+
+def test_rows_are_judged_on_their_own(spark):
+    """Repeated rows and null ids: of each text one row stays whole; bad texts go without others of their id."""
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").limit(2).collect()]
+    texts = [words(100 + i, 60) for i in range(4)]
+    assert min(map(len, texts)) > 200
+    rows = [(1, texts[0]), (1, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[2])]
+    rows += [(8, texts[3]), (8, words(9, 30) + " " + items[0] + " " + words(10, 30)), (None, words(11, 30) + " " + items[1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    for stage in (corpus_pipeline.near_dedup, corpus_pipeline.remove_repeats, corpus_pipeline.decontaminate):
+        docs = materialise(stage(spark, docs, SF))
+    left = sorted(((r.doc_id or 0, r.text) for r in docs.collect()))
+    assert left == sorted([(1, texts[0]), (0, texts[1]), (7, texts[2]), (8, texts[3])])
+
+
+def test_toxic_rows_without_an_id_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    scored = toxicity.toxicity(docs, labels).where("predicted = 1").select("doc_id").collect()
+    bad = docs.where(docs.doc_id == scored[0].doc_id)
+    both = docs.unionByName(bad.selectExpr("cast(null as bigint) as doc_id", "text", "lang", "source", "n_chars"))
+    assert corpus_pipeline.drop_toxic(spark, both, SF).where("doc_id is null").count() == 0
