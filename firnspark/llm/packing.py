@@ -90,7 +90,9 @@ def pack(
     shards = -(-docs.count() // SHARD_ROWS) or 1
     items = items.withColumn("shard", F.pmod("dealt", F.lit(shards))).drop("total", "dealt")
     kind = items.schema["id"].dataType.simpleString()
-    cluster_kind = items.schema["cluster"].dataType.simpleString()
+    cluster_kind = items.schema["cluster"].dataType
+    # As a string: pandas would round a long beside nulls.
+    items = items.withColumn("cluster", F.col("cluster").cast("string"))
 
     def one_shard(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "id", "piece", "cluster"], ascending=[False, True, True, True], kind="stable")
@@ -103,6 +105,6 @@ def pack(
 
     packed = items.groupBy("shard").applyInPandas(
         one_shard,
-        f"id {kind}, piece long, first_word long, size long, source string, cluster {cluster_kind}, shard long, bin long, fill long",
+        f"id {kind}, piece long, first_word long, size long, source string, cluster string, shard long, bin long, fill long",
     )
-    return packed.withColumnRenamed("id", id_column)
+    return packed.withColumn("cluster", F.col("cluster").cast(cluster_kind)).withColumnRenamed("id", id_column)

@@ -80,3 +80,9 @@ def test_awkward_rows(spark):
     assert sum(r.piece == 0 for r in rows) == len(awkward_rows())
     assert {r.size for r in rows if r.doc_id in (1, 2, 11)} == {1}
     assert pack(no_rows(spark)).collect() == []
+
+
+def test_clusters_are_exact_beside_nulls(spark):
+    docs = documents(spark).unionByName(awkward(spark, clashing=False))
+    want = {r.c for r in docs.where("text <> ''").select(F.xxhash64("text").alias("c")).collect()}
+    assert {r.cluster for r in pack(docs).collect() if r.cluster is not None} == want
