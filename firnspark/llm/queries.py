@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from firnspark.llm.alignment import aligned
 from firnspark.llm.decontaminate import contaminated
+from firnspark.llm.lexical import ranked
 from firnspark.llm.licenses import scan
 from firnspark.llm.merkle import edited_fingerprints
 from firnspark.llm.near_dup import near_duplicates
+from firnspark.llm.neighbours import nearest
 from firnspark.llm.packing import pack
 from firnspark.llm.sharding import balanced_shards
 from firnspark.llm.suffix_dedup import without_repeats
@@ -63,11 +66,24 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_license_scan, op3_suffix_array_dedup, op4_document_fingerprints, op5_balanced_shards,
         op6_toxicity, op7_url_filter, op8_minhash_near_dedup, op9_warc, op10_benchmark_decontamination,
+        op11_tokenizer_alignment, op12_lexical_search, op13_nearest_neighbours,
     )
 }
 
@@ -86,6 +102,7 @@ _NOTICES = [
     ("cc-by-sa", "licensed under cc by sa 4 0"),
 ]
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x{7F}]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x{7F}]+"
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -136,6 +153,19 @@ ORACLES: dict[str, str] = {
             case when n >= 100 and page_id > first then 'revisit' else 'response' end as record_type,
             case when n >= 100 and page_id > first then first end as refers_to
         from d join f using (digest)""",
+    "op12_lexical_search": rf"""
+        with d as (select row_number() over () as r, doc_id, regexp_extract_all({_LOW}, '{_TERM}') as w from documents),
+        g as (select count(*) as n_docs, sum(len(w))::bigint as total from d where len(w) > 0),
+        i as (select row_number() over () as k, item_id, regexp_extract_all({_LOW}, '{_TERM}') as w from
+            (select distinct item_id, text from benchmark)),
+        q as (select k, item_id, term, count(*) as c from (select k, item_id, unnest(w) as term from i) group by all),
+        t as (select r, doc_id, n, term, count(*) as tf from (select r, doc_id, len(w) as n, unnest(w) as term from d)
+            where term in (select term from q) group by all),
+        f as (select term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint as weight from t, g group by term, n_docs),
+        s as (select k, item_id, r, doc_id, sum(c * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // total))))::bigint
+            as score from t join q using (term) join f using (term), g group by all)
+        select item_id, row_number() over (partition by k order by score desc, doc_id)::int as rank, doc_id, score from s
+        where score > 0 qualify rank <= 10""",
     "op4_document_fingerprints": r"""
         with d as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n from documents),
         o as (select *, coalesce(lead(text) over w, first_value(text) over w) as nxt from d window w as (order by doc_id desc
