@@ -19,9 +19,12 @@ rows the result is empty.  Extra columns are ignored.  A very long text is a blo
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +39,14 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 4 << 20
 # Texts tokenised together: at most so many bytes, but for a longer text.
 STEP_BYTES = 1 << 19
-# Alignments kept by a task; windows of more tokens are worked out anew.
+# Alignments kept by a task, in two halves of which the older one goes; windows of more tokens are worked out anew.
 MEMO_WINDOWS = 1 << 17
 MEMO_TOKENS = 24
+# Fixed value: how byte-level vocabularies split a text before the merges.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# A run of blanks that is too long for the split's look-ahead.
+BLANKS = 50_000
+BLANK_RUN = re.compile(rf"\s{{{BLANKS}}}")
 # A pair of ids is one number.
 SIDE = 1 << 20
 
@@ -52,13 +60,14 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteLevel:
-    """Byte-level tokens: their ids for texts, and the bytes of every id."""
+    """Byte-level tokens: their ids for texts, and the bytes of every id.  The vocabulary's ids are in the order
+    of its merges, so they serve as ranks; strings of special tokens are plain text.  Texts with a very long run of
+    blanks, for which the faster encoder has no room, are left to the library the file was written for."""
 
     def __init__(self, path: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         letters = byte_letters()
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
@@ -66,9 +75,16 @@ class ByteLevel:
         for token, number in vocabulary.items():
             if all(c in letters for c in token):
                 self.bytes[number] = bytes(letters[c] for c in token)
+        ranks = {token: number for number, token in enumerate(self.bytes) if token}
+        self.encoding = tiktoken.Encoding("byte-level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [self._with_blanks(t) if len(t) > BLANKS and BLANK_RUN.search(t) else self.encoding.encode_ordinary(t) for t in texts]
+
+    def _with_blanks(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 class Pieces:
@@ -92,26 +108,29 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
-class Window:
-    """The alignment of a window: its groups as text, and its linked pairs."""
-
-    __slots__ = ("groups", "n_groups", "n_links", "pairs")
-
-    def __init__(self, a: tuple[int, ...], b: tuple[int, ...], of_a: list[bytes], of_b: list[bytes]) -> None:
-        ends_a = np.cumsum([len(of_a[i]) for i in a])
-        ends_b = np.cumsum([len(of_b[i]) for i in b])
-        shared = np.intersect1d(ends_a, ends_b)
-        cut_a = [0, *(np.searchsorted(ends_a, shared) + 1).tolist()]
-        cut_b = [0, *(np.searchsorted(ends_b, shared) + 1).tolist()]
-        self.groups = ";".join(
-            ",".join(map(str, a[cut_a[i] : cut_a[i + 1]])) + "|" + ",".join(map(str, b[cut_b[i] : cut_b[i + 1]]))
-            for i in range(len(shared))
-        )
-        self.n_groups = len(shared)
-        # Every stretch between neighbouring ends lies in one token of each side, and in no two the same.
-        ends = np.union1d(ends_a, ends_b)
-        self.n_links = len(ends)
-        self.pairs = np.asarray(a, np.int64)[np.searchsorted(ends_a, ends)] * SIDE + np.asarray(b, np.int64)[np.searchsorted(ends_b, ends)]
+def window(a: tuple[int, ...], b: tuple[int, ...], of_a: list[int], of_b: list[int]) -> tuple[str, int, list[int]]:
+    """The alignment of a window: its groups as text, their number, and its linked pairs, from the tokens'
+    lengths.  Every stretch between neighbouring ends lies in one token of each side, and in no two the same."""
+    pairs, groups, n = [], [], 0
+    rest_a, rest_b = iter(a), iter(b)
+    for x in rest_a:
+        y = next(rest_b)
+        pairs.append(x * SIDE + y)
+        ahead = of_a[x] - of_b[y]
+        left, right = str(x), str(y)
+        while ahead:
+            if ahead < 0:
+                x = next(rest_a)
+                ahead += of_a[x]
+                left += f",{x}"
+            else:
+                y = next(rest_b)
+                ahead -= of_b[y]
+                right += f",{y}"
+            pairs.append(x * SIDE + y)
+        groups.append(left + "|" + right)
+        n += 1
+    return ";".join(groups), n, pairs
 
 
 class Aligner:
@@ -119,38 +138,45 @@ class Aligner:
 
     def __init__(self, a: ByteLevel, b: Pieces) -> None:
         self.a, self.b = a, b
-        self.lengths = [np.array([len(x) for x in side.bytes], np.int64) for side in (a, b)]
+        self.sizes = [[len(x) for x in side.bytes] for side in (a, b)]
+        self.lengths = [np.array(n, np.int64) for n in self.sizes]
         self.spaced = [np.array([x[:1] == b" " for x in side.bytes]) for side in (a, b)]
-        self.memo: dict[tuple[tuple[int, ...], tuple[int, ...]], Window] = {}
-
-    def windows(self, ids_a: list[int], ids_b: list[int]) -> list[Window]:
-        a, b = np.asarray(ids_a, np.int64), np.asarray(ids_b, np.int64)
-        starts = []
-        for ids, lengths, spaced in zip((a, b), self.lengths, self.spaced, strict=True):
-            ends = np.cumsum(lengths[ids])
+        self.memo: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, int, list[int]]] = {}
+        self.older: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, int, list[int]]] = {}
+
+    def windows(self, ids_a: list[int], ids_b: list[int]) -> list[tuple[str, int, list[int]]]:
+        whole, starts = [], []
+        for ids, lengths, spaced in zip((ids_a, ids_b), self.lengths, self.spaced, strict=True):
+            ids = np.array(ids, np.int64)
+            own = lengths[ids]
             at = np.flatnonzero(spaced[ids])
-            starts.append((at, (ends - lengths[ids])[at]))
+            whole.append(len(ids))
+            starts.append((at, (np.cumsum(own) - own)[at]))
         (at_a, byte_a), (at_b, byte_b) = starts
         # Anchors: both sides have a space-marked token that begins here, so a token of each ends here.
-        _, in_a, in_b = np.intersect1d(byte_a, byte_b, assume_unique=True, return_indices=True)
-        cuts_a, cuts_b = np.append(at_a[in_a], len(a)).tolist(), np.append(at_b[in_b], len(b)).tolist()
-        if not cuts_a or cuts_a[0] or cuts_b[0]:
+        near = np.minimum(np.searchsorted(byte_b, byte_a), max(len(byte_b) - 1, 0))
+        both = np.flatnonzero(byte_b[near] == byte_a) if len(byte_b) else near[:0]
+        cuts_a, cuts_b = [*at_a[both].tolist(), whole[0]], [*at_b[near[both]].tolist(), whole[1]]
+        if cuts_a[0] or cuts_b[0]:
             cuts_a, cuts_b = [0, *cuts_a], [0, *cuts_b]
-        memo, of_a, of_b = self.memo, self.a.bytes, self.b.bytes
-        whole_a, whole_b = tuple(ids_a), tuple(ids_b)
-        out = []
-        i, j = cuts_a[0], cuts_b[0]
-        for k, m in zip(cuts_a[1:], cuts_b[1:], strict=True):
-            key = (whole_a[i:k], whole_b[j:m])
-            found = memo.get(key)
+        a, b = tuple(ids_a), tuple(ids_b)
+        keys = list(
+            zip(
+                [a[i:k] for i, k in zip(cuts_a[:-1], cuts_a[1:], strict=True)],
+                [b[i:k] for i, k in zip(cuts_b[:-1], cuts_b[1:], strict=True)],
+                strict=True,
+            )
+        )
+        memo, older, (of_a, of_b) = self.memo, self.older, self.sizes
+        out = list(map(memo.get, keys))
+        for place, found in enumerate(out):
             if found is None:
-                found = Window(*key, of_a, of_b)
-                if k - i + m - j <= MEMO_TOKENS:
+                key = keys[place]
+                found = out[place] = memo.get(key) or older.get(key) or window(*key, of_a, of_b)
+                if len(key[0]) + len(key[1]) <= MEMO_TOKENS:
                     memo[key] = found
-            out.append(found)
-            i, j = k, m
-        if len(memo) > MEMO_WINDOWS:
-            memo.clear()
+        if len(memo) > MEMO_WINDOWS // 2:
+            self.memo, self.older = {}, memo
         return out
 
     def aligned(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
@@ -162,15 +188,14 @@ class Aligner:
             whole = text.encode()
             if (
                 len(text) == 1
-                or b"".join([self.a.bytes[i] for i in ids_a]) != whole
-                or b"".join([self.b.bytes[i] for i in ids_b]) != whole
+                or b"".join(map(self.a.bytes.__getitem__, ids_a)) != whole
+                or b"".join(map(self.b.bytes.__getitem__, ids_b)) != whole
             ):
                 yield 0, 0, 0, 0, "", none, none
                 continue
-            windows = self.windows(ids_a, ids_b)
-            pairs, times = np.unique(np.concatenate([w.pairs for w in windows]), return_counts=True)
-            groups = ";".join([w.groups for w in windows])
-            yield len(ids_a), len(ids_b), sum([w.n_groups for w in windows]), int(times.sum()), groups, pairs, times
+            groups, n_groups, links = zip(*self.windows(ids_a, ids_b), strict=True)
+            pairs, times = np.unique(np.fromiter(chain.from_iterable(links), np.int64), return_counts=True)
+            yield len(ids_a), len(ids_b), sum(n_groups), int(times.sum()), ";".join(groups), pairs, times
 
 
 def _steps(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -202,19 +227,29 @@ def token_links(
     more = ", groups string" if groups else ""
 
     def rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Ids and windows are many small objects without cycles, which the collector would walk in vain.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            yield from found(table)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def found(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, block, size = None, None, 0
         for batch in batches(table):
             aligner = aligner or Aligner(ByteLevel(byte_level), Pieces(pieces))
             texts, numbers = batch.column("text").to_pylist(), batch.column("task").to_pylist()
             for lo, hi in _steps(texts):
-                blocks, found = [], list(aligner.aligned(texts[lo:hi]))
+                blocks, aligned_ = [], list(aligner.aligned(texts[lo:hi]))
                 for number, text in zip(numbers[lo:hi], texts[lo:hi], strict=True):
                     # A block is named after its first row.
                     if block is None or size + len(text) > block_bytes:
                         block, size = number, 0
                     size += len(text)
                     blocks.append(block)
-                n_a, n_b, n_groups, n_links, strings, pairs, times = zip(*found, strict=True)
+                n_a, n_b, n_groups, n_links, strings, pairs, times = zip(*aligned_, strict=True)
                 digests = [hashlib.sha256(s.encode()).hexdigest() if n else "" for s, n in zip(strings, n_a, strict=True)]
                 cuts = pa.array(np.concatenate([[0], np.cumsum([len(p) for p in pairs])]), pa.int32())
                 columns = [pa.array(blocks, pa.int64()), batch.column("id").slice(lo, hi - lo)]

@@ -103,9 +103,27 @@ def test_windows_are_looked_up_and_the_memory_is_bounded(sides, monkeypatch):
     aligner = Aligner(*sides)
     text = "the quick brown fox " * 50
     first = list(aligner.aligned([text]))
-    assert 0 < len(aligner.memo) < 12
+    assert 0 < len(aligner.memo) < 12 and not aligner.older
     again = list(aligner.aligned([text]))
     assert [x[:5] for x in first] == [x[:5] for x in again]
     monkeypatch.setattr(module, "MEMO_WINDOWS", 3)
-    list(aligner.aligned([text]))
-    assert not aligner.memo
+    list(aligner.aligned(["seven other words to be kept " * 3]))
+    assert not aligner.memo and aligner.older
+    assert [x[:5] for x in aligner.aligned([text])] == [x[:5] for x in first]
+
+
+def test_ids_are_those_of_the_vocabulary_file(spark, sides):
+    """The ranks give the same ids as the library that the vocabulary file was written for."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(module.BYTE_LEVEL)
+    whole.encode_special_tokens = True
+    texts = [" " + (r.text or "") for r in documents(spark).collect()] + ["\u2003\x85\xa0 a's  \n\n x<|endoftext|>", "٣1²", "\u200b\ufeff a"]
+    assert sides[0].encode(texts) == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_very_long_runs(sides):
+    """Runs of blanks and of letters as long as a text; the alignment covers every byte."""
+    for text in (" " * 1_500_000 + "a b", "a" * 1_000_000, "\n" * 60_000 + "x", "日本" * 100_000):
+        (n_a, n_b, n_groups, n_links, groups, _, times), = Aligner(*sides).aligned([text])
+        assert n_a and n_b and n_links == times.sum() >= max(n_a, n_b) >= n_groups == groups.count("|")
