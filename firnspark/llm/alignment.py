@@ -24,7 +24,6 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +38,8 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 4 << 20
 # Texts tokenised together: at most so many bytes, but for a longer text.
 STEP_BYTES = 1 << 19
-# Alignments kept by a task, in two halves of which the older one goes; windows of more tokens are worked out anew.
-MEMO_WINDOWS = 1 << 17
+# Alignments kept by a task, in two halves of which the older one goes, as do windows of more tokens.
+MEMO_WINDOWS = 1 << 18
 MEMO_TOKENS = 24
 # Fixed value: how byte-level vocabularies split a text before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -108,29 +107,49 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
-def window(a: tuple[int, ...], b: tuple[int, ...], of_a: list[int], of_b: list[int]) -> tuple[str, int, list[int]]:
-    """The alignment of a window: its groups as text, their number, and its linked pairs, from the tokens'
-    lengths.  Every stretch between neighbouring ends lies in one token of each side, and in no two the same."""
-    pairs, groups, n = [], [], 0
-    rest_a, rest_b = iter(a), iter(b)
-    for x in rest_a:
-        y = next(rest_b)
-        pairs.append(x * SIDE + y)
-        ahead = of_a[x] - of_b[y]
-        left, right = str(x), str(y)
-        while ahead:
-            if ahead < 0:
-                x = next(rest_a)
-                ahead += of_a[x]
-                left += f",{x}"
-            else:
-                y = next(rest_b)
-                ahead -= of_b[y]
-                right += f",{y}"
-            pairs.append(x * SIDE + y)
-        groups.append(left + "|" + right)
-        n += 1
-    return ";".join(groups), n, pairs
+Aligned = tuple[str, int, bytes]
+
+
+class Side:
+    """What aligning needs of a vocabulary's ids: their lengths, and which begin with a space."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.lengths = np.array([len(x) for x in tokens], np.int64)
+        self.spaced = np.array([x[:1] == b" " for x in tokens])
+
+
+def aligned_windows(windows: list[bytes], a: Side, b: Side, names: list[str]) -> list[Aligned]:
+    """The alignment of each window: its groups as text, their number, and its linked pairs as 64-bit numbers.  Every
+    stretch between neighbouring ends of either side lies in one token of each side, and in no two the same.
+    ``names`` holds A's ids behind nothing, ';' and ',' and then B's behind '|' and ','."""
+    ids = np.frombuffer(b"".join(windows), np.int32).astype(np.int64)
+    last = np.cumsum([len(w) // 4 for w in windows])
+    own = ids >= 0
+    ids_a, ids_b = ids[own], ~ids[~own]
+    last_a = np.cumsum(own)[last - 1]
+    # Both sides of a window have as many bytes, so ends in the whole sequence can be compared.
+    ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
+    ends = np.union1d(ends_a, ends_b)
+    in_a, in_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    pairs = (ids_a[in_a] * SIDE + ids_b[in_b]).tobytes()
+    links = (8 * np.searchsorted(ends, ends_a[last_a - 1], side="right")).tolist()
+    shared = ends[(ends_a[in_a] == ends) & (ends_b[in_b] == ends)]
+    groups = np.searchsorted(shared, ends_a[last_a - 1], side="right").tolist()
+    # Tokens in the order of the text: a group's A side, then its B side.
+    of_a, of_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+    first_a, first_b = (np.searchsorted(of, np.arange(len(shared) + 1)) for of in (of_a, of_b))
+    n_a, n_b, place = len(a.lengths), len(b.lengths), np.empty(len(ids), np.int64)
+    here = np.where(np.arange(len(ids_a)) == first_a[of_a], 1, 2)
+    here[np.append(0, last_a[:-1])] = 0
+    place[np.arange(len(ids_a)) + first_b[of_a]] = ids_a + here * n_a
+    here = np.where(np.arange(len(ids_b)) == first_b[of_b], 0, 1)
+    place[np.arange(len(ids_b)) + first_a[of_b + 1]] = ids_b + 3 * n_a + here * n_b
+    parts = list(map(names.__getitem__, place.tolist()))
+    out, i, j, k = [], 0, 0, 0
+    for stop, link, group in zip(last.tolist(), links, groups, strict=True):
+        out.append(("".join(parts[i:stop]), group - k, pairs[j:link]))
+        i, j, k = stop, link, group
+    return out
 
 
 class Aligner:
@@ -138,64 +157,84 @@ class Aligner:
 
     def __init__(self, a: ByteLevel, b: Pieces) -> None:
         self.a, self.b = a, b
-        self.sizes = [[len(x) for x in side.bytes] for side in (a, b)]
-        self.lengths = [np.array(n, np.int64) for n in self.sizes]
-        self.spaced = [np.array([x[:1] == b" " for x in side.bytes]) for side in (a, b)]
-        self.memo: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, int, list[int]]] = {}
-        self.older: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, int, list[int]]] = {}
-
-    def windows(self, ids_a: list[int], ids_b: list[int]) -> list[tuple[str, int, list[int]]]:
-        whole, starts = [], []
-        for ids, lengths, spaced in zip((ids_a, ids_b), self.lengths, self.spaced, strict=True):
-            ids = np.array(ids, np.int64)
-            own = lengths[ids]
-            at = np.flatnonzero(spaced[ids])
-            whole.append(len(ids))
+        self.sides = Side(a.bytes), Side(b.bytes)
+        self.names = [f"{before}{i}" for before in ("", ";", ",") for i in range(len(a.bytes))]
+        self.names += [f"{before}{i}" for before in "|," for i in range(len(b.bytes))]
+        # By the ids of both sides, as packed 32-bit numbers; those of B are complements.
+        self.memo: dict[bytes, Aligned] = {}
+        self.older: dict[bytes, Aligned] = {}
+
+    def windows(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[Aligned], np.ndarray]:
+        """The alignments of all windows of a sequence of texts, and the byte at which each begins."""
+        a, b = np.array(ids_a, np.int32), np.array(ids_b, np.int32)
+        starts = []
+        for ids, side in zip((a, b), self.sides, strict=True):
+            own, at = side.lengths[ids], np.flatnonzero(side.spaced[ids])
             starts.append((at, (np.cumsum(own) - own)[at]))
         (at_a, byte_a), (at_b, byte_b) = starts
-        # Anchors: both sides have a space-marked token that begins here, so a token of each ends here.
+        # Anchors: both sides have a space-marked token that begins here, so a token of each ends here.  Every
+        # text begins with one.
         near = np.minimum(np.searchsorted(byte_b, byte_a), max(len(byte_b) - 1, 0))
         both = np.flatnonzero(byte_b[near] == byte_a) if len(byte_b) else near[:0]
-        cuts_a, cuts_b = [*at_a[both].tolist(), whole[0]], [*at_b[near[both]].tolist(), whole[1]]
-        if cuts_a[0] or cuts_b[0]:
-            cuts_a, cuts_b = [0, *cuts_a], [0, *cuts_b]
-        a, b = tuple(ids_a), tuple(ids_b)
-        keys = list(
-            zip(
-                [a[i:k] for i, k in zip(cuts_a[:-1], cuts_a[1:], strict=True)],
-                [b[i:k] for i, k in zip(cuts_b[:-1], cuts_b[1:], strict=True)],
-                strict=True,
-            )
-        )
-        memo, older, (of_a, of_b) = self.memo, self.older, self.sizes
+        cuts_a, cuts_b = np.append(at_a[both], len(a)), np.append(at_b[near[both]], len(b))
+        # The ids of each window one after the other, A's before B's.
+        ids = np.empty(len(a) + len(b), np.int32)
+        ids[np.arange(len(a)) + np.repeat(cuts_b[:-1], np.diff(cuts_a))] = a
+        ids[np.arange(len(b)) + np.repeat(cuts_a[1:], np.diff(cuts_b))] = ~b
+        packed, at = ids.tobytes(), (4 * (cuts_a + cuts_b)).tolist()
+        keys = [packed[i:k] for i, k in zip(at[:-1], at[1:], strict=True)]
+        memo, older = self.memo, self.older
         out = list(map(memo.get, keys))
-        for place, found in enumerate(out):
-            if found is None:
-                key = keys[place]
-                found = out[place] = memo.get(key) or older.get(key) or window(*key, of_a, of_b)
-                if len(key[0]) + len(key[1]) <= MEMO_TOKENS:
-                    memo[key] = found
+        missing = []
+        for key in {key for key, found in zip(keys, out, strict=True) if found is None}:
+            if key in older:
+                memo[key] = older[key]
+            else:
+                missing.append(key)
+        if missing:
+            memo.update(zip(missing, aligned_windows(missing, *self.sides, self.names), strict=True))
+        if None in out:
+            out = [found or memo[key] for key, found in zip(keys, out, strict=True)]
         if len(memo) > MEMO_WINDOWS // 2:
-            self.memo, self.older = {}, memo
-        return out
+            self.memo, self.older = {}, {key: found for key, found in memo.items() if len(key) <= 4 * MEMO_TOKENS}
+        return out, byte_a[both]
 
     def aligned(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
         """Of each text: tokens of both sides, groups, links, the groups as text, the linked pairs of ids and how
         often each is linked."""
-        none = np.zeros(0, np.int64)
         spaced = [" " + t for t in texts]
-        for text, ids_a, ids_b in zip(spaced, self.a.encode(spaced), self.b.encode(texts), strict=True):
+        encoded = list(zip(self.a.encode(spaced), self.b.encode(texts), strict=True))
+        all_a, all_b, ends, counts = [], [], [0], []
+        for text, (ids_a, ids_b) in zip(spaced, encoded, strict=True):
             whole = text.encode()
             if (
-                len(text) == 1
-                or b"".join(map(self.a.bytes.__getitem__, ids_a)) != whole
-                or b"".join(map(self.b.bytes.__getitem__, ids_b)) != whole
+                len(text) > 1
+                and b"".join(map(self.b.bytes.__getitem__, ids_b)) == whole
+                and b"".join(map(self.a.bytes.__getitem__, ids_a)) == whole
             ):
+                all_a += ids_a
+                all_b += ids_b
+                ends.append(ends[-1] + len(whole))
+                counts.append((len(ids_a), len(ids_b)))
+            else:
+                counts.append((0, 0))
+        windows, begins = self.windows(all_a, all_b) if all_a else ([], np.zeros(0, np.int64))
+        first = np.searchsorted(begins, ends).tolist()
+        # Linked pairs of all texts, each with the number of its text.
+        pairs = np.frombuffer(b"".join([w[2] for w in windows]), np.int64)
+        sizes = [sum([len(w[2]) for w in windows[lo:hi]]) // 8 for lo, hi in zip(first[:-1], first[1:], strict=True)]
+        number = np.repeat(np.arange(len(sizes)), sizes)
+        found, times = np.unique(number * SIDE * SIDE + pairs, return_counts=True)
+        cuts = np.searchsorted(found, np.arange(len(sizes) + 1) * SIDE * SIDE).tolist()
+        found %= SIDE * SIDE
+        none, at = np.zeros(0, np.int64), 0
+        for n_a, n_b in counts:
+            if not n_a:
                 yield 0, 0, 0, 0, "", none, none
                 continue
-            groups, n_groups, links = zip(*self.windows(ids_a, ids_b), strict=True)
-            pairs, times = np.unique(np.fromiter(chain.from_iterable(links), np.int64), return_counts=True)
-            yield len(ids_a), len(ids_b), sum(n_groups), int(times.sum()), ";".join(groups), pairs, times
+            own, held = windows[first[at] : first[at + 1]], slice(cuts[at], cuts[at + 1])
+            yield n_a, n_b, sum([w[1] for w in own]), sizes[at], ";".join([w[0] for w in own]), found[held], times[held]
+            at += 1
 
 
 def _steps(texts: list[str]) -> Iterator[tuple[int, int]]:
