@@ -1,80 +1,83 @@
-"""Toxicity scores from two class-conditional Kneser-Ney models.
-
-Words are lower-cased runs of letters and digits, told apart by 64-bit hashes; a word's
-beginning are its first ``HEAD`` bytes as they are.  Spark gathers, over all labelled rows of the
-folds learnt from, in how many texts of each class every pair of a word and the word before it
-occurs: a table that grows with the input, never on the driver or in a broadcast.  A class's model
-discounts the counts of a pair and gives what that frees to the word alone; a word's freed share
-goes to its beginning, and a beginning's to the counts of both classes together.  The lower orders
-count in how many different contexts a word occurs, and how many different words begin alike.
-Discounts are estimated per class and order from the counts of counts and stay below the count, so
-a pair seen in one text of a class already is evidence.
-Texts are scored in blocks of ``2 ** BLOCK_BITS``: the distinct pairs, words and beginnings of each
-block are joined with the table, and what is found goes with the block's texts to one task.
-
-A text's evidence is the difference of its log-likelihoods under the two models divided by its
-number of words, and the highest such figure among its stretches of ``STRETCHES`` words.  A
-logistic curve over these turns them into a score; it is fitted on one fold that the models have
-not seen, from at most ``FIT_ROWS`` rows of each class in hash order.  Both classes of that fold are
-counted in full and the rows taken weigh as much as their class, so scores keep its true shares.
+"""Toxicity scores from two class-conditional Kneser-Ney models that share their backoff.
+
+Words are lower-cased runs of letters and digits, told apart by 64-bit hashes; the word before a
+word is told by 32 bits.  Spark gathers, over all labelled rows of the folds learnt from, in how many
+texts of each class every pair of a word and the word before it occurs: a table that grows with the
+input.  From it come, per class c,
+
+* pairs: P_c(w | v) = (n_c(v, w) - D) / n_c(v) + l_c(v) * S_c(w | v), for the pairs that toxic texts
+  hold; what the discounts and all other pairs leave over, l_c(v), goes to the shared backoff
+  S_c(w | v) = (n(v, w) - D) / n(v) + g(v) * P_c(w) from the counts of both classes together;
+* words: P_c(w) = (k_c(w) - D) / K_c + L_c * k(w) / K, k being the number of different words before w.
+
+Both are distributions.  Discounts are estimated from the counts of counts of each class, and of both
+together, and stay below the count.  Words and pairs that no toxic text holds differ between the classes
+by factors that do not depend on them, so only what toxic texts hold has to be looked up: the model is a table of (key,
+log ratio).  Up to ``MODEL_BYTES`` it is broadcast and texts are scored where they are.  Beyond, texts are taken
+in blocks of about ``BLOCK_BYTES``; the distinct keys of each block are joined with the table and meet the
+block's texts in one task.  Both ways give the same figures.
+
+A text's evidence is the difference of its log-likelihoods under the two pair models divided by its
+number of words, and the highest mean difference under the word models among its stretches of
+``STRETCHES`` words.  A logistic curve over these turns them into a score; it is fitted on one fold that
+the models have not seen, from at most ``FIT_ROWS`` rows of each class in hash order.  Both classes of
+that fold are counted in full and the rows taken weigh as much as their class, so scores keep its true
+shares.
 
 Nulls count as empty texts; an empty text has no evidence and gets the curve's base score.
 Labels that are null are ignored; of several labels of an id the highest counts.  Without
 labels of both classes the score is the share of label 1 (0 if there are none).  Repeated
 rows get equal scores; a row with a null id is never held out and never learnt from.  Extra
-columns are ignored.  Very long texts are one array step each.
+columns are ignored.  Very long texts are one array step, and one block, each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from firnspark.llm.common import IS_SYMBOL, LOWER, batches, span_hashes, text_or_empty, text_steps, word_spans
+from firnspark.llm.common import IS_SYMBOL, LOWER, batches, mix64, span_hashes, text_or_empty, text_steps, word_spans
+from firnspark.operators.lookup import lookup_join
 from firnspark.session import materialise
 
-WORDS, CONTEXTS, HEADS = 1 << 19, 4, 1 << 18
-HEAD = 4
-# Slots of pairs, then of words, then of beginnings.
-SIZES = (CONTEXTS * WORDS, WORDS, HEADS)
-SLOTS = sum(SIZES)
-# Discounts of the slot counts of ``Models``.
-DISCOUNTS = (1.0, 2.0, 3.0)
 STRETCHES = (1, 4, 16)
 FIT_ROWS = 20_000
 FOLDS = 5
 FIT_FOLD = 4
 RIDGE = 0.5
-# Words gathered in a task before what is to be looked up for them is sent on.
-GATHER = 1 << 22
-# Texts of a block, for which the model table is joined as one.
-BLOCK_BITS = 12
-# Second keys of words alone and of beginnings in the model table; those of pairs are odd.
-ALONE, BEGINNING = 0, 2
+# A model of at most this size is broadcast; an entry is a key and a ratio.
+MODEL_BYTES, ENTRY_BYTES = 64 << 20, 12
+# Texts of a block, for which a larger model is joined as one.
+BLOCK_BYTES = 8 << 20
+# What a key is of.
+PAIR, CONTEXT, WORD = (np.uint64(n) for n in (1, 2, 3))
+# Sampled classes of the curve, and the columns of evidence.
+NAMES = ["mean", *(f"top{n}" for n in STRETCHES)]
 
 
 def fold_of(id_column: str) -> Column:
     return F.crc32(F.col(id_column).cast("string")) % FOLDS
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each word (0 at a text's start), the word and its beginning (3 x words), and how
-    many words each text has.  Words are odd 64-bit hashes, beginnings their bytes."""
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word before each word (32 bits, 0 at a text's start), the word (64 bits), and how many words each text has."""
     lowered = LOWER[data]
     starts, ends, counts = word_spans(lowered, offsets, IS_SYMBOL)
-    words = (span_hashes(lowered, starts, ends) | np.uint64(1)).view(np.int64)
-    before = np.zeros(len(words), np.int64)
-    before[1:] = words[:-1]
-    first = np.cumsum(counts) - counts
-    before[first[counts > 0]] = 0
-    heads = np.zeros(len(words), np.int64)
-    for j in range(HEAD):
-        inside = np.flatnonzero(starts + j < ends)
-        heads[inside] |= lowered[starts[inside] + j].astype(np.int64) << (8 * j)
-    return np.stack([before, words, heads]), counts
+    words = span_hashes(lowered, starts, ends)
+    before = np.zeros(len(words), np.int32)
+    before[1:] = (words[:-1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    before[(np.cumsum(counts) - counts)[counts > 0]] = 0
+    return before, words.view(np.int64), counts
+
+
+def keys_of(before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of pairs, of the words before, and of words, in the model table."""
+    left = mix64(before.astype(np.int64).view(np.uint64) * np.uint64(4) + CONTEXT)
+    right = mix64(word.view(np.uint64) ^ WORD)
+    return mix64((left ^ right) * np.uint64(5) + PAIR).view(np.int64), left.view(np.int64), right.view(np.int64)
 
 
 def _distinct(*columns: np.ndarray) -> np.ndarray:
@@ -89,233 +92,138 @@ def _distinct(*columns: np.ndarray) -> np.ndarray:
 
 
 def _pair_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each pair of words of each text, once."""
+    """Each pair of words of each text, once, with one in the column of its class; equal pairs of a step are added up."""
     for batch in batches(table):
-        labels = np.asarray(batch.column("toxic")).astype(np.int32)
+        labels = np.asarray(batch.column("toxic")).astype(np.int64)
         for lo, hi, data, offsets in text_steps(batch.column("text")):
-            (before, word, head), counts = words_of(data, offsets)
+            before, word, counts = words_of(data, offsets)
             text = np.repeat(np.arange(lo, hi), counts)
-            once = _distinct(word, before, text)
-            columns = [before[once], word[once], head[once], labels[text[once]]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["before", "word", "head", "toxic"])
+            once = _distinct(before, word, text)
+            before, word, toxic = before[once], word[once], labels[text[once]]
+            order = np.lexsort([before, word])
+            first = np.flatnonzero(np.append(True, (np.diff(word[order]) != 0) | (np.diff(before[order]) != 0))[: len(order)])
+            if len(first):
+                n1 = np.add.reduceat(toxic[order], first)
+                n0 = np.diff(np.append(first, len(order))) - n1
+                columns = [before[order][first], word[order][first], n0, n1]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["before", "word", "n0", "n1"])
 
 
-def _wanted_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What to look up for each block: its distinct pairs, words and beginnings."""
-    held, size, block = [], 0, None
+def _key_column(kind: str) -> Column:
+    """The model's keys of a frame's columns ``before`` and ``word``."""
+    at = {"pair": 0, "context": 1, "word": 2}[kind]
 
-    def wanted() -> pa.RecordBatch:
-        before, word, head = np.concatenate(held, axis=1)
-        pairs = _distinct(word, before)
-        alone, heads = np.unique(np.append(word, 0)), np.unique(head)
-        a = np.concatenate([before[pairs], alone, heads])
-        b = np.concatenate([word[pairs], np.full(len(alone), ALONE), np.full(len(heads), BEGINNING)])
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), block)), pa.array(a), pa.array(b)], ["block", "a", "b"])
+    @F.pandas_udf("bigint")
+    def keys(before, word):  # noqa: ANN001, ANN202
+        import pandas as pd
 
-    for batch in batches(table):
-        blocks = np.asarray(batch.column("block"))
-        cuts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]])
-        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if held and (blocks[start] != block or size >= GATHER):
-                yield wanted()
-                held, size = [], 0
-            block = blocks[start]
-            for _, _, data, offsets in text_steps(batch.column("text").slice(start, stop - start)):
-                held.append(words_of(data, offsets)[0])
-                size += held[-1].shape[1]
-    if held:
-        yield wanted()
+        found = keys_of(before.to_numpy().astype(np.int32), word.to_numpy().astype(np.int64))
+        return pd.Series(found[at])
+
+    return keys(F.col("before") if kind != "word" else F.lit(0), F.col("word") if kind != "context" else F.lit(0).cast("bigint"))
 
 
 def estimated_discounts(counts: DataFrame, names: list[str]) -> list[tuple[float, ...]]:
     """Discounts of counts of one, two and more in each of the columns, as modified Kneser-Ney
     smoothing takes them from how many counts are one, two, three and four.  Where these give none
     between nothing and the count itself, half the count."""
-    often = [F.count(F.when(F.col(n) == i, 1)) for n in names for i in (1, 2, 3, 4)]
-    row = counts.agg(*often).first()
-    out = []
-    for at in range(0, len(row), 4):
-        ones, twos, *_ = n = row[at : at + 4]
-        share = ones / max(ones + 2 * twos, 1)
-        found = [i - (i + 1) * share * n[i] / max(n[i - 1], 1) for i in (1, 2, 3)]
-        out.append(tuple(float(d) if 0 < d < i and n[i - 1] and n[i] else i / 2 for i, d in enumerate(found, 1)))
-    return out
-
-
-def _cut(name: str, discounts: tuple[float, ...]) -> Column:
-    """What is taken off a count."""
-    n = F.col(name)
-    return F.when(n >= 3, discounts[2]).when(n >= 2, discounts[1]).when(n >= 1, discounts[0]).otherwise(0.0)
-
-
-def _freed(counts: DataFrame, names: list[str], discounts: list[tuple[float, ...]]) -> list[tuple[float, float]]:
-    """Sum of each column, and the share of it that the discounts free."""
-    row = counts.agg(*[f for n, d in zip(names, discounts, strict=True) for f in (F.sum(n), F.sum(_cut(n, d)))]).first()
-    return [(float(t), c / t) if t else (1.0, 1.0) for t, c in zip(row[::2], row[1::2], strict=True)]
-
-
-def _values(*columns: Column) -> Column:
-    return F.array(*[c.cast("float") for c in columns]).alias("v")
-
-
-def model_table(texts: DataFrame) -> tuple[DataFrame, list[tuple[float, ...]], list[float]]:
-    """The two models as a table keyed by what is looked up, gathered from (text, toxic) rows by Spark;
-    the discounts of pairs of each class; and the shares of a word with a beginning never seen.
-
-    Values are, of a pair, its texts in each class; of a word alone, for each class the texts of its
-    pairs as the word before, the share these free, and its own share; of a beginning, the share of any
-    word never seen that begins so.
-    """
-    pairs = texts.select("text", "toxic").mapInArrow(_pair_rows, "before bigint, word bigint, head bigint, toxic int")
-    n = [F.sum(F.when(F.col("toxic") == c, 1).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
-    pairs = materialise(pairs.groupBy("before", "word").agg(F.min("head").alias("head"), *n), "toxic-pairs")
-    cuts = estimated_discounts(pairs, ["n0", "n1"])
-    contexts = pairs.groupBy(F.col("before").alias("a")).agg(
-        *[F.sum(f"n{c}").alias(f"t{c}") for c in (0, 1)], *[F.sum(_cut(f"n{c}", cuts[c])).alias(f"f{c}") for c in (0, 1)]
+    often = [F.count(F.when(F.expr(n) == i, 1)) for n in names for i in (1, 2, 3, 4)]
+    return [discounts_of(row) for row in np.reshape(counts.agg(*often).first(), (-1, 4)).tolist()]
+
+
+def discounts_of(n: list[int]) -> tuple[float, ...]:
+    ones, twos, *_ = n
+    share = ones / max(ones + 2 * twos, 1)
+    found = [i - (i + 1) * share * n[i] / max(n[i - 1], 1) for i in (1, 2, 3)]
+    return tuple(float(d) if 0 < d < i and n[i - 1] and n[i] else i / 2 for i, d in enumerate(found, 1))
+
+
+def _left(name: str, discounts: tuple[float, ...]) -> Column:
+    """What is left of a count without its discount."""
+    n = F.expr(name)
+    return n - F.when(n >= 3, discounts[2]).when(n >= 2, discounts[1]).when(n >= 1, discounts[0]).otherwise(0.0)
+
+
+def model_table(texts: DataFrame) -> tuple[DataFrame, float]:
+    """The two models as a table of (key, ratio), gathered from (text, toxic) rows by Spark, and the log ratio of
+    words that no toxic text holds.  A pair's ratio is that of its probabilities; that of a word before others
+    holds for its other pairs, on top of the word's own."""
+    pairs = texts.select("text", "toxic").mapInArrow(_pair_rows, "before int, word bigint, n0 bigint, n1 bigint")
+    pairs = materialise(pairs.groupBy("before", "word").agg(F.sum("n0").cast("int").alias("n0"), F.sum("n1").cast("int").alias("n1")), "toxic-pairs")
+    sides = ["n0", "n1", "n0 + n1"]
+    cuts = estimated_discounts(pairs, sides)
+    known = pairs.where("n1 > 0")
+    # Words before others: all their counts, and what their pairs in toxic texts keep of these.
+    contexts = lookup_join(pairs, materialise(known.select("before").distinct(), "toxic-contexts"), ["before"], "left_semi", row_bytes=48)
+    contexts = contexts.groupBy("before").agg(
+        *[F.sum(F.expr(n)).alias(f"t{c}") for c, n in enumerate(sides)],
+        *[F.sum(F.when(F.col("n1") > 0, _left(n, cut)).otherwise(0.0)).alias(f"u{c}") for c, (n, cut) in enumerate(zip(sides, cuts, strict=True))],
     )
-    # Lower orders count the different words before a word, and the different words of a beginning.
+    rest = [F.when(F.col(f"t{c}") > 0, 1 - F.col(f"u{c}") / F.col(f"t{c}")).otherwise(1.0).alias(f"l{c}") for c in range(3)]
+    contexts = materialise(contexts.select("before", "t0", "t1", "t2", *rest), "toxic-context-sums")
     k = [F.sum(F.when(F.col(f"n{c}") > 0, 1).otherwise(0)).alias(f"k{c}") for c in (0, 1)]
-    words = materialise(pairs.groupBy("word").agg(F.min("head").alias("head"), *k), "toxic-words")
+    words = materialise(pairs.groupBy("word").agg(*k, F.count("*").alias("k2")), "toxic-words")
     word_cuts = estimated_discounts(words, ["k0", "k1"])
-    word_sums = _freed(words, ["k0", "k1"], word_cuts)
-    h = [F.sum(F.when(F.col(f"k{c}") > 0, 1).otherwise(0)).alias(f"h{c}") for c in (0, 1)]
-    heads = materialise(words.groupBy("head").agg(*h, F.sum(F.expr("k0 + k1")).alias("k")), "toxic-heads")
-    head_cuts = estimated_discounts(heads, ["h0", "h1"])
-    head_sums = _freed(heads, ["h0", "h1"], head_cuts)
-    both = head_sums[0][0] + head_sums[1][0] + 1
-    shares = [
-        (word_sums[c][1] * ((F.col(f"h{c}") - _cut(f"h{c}", head_cuts[c])) / head_sums[c][0] + head_sums[c][1] * F.expr("h0 + h1") / both))
-        .alias(f"s{c}")
-        for c in (0, 1)
-    ]
-    heads = heads.select("head", "k", *shares)
+    kept = [F.sum(F.when(F.col("k1") > 0, _left(f"k{c}", word_cuts[c])).otherwise(0.0)) for c in (0, 1)]
+    k0, k1, k2, u0, u1 = (float(v or 0) for v in words.agg(F.sum("k0"), F.sum("k1"), F.sum("k2"), *kept).first())
+    totals, over = (max(k0, 1.0), max(k1, 1.0)), (1 - u0 / max(k0, 1.0), 1 - u1 / max(k1, 1.0))
     own = [
-        ((F.col(f"k{c}") - _cut(f"k{c}", word_cuts[c])) / word_sums[c][0] + F.col(f"s{c}") * F.expr("(k0 + k1) / (k + 1)")).alias(f"p{c}")
+        (_left(f"k{c}", word_cuts[c]) / totals[c] + F.col("k2") * (over[c] / max(k2, 1.0))).alias(f"p{c}") for c in (0, 1)
+    ]
+    words = materialise(words.where("k1 > 0").select("word", *own), "toxic-word-shares")
+    full = lookup_join(lookup_join(known, contexts, ["before"], row_bytes=96), words, ["word"], row_bytes=64)
+    shared = _left("n0 + n1", cuts[2]) / F.col("t2")
+    p = [
+        F.when(F.col(f"t{c}") > 0, _left(f"n{c}", cuts[c]) / F.col(f"t{c}")).otherwise(0.0) + F.col(f"l{c}") * (shared + F.col("l2") * F.col(f"p{c}"))
         for c in (0, 1)
     ]
-    words = words.join(heads, "head").select(F.col("word").alias("a"), *own)
-    alone = contexts.join(words, "a", "full").select(
-        "a", F.lit(ALONE).alias("b"),
-        _values(
-            *[F.coalesce(f"t{c}", F.lit(0)) for c in (0, 1)],
-            *[F.when(F.col(f"t{c}") > 0, F.col(f"f{c}") / F.col(f"t{c}")).otherwise(1.0) for c in (0, 1)],
-            *[F.coalesce(f"p{c}", F.lit(0.0)) for c in (0, 1)],
-        ),
-    )
-    model = pairs.select(F.col("before").alias("a"), F.col("word").alias("b"), _values(F.col("n0"), F.col("n1"))).unionByName(alone)
-    model = model.unionByName(heads.select(F.col("head").alias("a"), F.lit(BEGINNING).alias("b"), _values(F.col("s0"), F.col("s1"))))
-    return model, cuts, [word_sums[c][1] * head_sums[c][1] / both for c in (0, 1)]
-
-
-def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the wanted values stand in sorted keys, and whether they do."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), dtype=bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
+    entries = [
+        full.select(_key_column("pair").alias("key"), F.log(p[1] / p[0]).alias("ratio")),
+        contexts.select("before", F.log(F.col("l1") / F.col("l0")).alias("ratio")).withColumn("word", F.lit(0)).select(_key_column("context").alias("key"), "ratio"),
+        words.select("word", F.log(F.col("p1") / F.col("p0")).alias("ratio")).select(_key_column("word").alias("key"), "ratio"),
+    ]
+    model = entries[0].unionByName(entries[1]).unionByName(entries[2]).withColumn("ratio", F.col("ratio").cast("float"))
+    return materialise(model, "toxic-model"), float(np.log(over[1] / over[0])) if k0 and k1 else 0.0
 
 
 class Found:
-    """What the model table holds of a block's pairs, words and beginnings."""
-
-    def __init__(self, rows: list[pa.RecordBatch], cuts: list[tuple[float, ...]], unseen: list[float]) -> None:
-        a, b, lengths, flat = (
-            np.concatenate([np.zeros(0, kind), *parts])
-            for kind, parts in (
-                (np.int64, [np.asarray(r.column("a")) for r in rows]),
-                (np.int64, [np.asarray(r.column("b")) for r in rows]),
-                (np.int64, [np.asarray(r.column("v").value_lengths()) for r in rows]),
-                (np.float32, [np.asarray(r.column("v").flatten()) for r in rows]),
-            )
-        )
-        first = np.cumsum(lengths) - lengths
-
-        def part(which: np.ndarray, keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-            keys, once = np.unique(keys, return_index=True)
-            return keys, flat[first[which][once][:, None] + np.arange(width)].astype(np.float64)
-
-        alone, heads = np.flatnonzero(b == ALONE), np.flatnonzero(b == BEGINNING)
-        self.words, self.of_words = part(alone, a[alone], 6)
-        self.heads, self.of_heads = part(heads, a[heads], 2)
-        pairs = np.flatnonzero((b != ALONE) & (b != BEGINNING))
-        before, word = _places(self.words, a[pairs])[0], _places(self.words, b[pairs])[0]
-        self.pairs, self.of_pairs = part(pairs, before * len(self.words) + word, 2)
-        self.cuts, self.unseen = cuts, unseen
-
-    def log_ratios(self, words: np.ndarray) -> np.ndarray:
-        """Per word, the log of its probability under the toxic model less that under the ordinary one."""
-        before, word, head = words
-        left, left_known = _places(self.words, before)
-        at, known = _places(self.words, word)
-        begun, head_known = _places(self.heads, head)
-        pair, seen = _places(self.pairs, left * len(self.words) + at)
-        seen &= left_known & known
-        logs = []
-        for c in (0, 1):
-            share = np.full(len(word), self.unseen[c])
-            share[head_known] = self.of_heads[begun[head_known], c]
-            share[known] = self.of_words[at[known], 4 + c]
-            share[left_known] *= self.of_words[left[left_known], 2 + c]
-            n = self.of_pairs[pair[seen], c]
-            cut = np.array([0.0, *self.cuts[c]])[np.minimum(n, 3).astype(np.int64)]
-            share[seen] += (n - cut) / np.maximum(self.of_words[left[seen], c], 1)
-            logs.append(np.log(share))
-        return logs[1] - logs[0]
-
-
-class Models:
-    """Two models over ``SLOTS`` hash slots, which ``model_table`` has replaced; only its test uses it."""
-
-    def __init__(self, counts: np.ndarray) -> None:
-        pairs, words, heads = np.split(counts, np.cumsum(SIZES[:-1]), axis=1)
-        self.pairs, self.from_pairs = self._discounted(pairs.reshape(2, CONTEXTS, WORDS))
-        self.words, self.from_words = self._discounted(words)
-        own, freed = self._discounted(heads)
-        shared = heads.sum(axis=0) + np.float32(1)
-        shared /= shared.sum(dtype=np.float64)
-        self.heads = own + freed * shared
-        within = words.sum(axis=0) + np.float32(1)
-        self.within = (within / within.sum(dtype=np.float64)).astype(np.float32)
-        self.shared = shared.astype(np.float32)
-
-    @staticmethod
-    def _discounted(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted shares along the last axis, and the share freed for the lower order; row by
-        row, as the tables are large for a driver."""
-        shares, freed = np.empty(n.shape, np.float32), np.ones((*n.shape[:-1], 1), np.float32)
-        for at in np.ndindex(n.shape[:-1]):
-            row = n[at]
-            cut = np.minimum(np.select([row >= 3, row >= 2], DISCOUNTS[:0:-1], DISCOUNTS[0]), row)
-            total = max(row.sum(dtype=np.float64), 1)
-            shares[at] = (row - cut) / total
-            if row.any():
-                freed[at] = cut.sum() / total
-        return shares, freed
-
-    def log_ratios(self, slots: np.ndarray) -> np.ndarray:
-        """Per word, the log of its probability under the toxic model less that under the ordinary one."""
-        context, word, head = slots
-        share = self.within[word] / self.shared[head]
-        logs = []
-        for own in (0, 1):
-            alone = self.words[own][word] + self.from_words[own] * self.heads[own][head] * share
-            logs.append(np.log(self.pairs[own][context, word] + self.from_pairs[own][context, 0] * alone))
-        return logs[1] - logs[0]
-
-
-def evidence(ratios: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Per text: the mean log ratio of its words, and of its strongest stretch of each length."""
+    """Entries of the model table, ready to be looked up."""
+
+    def __init__(self, keys: np.ndarray, ratios: np.ndarray, other: float) -> None:
+        order = np.argsort(keys)
+        self.keys, self.ratios, self.other = keys[order], ratios[order], other
+
+    def _of(self, wanted: np.ndarray, missing: float) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.full(len(wanted), missing), np.zeros(len(wanted), dtype=bool)
+        # Sorted probes walk the keys in order.
+        values, back = np.unique(wanted, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, values), len(self.keys) - 1)
+        known = self.keys[at] == values
+        return np.where(known, self.ratios[at], missing)[back], known[back]
+
+    def log_ratios(self, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per word, the log of its probability under the toxic model less that under the ordinary one: by
+        pairs, and by words alone."""
+        pair_key, left_key, word_key = keys_of(before, word)
+        alone, _ = self._of(word_key, self.other)
+        pairs, known = self._of(pair_key, 0.0)
+        return np.where(known, pairs, self._of(left_key, 0.0)[0] + alone), alone
+
+
+def evidence(pairs: np.ndarray, alone: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Per text: the mean log ratio of its words by pairs, and that of its strongest stretch of each length by words."""
     out = np.zeros((len(counts), 1 + len(STRETCHES)))
     full = counts > 0
     if not full.any():
         return out
     n = counts[full]
     first = np.cumsum(n) - n
-    sums = np.concatenate([[0.0], np.cumsum(ratios, dtype=np.float64)])
-    out[full, 0] = (sums[first + n] - sums[first]) / n
+    out[full, 0] = np.add.reduceat(pairs, first) / n
+    sums = np.concatenate([[0.0], np.cumsum(alone, dtype=np.float64)])
     for i, length in enumerate(STRETCHES):
         # Stretches that begin at each word; towards a text's end they begin earlier instead.
-        at = np.minimum(np.arange(len(ratios)), np.repeat(np.maximum(first + n - length, first), n))
+        at = np.minimum(np.arange(len(alone)), np.repeat(np.maximum(first + n - length, first), n))
         stop = np.minimum(at + length, np.repeat(first + n, n))
         out[full, 1 + i] = np.maximum.reduceat((sums[stop] - sums[at]) / (stop - at), first)
     return out
@@ -350,6 +258,68 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.append(weights, beta[-1] - weights @ middle)
 
 
+def _evidence_rows(batch: pa.RecordBatch, found: Found) -> Iterator[pa.RecordBatch]:
+    for lo, hi, data, offsets in text_steps(batch.column("text")):
+        before, word, counts = words_of(data, offsets)
+        figures = evidence(*found.log_ratios(before, word), counts)
+        columns = [batch.column(c).slice(lo, hi - lo) for c in ("row", "id")] + [pa.array(c) for c in figures.T]
+        yield pa.RecordBatch.from_arrays(columns, ["row", "id", *NAMES])
+
+
+def _by_broadcast(docs: DataFrame, model: DataFrame, other: float, schema: str) -> DataFrame:
+    table = model.toArrow()
+    sent = docs.sparkSession.sparkContext.broadcast(
+        Found(np.asarray(table.column("key")), np.asarray(table.column("ratio")), other)
+    )
+
+    def rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(table):
+            yield from _evidence_rows(batch, sent.value)
+
+    return docs.mapInArrow(rows, schema)
+
+
+def _in_blocks(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the block they belong to, named after its first row."""
+    block, size = None, 0
+    for batch in batches(table):
+        blocks = []
+        for number, n in zip(batch.column("number").to_pylist(), batch.column("n_bytes").to_pylist(), strict=True):
+            if block is None or size + n > BLOCK_BYTES:
+                block, size = number, 0
+            size += n
+            blocks.append(block)
+        kept = [c for c in batch.schema.names if c not in ("number", "n_bytes")]
+        yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, pa.array(blocks, pa.int64())], [*kept, "block"])
+
+
+def _wanted_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct keys that the texts of a block look up."""
+    for batch in batches(table):
+        blocks = np.asarray(batch.column("block"))
+        cuts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]])
+        for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            for _, _, data, offsets in text_steps(batch.column("text").slice(start, stop - start)):
+                keys = np.unique(np.concatenate(keys_of(*words_of(data, offsets)[:2])))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), blocks[start])), pa.array(keys)], ["place", "key"])
+
+
+def _by_blocks(docs: DataFrame, model: DataFrame, other: float, schema: str) -> DataFrame:
+    numbered = docs.withColumn("number", F.monotonically_increasing_id()).withColumn("n_bytes", F.octet_length("text"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
+    texts = materialise(numbered.mapInArrow(_in_blocks, f"{kinds}, block bigint"), "toxic-texts")
+    wanted = texts.select("block", "text").mapInArrow(_wanted_rows, "place bigint, key bigint").distinct()
+    held = wanted.join(model, "key")
+
+    def rows(own: pa.Table, entries: pa.Table) -> pa.Table:
+        found = Found(np.asarray(entries.column("key")), np.asarray(entries.column("ratio")), other)
+        out = [part for batch in batches(own.to_batches()) for part in _evidence_rows(batch, found)]
+        return pa.Table.from_batches(out)
+
+    score: Callable[[pa.Table, pa.Table], pa.Table] = rows
+    return texts.groupBy("block").cogroup(held.groupBy("place")).applyInArrow(score, schema)
+
+
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -357,53 +327,22 @@ def toxicity(
     text_column: str = "text",
     label_column: str = "toxic",
     row_column: str | None = None,
+    model_bytes: int = MODEL_BYTES,
 ) -> DataFrame:
     """One row per document: id, held_out, score and predicted; with ``row_column``, a long, first that."""
     row = F.lit(None) if row_column is None else F.col(row_column)
     docs = docs.select(row.cast("long").alias("row"), F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("toxic")).dropna()
     known = known.where("toxic in (0, 1)").withColumn("fold", fold_of("id")).where("fold <> 0")
-    known = known.groupBy("id", "fold").agg(F.max("toxic").alias("toxic"))
-    docs = materialise(docs.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)), "toxic-texts")
+    known = materialise(known.groupBy("id", "fold").agg(F.max("toxic").alias("toxic")), "toxic-labels")
     learnt = docs.where((fold_of("id") != 0) & (fold_of("id") != FIT_FOLD))
-    model, cuts, unseen = model_table(learnt.join(known.where(F.col("fold") != FIT_FOLD), "id"))
-    wanted = docs.select("block", "text").mapInArrow(_wanted_rows, "block bigint, a bigint, b bigint")
+    learnt = lookup_join(learnt, known.where(F.col("fold") != FIT_FOLD).select("id", "toxic"), ["id"], row_bytes=64)
+    model, other = model_table(learnt)
     kind = docs.schema["id"].dataType.simpleString()
-    held = wanted.join(model, ["a", "b"]).selectExpr(
-        "block", "false as whole", "a", "b", "v", "cast(null as bigint) as row", f"cast(null as {kind}) as id", "cast(null as string) as text"
-    )
-    texts = docs.selectExpr(
-        "block", "true as whole", "cast(null as bigint) as a", "cast(null as bigint) as b", "cast(null as array<float>) as v",
-        "row", "id", "text",
-    )
-    # In each block first what was found, then the texts.
-    both = held.unionByName(texts).repartition("block").sortWithinPartitions("block", "whole")
-
-    names = ["mean", *(f"top{n}" for n in STRETCHES)]
-
-    def rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts, found = None, [], None
-        for batch in batches(table):
-            keys = np.asarray(batch.column("block")) * 2 + np.asarray(batch.column("whole").cast(pa.int8()))
-            cuts_ = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
-            for start, stop in zip(cuts_[:-1].tolist(), cuts_[1:].tolist(), strict=True):
-                own = batch.slice(start, stop - start)
-                if keys[start] // 2 != block:
-                    block, parts, found = keys[start] // 2, [], None
-                if keys[start] % 2 == 0:
-                    parts.append(own.select(["a", "b", "v"]))
-                    continue
-                if found is None:
-                    found, parts = Found(parts, cuts, unseen), []
-                for lo, hi, data, offsets in text_steps(own.column("text")):
-                    words, counts = words_of(data, offsets)
-                    figures = evidence(found.log_ratios(words), counts)
-                    columns = [own.column(c).slice(lo, hi - lo) for c in ("row", "id")]
-                    columns += [pa.array(c) for c in figures.T]
-                    yield pa.RecordBatch.from_arrays(columns, ["row", "id", *names])
-
-    found = materialise(both.mapInArrow(rows, f"row bigint, id {kind}, {', '.join(f'{n} double' for n in names)}"), "evidence")
-    fit = found.join(known.where(F.col("fold") == FIT_FOLD), "id").select("id", *names, "toxic")
+    schema = f"row bigint, id {kind}, {', '.join(f'{n} double' for n in NAMES)}"
+    scored = _by_broadcast if model.count() * ENTRY_BYTES <= model_bytes else _by_blocks
+    found = materialise(scored(docs, model, other, schema), "evidence")
+    fit = found.join(known.where(F.col("fold") == FIT_FOLD), "id").select("id", *NAMES, "toxic")
     order = F.xxhash64("id")
     sample = [
         r for c in (0, 1) for r in fit.where(F.col("toxic") == c).orderBy(order, "id").limit(FIT_ROWS).collect()
@@ -411,14 +350,14 @@ def toxicity(
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(shares) < 2 or len({r["toxic"] for r in sample}) < 2:
         share = shares.get(1, 0) / max(sum(shares.values()), 1)
-        beta = np.array([0.0] * len(names) + [np.clip(np.log(max(share, 1e-13) / max(1 - share, 1e-13)), -30, 30)])
+        beta = np.array([0.0] * len(NAMES) + [np.clip(np.log(max(share, 1e-13) / max(1 - share, 1e-13)), -30, 30)])
     else:
-        x = np.array([[r[n] for n in names] for r in sample])
+        x = np.array([[r[n] for n in NAMES] for r in sample])
         y = np.array([r["toxic"] for r in sample])
         totals = {r["toxic"]: r["n"] for r in fit.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         weight = np.array([totals[0], totals[1]])[y] / np.bincount(y)[y]
         beta = fit_curve(x, y.astype(float), weight)
-    line = sum((F.col(n) * float(b) for n, b in zip(names, beta[:-1], strict=True)), F.lit(float(beta[-1])))
+    line = sum((F.col(n) * float(b) for n, b in zip(NAMES, beta[:-1], strict=True)), F.lit(float(beta[-1])))
     score = 1 / (1 + F.exp(-line))
     return found.select(
         *([] if row_column is None else [F.col("row").alias(row_column)]),

@@ -1,12 +1,14 @@
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
 from firnspark.llm import toxicity as module
 from firnspark.llm.common import word_hashes
 from firnspark.llm.toxicity import toxicity
-from tests.llm.cases import awkward, awkward_rows, no_rows
+from tests.llm.cases import SF, awkward, awkward_rows, no_rows, words
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -64,16 +66,86 @@ def test_without_labels_or_rows(spark):
     assert toxicity(no_rows(spark), none).collect() == []
 
 
-def test_models_are_distributions():
-    """With one class of contexts the shares of all words sum to one."""
-    counts = np.zeros((2, module.SLOTS), np.float32)
-    draw = np.random.default_rng(0)
-    counts[:, draw.integers(0, module.SLOTS, 5000)] = draw.integers(0, 6, (2, 5000))
-    models = module.Models(counts)
-    for own in (0, 1):
-        assert np.allclose(models.pairs[own].sum(axis=-1) + models.from_pairs[own][:, 0], 1, atol=1e-3)
-        assert np.isclose(models.words[own].sum() + models.from_words[own][0], 1, atol=1e-3)
-        assert np.isclose(models.heads[own].sum(), 1, atol=1e-3)
+def plain_models(rows):
+    """Both models by counting in Python: probabilities of a word after another and alone, by class."""
+    n, k = [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
+    for text, toxic in rows:
+        words = re.findall(r"[a-z0-9]+", text.lower())
+        for pair in set(zip(["", *words], words, strict=False)):
+            n[toxic][pair] += 1
+            n[2][pair] += 1
+    for counts, alone in zip(n, k, strict=True):
+        alone.update(w for _, w in counts)
+    cuts, word_cuts = ([(0.0, *module.discounts_of([sum(x == i for x in c.values()) for i in (1, 2, 3, 4)])) for c in of] for of in (n, k))
+    known, toxic_words = set(n[1]), set(k[1])
+
+    def kept(count, cut):
+        return count - cut[min(count, 3)]
+
+    totals = [Counter() for _ in n]
+    used = [Counter() for _ in n]
+    for c, counts in enumerate(n):
+        for pair, count in counts.items():
+            totals[c][pair[0]] += count
+            used[c][pair[0]] += kept(count, cuts[c]) if pair in known else 0
+    over = [1 - sum(kept(k[c][w], word_cuts[c]) for w in toxic_words) / k[c].total() for c in (0, 1)]
+
+    def alone(c, w):
+        own = kept(k[c][w], word_cuts[c]) / k[c].total() if w in toxic_words else 0
+        return own + over[c] * k[2][w] / k[2].total()
+
+    def after(c, v, w):
+        left = [1 - used[i][v] / totals[i][v] if totals[i][v] else 1 for i in (c, 2)]
+        own = shared = 0
+        if (v, w) in known:
+            own = kept(n[c][v, w], cuts[c]) / totals[c][v] if totals[c][v] else 0
+            shared = kept(n[2][v, w], cuts[2]) / totals[2][v]
+        return own + left[0] * (shared + left[1] * alone(c, w))
+
+    return after, alone, sorted(k[2]), sorted({v for v, _ in n[2]})
+
+
+def test_models_against_counting(spark):
+    """Every probability sums to one over all words, and the table gives the log ratios of the plain models."""
+    rows, labels = corpus(160, seed=8)
+    truth = {i: t for i, _, t in labels}
+    texts = [(t, truth[i]) for i, t in rows]
+    after, alone, words, contexts = plain_models(texts)
+    for c in (0, 1):
+        assert np.isclose(sum(alone(c, w) for w in words), 1)
+        for v in contexts[::25]:
+            assert np.isclose(sum(after(c, v, w) for w in words), 1)
+    model, other = module.model_table(spark.createDataFrame(texts, "text string, toxic int"))
+    table = model.toArrow()
+    found = module.Found(np.asarray(table.column("key")), np.asarray(table.column("ratio")), other)
+    for text, _ in texts[:40]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        pairs, single = found.log_ratios(*module.words_of(data, np.array([0, len(data)]))[:2])
+        own = re.findall(r"[a-z0-9]+", text.lower())
+        before = ["", *own[:-1]]
+        assert np.allclose(single, [np.log(alone(1, w) / alone(0, w)) for w in own], atol=1e-5)
+        assert np.allclose(pairs, [np.log(after(1, v, w) / after(0, v, w)) for v, w in zip(before, own, strict=True)], atol=1e-5)
+
+
+def test_blocks_and_broadcast_agree(spark, monkeypatch):
+    rows, labels = corpus(400)
+    rows += [(9000, None), (9001, ""), (9002, words(3, 5000))]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)
+    whole = {r.doc_id: r.score for r in toxicity(docs, marks).collect()}
+    monkeypatch.setattr(module, "BLOCK_BYTES", 3000)
+    assert {r.doc_id: r.score for r in toxicity(docs, marks, model_bytes=-1).collect()} == whole
+
+
+def test_accuracy_on_the_given_table(spark):
+    """Held-out rows: the ranking, the toxic rows found and the others left alone; likelihoods have a say."""
+    folder = SF.replace("sf0.001", "sf0.1")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    got = toxicity(docs, labels).where("held_out").join(labels.select("doc_id", "toxic"), "doc_id").toPandas()
+    rank = got["score"].rank()
+    toxic = got["toxic"] == 1
+    a, b = int(toxic.sum()), int((~toxic).sum())
+    assert (rank[toxic].sum() - a * (a + 1) / 2) / (a * b) >= 0.95
+    assert got.loc[toxic, "predicted"].mean() >= 0.8 and got.loc[~toxic, "predicted"].mean() <= 0.03
 
 
 def test_bounded_fit_keeps_the_share(spark, monkeypatch):
@@ -91,7 +163,7 @@ def test_bounded_fit_keeps_the_share(spark, monkeypatch):
 
 def test_word_order_is_evidence(spark):
     """Both classes use the same words; only which word follows which tells them apart, and the words
-    before agree in the bits of their hashes that once stood for them."""
+    before agree in some bits of their hashes."""
     draw = random.Random(12)
     left, right = [f"left{i}" for i in range(400)], [f"right{i}" for i in range(40)]
     data = np.frombuffer(" ".join(left).encode(), np.uint8)
