@@ -63,7 +63,7 @@ def test_registered():
     import __spark_entry__ as contract
 
     names = {n.split("_")[0] for n in contract.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and contract.queries()["pipeline"] is corpus_pipeline.run
+    assert names == {f"op{n}" for n in range(1, 14)} and contract.queries()["pipeline"] is corpus_pipeline.run
 
 
 def test_rows_are_judged_on_their_own(spark):
