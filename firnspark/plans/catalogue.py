@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firnspark.functions import aspects, calendar as cal, codes
@@ -14,7 +15,7 @@ from firnspark.schema import ColumnSpec, conform, null_violations, table
 from firnspark.session import materialise, scratch_path
 from firnspark.sources import bulletins, storage
 from firnspark.sources.registry import Registry, deployments, describe_models, linear_payload
-from firnspark.streaming import incremental
+from firnspark.streaming import changes, incremental, winners
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1312,6 +1313,60 @@ def incremental_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(warehouse.table("targets").select(*tables.KEYS, *_SHOWN))
 
 
+class Interrupted(RuntimeError):
+    """Stops a run after its tables are stored and before its checkpoint moves on."""
+
+
+@query(
+    "streamed_targets",
+    sql.with_steps("caic_components", f"SELECT {_KEYS}, {', '.join(_SHOWN)} FROM caic_components"),
+)
+def streamed_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets after three runs of the stream over the change log: the second corrects every landed
+    month and fails once its tables are stored, the third repeats its batch."""
+    root = scratch_path(spark, "warehouse")
+    warehouse = pipeline.Warehouse(spark, root, pipeline.MONTH)
+
+    def fail(*_: object) -> None:
+        raise Interrupted
+
+    for only, after in (("k % 2 = 0", None), ("true", fail), (None, None)):
+        if only:
+            land_by_month(spark, sf_dir, f"{root}/landing", only)
+            changes.report_landed(spark, f"{root}/landing", f"{root}/log")
+        try:
+            changes.run_streamed(
+                warehouse, "CAIC", f"{root}/log", f"{root}/checkpoint", created=standin.created(), lines=True, stored=after
+            )
+        except StreamingQueryException as stopped:
+            if "Interrupted" not in str(stopped):
+                raise
+    return plain(warehouse.table("targets").select(*tables.KEYS, *_SHOWN))
+
+
+@query(
+    "streamed_winners",
+    sql.with_steps(
+        "combined",
+        f"SELECT {_KEYS}, epoch_ms(publish_datetime) AS publish_datetime, epoch_ms(analysis_datetime) AS analysis_datetime, "
+        "area_name, avalanche_summary, problem_type_0 FROM combined QUALIFY row_number() OVER (PARTITION BY region_id, "
+        "forecast_date ORDER BY publish_datetime DESC, analysis_datetime DESC) = 1",
+    ),
+)
+def streamed_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest bulletins after three triggers, to which the bulletins come in no order of time."""
+    root = scratch_path(spark, "winners")
+    rows = materialise(
+        standin.combined(spark, sf_dir).select(
+            *tables.KEYS, "publish_datetime", "analysis_datetime", "area_name", "avalanche_summary", "problem_type_0"
+        )
+    )
+    for part in range(3):
+        rows.where(F.pmod(F.xxhash64("publish_datetime", "region_id"), F.lit(3)) == part).write.mode("append").parquet(f"{root}/landed")
+        winners.run_winners(spark, f"{root}/landed", rows.schema, f"{root}/table", f"{root}/checkpoint")
+    return plain(spark.read.parquet(f"{root}/table").select(*rows.columns))
+
+
 @query(
     "quarantined_store",
     sql.with_steps(
