@@ -101,6 +101,11 @@ def _unreadable(documents: DataFrame, column: str) -> Column:
     return unreadable | F.col(CORRUPT).isNotNull() if CORRUPT in documents.columns else unreadable
 
 
+def unreadable(documents: DataFrame, center: str) -> Column:
+    """Whether no normaliser can take a document."""
+    return _unreadable(documents, PRODUCT_COLUMNS[center])
+
+
 def unreadable_documents(documents: DataFrame, center: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Documents that no normaliser can take, as ``keep`` columns, their text and a message."""
     rest = F.to_json(F.struct(*[c for c in documents.columns if c not in (*keep, CORRUPT)]))

@@ -1367,6 +1367,17 @@ def streamed_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.read.parquet(f"{root}/table").select(*rows.columns))
 
 
+def broken_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NWAC documents of which some are cut short and some have no product type, by landed month."""
+    k, text = F.col("k"), F.col("document")
+    broken = F.when(k % 13 == 0, F.expr("substring(document, 1, 20)")).when(
+        k % 17 == 0, F.regexp_replace(text, '"product_type":"[^"]*",', "")
+    )
+    rows = standin.nwac_documents(spark, sf_dir).withColumn("document", F.coalesce(broken, text))
+    rows = materialise(rows.select(F.trunc("day", "month").alias("landed_date"), "document"))
+    return bulletins.parse_documents(rows, "NWAC", keep=("landed_date",))
+
+
 @query(
     "quarantined_store",
     sql.with_steps(
@@ -1380,16 +1391,10 @@ def streamed_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantined_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows by landed month, and refused ones by what is wrong: texts cut short, documents
     without a product type, and bulletins without a zone."""
-    k, text = F.col("k"), F.col("document")
-    broken = F.when(k % 13 == 0, F.expr("substring(document, 1, 20)")).when(
-        k % 17 == 0, F.regexp_replace(text, '"product_type":"[^"]*",', "")
-    )
-    rows = standin.nwac_documents(spark, sf_dir).withColumn("document", F.coalesce(broken, text))
-    rows = materialise(rows.select(F.trunc("day", "month").alias("landed_date"), "document"))
-    documents = bulletins.parse_documents(rows, "NWAC", keep=("landed_date",))
+    documents = broken_documents(spark, sf_dir)
     warehouse = pipeline.Warehouse(spark, scratch_path(spark, "warehouse"), pipeline.MONTH)
     good, refused = pipeline.checked_rows(documents, "NWAC", created=standin.created(), mode="quarantine")
-    requested = materialise(rows.select(F.lit("NWAC").alias("forecast_center"), "landed_date").distinct())
+    requested = materialise(documents.select(F.lit("NWAC").alias("forecast_center"), "landed_date").distinct())
     warehouse.store_combined(good, requested)
     warehouse.store_quarantine(refused, requested)
     stored = warehouse.table("combined").select("landed_date", F.lit("").alias("problems"))
@@ -1397,6 +1402,23 @@ def quarantined_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(stored.unionByName(bad).groupBy("landed_date", "problems").agg(F.count(F.lit(1)).alias("n")))
 
 
+@query(
+    "refusal_counts",
+    sql.with_steps(
+        "nwac_rows",
+        "SELECT problem, count(*) AS n FROM (SELECT unnest(['missing region_id', 'missing area_id', 'missing polygons']) AS problem "
+        "FROM nwac_rows WHERE area IS NULL AND k % 13 <> 0 AND k % 17 <> 0 UNION ALL "
+        "SELECT 'unreadable document or no product type' FROM bulletin WHERE k % 13 = 0 OR k % 17 = 0) GROUP BY ALL",
+    ),
+)
+def refusal_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each message was given, once a limit of refusals has let the documents pass."""
+    _, refused = pipeline.checked_rows(
+        broken_documents(spark, sf_dir), "NWAC", created=standin.created(), mode="quarantine", refusal_limit=10**9
+    )
+    return refused.select(F.explode("problems").alias("problem")).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "affected_partitions",
     sql.with_steps(

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import itertools
 
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from firnspark.sources.storage import open_store
+
 _text = T.StringType()
 
 
@@ -130,7 +131,7 @@ def land_arrays(df: DataFrame, path: str, day: str = "distribution_date") -> Non
     """
 
     def write(rows) -> None:
-        store, root = fs.FileSystem.from_uri(path)
+        store, root = open_store(path)
         store.create_dir(root, recursive=True)
         for own, group in itertools.groupby(rows, key=lambda row: row[0]):
             with store.open_output_stream(f"{root}/{own}.json") as out:

@@ -12,6 +12,14 @@ from firnspark.operators.lookup import lookup_join, within
 from firnspark.session import materialise
 
 
+def open_store(path: str) -> tuple[fs.FileSystem, str]:
+    """The store and the path within it of a folder or file as Spark names it."""
+    scheme, mark, rest = path.partition("://")
+    # Spark's names of object stores, and those the store library knows.
+    own = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}.get(scheme, scheme)
+    return fs.FileSystem.from_uri(f"{own}{mark}{rest}" if mark else path)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The stored table, or None when nothing was written yet."""
     reader = spark.read.schema(schema) if schema else spark.read
@@ -42,7 +50,7 @@ def _drop_folders(folders: DataFrame) -> None:
 
     def drop(rows) -> None:
         for row in rows:
-            store, path = fs.FileSystem.from_uri(row["folder"])
+            store, path = open_store(row["folder"])
             # A repeated task may find its folders gone.
             with contextlib.suppress(FileNotFoundError):
                 store.delete_dir(path)
@@ -67,11 +75,12 @@ def replace_partitions(
     that ``df`` is cheap to read more than once.
     """
     spark = df.sparkSession
-    incoming = df if materialised else materialise(df)
     stored = read_table(spark, path, df.schema)
     if stored is None:
-        write_partitions(incoming, path, folders)
+        # Read once, so no copy is needed.
+        write_partitions(df, path, folders)
         return
+    incoming = df if materialised else materialise(df)
     requested = materialise(requested.select(*keys).distinct())
     touched = materialise(requested.select(*folders).unionByName(incoming.select(*folders)).distinct())
     # The copy keeps the surviving rows safe while their folders are being replaced.

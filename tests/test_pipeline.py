@@ -183,3 +183,23 @@ def test_deployments(spark):
 def test_missing_registry_is_an_error(spark, tmp_path):
     with pytest.raises(LookupError):
         R.Registry(spark, str(tmp_path / "none")).deployed()
+
+
+def test_documents_are_scanned_once_and_refusals_have_a_limit(spark, tmp_path, monkeypatch):
+    """Every step after the first reads columns, not JSON; too many refusals stop before anything is stored."""
+    from firnspark.sources.bulletins import scan_documents
+
+    land(tmp_path / "landing", DAYS[0], [document(DAYS[0], "Olympics", 1), {"product_type": None}, {"product_type": None}])
+    documents = scan_documents(spark, "NWAC", str(tmp_path / "landing"))
+    reads, write = [], pipeline.materialise
+
+    def watched(df, label="stage"):
+        reads.append("json" in df._jdf.queryExecution().executedPlan().toString().lower())
+        return write(df, label)
+
+    monkeypatch.setattr(pipeline, "materialise", watched)
+    rows, refused = pipeline.checked_rows(documents, "NWAC", mode="quarantine", refusal_limit=2)
+    assert (rows.count(), refused.count()) == (1, 2)
+    assert reads[0] and not any("FileScan json" in df._jdf.queryExecution().executedPlan().toString() for df in (rows, refused))
+    with pytest.raises(pipeline.TooManyRefused, match="2 of 3"):
+        pipeline.checked_rows(documents, "NWAC", mode="quarantine", refusal_limit=1)

@@ -33,3 +33,14 @@ def test_rows_outside_the_request_are_added(spark, tmp_path):
     replace_partitions(first, path, first.select(*keys), keys, ["day"])
     replace_partitions(frame(spark, ("d2", "b", 2)), path, first.select(*keys), keys, ["day"])
     assert contents(spark, path) == [("d2", "b", 2)]
+
+
+def test_names_of_object_stores():
+    """The names Spark uses are understood; nothing is opened."""
+    from pyarrow import fs
+
+    from firnspark.sources.storage import open_store
+
+    store, path = open_store("s3a://bucket/folder/x?region=eu-central-1")
+    assert isinstance(store, fs.S3FileSystem) and path == "bucket/folder/x"
+    assert open_store("file:///tmp/x")[1] == "/tmp/x"
