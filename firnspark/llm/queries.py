@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from firnspark.llm.alignment import aligned
 from firnspark.llm.decontaminate import contaminated
 from firnspark.llm.lexical import ranked
-from firnspark.llm.licenses import scan
+from firnspark.llm.licenses import TEMPLATES, scan
 from firnspark.llm.merkle import edited_fingerprints
 from firnspark.llm.near_dup import near_duplicates
 from firnspark.llm.neighbours import nearest
@@ -87,20 +87,8 @@ QUERIES = {
     )
 }
 
-# The notices, written out: label and words of which nine in ten must stand in one line.
-_NOTICES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license"),
-    ("gpl", "licensed under the gnu general public license version 3"),
-    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "under the terms of the gnu lesser general public license"),
-    ("mpl", "subject to the terms of the mozilla public license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-]
+# The templates of the license scan; the rule that finds them is written anew below.
+_NOTICES = TEMPLATES
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x{7F}]+"
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x{7F}]+"
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -114,18 +102,19 @@ def _places(phrase: str) -> str:
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": f"""
-        with t(label, words) as (select label, list_distinct(string_split(notice, ' '))
+        with t as (select label, len(string_split(notice, ' ')) as size, list_distinct(string_split(notice, ' ')) as words
             from (values {", ".join(f"('{a}', '{b}')" for a, b in _NOTICES)}) v(label, notice)),
         d as (select row_number() over () n, doc_id, {_LOW} as low from documents),
-        w as (select n, doc_id, low, regexp_extract_all(low, '{_WORD}') as w from d),
-        p as (select n, doc_id, len(w) as n_words, {_places("mit license")} as m, {_places("apache license")} as a,
+        w as (select n, doc_id, regexp_extract_all(low, '{_WORD}') as w from d),
+        p as (select n, doc_id, w, len(w) as n_words, {_places("mit license")} as m, {_places("apache license")} as a,
             {_places("general public license")} as g from w),
-        s as (select n, string_split(low, chr(10)) as ls from d),
-        l as (select n, line, list_distinct(regexp_extract_all(ls[line], '{_WORD}')) as words
-            from (select n, ls, unnest(range(1, len(ls) + 1)) as line from s)),
-        k as (select l.n, l.line, t.label, len(list_intersect(l.words, t.words)) / len(t.words) as share from l, t
-            where len(list_intersect(l.words, t.words)) >= ceil(0.9 * len(t.words))),
-        f as (select n, list(distinct label) as more, max(share) as best, count(distinct line) as n_blocks from k group by n)
+        c as (select n, label, words, len(list_intersect(list_distinct(w), words)) as most, w, size from w, t
+            where len(list_intersect(list_distinct(w), words)) >= ceil(0.9 * len(words))),
+        b as (select n, label, words, w[k * size + 1 : k * size + 2 * size] as part
+            from (select *, unnest(range(0, (len(w) - 1) // size + 1)) as k from c)),
+        k as (select n, label, len(list_intersect(list_distinct(part), words)) / len(words) as share from b
+            where len(list_intersect(list_distinct(part), words)) >= ceil(0.9 * len(words))),
+        f as (select n, list(distinct label) as more, max(share) as best, count(*) as n_blocks from k group by n)
         select doc_id, n_words::bigint as n_words, (len(m) + len(a) + len(g))::bigint as n_base,
             list_min(m || a || g)::bigint as first_word, list_max(m || a || g)::bigint as last_word,
             array_to_string(own, ',') as base_labels,

@@ -11,7 +11,7 @@ its content length, and checks the payload's digest.  A truncated member, a miss
 bytes that do not add up or a wrong digest raise ``ValueError``.
 
 A null payload is empty.  A null id is written without one, is always a response and is no one's
-referent.  Rows that repeat the smallest id are all responses.  Line breaks in a url are escaped.
+referent.  Rows that repeat the smallest id are all responses.  Line breaks and per cent signs in a url are escaped.
 A very long payload is inflated in blocks and held once.  Extra columns are ignored.
 """
 
@@ -23,11 +23,11 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from firnspark.llm.common import batches
 from firnspark.session import materialise, scratch_path
+from firnspark.sources.storage import open_store
 
 LEAST_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
@@ -62,7 +62,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         "WARC-Payload-Length": str(len(payload)),
     }
     if url is not None:
-        head["WARC-Target-URI"] = url.replace("%0", "%250").replace("\r", "%0D").replace("\n", "%0A")
+        head["WARC-Target-URI"] = url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
     block = payload
     if refers_to is not None:
         head["WARC-Refers-To"] = f"<urn:page:{refers_to}>"
@@ -73,11 +73,12 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + HEAD_END
 
 
-def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+def write_archives(rows: DataFrame, folder: str, archive_bytes: int | None = None) -> DataFrame:
     """Write (id, url, payload, digest, refers_to) rows; the archives as (path, records)."""
+    most = archive_bytes or ARCHIVE_BYTES
 
     def written(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = open_store(folder)
         store.create_dir(root, recursive=True)
         out, path, records = None, "", 0
 
@@ -94,7 +95,7 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
                 packer = zlib.compressobj(LEVEL, wbits=31)
                 out.write(packer.compress(record(*(v.as_py() for v in values))) + packer.flush())
                 records += 1
-                if out.tell() >= archive_bytes:
+                if out.tell() >= most:
                     yield report()
                     out = None
         if out is not None:
@@ -141,7 +142,7 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
     payload_digest, refers_to and, for responses, the payload."""
 
     def read(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = fs.FileSystem.from_uri(folder)
+        store, _ = open_store(folder)
         for batch in batches(table):
             for path, records in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True):
                 rows, size, seen = [], 0, 0
@@ -152,7 +153,7 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
                         if own and hashlib.sha256(block).hexdigest() != digest:
                             raise ValueError(f"wrong payload digest in {path}")
                         url = head.get("WARC-Target-URI")
-                        url = url and url.replace("%0D", "\r").replace("%0A", "\n").replace("%250", "%0")
+                        url = url and url.replace("%0D", "\r").replace("%0A", "\n").replace("%25", "%")
                         length = int(head["WARC-Payload-Length"])
                         ids = _page(head["WARC-Record-ID"]), _page(head.get("WARC-Refers-To"))
                         rows.append((ids[0], url, head["WARC-Type"], length, digest, ids[1], block if own and payloads else None))
@@ -165,7 +166,10 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
                 if rows:
                     yield _batch(rows)
 
-    one_each = archives.repartition(F.col("path"))
+    # As many tasks as archives: a number given is left alone, however short the list of archives is.
+    n = archives.count()
+    place = Window.orderBy("path")
+    one_each = archives.withColumn("place", F.row_number().over(place)).repartitionByRange(max(n, 1), "place").drop("place")
     return one_each.mapInArrow(
         read,
         "id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary",

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,17 +20,25 @@ def test_against_sql(spark, name):
 
 
 def found(text):
-    """Labels and best containment by comparing every line with every template."""
-    labels, best = set(), 0.0
-    for line in (text or "").translate(LOWER).split("\n"):
-        words = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line))
-        for label, template in TEMPLATES:
-            own = set(template.split())
-            share = len(words & own) / len(own)
+    """Labels and best containment by comparing every window with every template."""
+    labels, best, blocks = set(), 0.0, 0
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    for label, template in TEMPLATES:
+        n, own = len(template.split()), set(template.split())
+        for start in range(0, len(words), n):
+            share = len(own & set(words[start : start + 2 * n])) / len(own)
             if share >= 0.9:
                 labels.add(label)
-                best = max(best, share)
-    return labels, best
+                best, blocks = max(best, share), blocks + 1
+    return labels, best, blocks
+
+
+def wrapped(text, width=60, before="# "):
+    return "\n".join(before + line for line in textwrap.wrap(text, width))
+
+
+def scattered(words, gap):
+    return " ".join(w + " x" * gap for w in words)
 
 
 def test_blocks_against_all_templates(spark):
@@ -40,16 +49,32 @@ def test_blocks_against_all_templates(spark):
         "the terms of the GNU Lesser General\nPublic License", "under the terms of the gnu lesser general public license v3",
         "x " * 5000 + "released under the mit license", "MIT license, Apache License; mit   LICENSE", None, "", "license",
     ]
+    texts += ["word " * (7 * i) + wrapped(template, 20 + 5 * i) + " more words" * i for i, (_, template) in enumerate(TEMPLATES)]
+    texts += [scattered(template.split(), 300) for _, template in TEMPLATES]
     rows = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert len(rows) == len(texts)
     for r in rows:
-        labels, best = found(texts[r.doc_id])
+        labels, best, blocks = found(texts[r.doc_id])
         base = {x for x in r.base_labels.split(",") if x}
         assert {x for x in r.labels.split(",") if x} == base | labels
-        assert r.score == (1.0 if r.n_base else best)
+        assert (r.score, r.n_blocks) == (1.0 if r.n_base else best, blocks)
     by = {r.doc_id: r for r in rows}
     assert (by[11].n_base, by[11].first_word, by[11].last_word, by[11].base_labels) == (3, 0, 4, "apache,mit")
     assert (by[3].n_base, by[3].n_blocks, by[12].n_words, by[12].first_word, by[12].labels) == (1, 0, 0, None, "")
+    for i, (label, _) in enumerate(TEMPLATES):
+        assert label in by[15 + i].labels.split(",")
+        assert label not in by[15 + len(TEMPLATES) + i].labels.split(",")
+
+
+def test_usual_headers(spark):
+    texts = [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+        " * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance",
+        "modify it under the terms of the GNU Lesser\n# General Public License as published",
+    ]
+    rows = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.labels for r in rows] == ["mit", "bsd", "apache", "gpl,lgpl"]
 
 
 def test_scan_takes_awkward_rows(spark):

@@ -5,10 +5,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from firnspark.llm import sharding, url_filter, warc
 from firnspark.llm.sharding import balanced_shards
 from firnspark.llm.url_filter import DigestIndex, judge, key_of, packed_index
+from firnspark.session import materialise, scratch_path
 from tests.llm.cases import awkward, awkward_rows, documents, no_rows, words
 
 
@@ -101,7 +103,7 @@ def test_archives_round_trip(spark, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
     body = words(1, 60)
     pages = [
-        (5, "http://a/?%0A%20", body), (3, "http://b\r\nX: y", body), (9, None, body), (1, "u", "short"), (2, "u", "short"), (4, "u", None),
+        (5, "http://a/?%0A%20", body), (11, "http://a/?x=%250A%25%250D", "z"), (3, "http://b\r\nX: y", body), (9, None, body), (1, "u", "short"), (2, "u", "short"), (4, "u", None),
         (6, "u", ""), (7, "ü", "é" * 300), (8, "u", "WARC/1.1\r\n\r\n" * 30), (None, "n", body), (3, "again", body), (10, "u", words(2, 30_000)),
     ]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "'x' digest", "'y' payload", "'z' id")
@@ -117,6 +119,19 @@ def test_archives_round_trip(spark, monkeypatch):
     assert warc.archived(df.where("false")).collect() == []
 
 
+def test_a_task_for_every_archive(spark, monkeypatch):
+    """Several archives a writing task, and each read by a task of its own."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    pages = spark.createDataFrame([(i, f"u{i}", words(i, 400)) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    folder = scratch_path(spark, "warc")
+    rows = warc.with_referents(pages.withColumnRenamed("page_id", "page").withColumnRenamed("html", "body"), "page", "body")
+    archives = materialise(warc.write_archives(rows, folder))
+    assert archives.count() > 10
+    read = warc.read_archives(archives, folder).withColumn("task", F.spark_partition_id())
+    assert read.count() == 40 and read.select("task").distinct().count() > archives.count() // 2
+    assert read.rdd.getNumPartitions() == archives.count()
+
+
 def archive(*records):
     out = b""
     for r in records:
