@@ -10,12 +10,15 @@ similarity 0.75 exceeds with a chance of about 1e-7.
 
 Pairs within a key are not expanded.  Members are first compared with three agreed
 members of their key; found links merge most of a group.  Then only members of different
-components are compared, and a key with very many of those is divided by pairs of keys, by
-the same pigeonhole (distance 17).  Hopeless pairs are ruled out by their sizes, by a second
-signature of 64 symbols of 2 bits, and by a parity sketch: each shingle toggles one of
+components are compared.  A key with very many of those is divided into blocks: the members of its largest
+component on one side, all others on the other, and every two blocks that can hold a pair meet in one task, so
+the distance found for certain is the same for keys of any size.  Hopeless pairs are ruled out by their sizes, by a
+second signature of 64 symbols of 2 bits (a pair of similarity 0.75 fails it with a chance of about 1e-7), and
+by a parity sketch: each shingle toggles one of
 ``PARITY_BITS`` bits, so two sketches never differ in more bits than the sets differ in
 shingles, and this test loses nothing.  Every link is confirmed on the full sets.
 
+Sets are taken as equal when their sizes and two independent 64-bit sums over their shingles agree.
 Nulls, empty texts: an empty set, linked with nothing.  A null id is linked with nothing.
 Rows repeating an id are one document.  Equal texts are one class from the start.  Ties
 need no rule: a component is named by its smallest id.  Extra columns are ignored.
@@ -31,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from firnspark.llm.common import batches, components, mix64, text_or_empty, text_steps, word_hashes
+from firnspark.operators.lookup import lookup_join
 from firnspark.session import materialise
 
 SHINGLE = 5
@@ -41,7 +45,7 @@ SKETCH = 64
 # Most differing 2-bit symbols of 64 in a pair worth confirming: 12 expected at similarity 0.75, and 6 deviations.
 SKETCH_ERRORS = 31
 PARITY_BITS = 1024
-# Members of one key, still in different components, beyond which the key is divided.
+# Members of one key, still in different components, in a block.
 LARGE_KEY = 8192
 BLOCK = 256
 
@@ -166,17 +170,19 @@ def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _cross_pairs(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Plausible pairs of different components within each key, from rows sorted by key."""
+    """Plausible pairs of different components within each key, from rows sorted by key.  Where rows have
+    a side of 0 or 1, only pairs of both sides count."""
 
     def pairs(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         rows = np.concatenate(held)
         ids, comps, sizes = rows[:, 0], rows[:, 1], rows[:, 2]
-        s1, s2, odd = rows[:, 3].view(np.uint64), rows[:, 4].view(np.uint64), rows[:, 5:].view(np.uint64)
+        s1, s2, side, odd = rows[:, 3].view(np.uint64), rows[:, 4].view(np.uint64), rows[:, 5], rows[:, 6:].view(np.uint64)
         for i in range(0, len(ids), BLOCK):
             for j in range(i, len(ids), BLOCK):
                 a, b = slice(i, i + BLOCK), slice(j, j + BLOCK)
                 near = _differing(s1[a], s1[b]) + _differing(s2[a], s2[b]) <= SKETCH_ERRORS
                 near &= comps[a][:, None] != comps[b][None, :]
+                near &= (side[a][:, None] < 0) | (side[a][:, None] != side[b][None, :])
                 low = np.minimum(sizes[a][:, None], sizes[b][None, :])
                 near &= 100 * low >= SIMILARITY * np.maximum(sizes[a][:, None], sizes[b][None, :])
                 x, y = np.nonzero(near)
@@ -193,7 +199,7 @@ def _cross_pairs(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, key = [], None
     for batch in batches(table):
         keys = np.asarray(batch.column("key"))
-        thin = np.stack([np.asarray(batch.column(c)) for c in ("id", "component", "n", "s1", "s2")], axis=1)
+        thin = np.stack([np.asarray(batch.column(c)) for c in ("id", "component", "n", "s1", "s2", "side")], axis=1)
         odd = np.asarray(batch.column("odd").flatten()).reshape(len(keys), -1)
         rows = np.concatenate([thin, odd], axis=1)
         cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
@@ -239,6 +245,28 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.where(100 * shared >= SIMILARITY * union).select("a", "b")
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """The (key, id, component) rows of large keys, once for every two blocks that they are compared in, with
+    a key for the two and the side a row is on (-1 within one block)."""
+    sizes = materialise(members.groupBy("key", "component").agg(F.count("*").alias("n")), "near-sizes")
+    main = sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("main_n"), F.sum("n").alias("n")
+    )
+    blocks = [f"cast(greatest(1, ceil({n} / {LARGE_KEY})) as bigint)" for n in ("main_n", "(n - main_n)")]
+    main = materialise(main.select("key", "main", F.expr(blocks[0]).alias("main_blocks"), F.expr(blocks[1]).alias("rest_blocks")), "near-mains")
+    held = lookup_join(members, main, ["key"], row_bytes=64)
+    own = "pmod(xxhash64(id), if(component = main, main_blocks, rest_blocks))"
+    rest, others = "sequence(0L, rest_blocks - 1)", "sequence(0L, main_blocks - 1)"
+    met = (
+        f"if(component = main, transform({rest}, x -> named_struct('kind', 0, 'x', own, 'y', x, 'side', 0L)), "
+        f"concat(transform({others}, x -> named_struct('kind', 0, 'x', x, 'y', own, 'side', 1L)), "
+        f"transform({rest}, x -> named_struct('kind', 1, 'x', least(x, own), 'y', greatest(x, own), "
+        "'side', case when x = own then -1L when own < x then 0L else 1L end))))"
+    )
+    held = held.withColumn("own", F.expr(own)).withColumn("met", F.explode(F.expr(met)))
+    return held.select(F.expr("xxhash64(key, met.kind, met.x, met.y)").alias("key"), "id", "component", F.col("met.side").alias("side"))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id (null for a null id) and kept.
 
@@ -280,12 +308,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     open_keys = materialise(open_keys.where("low < high").select("key", "members"), "near-open-keys")
     small = member.join(open_keys.where(F.col("members") <= LARGE_KEY), "key").drop("members")
     large = member.join(open_keys.where(F.col("members") > LARGE_KEY), "key").drop("members")
-    by_text = large.groupBy("id", "component").agg(F.collect_set("key").alias("held"))  # at most one per choice
-    finer = by_text.select(
-        F.expr("explode(flatten(transform(held, x -> transform(filter(held, y -> y & 7 > x & 7), y -> xxhash64(x, y)))))")
-        .alias("key"), "id", "component"
-    )
-    rows = small.select("key", "id", "component").unionByName(finer)
+    rows = small.select("key", "id", "component", F.lit(-1).cast("bigint").alias("side")).unionByName(_in_blocks(large))
     rows = rows.join(sketches.drop("symbols"), "id").repartition("key").sortWithinPartitions("key")
     across = rows.mapInArrow(_cross_pairs, "a bigint, b bigint").distinct().join(tried, ["a", "b"], "left_anti")
     across = materialise(across, "near-rest")

@@ -7,8 +7,8 @@ its successors until one is compatible.  Every bin carries a bitmap of its sourc
 its duplicate clusters; a piece is compatible if neither bitmap has its bit.  Without a
 compatible bin a new one is opened.
 
-Documents are dealt by hash to shards of about ``SHARD_ROWS`` pieces, which are packed side by
-side; a bin never spans shards.  Only ids, sizes, source and cluster travel, never texts.
+Documents are dealt by a hash of their row number to shards of about ``SHARD_ROWS`` pieces, which are packed side
+by side; a bin never spans shards.  Only ids, sizes, source and cluster travel, never texts.
 
 Null and empty texts take one place, the end mark, and belong to no cluster.  A null source or
 cluster conflicts with nothing.  Ties go by id and piece; the tightest bin opened first wins.
@@ -81,13 +81,14 @@ def pack(
     cluster = F.when(text != "", F.xxhash64(text)) if cluster is None else cluster
     items = docs.select(
         F.col(id_column).alias("id"), (F.coalesce(size, F.lit(0)) + 1).cast("long").alias("total"),
-        source.alias("source"), cluster.alias("cluster"), F.xxhash64(F.col(id_column), text).alias("dealt"),
+        source.alias("source"), cluster.alias("cluster"), F.xxhash64(F.monotonically_increasing_id()).alias("dealt"),
     )
+    pieces = items.agg(F.sum(F.ceil(F.col("total") / capacity))).first()[0] or 0
     # A place at each multiple of the capacity; the last piece is what is left.
     items = items.withColumn("first_word", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(capacity).cast("long"))))
     items = items.withColumn("size", F.least(F.lit(capacity), F.col("total") - F.col("first_word")))
     items = items.withColumn("piece", (F.col("first_word") / capacity).cast("long"))
-    shards = -(-docs.count() // SHARD_ROWS) or 1
+    shards = -(-int(pieces) // SHARD_ROWS) or 1
     items = items.withColumn("shard", F.pmod("dealt", F.lit(shards))).drop("total", "dealt")
     kind = items.schema["id"].dataType.simpleString()
     cluster_kind = items.schema["cluster"].dataType

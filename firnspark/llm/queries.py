@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firnspark.llm.alignment import aligned
+from firnspark.llm.common import text_or_empty
 from firnspark.llm.decontaminate import contaminated
 from firnspark.llm.lexical import ranked
 from firnspark.llm.licenses import TEMPLATES, scan
 from firnspark.llm.merkle import edited_fingerprints
 from firnspark.llm.near_dup import near_duplicates
 from firnspark.llm.neighbours import nearest
-from firnspark.llm.packing import pack
+from firnspark.llm.packing import pack, word_count
 from firnspark.llm.sharding import balanced_shards
 from firnspark.llm.suffix_dedup import without_repeats
 from firnspark.llm.toxicity import toxicity
 from firnspark.llm.url_filter import RULES, judge
 from firnspark.llm.warc import archived
+from firnspark.session import materialise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    """Near copies never share a bin: their component is the cluster."""
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", word_count().alias("size"), (text_or_empty() != "").alias("full"))
+    alike = near_duplicates(docs).where("n_shingles > 0").select("doc_id", "component_id").dropna().distinct()
+    sized = materialise(sized.join(alike, "doc_id", "left"), "sized")
+    return pack(sized, size=F.col("size"), cluster=F.when(F.col("full"), F.col("component_id")))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,3 +119,24 @@ def test_parity_sketch_is_a_lower_bound():
         x, y = np.sort(values[: draw.integers(1, 300)]), np.sort(values[draw.integers(0, 299) :])
         odd = near_dup.parity_sketches(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]))
         assert np.bitwise_count(odd[0] ^ odd[1]).sum() <= len(set(x) ^ set(y))
+
+
+def test_blocks_of_a_large_key_hold_every_pair(spark, monkeypatch):
+    """Two members of different components meet in exactly one block; the main component meets only the rest."""
+    monkeypatch.setattr(near_dup, "LARGE_KEY", 4)
+    rows = [(1, i, 100 if i < 30 else 200 + i // 3) for i in range(50)] + [(2, i, i) for i in range(11)] + [(3, 1, 5), (3, 2, 6)]
+    blocks = defaultdict(list)
+    for r in near_dup._in_blocks(spark.createDataFrame(rows, "key long, id long, component long")).collect():
+        blocks[r.key].append(r)
+    met = defaultdict(int)
+    for held in blocks.values():
+        assert max(Counter(r.side for r in held).values()) < 25
+        for i, x in enumerate(held):
+            for y in held[i + 1 :]:
+                if x.component != y.component and (x.side < 0 or x.side != y.side):
+                    met[min(x.id, y.id), max(x.id, y.id), min(x.component, y.component), max(x.component, y.component)] += 1
+    want = set()
+    for key in (1, 2, 3):
+        own = [(i, c) for k, i, c in rows if k == key]
+        want |= {(min(i, j), max(i, j), min(c, d), max(c, d)) for i, c in own for j, d in own if i < j and c != d}
+    assert set(met) == want and set(met.values()) == {1}

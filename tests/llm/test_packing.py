@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from firnspark.llm import packing
 from firnspark.llm.packing import best_fit, pack
-from tests.llm.cases import awkward, awkward_rows, documents, no_rows
+from tests.llm.cases import SF, awkward, awkward_rows, documents, no_rows, words
 
 
 def plain_best_fit(items, capacity):
@@ -86,3 +86,17 @@ def test_clusters_are_exact_beside_nulls(spark):
     docs = documents(spark).unionByName(awkward(spark, clashing=False))
     want = {r.c for r in docs.where("text <> ''").select(F.xxhash64("text").alias("c")).collect()}
     assert {r.cluster for r in pack(docs).collect() if r.cluster is not None} == want
+
+
+def test_near_copies_share_no_bin(spark):
+    """In the registered query the cluster is the component of near duplicates."""
+    from firnspark.llm.near_dup import near_duplicates
+    from firnspark.llm.queries import op1_best_fit_packing
+
+    groups = {r.doc_id: r.component_id for r in near_duplicates(documents(spark)).collect() if r.n_shingles}
+    assert len(set(groups.values())) < len(groups)
+    seen = set()
+    for r in op1_best_fit_packing(spark, SF).collect():
+        assert r.cluster == groups.get(r.doc_id)
+        assert r.cluster is None or (r.shard, r.bin, r.cluster) not in seen
+        seen.add((r.shard, r.bin, r.cluster))
