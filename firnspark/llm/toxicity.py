@@ -109,18 +109,18 @@ def _pair_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["before", "word", "n0", "n1"])
 
 
-def _key_column(kind: str) -> Column:
-    """The model's keys of a frame's columns ``before`` and ``word``."""
-    at = {"pair": 0, "context": 1, "word": 2}[kind]
+def _keyed(rows: DataFrame, kind: int) -> DataFrame:
+    """(key, ratio) of (before, word, ratio) rows: 0 keys them as pairs, 1 as words before others, 2 as words."""
 
-    @F.pandas_udf("bigint")
-    def keys(before, word):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        found = keys_of(before.to_numpy().astype(np.int32), word.to_numpy().astype(np.int64))
-        return pd.Series(found[at])
+    def keyed(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(table):
+            keys = keys_of(np.asarray(batch.column("before")), np.asarray(batch.column("word")))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[kind]), batch.column("ratio")], ["key", "ratio"])
 
-    return keys(F.col("before") if kind != "word" else F.lit(0), F.col("word") if kind != "context" else F.lit(0).cast("bigint"))
+    columns = [
+        F.col(c).cast(k) if c in rows.columns else F.lit(0).cast(k).alias(c) for c, k in (("before", "int"), ("word", "bigint"))
+    ]
+    return rows.select(*columns, F.col("ratio").cast("float")).mapInArrow(keyed, "key bigint, ratio float")
 
 
 def estimated_discounts(counts: DataFrame, names: list[str]) -> list[tuple[float, ...]]:
@@ -177,12 +177,11 @@ def model_table(texts: DataFrame) -> tuple[DataFrame, float]:
         F.when(F.col(f"t{c}") > 0, _left(f"n{c}", cuts[c]) / F.col(f"t{c}")).otherwise(0.0) + F.col(f"l{c}") * (shared + F.col("l2") * F.col(f"p{c}"))
         for c in (0, 1)
     ]
-    entries = [
-        full.select(_key_column("pair").alias("key"), F.log(p[1] / p[0]).alias("ratio")),
-        contexts.select("before", F.log(F.col("l1") / F.col("l0")).alias("ratio")).withColumn("word", F.lit(0)).select(_key_column("context").alias("key"), "ratio"),
-        words.select("word", F.log(F.col("p1") / F.col("p0")).alias("ratio")).select(_key_column("word").alias("key"), "ratio"),
-    ]
-    model = entries[0].unionByName(entries[1]).unionByName(entries[2]).withColumn("ratio", F.col("ratio").cast("float"))
+    model = (
+        _keyed(full.select("before", "word", F.log(p[1] / p[0]).alias("ratio")), 0)
+        .unionByName(_keyed(contexts.select("before", F.log(F.col("l1") / F.col("l0")).alias("ratio")), 1))
+        .unionByName(_keyed(words.select("word", F.log(F.col("p1") / F.col("p0")).alias("ratio")), 2))
+    )
     return materialise(model, "toxic-model"), float(np.log(over[1] / over[0])) if k0 and k1 else 0.0
 
 
@@ -276,7 +275,10 @@ def _by_broadcast(docs: DataFrame, model: DataFrame, other: float, schema: str)
         for batch in batches(table):
             yield from _evidence_rows(batch, sent.value)
 
-    return docs.mapInArrow(rows, schema)
+    found = materialise(docs.mapInArrow(rows, schema), "evidence")
+    # The workers that later stages use need not keep the model.
+    sent.destroy()
+    return found
 
 
 def _in_blocks(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +319,7 @@ def _by_blocks(docs: DataFrame, model: DataFrame, other: float, schema: str) ->
         return pa.Table.from_batches(out)
 
     score: Callable[[pa.Table, pa.Table], pa.Table] = rows
-    return texts.groupBy("block").cogroup(held.groupBy("place")).applyInArrow(score, schema)
+    return materialise(texts.groupBy("block").cogroup(held.groupBy("place")).applyInArrow(score, schema), "evidence")
 
 
 def toxicity(
@@ -341,7 +343,7 @@ def toxicity(
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"row bigint, id {kind}, {', '.join(f'{n} double' for n in NAMES)}"
     scored = _by_broadcast if model.count() * ENTRY_BYTES <= model_bytes else _by_blocks
-    found = materialise(scored(docs, model, other, schema), "evidence")
+    found = scored(docs, model, other, schema)
     fit = found.join(known.where(F.col("fold") == FIT_FOLD), "id").select("id", *NAMES, "toxic")
     order = F.xxhash64("id")
     sample = [
