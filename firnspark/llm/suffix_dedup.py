@@ -37,7 +37,7 @@ from firnspark.session import materialise
 LENGTH = 200
 GRAM = 32
 GRAMS = LENGTH - GRAM + 1  # grams in a window
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 LANE = 256
 STEP = 1 << 18
 # Low bits of the compared values hold the position, so that the leftmost of equal grams wins.
