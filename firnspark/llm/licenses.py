@@ -5,7 +5,7 @@ its line breaks; so n consecutive words are always whole in some block, and word
 meet in one.  A template is found in a block that holds at least ``CONTAINMENT`` of its distinct
 words.  The join is exact:
 
-* prefix: words are ordered by their frequency in all texts, rarest first; a block that misses the
+* prefix: words are ordered by how often they stand between blanks in all texts, rarest first; a block that misses the
   first ``size - overlap + 1`` words of a template cannot reach the overlap, so only blocks around
   one of these words are candidates, by an index from word to templates;
 * position: with the prefix word at a given place in that order, at most the words from there on can
@@ -125,8 +125,9 @@ def scan(
     vocabulary = sorted({w for *_, words in sets for w in words})
     texts = docs.select(id_column, words_of(lowered(text_or_empty(text_column))).alias("words"))
 
-    # One row a template word.
-    counts = texts.select(F.explode(F.expr(f"filter(words, w -> w in ({_members(vocabulary)}))")).alias("word"))
+    # One row a template word.  Any order gives the same result; blanks are enough to tell which words are rare.
+    parts = docs.select(F.split(lowered(text_or_empty(text_column)), " ").alias("parts"))
+    counts = parts.select(F.explode(F.expr(f"filter(parts, w -> w in ({_members(vocabulary)}))")).alias("word"))
     often = {r["word"]: r["count"] for r in counts.groupBy("word").count().collect()}
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (often.get(w, 0), w)))}
     index: dict[str, list[str]] = {}
