@@ -507,6 +507,32 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "landed_arrays",
+    sql.with_steps(
+        "caic",
+        "SELECT CAST(date_trunc('year', distribution_date) AS DATE)::VARCHAR AS landed_date, count(*) AS n, "
+        "CAST(sum(forecast_days_out) AS BIGINT) AS days_out, "
+        "CAST(sum(prevalence_0 + prevalence_1 + prevalence_2) AS BIGINT) AS prevalence_sum FROM caic GROUP BY ALL",
+    ),
+)
+def landed_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as one JSON array a year and read again by ranges of a quarter megabyte."""
+    path = scratch_path(spark, "landing")
+    stored = standin.caic_documents(spark, sf_dir).withColumn("distribution_date", F.trunc("day", "year"))
+    bulletins.land_arrays(stored, path)
+    scanned = bulletins.scan_documents(spark, "CAIC", path, split_bytes=1 << 18)
+    rows = normalise.normalise(scanned, "CAIC", keep=("landed_date",))
+    in_file = rows.where(F.col("landed_date") == F.trunc("distribution_date", "year"))
+    return plain(
+        in_file.groupBy("landed_date").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("forecast_days_out").alias("days_out"),
+            F.sum(F.expr("prevalence_0 + prevalence_1 + prevalence_2")).alias("prevalence_sum"),
+        )
+    )
+
+
 @query(
     "served_documents",
     "SELECT CAST(request_date AS VARCHAR) AS request_date, count(*) AS n, CAST(sum(k) AS BIGINT) AS key_sum FROM "

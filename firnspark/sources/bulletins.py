@@ -6,6 +6,7 @@ import itertools
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from firnspark.sources.arrays import scan_arrays
 from firnspark.sources.storage import open_store
 
 _text = T.StringType()
@@ -85,13 +86,20 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("modified"), "length", landed_day("path").alias("landed_date"))
 
 
-def scan_documents(spark: SparkSession, center: str, path: str | list[str], lines: bool = False) -> DataFrame:
+def scan_documents(
+    spark: SparkSession, center: str, path: str | list[str], lines: bool = False, split_bytes: int | None = None
+) -> DataFrame:
     """One row per bulletin of every landed file.
 
     A file holds one JSON array, as the services deliver it, or with ``lines`` one
-    document per line, as ``land_documents`` writes it; only the latter can be split
-    among tasks.
+    document per line, as ``land_documents`` writes it.  An array is one task, unless
+    ``split_bytes`` lets ranges of that size be read independently (``arrays.scan_arrays``);
+    then an element that cannot be parsed is refused alone and not with its file.
     """
+    if split_bytes is not None:
+        if lines:
+            raise ValueError("files of lines are split without split_bytes")
+        return parse_elements(scan_arrays(spark, path, split_bytes), center)
     return (
         spark.read.schema(read_schema(center))
         .option("multiLine", not lines)
@@ -103,6 +111,13 @@ def scan_documents(spark: SparkSession, center: str, path: str | list[str], line
     )
 
 
+def parse_elements(found: DataFrame, center: str) -> DataFrame:
+    """Bulletins of the (file, document) rows of array files, in the columns of ``scan_documents``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("document", read_schema(center), options)
+    return found.select(parsed.alias("parsed"), landed_day("file").alias("landed_date")).select("parsed.*", "landed_date")
+
+
 def parse_documents(df: DataFrame, center: str, column: str = "document", keep: tuple[str, ...] = ()) -> DataFrame:
     """Bulletins held as JSON text in a table column."""
     parsed = F.from_json(column, document_schema(center))
