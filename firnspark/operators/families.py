@@ -13,7 +13,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from firnspark.functions.codes import ASPECT_MODELS, PROBLEM_MODELS, deployed_release
-from firnspark.operators import evaluate, scoring, training
+from firnspark.operators import evaluate, scoring, training, trees
 
 Years = tuple[int, int]
 
@@ -36,6 +36,15 @@ def _majority_metrics(frame: DataFrame, model: DataFrame, years: Years) -> DataF
     return evaluate.classification_metrics(confusion, ["model_name", *training.GROUP])
 
 
+def _fit_trees(frame: DataFrame, years: Years) -> DataFrame:
+    return trees.fit_trees(training.class_counts(frame), years)
+
+
+def _tree_metrics(frame: DataFrame, model: DataFrame, years: Years) -> DataFrame:
+    confusion = scoring.evaluate_problem_types(training.class_counts(frame), model, years, trees.resolve_by_trees)
+    return evaluate.classification_metrics(confusion, ["model_name", *training.GROUP])
+
+
 def _fit_linear(release: str, frame: DataFrame, years: Years) -> DataFrame:
     return training.fit_linear(training.moments(training.design_rows(frame, release)), years)
 
@@ -47,6 +56,7 @@ def _linear_metrics(release: str, frame: DataFrame, model: DataFrame, years: Yea
 
 FAMILIES: dict[tuple[str, str], ModelFamily] = {
     ("problem_type", "v000"): ModelFamily(_fit_majority, _majority_metrics),
+    ("problem_type", "grown"): ModelFamily(_fit_trees, _tree_metrics),
     **{
         ("aspect", release): ModelFamily(partial(_fit_linear, release), partial(_linear_metrics, release))
         for release in ("v000", "v001")

@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firnspark.functions import aspects, calendar as cal, codes
-from firnspark.operators import evaluate, normalise, scoring, tables, training
+from firnspark.operators import evaluate, normalise, scoring, tables, training, trees
 from firnspark.plans import oracles as sql
 from firnspark.plans import pipeline, standin
 from firnspark.schema import ColumnSpec, conform, null_violations, table
@@ -987,6 +987,20 @@ def majority_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.withColumn("ranked", F.array_join(F.col("ranked").cast("array<string>"), ","))
 
 
+@query(
+    "tree_models",
+    sql.with_steps(
+        "trees",
+        "SELECT region_id, model_year, slot, node, feature, threshold, CAST(ranked[1] AS BIGINT) AS label, n_rows FROM trees",
+    ),
+)
+def tree_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trees grown for four splits."""
+    counts = materialise(training.class_counts(frame_of(spark, sf_dir)))
+    grown = trees.fit_trees(counts, model_years(spark, sf_dir), sql.TREE_DEPTH)
+    return grown.select(*trees.NODE, "feature", "threshold", F.get("ranked", F.lit(0)).cast("long").alias("label"), "n_rows")
+
+
 @query(
     "problem_forecasts",
     sql.with_steps("chained", f"SELECT {_KEYS}, p0, p1, p2 FROM chained"),

@@ -252,6 +252,56 @@ STEPS["majority"] = (
     "SELECT region_id, model_year, slot, level, k0, k1, k2, list(y ORDER BY n DESC, y ASC) AS ranked, "
     "CAST(sum(n) AS BIGINT) AS n_rows FROM cells GROUP BY ALL"
 )
+# Trees of up to ``TREE_DEPTH`` splits: per level the cells, the best splits and the nodes.
+TREE_DEPTH = 4
+_NODE = "region_id, model_year, slot, node"
+STEPS["tree_cells_0"] = (
+    "SELECT region_id, model_year, slot, CAST(1 AS BIGINT) AS node, k0, k1, k2, y, n FROM cells "
+    "WHERE level = CASE WHEN slot = 0 THEN 1 ELSE 3 END"
+)
+NEEDS["tree_cells_0"] = "cells"
+
+
+def tree_level(depth: int) -> None:
+    cells, values, best = f"tree_cells_{depth}", f"tree_values_{depth}", f"tree_best_{depth}"
+    STEPS[values] = f"SELECT {_NODE}, feature, v, y, CAST(sum(n) AS DOUBLE) AS n FROM (" + " UNION ALL ".join(
+        f"SELECT {_NODE}, {i} AS feature, k{i} AS v, y, n FROM {cells}" for i in range(3)
+    ) + ") GROUP BY ALL"
+    STEPS[best] = f"""
+        SELECT {_NODE}, feature, threshold FROM (
+            SELECT {_NODE}, feature, threshold,
+                sum(below * below) / sum(below) + sum(above * above) / sum(above) AS purity
+            FROM (
+                SELECT {", ".join(f"v.{c}" for c in _NODE.split(", "))}, v.feature, c.threshold, v.y,
+                    sum(CASE WHEN v.v < c.threshold THEN v.n ELSE 0 END) AS below,
+                    sum(CASE WHEN v.v > c.threshold THEN v.n ELSE 0 END) AS above
+                FROM {values} v JOIN (
+                    SELECT {_NODE}, feature, (v + lead(v) OVER (PARTITION BY {_NODE}, feature ORDER BY v)) / 2.0 AS threshold
+                    FROM (SELECT DISTINCT {_NODE}, feature, v FROM {values})
+                ) c USING ({_NODE}, feature)
+                WHERE c.threshold IS NOT NULL GROUP BY ALL
+            ) GROUP BY ALL HAVING count(*) > 1
+        ) QUALIFY row_number() OVER (PARTITION BY {_NODE} ORDER BY purity DESC, feature, threshold) = 1"""
+    STEPS[f"tree_cells_{depth + 1}"] = (
+        f"SELECT region_id, model_year, slot, 2 * node + CAST([k0, k1, k2][feature + 1] > threshold AS BIGINT) AS node, "
+        f"k0, k1, k2, y, n FROM {cells} JOIN {best} USING ({_NODE})"
+    )
+    NEEDS[values], NEEDS[best], NEEDS[f"tree_cells_{depth + 1}"] = cells, values, best
+
+
+def tree_nodes(depth: int, last: bool) -> str:
+    split = "CAST(NULL AS INTEGER) AS feature, CAST(NULL AS DOUBLE) AS threshold" if last else "feature, threshold"
+    join = "" if last else f"LEFT JOIN tree_best_{depth} USING ({_NODE})"
+    return f"""SELECT {_NODE}, {split}, ranked, n_rows FROM (
+        SELECT {_NODE}, list(y ORDER BY n DESC, y) AS ranked, CAST(sum(n) AS BIGINT) AS n_rows FROM (
+            SELECT {_NODE}, y, sum(n) AS n FROM tree_cells_{depth} GROUP BY ALL) GROUP BY ALL) {join}"""
+
+
+for _depth in range(TREE_DEPTH):
+    tree_level(_depth)
+STEPS["trees"] = " UNION ALL ".join(tree_nodes(depth, depth == TREE_DEPTH) for depth in range(TREE_DEPTH + 1))
+NEEDS["trees"] = " ".join(f"tree_best_{depth}" for depth in range(TREE_DEPTH)) + f" tree_cells_{TREE_DEPTH}"
+
 # Feature rows of in-season days: yesterday's winners under today's date.
 STEPS["scoring_rows"] = (
     f"SELECT region_id, CAST(forecast_date + 1 AS DATE) AS forecast_date, "
