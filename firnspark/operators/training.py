@@ -12,11 +12,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from firnspark.functions import calendar as cal
 from firnspark.functions.aspects import COMPONENTS, COMPONENT_COLUMNS, ELEVATIONS, SLOTS
 from firnspark.operators.tables import KEYS
+from firnspark.session import materialise
 
 PROBLEM_COLUMNS = [f"problem_type_{slot}" for slot in SLOTS]
 MODEL_FEATURES = PROBLEM_COLUMNS + COMPONENT_COLUMNS
@@ -67,14 +68,33 @@ def test_season(rows: DataFrame, years: tuple[int, int]) -> DataFrame:
     )
 
 
+def expanding_sums(
+    stats: DataFrame, keys: list[str], sums: list[str], years: tuple[int, int], gap: int = 2
+) -> DataFrame:
+    """Sums per key over all seasons up to ``gap`` before each model season, as a range frame.
+
+    Every key gets a row for each model season from its first possible one on, so the frame
+    is asked at seasons the key has no rows of; statistics are not copied to later seasons.
+    """
+    first, last = years
+    stats = materialise(stats.select(*keys, "season_year", *sums))
+    begin = F.greatest(F.min("season_year") + gap, F.lit(first))
+    asked = stats.groupBy(*keys).agg(F.when(begin <= last, F.sequence(begin, F.lit(last))).alias("asked"))
+    grid = asked.select(*keys, F.explode("asked").alias("season_year"), F.lit(True).alias("asked"))
+    frame = Window.partitionBy(*keys).orderBy("season_year").rangeBetween(Window.unboundedPreceding, -gap)
+    rows = stats.withColumn("asked", F.lit(False)).unionByName(grid, allowMissingColumns=True)
+    totals = [F.sum(name).over(frame).alias(name) for name in sums]
+    summed = rows.select(*keys, "season_year", "asked", *totals).where("asked").drop("asked")
+    return summed.withColumnRenamed("season_year", "model_year")
+
+
 def split_counts(frame: DataFrame, years: tuple[int, int]) -> DataFrame:
     """Training and test rows of every region and model season."""
-    counts = frame.groupBy("region_id", "season_year").agg(F.count(F.lit(1)).alias("n"))
-    train = fan_out_training(counts, years).select(*GROUP, F.col("n").alias("n_train"), F.lit(0).alias("n_test"))
-    test = test_season(counts, years).select(*GROUP, F.lit(0).alias("n_train"), F.col("n").alias("n_test"))
-    return train.unionByName(test).groupBy(*GROUP).agg(
-        F.sum("n_train").cast("long").alias("n_train"), F.sum("n_test").cast("long").alias("n_test")
-    )
+    counts = materialise(frame.groupBy("region_id", "season_year").agg(F.count(F.lit(1)).alias("n")))
+    train = expanding_sums(counts, ["region_id"], ["n"], years).withColumnRenamed("n", "n_train")
+    test = test_season(counts, years).select(*GROUP, F.col("n").alias("n_test"))
+    both = train.join(test, GROUP, "full")
+    return both.select(*GROUP, *[F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in ("n_train", "n_test")])
 
 
 # --- majority models of the problem types ---------------------------------------------
@@ -114,7 +134,8 @@ def fit_majority(counts: DataFrame, years: tuple[int, int]) -> DataFrame:
     Problem type 0 looks at yesterday's type 0 alone.  Types 1 and 2 look at all three
     codes; levels 2 and 1 keep the first two and the first code for tuples never seen.
     """
-    windows = fan_out_training(counts, years)
+    cells = ["region_id", "slot", "k0", "k1", "k2", "y"]
+    windows = expanding_sums(counts, cells, ["n"], years)
     k0, k1, k2 = F.col("k0"), F.col("k1"), F.col("k2")
     gone = F.lit(ABSENT).cast("long")
 
@@ -288,7 +309,7 @@ def solve_batch(n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return weights, kept.sum(axis=1)
 
 
-def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def solve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if batch.empty:
             continue
@@ -306,13 +327,9 @@ def fit_linear(per_season: DataFrame, years: tuple[int, int]) -> DataFrame:
     Every row of the input of the solver holds all moments of one model group, so the
     small solves run batch by batch wherever the rows are.
     """
-    summed = (
-        fan_out_training(per_season, years)
-        .groupBy(*GROUP, "slot")
-        .agg(F.sum("n").alias("n"), *[F.expr(f"sum({name}) AS {name}") for name in MOMENTS])
-        .selectExpr(*GROUP, "slot", "n", f"array({', '.join(MOMENTS)}) AS sums")
-    )
-    return summed.mapInPandas(_solve, LINEAR_SCHEMA)
+    summed = expanding_sums(per_season, ["region_id", "slot"], ["n", *MOMENTS], years)
+    packed = summed.selectExpr(*GROUP, "slot", "n", f"array({', '.join(MOMENTS)}) AS sums")
+    return packed.mapInPandas(solve_batches, LINEAR_SCHEMA)
 
 
 def linear_value(weights: str, inputs: list[str]) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firnspark.functions import aspects, calendar as cal, codes
 from firnspark.operators import evaluate, normalise, scoring, tables, training, trees
+from firnspark.operators.statistics import SeasonStatistics, fit_linear_stored
 from firnspark.plans import oracles as sql
 from firnspark.plans import pipeline, standin
 from firnspark.schema import ColumnSpec, conform, null_violations, table
@@ -1096,6 +1097,19 @@ def aspect_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weight_view(linear_of(spark, sf_dir))
 
 
+@query("incremental_training", sql.with_steps("weights", weight_rows("weights")))
+def incremental_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from statistics stored by season: one season is first stored without its even
+    days and then reduced again, alone."""
+    frame = materialise(frame_of(spark, sf_dir))
+    years = model_years(spark, sf_dir)
+    seasons, late = list(range(years[0], years[1] + 1)), sum(years) // 2
+    kept = SeasonStatistics(spark, scratch_path(spark, "statistics"))
+    kept.replace(frame.where((F.col("season_year") != late) | (F.dayofyear("forecast_date") % 2 == 1)), seasons)
+    kept.replace(frame, [late])
+    return weight_view(fit_linear_stored(kept.moments(), years))
+
+
 @query("aspect_models_own_slot", sql.with_steps("weights_own", weight_rows("weights_own")))
 def aspect_models_own_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for the earlier release, which looks at the model's own slot only."""
