@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firnspark.functions import aspects, calendar as cal, codes
-from firnspark.operators import evaluate, normalise, scoring, tables, training, trees
+from firnspark.operators import evaluate, normalise, plugins, scoring, tables, training, trees
 from firnspark.operators.statistics import SeasonStatistics, fit_linear_stored
 from firnspark.plans import oracles as sql
 from firnspark.plans import pipeline, standin
@@ -1013,6 +1013,32 @@ def problem_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scored.select(*tables.KEYS, "p0", "p1", "p2"))
 
 
+@query(
+    "plugin_forecasts",
+    sql.with_steps(
+        "frame spans scoring_rows",
+        f"SELECT {_KEYS}, r.model_year, CAST(m.y AS DOUBLE) AS forecast FROM scoring_rows r JOIN ("
+        "SELECT region_id AS region, model_year, target_problem_type_0 AS y, "
+        + ", ".join(f"CAST(sum(problem_type_{s}) AS DOUBLE) / count(*) AS m{s}" for s in sql.SLOTS)
+        + " FROM frame JOIN spans ON model_year >= season_year + 2 GROUP BY ALL) m "
+        "ON m.region = r.region_id AND m.model_year = r.model_year "
+        "QUALIFY row_number() OVER (PARTITION BY region_id, forecast_date ORDER BY "
+        + " + ".join(f"(problem_type_{s} - m{s}) * (problem_type_{s} - m{s})" for s in sql.SLOTS)
+        + ", m.y) = 1",
+    ),
+)
+def plugin_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of an estimator of another maker, by way of its payloads in the registry."""
+    winners = winners_of(spark, sf_dir)
+    own = plugins.nearest_mean_estimator("problem_type_0", tuple(training.PROBLEM_COLUMNS))
+    store = Registry(spark, scratch_path(spark, "registry"))
+    fitted = plugins.fit_estimator(frame_from(winners), own, model_years(spark, sf_dir))
+    store.register_payloads(fitted, own.model_name, own.release, ",".join(own.features), "run", created=standin.created())
+    models = store.load_payloads(store.deployed(releases={own.model_name: own.release}), own.model_name)
+    rows = plugins.in_season_rows(tables.model_inputs_of(winners))
+    return plain(plugins.score_estimator(rows, models, own).select(*tables.KEYS, "model_year", "forecast"))
+
+
 @query(
     "unscored_days",
     sql.with_steps(

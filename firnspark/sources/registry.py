@@ -104,35 +104,64 @@ class Registry:
             majority.select(*GROUP).distinct(), {n: codes.deployed_release(n) for n in codes.PROBLEM_MODELS}
         )
         aspects = describe_models(linear.select(*GROUP).distinct(), {n: aspect_release for n in codes.ASPECT_MODELS})
-        new = next_versions(problem.unionByName(aspects), self.models())
+        inputs = codes.literal_lookup(MODEL_INPUTS, F.col("model_name"))
+        new = self._numbered(problem.unionByName(aspects), inputs, run_id, metrics, created)
+        version = new.select(*ID, "model_id", "version", "registration")
+        classes = majority_payload(majority).join(version, ID)
+        weights = linear_payload(linear).join(version, ID)
+        classes.write.mode("append").partitionBy("model_year").parquet(self._table("classes"))
+        weights.write.mode("append").partitionBy("model_year").parquet(self._table("weights"))
+        new.write.mode("append").parquet(self._table("models"))
+
+    def _numbered(
+        self, described: DataFrame, inputs: Column, run_id: str, metrics: DataFrame | None, created: Column | None
+    ) -> DataFrame:
+        """Rows of new models with their versions, under a fresh registration id."""
+        new = next_versions(described, self.models())
         if metrics is not None:
             new = new.join(metrics, ID, "left")
         else:
             new = new.withColumn("metrics", F.lit(None).cast("map<string,double>"))
-        new = materialise(
+        return materialise(
             new.withColumns(
                 {
-                    "params": F.create_map(F.lit("inputs"), codes.literal_lookup(MODEL_INPUTS, F.col("model_name"))),
+                    "params": F.create_map(F.lit("inputs"), inputs),
                     "run_id": F.lit(run_id),
                     "created": F.current_timestamp() if created is None else created,
                     "registration": F.lit(uuid.uuid4().hex),
                 }
             )
         )
-        version = new.select(*ID, "model_id", "version", "registration")
-        classes = majority_payload(majority).join(version, ID)
-        weights = linear_payload(linear).join(version, ID)
-        classes.write.mode("append").partitionBy("model_year").parquet(self._table("classes"))
-        weights.write.mode("append").partitionBy("model_year").parquet(self._table("weights"))
+
+    def register_payloads(
+        self,
+        fitted: DataFrame,
+        model_name: str,
+        release: str,
+        inputs: str,
+        run_id: str,
+        metrics: DataFrame | None = None,
+        created: Column | None = None,
+    ) -> None:
+        """Append a new version of (region_id, model_year, n, payload) models whose payload is bytes."""
+        fitted = materialise(fitted)
+        described = describe_models(fitted.select(*GROUP), {model_name: release})
+        new = self._numbered(described, F.lit(inputs), run_id, metrics, created)
+        payloads = fitted.join(new.select(*ID, "model_id", "version", "registration"), GROUP)
+        payloads.write.mode("append").partitionBy("model_year").parquet(self._table("payloads"))
         new.write.mode("append").parquet(self._table("models"))
 
-    def deployed(self, years: tuple[int, int] | None = None) -> DataFrame:
+    def load_payloads(self, deployed: DataFrame, model_name: str) -> DataFrame:
+        """(region_id, model_year, n, payload) of the deployed versions of a model."""
+        return self._payload("payloads", deployed.where(F.col("model_name") == model_name)).select(*GROUP, "n", "payload")
+
+    def deployed(self, years: tuple[int, int] | None = None, releases: dict[str, str] | None = None) -> DataFrame:
         """Newest version of every model at its configured release, of all seasons or from the
-        first to the last of ``years``."""
+        first to the last of ``years``; ``releases`` adds models to the configured ones."""
         models = self.models()
         if models is None:
             raise LookupError(f"no models are registered below {self.path}")
-        wanted = codes.literal_lookup(codes.DEPLOYMENTS, F.col("model_name"))
+        wanted = codes.literal_lookup(codes.DEPLOYMENTS | (releases or {}), F.col("model_name"))
         if years is not None:
             models = models.where(F.col("model_year").between(*years))
         return latest_versions(models).where(F.col("release") == wanted)
