@@ -8,6 +8,8 @@ shuffled before the write.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -134,8 +136,13 @@ def _problem_errors(problems: Column, checks: Callable[[Column], dict[str, Colum
             F.array(*[F.when(part.isNull(), F.lit(message)) for message, part in checks(problem).items()])
         )
 
+    def wrong(problem: Column) -> Column:
+        return present(problem) & reduce(or_, [part.isNull() for part in checks(problem).values()])
+
+    # Messages are only put together where there are some.
     found = F.flatten(F.transform(F.filter(problems, present), messages))
-    return F.coalesce(found, F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    return F.when(F.exists(problems, wrong), F.coalesce(found, none)).otherwise(none)
 
 
 def caic_days(documents: DataFrame, mode: str = "fail", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -376,9 +376,12 @@ _WIDE = "k, " + sql.bulletin_columns()
 
 
 def landed(spark: SparkSession, sf_dir: str, center: str, keep: str = "k") -> DataFrame:
-    """Parsed documents of a centre, stored once as a landing step would."""
+    """Parsed documents of a centre, stored once as a landing step would.
+
+    The joins have dealt the orders evenly, so the texts are written where they are made.
+    """
     build = {"CAIC": standin.caic_documents, "NWAC": standin.nwac_documents}[center]
-    stored = materialise(build(spark, sf_dir).select(keep, "document").hint("rebalance"))
+    stored = materialise(build(spark, sf_dir).select(keep, "document"))
     return bulletins.parse_documents(stored, center, keep=(keep,))
 
 

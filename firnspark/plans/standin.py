@@ -129,13 +129,19 @@ def pick(names: list[str], index: Column) -> Column:
 
 
 def names_of_masks(slot: int, aspects: list[str], elevations: list[str], joiner: str) -> Column:
-    """Names of the set bits of a slot's three masks."""
-    names = ", ".join(
-        f"if(shiftright({elevation}_{slot}, {position}) & 1 = 1, '{aspect}{joiner}{word}', NULL)"
-        for elevation, word in zip(ELEVATIONS, elevations)
-        for position, aspect in enumerate(aspects)
-    )
-    return F.expr(f"array_compact(array({names}))")
+    """Names of the set bits of a slot's three masks, for every four bits from a table of their 16 values."""
+
+    def table(names: list[str]) -> str:
+        lists = [[f"'{name}'" for bit, name in enumerate(names) if value >> bit & 1] for value in range(16)]
+        return ", ".join(f"array({', '.join(own)})" for own in lists)
+
+    parts = []
+    for elevation, word in zip(ELEVATIONS, elevations, strict=True):
+        for low in (0, 4):
+            names = [f"{aspect}{joiner}{word}" for aspect in aspects[low : low + 4]]
+            value = f"cast(shiftright(coalesce({elevation}_{slot}, 0), {low}) & 15 AS int)"
+            parts.append(f"get(array({table(names)}), {value})")
+    return F.expr(f"concat({', '.join(parts)})")
 
 
 def has_problem(slot: int) -> Column:

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The wide tables have up to 142 columns, their moments 164 sums.
     "spark.sql.codegen.maxFields": "1000",
+    # The JVM never compiles a method of more bytecode; such a stage runs as split projections instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -111,17 +111,26 @@ def scan_documents(
     )
 
 
+def once_parsed(parsed: Column) -> Column:
+    """The fields of a parsed text as columns.
+
+    A generator of one row: fields taken from a plain column would each parse the text again,
+    as would every filter that is pushed below it.
+    """
+    return F.inline(F.array(parsed))
+
+
 def parse_elements(found: DataFrame, center: str) -> DataFrame:
     """Bulletins of the (file, document) rows of array files, in the columns of ``scan_documents``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json("document", read_schema(center), options)
-    return found.select(parsed.alias("parsed"), landed_day("file").alias("landed_date")).select("parsed.*", "landed_date")
+    days = found.select("document", landed_day("file").alias("landed_date"))
+    return days.select(once_parsed(parsed), "landed_date")
 
 
 def parse_documents(df: DataFrame, center: str, column: str = "document", keep: tuple[str, ...] = ()) -> DataFrame:
     """Bulletins held as JSON text in a table column."""
-    parsed = F.from_json(column, document_schema(center))
-    return df.select(*keep, parsed.alias("parsed")).select(*keep, "parsed.*")
+    return df.select(*keep, once_parsed(F.from_json(column, document_schema(center))))
 
 
 def land_documents(df: DataFrame, path: str, day: str = "distribution_date") -> None:

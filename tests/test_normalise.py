@@ -177,3 +177,14 @@ def test_landing_replaces_days(spark, tmp_path):
         B.land_documents(docs, path)
     scanned = B.scan_documents(spark, "CAIC", path, lines=True)
     assert [(r.areaId, r.landed_date) for r in scanned.collect()] == [("a2", dt.date(2023, 11, 5))]
+
+
+@pytest.mark.parametrize("center, document", [("CAIC", caic()), ("NWAC", nwac())])
+def test_texts_are_parsed_once(spark, center, document):
+    texts = spark.createDataFrame([(1, json.dumps(document)), (2, None)], "k int, document string")
+    parsed = B.parse_documents(texts, center, keep=("k",))
+    assert {row.k: all(value is None for value in row[1:]) for row in parsed.collect()} == {1: False, 2: True}
+    good, _ = N.split_quarantine(N.normalise(parsed, center, mode="quarantine", keep=("k",)))
+    assert good.count() == len(rows(spark, center, document))
+    # The plan names the parser once for every time that it runs.
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
