@@ -134,14 +134,15 @@ def parse_documents(df: DataFrame, center: str, column: str = "document", keep:
 
 
 def land_documents(df: DataFrame, path: str, day: str = "distribution_date") -> None:
-    """Write documents as JSON lines, replacing the days present in ``df``.
+    """Write documents as compressed JSON lines, replacing the days present in ``df``.
 
-    The rebalance hint lets AQE split a day that holds much of the data.
+    The rebalance hint lets AQE split a day that holds much of the data, so every file is read by one task.
     """
     (
         df.hint("rebalance", day)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "gzip")
         .partitionBy(day)
         .json(path)
     )

@@ -188,3 +188,10 @@ def test_texts_are_parsed_once(spark, center, document):
     assert good.count() == len(rows(spark, center, document))
     # The plan names the parser once for every time that it runs.
     assert good._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_landed_lines_are_compressed(spark, tmp_path):
+    docs = documents(spark, "CAIC", caic()).selectExpr("*", "date '2023-11-05' AS distribution_date")
+    B.land_documents(docs, str(tmp_path / "landing"))
+    landed = [file for file in (tmp_path / "landing").rglob("part-*")]
+    assert landed and all(file.name.endswith(".json.gz") for file in landed)
