@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import itertools
+import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
+from firnspark.session import materialise, scratch_path
 from firnspark.sources.arrays import scan_arrays
 from firnspark.sources.storage import open_store
 
 _text = T.StringType()
+# Bytes copied at once into an array file, and how many tasks do so.
+COPIED = 1 << 20
+LANDING_TASKS = 1000
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
@@ -152,20 +160,42 @@ def land_arrays(df: DataFrame, path: str, day: str = "distribution_date") -> Non
     """Write (day, document text) rows as the services deliver them: one JSON array per day in
     ``<day>.json``, replacing a file of that name.
 
-    A day is one file and so one task; documents are streamed into it.
+    The rebalance hint lets AQE split a day that holds much of the data, so that no task sorts more than a
+    part of it; the parts are written side by side.  A day is one file and so one task, which copies its
+    parts into it block by block.
     """
+    pieces = scratch_path(df.sparkSession, "pieces")
 
-    def write(rows) -> None:
-        store, root = open_store(path)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = open_store(pieces)
         store.create_dir(root, recursive=True)
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         for own, group in itertools.groupby(rows, key=lambda row: row[0]):
+            name = f"{own}-{uuid.uuid4().hex}"
+            with store.open_output_stream(f"{root}/{name}", buffer_size=COPIED) as out:
+                for n, (_, text) in enumerate(group):
+                    out.write(("," if n else "").encode() + text.encode())
+            yield pa.RecordBatch.from_pylist([{"day": own, "piece": name}])
+
+    def join(rows: Iterator[Row]) -> None:
+        (store, root), (source, held) = open_store(path), open_store(pieces)
+        store.create_dir(root, recursive=True)
+        for own, names in rows:
             with store.open_output_stream(f"{root}/{own}.json") as out:
-                for n, row in enumerate(group):
-                    out.write(("," if n else "[").encode() + row[1].encode())
+                for n, name in enumerate(names):
+                    out.write(b"," if n else b"[")
+                    with source.open_input_stream(f"{held}/{name}") as part:
+                        while block := part.read(COPIED):
+                            out.write(block)
                 out.write(b"]")
 
-    chosen = df.select(F.col(day).cast("string"), "document").where(F.col(day).isNotNull())
-    chosen.repartition(F.col(day)).sortWithinPartitions(day).foreachPartition(write)
+    chosen = df.select(F.col(day).cast("string").alias("day"), "document").where("day is not null")
+    parts = chosen.hint("rebalance", "day").sortWithinPartitions("day").mapInArrow(write, "day string, piece string")
+    days = materialise(materialise(parts, "pieces-of-days").groupBy("day").agg(F.collect_list("piece").alias("pieces")))
+    days.repartitionByRange(max(1, min(days.count(), LANDING_TASKS)), "day").foreachPartition(join)
+    store, root = open_store(pieces)
+    if store.get_file_info(root).type == fs.FileType.Directory:
+        store.delete_dir(root)
 
 
 def corrupt_documents(documents: DataFrame) -> DataFrame:
