@@ -5,15 +5,16 @@ word is told by 32 bits.  Spark gathers, over all labelled rows of the folds lea
 texts of each class every pair of a word and the word before it occurs: a table that grows with the
 input.  From it come, per class c,
 
-* pairs: P_c(w | v) = (n_c(v, w) - D) / n_c(v) + l_c(v) * S_c(w | v), for the pairs that toxic texts
-  hold; what the discounts and all other pairs leave over, l_c(v), goes to the shared backoff
-  S_c(w | v) = (n(v, w) - D) / n(v) + g(v) * P_c(w) from the counts of both classes together;
+* pairs: P_c(w | v) = (n_c(v, w) - D) / n_c(v) + l_c(v) * S_c(w | v); what the discounts leave over, l_c(v),
+  goes to the shared backoff S_c(w | v) = (n(v, w) - D) / n(v) + g(v) * P_c(w) from the counts of both
+  classes together;
 * words: P_c(w) = (k_c(w) - D) / K_c + L_c * k(w) / K, k being the number of different words before w.
 
 Both are distributions.  Discounts are estimated from the counts of counts of each class, and of both
-together, and stay below the count.  Words and pairs that no toxic text holds differ between the classes
-by factors that do not depend on them, so only what toxic texts hold has to be looked up: the model is a table of (key,
-log ratio).  Up to ``MODEL_BYTES`` it is broadcast and texts are scored where they are.  Beyond, texts are taken
+together, and stay below the count.  The model is a table of (key, log ratio) of every pair, word before others
+and word that a text learnt from holds; a pair in none differs between the classes by factors of its two
+words, a word in none by one factor.  ``pruned`` models keep only pairs and words that toxic texts hold and leave the
+mass of all others over.  Up to ``MODEL_BYTES`` it is broadcast and texts are scored where they are.  Beyond, texts are taken
 in blocks of about ``BLOCK_BYTES``; the distinct keys of each block are joined with the table and meet the
 block's texts in one task.  Both ways give the same figures.
 
@@ -144,33 +145,35 @@ def _left(name: str, discounts: tuple[float, ...]) -> Column:
     return n - F.when(n >= 3, discounts[2]).when(n >= 2, discounts[1]).when(n >= 1, discounts[0]).otherwise(0.0)
 
 
-def model_table(texts: DataFrame) -> tuple[DataFrame, float]:
+def model_table(texts: DataFrame, pruned: bool = True) -> tuple[DataFrame, float]:
     """The two models as a table of (key, ratio), gathered from (text, toxic) rows by Spark, and the log ratio of
-    words that no toxic text holds.  A pair's ratio is that of its probabilities; that of a word before others
+    words that are not in it.  A pair's ratio is that of its probabilities; that of a word before others
     holds for its other pairs, on top of the word's own."""
     pairs = texts.select("text", "toxic").mapInArrow(_pair_rows, "before int, word bigint, n0 bigint, n1 bigint")
     pairs = materialise(pairs.groupBy("before", "word").agg(F.sum("n0").cast("int").alias("n0"), F.sum("n1").cast("int").alias("n1")), "toxic-pairs")
     sides = ["n0", "n1", "n0 + n1"]
     cuts = estimated_discounts(pairs, sides)
-    known = pairs.where("n1 > 0")
-    # Words before others: all their counts, and what their pairs in toxic texts keep of these.
-    contexts = lookup_join(pairs, materialise(known.select("before").distinct(), "toxic-contexts"), ["before"], "left_semi", row_bytes=48)
+    known, contexts, held, own_words = pairs, pairs, F.lit(True), F.lit(True)
+    if pruned:
+        known, held, own_words = pairs.where("n1 > 0"), F.col("n1") > 0, F.col("k1") > 0
+        contexts = lookup_join(pairs, materialise(known.select("before").distinct(), "toxic-contexts"), ["before"], "left_semi", row_bytes=48)
+    # Words before others: all their counts, and what their pairs keep of these.
     contexts = contexts.groupBy("before").agg(
         *[F.sum(F.expr(n)).alias(f"t{c}") for c, n in enumerate(sides)],
-        *[F.sum(F.when(F.col("n1") > 0, _left(n, cut)).otherwise(0.0)).alias(f"u{c}") for c, (n, cut) in enumerate(zip(sides, cuts, strict=True))],
+        *[F.sum(F.when(held, _left(n, cut)).otherwise(0.0)).alias(f"u{c}") for c, (n, cut) in enumerate(zip(sides, cuts, strict=True))],
     )
     rest = [F.when(F.col(f"t{c}") > 0, 1 - F.col(f"u{c}") / F.col(f"t{c}")).otherwise(1.0).alias(f"l{c}") for c in range(3)]
     contexts = materialise(contexts.select("before", "t0", "t1", "t2", *rest), "toxic-context-sums")
     k = [F.sum(F.when(F.col(f"n{c}") > 0, 1).otherwise(0)).alias(f"k{c}") for c in (0, 1)]
     words = materialise(pairs.groupBy("word").agg(*k, F.count("*").alias("k2")), "toxic-words")
     word_cuts = estimated_discounts(words, ["k0", "k1"])
-    kept = [F.sum(F.when(F.col("k1") > 0, _left(f"k{c}", word_cuts[c])).otherwise(0.0)) for c in (0, 1)]
+    kept = [F.sum(F.when(own_words, _left(f"k{c}", word_cuts[c])).otherwise(0.0)) for c in (0, 1)]
     k0, k1, k2, u0, u1 = (float(v or 0) for v in words.agg(F.sum("k0"), F.sum("k1"), F.sum("k2"), *kept).first())
     totals, over = (max(k0, 1.0), max(k1, 1.0)), (1 - u0 / max(k0, 1.0), 1 - u1 / max(k1, 1.0))
     own = [
         (_left(f"k{c}", word_cuts[c]) / totals[c] + F.col("k2") * (over[c] / max(k2, 1.0))).alias(f"p{c}") for c in (0, 1)
     ]
-    words = materialise(words.where("k1 > 0").select("word", *own), "toxic-word-shares")
+    words = materialise(words.where(own_words).select("word", *own), "toxic-word-shares")
     full = lookup_join(lookup_join(known, contexts, ["before"], row_bytes=96), words, ["word"], row_bytes=64)
     shared = _left("n0 + n1", cuts[2]) / F.col("t2")
     p = [
@@ -330,6 +333,7 @@ def toxicity(
     label_column: str = "toxic",
     row_column: str | None = None,
     model_bytes: int = MODEL_BYTES,
+    pruned: bool = False,
 ) -> DataFrame:
     """One row per document: id, held_out, score and predicted; with ``row_column``, a long, first that."""
     row = F.lit(None) if row_column is None else F.col(row_column)
@@ -339,7 +343,7 @@ def toxicity(
     known = materialise(known.groupBy("id", "fold").agg(F.max("toxic").alias("toxic")), "toxic-labels")
     learnt = docs.where((fold_of("id") != 0) & (fold_of("id") != FIT_FOLD))
     learnt = lookup_join(learnt, known.where(F.col("fold") != FIT_FOLD).select("id", "toxic"), ["id"], row_bytes=64)
-    model, other = model_table(learnt)
+    model, other = model_table(learnt, pruned)
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"row bigint, id {kind}, {', '.join(f'{n} double' for n in NAMES)}"
     scored = _by_broadcast if model.count() * ENTRY_BYTES <= model_bytes else _by_blocks

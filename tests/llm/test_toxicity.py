@@ -201,3 +201,62 @@ def test_rare_expressions_are_evidence(spark):
     truth = {i: t for i, _, t in labels}
     got = toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)).collect()
     assert np.mean([r.predicted == truth[r.doc_id] for r in got if r.held_out]) > 0.9
+
+
+def whole_models(rows):
+    """Both models by counting in Python, with every pair and word of either class: probabilities of a word after
+    another and alone, by class."""
+    n, k = [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
+    for text, toxic in rows:
+        own = re.findall(r"[a-z0-9]+", text.lower())
+        for pair in set(zip(["", *own], own, strict=False)):
+            n[toxic][pair] += 1
+            n[2][pair] += 1
+    for counts, alone in zip(n, k, strict=True):
+        alone.update(w for _, w in counts)
+    cuts, word_cuts = ([(0.0, *module.discounts_of([sum(x == i for x in c.values()) for i in (1, 2, 3, 4)])) for c in of] for of in (n, k))
+    totals = [Counter() for _ in n]
+    spared = [Counter() for _ in n]
+    for c, counts in enumerate(n):
+        for (v, _), count in counts.items():
+            totals[c][v] += count
+            spared[c][v] += cuts[c][min(count, 3)]
+    over = [sum(word_cuts[c][min(x, 3)] for x in k[c].values()) / k[c].total() for c in (0, 1)]
+
+    def alone(c, w):
+        return (k[c][w] - word_cuts[c][min(k[c][w], 3)]) / k[c].total() + over[c] * k[2][w] / k[2].total()
+
+    def after(c, v, w):
+        found = alone(c, w)
+        for i in (2, c):
+            if totals[i][v]:
+                count = n[i][v, w]
+                found = (count - cuts[i][min(count, 3)]) / totals[i][v] + spared[i][v] / totals[i][v] * found
+        return found
+
+    return after, alone, sorted(k[2]), sorted({v for v, _ in n[2]})
+
+
+def test_whole_models_against_counting(spark, monkeypatch):
+    """The operator's models hold the pairs and words of ordinary texts as well as those of toxic ones."""
+    rows, labels = corpus(160, seed=8)
+    truth = {i: t for i, _, t in labels}
+    learnt = [(t, truth[i]) for i, t in rows if zlib.crc32(str(i).encode()) % 5 not in (0, module.FIT_FOLD)]
+    after, alone, words, contexts = whole_models(learnt)
+    for c in (0, 1):
+        assert np.isclose(sum(alone(c, w) for w in words), 1)
+        for v in contexts[::25]:
+            assert np.isclose(sum(after(c, v, w) for w in words), 1)
+    made, make = [], module.model_table
+    monkeypatch.setattr(module, "model_table", lambda *options: made.append(make(*options)) or made[0])
+    toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS))
+    model, other = made[0]
+    table = model.toArrow()
+    found = module.Found(np.asarray(table.column("key")), np.asarray(table.column("ratio")), other)
+    for text, _ in learnt[:40]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        pairs, single = found.log_ratios(*module.words_of(data, np.array([0, len(data)]))[:2])
+        own = re.findall(r"[a-z0-9]+", text.lower())
+        before = ["", *own[:-1]]
+        assert np.allclose(single, [np.log(alone(1, w) / alone(0, w)) for w in own], atol=1e-5)
+        assert np.allclose(pairs, [np.log(after(1, v, w) / after(0, v, w)) for v, w in zip(before, own, strict=True)], atol=1e-5)
