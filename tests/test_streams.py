@@ -99,3 +99,17 @@ def test_stored_table_decides_once_state_is_gone(spark, tmp_path):
     again = spark.createDataFrame([bulletin(0, 8, "newest"), bulletin(0, 8, "newest")], ROWS)
     winners.store_newest(spark, again, str(tmp_path / "table"))
     assert spark.read.parquet(str(tmp_path / "table")).where(F.col("note") == "newest").count() == 1
+
+
+def test_streamed_query_makes_its_documents_once(spark, tmp_path, monkeypatch):
+    from firnspark.plans import catalogue, pipeline, standin
+
+    made, landed = [], []
+    text = '{"type": "avalancheForecast", "areaId": "a"}'
+    rows = spark.createDataFrame([(k, dt.date(2023, 11, 5), text) for k in range(4)], "k long, day date, document string")
+    monkeypatch.setattr(standin, "caic_documents", lambda *_: made.append(1) or rows)
+    monkeypatch.setattr(catalogue.changes, "report_landed", lambda _, path, log: landed.append(spark.read.json(path).count()))
+    monkeypatch.setattr(catalogue.changes, "run_streamed", lambda *_, **options: None)
+    monkeypatch.setattr(pipeline.Warehouse, "table", lambda *_: spark.range(0).selectExpr(*[f"0 AS {c}" for c in (*catalogue.tables.KEYS, *catalogue._SHOWN)]))
+    assert catalogue.streamed_targets(spark, str(tmp_path)).count() == 0
+    assert landed == [2, 4] and len(made) == 1
