@@ -304,9 +304,10 @@ def _wanted_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = np.asarray(batch.column("block"))
         cuts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]])
         for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            for _, _, data, offsets in text_steps(batch.column("text").slice(start, stop - start)):
-                keys = np.unique(np.concatenate(keys_of(*words_of(data, offsets)[:2])))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), blocks[start])), pa.array(keys)], ["place", "key"])
+            texts = batch.column("text").slice(start, stop - start)
+            found = [np.unique(np.concatenate(keys_of(*words_of(data, offsets)[:2]))) for _, _, data, offsets in text_steps(texts)]
+            keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), blocks[start])), pa.array(keys)], ["place", "key"])
 
 
 def _by_blocks(docs: DataFrame, model: DataFrame, other: float, schema: str) -> DataFrame:
