@@ -14,9 +14,12 @@ Both are distributions.  Discounts are estimated from the counts of counts of ea
 together, and stay below the count.  The model is a table of (key, log ratio) of every pair, word before others
 and word that a text learnt from holds; a pair in none differs between the classes by factors of its two
 words, a word in none by one factor.  ``pruned`` models keep only pairs and words that toxic texts hold and leave the
-mass of all others over.  Up to ``MODEL_BYTES`` it is broadcast and texts are scored where they are.  Beyond, texts are taken
-in blocks of about ``BLOCK_BYTES``; the distinct keys of each block are joined with the table and meet the
-block's texts in one task.  Both ways give the same figures.
+mass of all others over.  Up to ``MODEL_BYTES`` it is broadcast and texts are scored where they are.  Beyond, it is kept as
+a row for each range of keys, texts are taken in blocks of about ``BLOCK_BYTES``, the distinct keys of each block are asked
+from their ranges, and what these answer meets the block's texts in one task.  Both ways give the same figures.
+
+Disk: a larger model is made in ``SLICES`` and asked in ``ROUNDS``, each of which takes every row whose hash falls to it;
+copies and shuffle files of one are gone before the next begins.
 
 A text's evidence is the difference of its log-likelihoods under the two pair models divided by its
 number of words, and the highest mean difference under the word models among its stretches of
@@ -35,14 +38,15 @@ columns are ignored.  Very long texts are one array step, and one block, each.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firnspark.llm.common import IS_SYMBOL, LOWER, batches, mix64, span_hashes, text_or_empty, text_steps, word_spans
-from firnspark.operators.lookup import lookup_join
-from firnspark.session import materialise
+from firnspark.operators.lookup import fits_broadcast, lookup_join
+from firnspark.session import discard, gathered, materialise
 
 STRETCHES = (1, 4, 16)
 FIT_ROWS = 20_000
@@ -50,9 +54,15 @@ FOLDS = 5
 FIT_FOLD = 4
 RIDGE = 0.5
 # A model of at most this size is broadcast; an entry is a key and a ratio.
-MODEL_BYTES, ENTRY_BYTES = 64 << 20, 12
+MODEL_BYTES, ENTRY_BYTES = 16 << 20, 12
 # Texts of a block, for which a larger model is joined as one.
 BLOCK_BYTES = 8 << 20
+# What is on disk at a time: a larger model is made in so many slices, and asked in so many rounds of texts.
+SLICES, ROUNDS = 4, 10
+# Ranges of keys that a larger model is cut into: so many, and more where these would hold more entries than this.
+RANGES, RANGE_ENTRIES = 1 << 7, 1 << 20
+
+stored = partial(materialise, drop_shuffles=True)
 # What a key is of.
 PAIR, CONTEXT, WORD = (np.uint64(n) for n in (1, 2, 3))
 # Sampled classes of the curve, and the columns of evidence.
@@ -150,7 +160,7 @@ def model_table(texts: DataFrame, pruned: bool = True) -> tuple[DataFrame, float
     words that are not in it.  A pair's ratio is that of its probabilities; that of a word before others
     holds for its other pairs, on top of the word's own."""
     pairs = texts.select("text", "toxic").mapInArrow(_pair_rows, "before int, word bigint, n0 bigint, n1 bigint")
-    pairs = materialise(pairs.groupBy("before", "word").agg(F.sum("n0").cast("int").alias("n0"), F.sum("n1").cast("int").alias("n1")), "toxic-pairs")
+    pairs = stored(pairs.groupBy("before", "word").agg(F.sum("n0").cast("int").alias("n0"), F.sum("n1").cast("int").alias("n1")), "toxic-pairs")
     sides = ["n0", "n1", "n0 + n1"]
     cuts = estimated_discounts(pairs, sides)
     known, contexts, held, own_words = pairs, pairs, F.lit(True), F.lit(True)
@@ -163,9 +173,9 @@ def model_table(texts: DataFrame, pruned: bool = True) -> tuple[DataFrame, float
         *[F.sum(F.when(held, _left(n, cut)).otherwise(0.0)).alias(f"u{c}") for c, (n, cut) in enumerate(zip(sides, cuts, strict=True))],
     )
     rest = [F.when(F.col(f"t{c}") > 0, 1 - F.col(f"u{c}") / F.col(f"t{c}")).otherwise(1.0).alias(f"l{c}") for c in range(3)]
-    contexts = materialise(contexts.select("before", "t0", "t1", "t2", *rest), "toxic-context-sums")
+    contexts = stored(contexts.select("before", "t0", "t1", "t2", *rest), "toxic-context-sums")
     k = [F.sum(F.when(F.col(f"n{c}") > 0, 1).otherwise(0)).alias(f"k{c}") for c in (0, 1)]
-    words = materialise(pairs.groupBy("word").agg(*k, F.count("*").alias("k2")), "toxic-words")
+    counts = words = stored(pairs.groupBy("word").agg(*k, F.count("*").alias("k2")), "toxic-words")
     word_cuts = estimated_discounts(words, ["k0", "k1"])
     kept = [F.sum(F.when(own_words, _left(f"k{c}", word_cuts[c])).otherwise(0.0)) for c in (0, 1)]
     k0, k1, k2, u0, u1 = (float(v or 0) for v in words.agg(F.sum("k0"), F.sum("k1"), F.sum("k2"), *kept).first())
@@ -173,26 +183,31 @@ def model_table(texts: DataFrame, pruned: bool = True) -> tuple[DataFrame, float
     own = [
         (_left(f"k{c}", word_cuts[c]) / totals[c] + F.col("k2") * (over[c] / max(k2, 1.0))).alias(f"p{c}") for c in (0, 1)
     ]
-    words = materialise(words.where(own_words).select("word", *own), "toxic-word-shares")
-    full = lookup_join(lookup_join(known, contexts, ["before"], row_bytes=96), words, ["word"], row_bytes=64)
+    words = stored(words.where(own_words).select("word", *own), "toxic-word-shares")
     shared = _left("n0 + n1", cuts[2]) / F.col("t2")
     p = [
         F.when(F.col(f"t{c}") > 0, _left(f"n{c}", cuts[c]) / F.col(f"t{c}")).otherwise(0.0) + F.col(f"l{c}") * (shared + F.col("l2") * F.col(f"p{c}"))
         for c in (0, 1)
     ]
-    model = (
-        _keyed(full.select("before", "word", F.log(p[1] / p[0]).alias("ratio")), 0)
-        .unionByName(_keyed(contexts.select("before", F.log(F.col("l1") / F.col("l0")).alias("ratio")), 1))
-        .unionByName(_keyed(words.select("word", F.log(F.col("p1") / F.col("p0")).alias("ratio")), 2))
-    )
-    return materialise(model, "toxic-model"), float(np.log(over[1] / over[0])) if k0 and k1 else 0.0
+    slices = 1 if fits_broadcast(pairs, ENTRY_BYTES, MODEL_BYTES) else SLICES
+    parts = [
+        _keyed(contexts.select("before", F.log(F.col("l1") / F.col("l0")).alias("ratio")), 1),
+        _keyed(words.select("word", F.log(F.col("p1") / F.col("p0")).alias("ratio")), 2),
+    ]
+    for i in range(slices):
+        own = F.pmod(F.xxhash64("word"), F.lit(slices)) == i
+        full = lookup_join(lookup_join(known.where(own), contexts, ["before"], row_bytes=96), words.where(own), ["word"], row_bytes=64)
+        parts.append(_keyed(full.select("before", "word", F.log(p[1] / p[0]).alias("ratio")), 0))
+    model = gathered([stored(part, "toxic-model") for part in parts])
+    discard(pairs, contexts, counts, words)
+    return model, float(np.log(over[1] / over[0])) if k0 and k1 else 0.0
 
 
 class Found:
     """Entries of the model table, ready to be looked up."""
 
     def __init__(self, keys: np.ndarray, ratios: np.ndarray, other: float) -> None:
-        order = np.argsort(keys)
+        order = slice(None) if (keys[1:] >= keys[:-1]).all() else np.argsort(keys)
         self.keys, self.ratios, self.other = keys[order], ratios[order], other
 
     def _of(self, wanted: np.ndarray, missing: float) -> tuple[np.ndarray, np.ndarray]:
@@ -298,32 +313,91 @@ def _in_blocks(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, pa.array(blocks, pa.int64())], [*kept, "block"])
 
 
-def _wanted_rows(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct keys that the texts of a block look up."""
+def _once(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys, sorted."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
+
+
+def _ranges_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The ranges that keys fall into, as their highest bits tell."""
+    return (keys.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _wanted_rows(table: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """The distinct keys that the texts of a block look up, a row for each range that holds any."""
     for batch in batches(table):
         blocks = np.asarray(batch.column("block"))
         cuts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]])
         for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             texts = batch.column("text").slice(start, stop - start)
-            found = [np.unique(np.concatenate(keys_of(*words_of(data, offsets)[:2]))) for _, _, data, offsets in text_steps(texts)]
-            keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), blocks[start])), pa.array(keys)], ["place", "key"])
+            found = [_once(np.concatenate(keys_of(*words_of(data, offsets)[:2]))) for _, _, data, offsets in text_steps(texts)]
+            keys = _once(np.concatenate(found).view(np.uint64))
+            held, first = np.unique(_ranges_of(keys, bits), return_index=True)
+            cells = [part.tobytes() for part in np.split(keys, first[1:])][: len(held)]
+            columns = [pa.array(np.full(len(held), blocks[start])), pa.array(held), pa.array(cells, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "range", "keys"])
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _packed(model: DataFrame, bits: int) -> DataFrame:
+    """The model as a row for each range: its entries side by side."""
+
+    def pack(own: pa.Table) -> pa.Table:
+        own = own.sort_by("key")
+        keys, ratios = np.asarray(own.column("key")), np.asarray(own.column("ratio"))
+        columns = [pa.array([v]) for v in (_ranges_of(keys[:1], bits)[0], keys.tobytes(), ratios.tobytes())]
+        return pa.table(columns, ["range", "keys", "ratios"])
+
+    ranged = model.withColumn("range", F.shiftrightunsigned("key", 64 - bits))
+    slices = [ranged.where(F.col("range") % SLICES == i).groupBy("range") for i in range(SLICES)]
+    return gathered([stored(s.applyInArrow(pack, "range bigint, keys binary, ratios binary"), "toxic-ranges") for s in slices])
+
+
+def _answers(wanted: pa.Table, entries: pa.Table) -> pa.Table:
+    """Of the keys that blocks want from a range, those the model has, with their ratios."""
+    cells = wanted.column("keys").to_pylist()
+    ends = np.cumsum([len(cell) // 8 for cell in cells], dtype=np.int64)[:-1]
+    keys, own = _joined(wanted.column("keys"), np.int64), _joined(entries.column("keys"), np.int64)
+    at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+    known = own[at] == keys if len(own) else np.zeros(len(keys), dtype=bool)
+    ratios = _joined(entries.column("ratios"), np.float32)
+    parts = list(zip(np.split(keys, ends), np.split(at, ends), np.split(known, ends), strict=True))[: len(cells)]
+    found = [[k[n].tobytes() for k, _, n in parts], [ratios[i[n]].tobytes() for _, i, n in parts]]
+    return pa.table([wanted.column("place"), *(pa.array(c, pa.binary()) for c in found)], ["place", "keys", "ratios"])
 
 
 def _by_blocks(docs: DataFrame, model: DataFrame, other: float, schema: str) -> DataFrame:
-    numbered = docs.withColumn("number", F.monotonically_increasing_id()).withColumn("n_bytes", F.octet_length("text"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
-    texts = materialise(numbered.mapInArrow(_in_blocks, f"{kinds}, block bigint"), "toxic-texts")
-    wanted = texts.select("block", "text").mapInArrow(_wanted_rows, "place bigint, key bigint").distinct()
-    held = wanted.join(model, "key")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(RANGES, model.count() // RANGE_ENTRIES).bit_length() - 1
+    ranges = _packed(model, bits)
+    discard(model)
 
-    def rows(own: pa.Table, entries: pa.Table) -> pa.Table:
-        found = Found(np.asarray(entries.column("key")), np.asarray(entries.column("ratio")), other)
+    def scored(own: pa.Table, entries: pa.Table) -> pa.Table:
+        found = Found(_joined(entries.column("keys"), np.int64), _joined(entries.column("ratios"), np.float32), other)
         out = [part for batch in batches(own.to_batches()) for part in _evidence_rows(batch, found)]
         return pa.Table.from_batches(out)
 
-    score: Callable[[pa.Table, pa.Table], pa.Table] = rows
-    return materialise(texts.groupBy("block").cogroup(held.groupBy("place")).applyInArrow(score, schema), "evidence")
+    answer: Callable[[pa.Table, pa.Table], pa.Table] = _answers
+    score: Callable[[pa.Table, pa.Table], pa.Table] = scored
+    wanted_rows = partial(_wanted_rows, bits=bits)
+    rounds = []
+    for i in range(ROUNDS):
+        own = docs.where(F.pmod(F.xxhash64("row", "id", "text"), F.lit(ROUNDS)) == i)
+        # A task for each block; blocks in smaller tasks would share less.
+        own = own.coalesce(max(1, size // (ROUNDS * BLOCK_BYTES)))
+        numbered = own.withColumn("number", F.monotonically_increasing_id()).withColumn("n_bytes", F.octet_length("text"))
+        texts = stored(numbered.mapInArrow(_in_blocks, f"{kinds}, block bigint"), "toxic-texts")
+        wanted = texts.select("block", "text").mapInArrow(wanted_rows, "place bigint, range bigint, keys binary")
+        held = wanted.groupBy("range").cogroup(ranges.groupBy("range")).applyInArrow(answer, "place bigint, keys binary, ratios binary")
+        rounds.append(stored(texts.groupBy("block").cogroup(held.groupBy("place")).applyInArrow(score, schema), "evidence"))
+        discard(texts)
+    discard(ranges)
+    return gathered(rounds)
 
 
 def toxicity(

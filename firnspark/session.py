@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,12 +82,48 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
+# Where copies were written, for ``discard``.
+_copies: WeakKeyDictionary[DataFrame, list[str]] = WeakKeyDictionary()
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession, drop: bool) -> Iterator[None]:
+    """Within it, the shuffle files of a query go when the query ends, not when the driver collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true" if drop else before)
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def materialise(df: DataFrame, label: str = "stage", drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder, as compressed columns, and continue from that copy.
 
     Lineage ends there, the copy outlives lost executors, and later readers get column
-    pruning and pushed filters.
+    pruning and pushed filters.  With ``drop_shuffles`` the write's shuffle files go at once.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with _shuffles_dropped(df.sparkSession, drop_shuffles):
+        df.write.option("compression", "zstd").parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    _copies[copy] = [path]
+    return copy
+
+
+def gathered(copies: list[DataFrame]) -> DataFrame:
+    """Copies of one schema that ``materialise`` has made, as one."""
+    paths = [path for copy in copies for path in _copies[copy]]
+    whole = copies[0].sparkSession.read.schema(copies[0].schema).parquet(*paths)
+    _copies[whole] = paths
+    return whole
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete copies that ``materialise`` has made and nothing reads any more; other frames stay."""
+    for copy in copies:
+        for path in _copies.pop(copy, []):
+            context = copy.sparkSession.sparkContext
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,13 +1,17 @@
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 
 from firnspark.llm import toxicity as module
 from firnspark.llm.common import word_hashes
 from firnspark.llm.toxicity import toxicity
+from firnspark.session import discard, gathered, materialise, shared_root
 from tests.llm.cases import SF, awkward, awkward_rows, no_rows, words
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -260,3 +264,77 @@ def test_whole_models_against_counting(spark, monkeypatch):
         before = ["", *own[:-1]]
         assert np.allclose(single, [np.log(alone(1, w) / alone(0, w)) for w in own], atol=1e-5)
         assert np.allclose(pairs, [np.log(after(1, v, w) / after(0, v, w)) for v, w in zip(before, own, strict=True)], atol=1e-5)
+
+
+def shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    return {p for d in env.blockManager().diskBlockManager().localDirsString() for p in Path(d).glob("*/shuffle_*")}
+
+
+def test_copies_and_shuffles_go_when_they_are_read(spark, monkeypatch):
+    """Of a run in blocks only the labels and the evidence stay on disk."""
+    rows, labels = corpus(300)
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)
+    folder = Path(urlparse(shared_root(spark)).path)
+    copies = set(folder.iterdir()) if folder.exists() else set()
+    monkeypatch.setattr(module, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(module, "ROUNDS", 3)
+    toxicity(docs, marks, model_bytes=-1)
+    left = {p.name for p in set(folder.iterdir()) - copies if not p.name.endswith(".crc")}
+    assert {name for name in left if not name.startswith(("toxic-labels-", "evidence-"))} == set()
+
+
+def test_dropped_shuffles_and_discarded_copies(spark):
+    """The setting holds for one write only; frames that are no copies are left alone."""
+    before = shuffle_files(spark)
+    a, b = (materialise(spark.range(i, i + 50).repartition(7), drop_shuffles=True) for i in (0, 50))
+    patience = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < patience:
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+    both = gathered([a, b])
+    assert sorted(r.id for r in both.collect()) == list(range(100))
+    again = spark.read.parquet(*both.inputFiles())
+    discard(again)
+    assert again.count() == 100
+    files = [Path(urlparse(f).path) for f in both.inputFiles()]
+    discard(both, both)
+    assert files and not any(f.exists() for f in files)
+
+
+def test_models_in_slices(spark, monkeypatch):
+    rows, labels = corpus(160, seed=8)
+    truth = {i: t for i, _, t in labels}
+    texts = spark.createDataFrame([(t, truth[i]) for i, t in rows], "text string, toxic int")
+    found = []
+    for limit in (module.MODEL_BYTES, -1):
+        monkeypatch.setattr(module, "MODEL_BYTES", limit)
+        model, other = module.model_table(texts, False)
+        found.append((sorted(model.collect()), other))
+    (whole, other), (cut, cut_other) = found
+    assert [r.key for r in whole] == [r.key for r in cut] and other == cut_other
+    assert np.allclose([r.ratio for r in whole], [r.ratio for r in cut], atol=1e-6)
+
+
+def test_ranges_answer_what_is_asked():
+    """Every distinct key of a block is asked once; a range without entries, or without a wanted key, gives nothing."""
+    text = "one two two three one two"
+    batch = module.pa.RecordBatch.from_pydict({"block": [5, 5, 9], "text": [text, None, "two"]})
+    asked = [r for part in module._wanted_rows(iter([batch]), 7) for r in part.to_pylist()]
+    assert all(set(module._ranges_of(np.frombuffer(r["keys"], np.int64), 7)) == {r["range"]} for r in asked)
+    data = np.frombuffer(text.encode(), np.uint8)
+    wanted = set(np.concatenate(module.keys_of(*module.words_of(data, np.array([0, len(data)]))[:2])).tolist())
+    got = [k for r in asked if r["place"] == 5 for k in np.frombuffer(r["keys"], np.int64).tolist()]
+    assert len(got) == len(wanted) and set(got) == wanted
+
+    def answers(cells, entries):
+        kinds = module.pa.schema([("place", "int64"), ("range", "int64"), ("keys", "binary")])
+        held = module.pa.schema([("range", "int64"), ("keys", "binary"), ("ratios", "binary")])
+        raw = [{"place": p, "range": 0, "keys": np.array(k, np.int64).tobytes()} for p, k in cells]
+        own = [{"range": 0, "keys": np.array(list(entries), np.int64).tobytes(), "ratios": np.array(list(entries.values()), np.float32).tobytes()}]
+        table = module._answers(module.pa.Table.from_pylist(raw, kinds), module.pa.Table.from_pylist(own if entries else [], held))
+        return [(r["place"], dict(zip(np.frombuffer(r["keys"], np.int64).tolist(), np.frombuffer(r["ratios"], np.float32).tolist(), strict=True))) for r in table.to_pylist()]
+
+    assert answers([(1, [2, 3, 9]), (2, [3]), (3, [4])], {3: 0.5, 7: 1.0, 9: 2.0}) == [(1, {3: 0.5, 9: 2.0}), (2, {3: 0.5}), (3, {})]
+    assert answers([(1, [2])], {}) == [(1, {})]
+    assert answers([], {3: 0.5}) == []
