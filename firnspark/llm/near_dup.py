@@ -234,8 +234,9 @@ def _plausible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets have the wanted similarity."""
-    needed = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
+    """The pairs, a stored frame, whose full sets have the wanted similarity."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    needed = materialise(needed, "near-ids", rows=2 * pairs.count())
     sets = materialise(
         docs.join(needed, "id", "left_semi").mapInArrow(_set_rows, "id bigint, shingles array<bigint>"), "near-sets"
     )
@@ -307,14 +308,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     open_keys = materialise(open_keys.where("low < high").select("key", "members"), "near-open-keys")
     small = member.join(open_keys.where(F.col("members") <= LARGE_KEY), "key").drop("members")
-    large = member.join(open_keys.where(F.col("members") > LARGE_KEY), "key").drop("members")
-    rows = small.select("key", "id", "component", F.lit(-1).cast("bigint").alias("side")).unionByName(_in_blocks(large))
+    rows = small.select("key", "id", "component", F.lit(-1).cast("bigint").alias("side"))
+    large_keys = open_keys.where(F.col("members") > LARGE_KEY)
+    if not large_keys.isEmpty():
+        rows = rows.unionByName(_in_blocks(member.join(large_keys, "key").drop("members")))
     rows = rows.join(sketches.drop("symbols"), "id").repartition("key").sortWithinPartitions("key")
     across = rows.mapInArrow(_cross_pairs, "a bigint, b bigint").distinct().join(tried, ["a", "b"], "left_anti")
     across = materialise(across, "near-rest")
-    links = links.unionByName(_confirmed(across, docs))
+    # The components so far stand for the links that made them.
+    made = merged.where("id <> component").selectExpr("id a", "component b")
 
-    final = components(links)
+    final = components(made.unionByName(_confirmed(across, docs)))
     labelled = classed.join(final.withColumnRenamed("id", "top"), "top", "left").groupBy("id").agg(
         F.min(F.coalesce("component", "top")).alias("component_id")
     )

@@ -84,6 +84,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 # Where copies were written, for ``discard``.
 _copies: WeakKeyDictionary[DataFrame, list[str]] = WeakKeyDictionary()
+# Rows that a task writes, and tasks that may write at least, where a bound of the rows is known.
+TASK_ROWS, FEWEST_TASKS = 1 << 16, 24
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -98,12 +100,16 @@ def _shuffles_dropped(spark: SparkSession, drop: bool) -> Iterator[None]:
         spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
-def materialise(df: DataFrame, label: str = "stage", drop_shuffles: bool = False) -> DataFrame:
+def materialise(df: DataFrame, label: str = "stage", drop_shuffles: bool = False, rows: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder, as compressed columns, and continue from that copy.
 
     Lineage ends there, the copy outlives lost executors, and later readers get column
     pruning and pushed filters.  With ``drop_shuffles`` the write's shuffle files go at once.
+    ``rows``, a bound of its rows, keeps a small frame from being written by a task for every shuffle
+    partition, also where AQE does not coalesce these.
     """
+    if rows is not None:
+        df = df.coalesce(max(FEWEST_TASKS, -(-rows // TASK_ROWS)))
     path = scratch_path(df.sparkSession, label)
     with _shuffles_dropped(df.sparkSession, drop_shuffles):
         df.write.option("compression", "zstd").parquet(path)

@@ -7,6 +7,7 @@ import pytest
 
 from firnspark.llm import common, near_dup
 from firnspark.llm.near_dup import near_duplicates
+from firnspark.session import FEWEST_TASKS, materialise
 from tests.llm.cases import awkward, awkward_rows, documents, no_rows
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
@@ -94,6 +95,30 @@ def test_components(spark):
     assert len(got) == 201 and {r.component for r in got} == {0}
 
 
+def test_components_write_little(spark, monkeypatch):
+    """Pairs and a chain end after one round, and no step has a file for every shuffle partition."""
+    files = []
+
+    def counted(df, *args, **more):
+        copy = materialise(df, *args, **more)
+        files.append(len(copy.inputFiles()))
+        return copy
+
+    monkeypatch.setattr(common, "materialise", counted)
+    edges = [(2 * i, 2 * i + 1) for i in range(100, 400)] + [(1, 2), (2, 3), (1, 3)]
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        got = common.components(spark.createDataFrame(edges, "a long, b long"))
+        assert {(r.id, r.component) for r in got.collect()} == {(b, a) for a, b in edges[:300]} | {(a, a) for a, _ in edges[:300]} | {(1, 1), (2, 1), (3, 1)}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(files) <= 4 and max(files[1:]) <= FEWEST_TASKS
+
+
 def test_pigeonhole_guarantee():
     """Any two signatures within the distance share an index key."""
     draw = np.random.default_rng(1)
