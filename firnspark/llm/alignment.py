@@ -24,6 +24,8 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +67,6 @@ class ByteLevel:
 
     def __init__(self, path: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
         letters = byte_letters()
         with open(path, encoding="utf-8") as f:
@@ -76,13 +77,17 @@ class ByteLevel:
                 self.bytes[number] = bytes(letters[c] for c in token)
         ranks = {token: number for number, token in enumerate(self.bytes) if token}
         self.encoding = tiktoken.Encoding("byte-level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path, self.tokenizer = path, None
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [self._with_blanks(t) if len(t) > BLANKS and BLANK_RUN.search(t) else self.encoding.encode_ordinary(t) for t in texts]
 
     def _with_blanks(self, text: str) -> list[int]:
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+            self.tokenizer.encode_special_tokens = True
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -107,7 +112,9 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
-Aligned = tuple[str, int, bytes]
+# Alignments of windows: their groups as text, their numbers of groups and of linked pairs, and the linked
+# pairs of one window after the other as 64-bit numbers.
+Aligned = tuple[list[str], np.ndarray, np.ndarray, np.ndarray]
 
 
 class Side:
@@ -118,10 +125,10 @@ class Side:
         self.spaced = np.array([x[:1] == b" " for x in tokens])
 
 
-def aligned_windows(windows: list[bytes], a: Side, b: Side, names: list[str]) -> list[Aligned]:
-    """The alignment of each window: its groups as text, their number, and its linked pairs as 64-bit numbers.  Every
-    stretch between neighbouring ends of either side lies in one token of each side, and in no two the same.
-    ``names`` holds A's ids behind nothing, ';' and ',' and then B's behind '|' and ','."""
+def aligned_windows(windows: list[bytes], a: Side, b: Side, names: list[str]) -> Aligned:
+    """The alignment of each window.  Every stretch between neighbouring ends of either side lies in one token of each
+    side, and in no two the same.  ``names`` holds A's ids behind a line's end, which begins a window, ';' and ',' and then
+    B's behind '|' and ','."""
     ids = np.frombuffer(b"".join(windows), np.int32).astype(np.int64)
     last = np.cumsum([len(w) // 4 for w in windows])
     own = ids >= 0
@@ -129,12 +136,14 @@ def aligned_windows(windows: list[bytes], a: Side, b: Side, names: list[str]) ->
     last_a = np.cumsum(own)[last - 1]
     # Both sides of a window have as many bytes, so ends in the whole sequence can be compared.
     ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.concatenate([ends_a, ends_b])
+    ends.sort(kind="stable")
+    ends = ends[np.append(True, ends[1:] != ends[:-1])]
     in_a, in_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-    pairs = (ids_a[in_a] * SIDE + ids_b[in_b]).tobytes()
-    links = (8 * np.searchsorted(ends, ends_a[last_a - 1], side="right")).tolist()
+    pairs = ids_a[in_a] * SIDE + ids_b[in_b]
+    links = np.diff(np.searchsorted(ends, ends_a[last_a - 1], side="right"), prepend=0)
     shared = ends[(ends_a[in_a] == ends) & (ends_b[in_b] == ends)]
-    groups = np.searchsorted(shared, ends_a[last_a - 1], side="right").tolist()
+    groups = np.diff(np.searchsorted(shared, ends_a[last_a - 1], side="right"), prepend=0)
     # Tokens in the order of the text: a group's A side, then its B side.
     of_a, of_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
     first_a, first_b = (np.searchsorted(of, np.arange(len(shared) + 1)) for of in (of_a, of_b))
@@ -144,12 +153,29 @@ def aligned_windows(windows: list[bytes], a: Side, b: Side, names: list[str]) ->
     place[np.arange(len(ids_a)) + first_b[of_a]] = ids_a + here * n_a
     here = np.where(np.arange(len(ids_b)) == first_b[of_b], 0, 1)
     place[np.arange(len(ids_b)) + first_a[of_b + 1]] = ids_b + 3 * n_a + here * n_b
-    parts = list(map(names.__getitem__, place.tolist()))
-    out, i, j, k = [], 0, 0, 0
-    for stop, link, group in zip(last.tolist(), links, groups, strict=True):
-        out.append(("".join(parts[i:stop]), group - k, pairs[j:link]))
-        i, j, k = stop, link, group
-    return out
+    return "".join(map(names.__getitem__, place.tolist())).split("\n")[1:], groups, links, pairs
+
+
+def _picked(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of stretches, one stretch after the other."""
+    last = np.cumsum(sizes)
+    return np.repeat(firsts - (last - sizes), sizes) + np.arange(last[-1] if len(last) else 0)
+
+
+class Numbers(dict[bytes, int]):
+    """A number for each window asked for, that of ``older`` if it has one; those without are listed in ``new``."""
+
+    def __init__(self, older: dict[bytes, int]) -> None:
+        self.older, self.next, self.new = older, len(older), []
+
+    def __missing__(self, key: bytes) -> int:
+        number = self.older.get(key)
+        if number is None:
+            number = self.next
+            self.next += 1
+            self.new.append(key)
+        self[key] = number
+        return number
 
 
 class Aligner:
@@ -158,13 +184,17 @@ class Aligner:
     def __init__(self, a: ByteLevel, b: Pieces) -> None:
         self.a, self.b = a, b
         self.sides = Side(a.bytes), Side(b.bytes)
-        self.names = [f"{before}{i}" for before in ("", ";", ",") for i in range(len(a.bytes))]
+        self.names = [f"{before}{i}" for before in "\n;," for i in range(len(a.bytes))]
         self.names += [f"{before}{i}" for before in "|," for i in range(len(b.bytes))]
-        # By the ids of both sides, as packed 32-bit numbers; those of B are complements.
-        self.memo: dict[bytes, Aligned] = {}
-        self.older: dict[bytes, Aligned] = {}
-
-    def windows(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[Aligned], np.ndarray]:
+        # Numbers of windows by the ids of both sides, as packed 32-bit numbers; those of B are complements.
+        self.older: dict[bytes, int] = {}
+        self.memo = Numbers(self.older)
+        # By number: the alignments, and where the pairs of each begin.
+        none = np.zeros(0, np.int64)
+        self.strings, self.groups, self.links, self.pairs = [], none, none, none
+        self.begins = none
+
+    def windows(self, ids_a: list[int], ids_b: list[int]) -> tuple[Aligned, np.ndarray]:
         """The alignments of all windows of a sequence of texts, and the byte at which each begins."""
         a, b = np.array(ids_a, np.int32), np.array(ids_b, np.int32)
         starts = []
@@ -182,23 +212,32 @@ class Aligner:
         ids[np.arange(len(a)) + np.repeat(cuts_b[:-1], np.diff(cuts_a))] = a
         ids[np.arange(len(b)) + np.repeat(cuts_a[1:], np.diff(cuts_b))] = ~b
         packed, at = ids.tobytes(), (4 * (cuts_a + cuts_b)).tolist()
-        keys = [packed[i:k] for i, k in zip(at[:-1], at[1:], strict=True)]
-        memo, older = self.memo, self.older
-        out = list(map(memo.get, keys))
-        missing = []
-        for key in {key for key, found in zip(keys, out, strict=True) if found is None}:
-            if key in older:
-                memo[key] = older[key]
-            else:
-                missing.append(key)
-        if missing:
-            memo.update(zip(missing, aligned_windows(missing, *self.sides, self.names), strict=True))
-        if None in out:
-            out = [found or memo[key] for key, found in zip(keys, out, strict=True)]
-        if len(memo) > MEMO_WINDOWS // 2:
-            self.memo, self.older = {}, {key: found for key, found in memo.items() if len(key) <= 4 * MEMO_TOKENS}
+        found = list(map(self.memo.__getitem__, [packed[i:k] for i, k in pairwise(at)]))
+        if self.memo.new:
+            strings, *more = aligned_windows(self.memo.new, *self.sides, self.names)
+            self.memo.new = []
+            self.strings += strings
+            self._hold(*(np.concatenate(x) for x in zip((self.groups, self.links, self.pairs), more, strict=True)))
+        numbers = np.array(found, np.int64)
+        links = self.links[numbers]
+        out = list(map(self.strings.__getitem__, found)), self.groups[numbers], links, self.pairs[_picked(self.begins[numbers], links)]
+        if len(self.memo) > MEMO_WINDOWS // 2:
+            self._forget()
         return out, byte_a[both]
 
+    def _hold(self, groups: np.ndarray, links: np.ndarray, pairs: np.ndarray) -> None:
+        self.groups, self.links, self.pairs, self.begins = groups, links, pairs, np.cumsum(links) - links
+
+    def _forget(self) -> None:
+        """The newer half becomes the older one, but for long windows; the older one goes."""
+        kept = [key for key in self.memo if len(key) <= 4 * MEMO_TOKENS]
+        numbers = [self.memo[key] for key in kept]
+        at = np.array(numbers, np.int64)
+        self.strings = list(map(self.strings.__getitem__, numbers))
+        self._hold(self.groups[at], self.links[at], self.pairs[_picked(self.begins[at], self.links[at])])
+        self.older = {key: number for number, key in enumerate(kept)}
+        self.memo = Numbers(self.older)
+
     def aligned(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
         """Of each text: tokens of both sides, groups, links, the groups as text, the linked pairs of ids and how
         often each is linked."""
@@ -218,25 +257,31 @@ class Aligner:
                 counts.append((len(ids_a), len(ids_b)))
             else:
                 counts.append((0, 0))
-        windows, begins = self.windows(all_a, all_b) if all_a else ([], np.zeros(0, np.int64))
-        first = np.searchsorted(begins, ends).tolist()
+        none = np.zeros(0, np.int64)
+        (strings, groups, links, pairs), begins = self.windows(all_a, all_b) if all_a else (([], none, none, none), none)
+        first = np.searchsorted(begins, ends)
+        groups, sizes = (np.diff(np.append(0, np.cumsum(x))[first]) for x in (groups, links))
         # Linked pairs of all texts, each with the number of its text.
-        pairs = np.frombuffer(b"".join([w[2] for w in windows]), np.int64)
-        sizes = [sum([len(w[2]) for w in windows[lo:hi]]) // 8 for lo, hi in zip(first[:-1], first[1:], strict=True)]
         number = np.repeat(np.arange(len(sizes)), sizes)
         found, times = np.unique(number * SIDE * SIDE + pairs, return_counts=True)
         cuts = np.searchsorted(found, np.arange(len(sizes) + 1) * SIDE * SIDE).tolist()
         found %= SIDE * SIDE
-        none, at = np.zeros(0, np.int64), 0
+        first, groups, sizes, at = first.tolist(), groups.tolist(), sizes.tolist(), 0
         for n_a, n_b in counts:
             if not n_a:
                 yield 0, 0, 0, 0, "", none, none
                 continue
-            own, held = windows[first[at] : first[at + 1]], slice(cuts[at], cuts[at + 1])
-            yield n_a, n_b, sum([w[1] for w in own]), sizes[at], ";".join([w[0] for w in own]), found[held], times[held]
+            held = slice(cuts[at], cuts[at + 1])
+            yield n_a, n_b, groups[at], sizes[at], ";".join(strings[first[at] : first[at + 1]]), found[held], times[held]
             at += 1
 
 
+@lru_cache(maxsize=1)
+def _vocabularies(byte_level: str, pieces: str) -> tuple[ByteLevel, Pieces]:
+    """Both vocabularies, read once by a Python process whatever tasks it runs."""
+    return ByteLevel(byte_level), Pieces(pieces)
+
+
 def _steps(texts: list[str]) -> Iterator[tuple[int, int]]:
     first, size = 0, 0
     for at, text in enumerate(texts):
@@ -278,7 +323,7 @@ def token_links(
     def found(table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, block, size = None, None, 0
         for batch in batches(table):
-            aligner = aligner or Aligner(ByteLevel(byte_level), Pieces(pieces))
+            aligner = aligner or Aligner(*_vocabularies(byte_level, pieces))
             texts, numbers = batch.column("text").to_pylist(), batch.column("task").to_pylist()
             for lo, hi in _steps(texts):
                 blocks, aligned_ = [], list(aligner.aligned(texts[lo:hi]))

@@ -112,6 +112,26 @@ def test_windows_are_looked_up_and_the_memory_is_bounded(sides, monkeypatch):
     assert [x[:5] for x in aligner.aligned([text])] == [x[:5] for x in first]
 
 
+def test_older_windows_keep_their_alignments(sides, monkeypatch):
+    """Whatever is forgotten meanwhile, texts are aligned as by an aligner that has met nothing."""
+    monkeypatch.setattr(module, "MEMO_WINDOWS", 8)
+    aligner, words = Aligner(*sides), "one 2two three-four fünf sechs's 日本語 seven88 x".split()
+    texts = [" ".join(words[i % 8 :] + words[: i % 5] + [f"w{i}" * (1 + i % 40)]) for i in range(60)]
+    for i in range(0, 60, 3):
+        for got, text in zip(aligner.aligned(texts[i : i + 3]), texts[i : i + 3], strict=True):
+            (want,) = Aligner(*sides).aligned([text])
+            assert got[:5] == want[:5]
+            assert got[5].tolist() == want[5].tolist() and got[6].tolist() == want[6].tolist()
+        assert len(aligner.strings) == len(aligner.groups) == len(aligner.links) <= 40
+
+
+def test_vocabularies_are_read_once_by_a_process():
+    a, b = module._vocabularies(module.BYTE_LEVEL, module.PIECES)
+    assert module._vocabularies(module.BYTE_LEVEL, module.PIECES) == (a, b)
+    # What only very long runs of blanks need is not read for others.
+    assert a.encode([" some words"]) and a.tokenizer is None
+
+
 def test_ids_are_those_of_the_vocabulary_file(spark, sides):
     """The ranks give the same ids as the library that the vocabulary file was written for."""
     from tokenizers import Tokenizer
