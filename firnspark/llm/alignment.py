@@ -1,11 +1,12 @@
 """Alignment of two tokenizers' tokens over the same bytes, with whitespace-token anchors.
 
-Every text is tokenised whole by both tokenizers.  Where both have a token that begins with a space
-at the same byte, and so both have a token that ends right before it, the text is divided: what lies
-between two such anchors is a window of token ids of either side, and its alignment depends on these
-ids alone.  Windows are mostly single words, so their alignments are kept by the pair of id tuples
-and looked up the next time.  Within a window, ends that both sides share cut the tokens into groups,
-and every stretch between neighbouring ends of either side is one linked pair of tokens.
+A text is cut at every single space between two characters that are not blanks.  Both tokenizers have a
+token that begins there: the byte-level split begins one at such a space, whatever stands around it, and no
+piece has a space behind another character, so no merge crosses it.  So the tokens of a text are those of its
+windows, which are mostly single words, and the tokens of a window and their alignment depend on the window alone.
+They are kept by the window's text and looked up the next time.  Within a window, ends that both sides share cut
+the tokens into groups, and every stretch between neighbouring ends of either side is one linked pair of tokens.
+With a piece model of another kind, a text is one window.
 
 How many documents hold a pair of ids linked is counted by Spark over the whole corpus, in a table
 that is never on the driver.  For the sums over a document's links, documents are taken together in
@@ -25,7 +26,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +41,20 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 4 << 20
 # Texts tokenised together: at most so many bytes, but for a longer text.
 STEP_BYTES = 1 << 19
-# Alignments kept by a task, in two halves of which the older one goes, as do windows of more tokens.
+# Alignments kept by a task, in two halves of which the older one goes, as do windows of more characters; a half
+# has so many linked pairs for each of its windows at most.
 MEMO_WINDOWS = 1 << 18
-MEMO_TOKENS = 24
+MEMO_LETTERS = 96
+MEMO_PAIRS = 16
 # Fixed value: how byte-level vocabularies split a text before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # A run of blanks that is too long for the split's look-ahead.
 BLANKS = 50_000
 BLANK_RUN = re.compile(rf"\s{{{BLANKS}}}")
+# Windows tokenised together.
+JOINED = 512
+# Where texts are cut into windows.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 # A pair of ids is one number.
 SIDE = 1 << 20
 
@@ -99,8 +106,11 @@ class Pieces:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bytes = []
+        # Whether words are tokenised apart: by merges, whose scores are ranks, none of which crosses a space.
+        self.apart = True
         for number in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(number)
+            self.apart &= self.model.get_score(number).is_integer() and "▁" not in piece.lstrip("▁")
             if self.model.is_byte(number):
                 self.bytes.append(bytes([int(piece[3:5], 16)]))
             elif self.model.is_control(number) or self.model.is_unknown(number):
@@ -112,28 +122,30 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
-# Alignments of windows: their groups as text, their numbers of groups and of linked pairs, and the linked
-# pairs of one window after the other as 64-bit numbers.
-Aligned = tuple[list[str], np.ndarray, np.ndarray, np.ndarray]
+# Of windows: their groups as text, their numbers of tokens of both sides, of groups and of linked pairs, and
+# the linked pairs of one window after the other as 64-bit numbers.
+Aligned = tuple[list[str], np.ndarray, np.ndarray]
+
+
+def windows_of(text: str) -> list[str]:
+    """The windows of a text."""
+    words = text.split()
+    return words if " ".join(words) == text else CUT.split(text)
 
 
 class Side:
-    """What aligning needs of a vocabulary's ids: their lengths, and which begin with a space."""
+    """What aligning needs of a vocabulary's ids: their lengths."""
 
     def __init__(self, tokens: list[bytes]) -> None:
         self.lengths = np.array([len(x) for x in tokens], np.int64)
-        self.spaced = np.array([x[:1] == b" " for x in tokens])
-
-
-def aligned_windows(windows: list[bytes], a: Side, b: Side, names: list[str]) -> Aligned:
-    """The alignment of each window.  Every stretch between neighbouring ends of either side lies in one token of each
-    side, and in no two the same.  ``names`` holds A's ids behind a line's end, which begins a window, ';' and ',' and then
-    B's behind '|' and ','."""
-    ids = np.frombuffer(b"".join(windows), np.int32).astype(np.int64)
-    last = np.cumsum([len(w) // 4 for w in windows])
-    own = ids >= 0
-    ids_a, ids_b = ids[own], ~ids[~own]
-    last_a = np.cumsum(own)[last - 1]
+
+
+def aligned_windows(ids: list[np.ndarray], counts: np.ndarray, a: Side, b: Side, names: list[str]) -> Aligned:
+    """The alignment of each window from the ids of both sides, and how many of them each window has.  Every stretch
+    between neighbouring ends of either side lies in one token of each side, and in no two the same.  ``names`` holds A's ids
+    behind a line's end, which begins a window, ';' and ',' and then B's behind '|' and ','."""
+    ids_a, ids_b = ids
+    last_a = np.cumsum(counts[0])
     # Both sides of a window have as many bytes, so ends in the whole sequence can be compared.
     ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
     ends = np.concatenate([ends_a, ends_b])
@@ -147,13 +159,13 @@ def aligned_windows(windows: list[bytes], a: Side, b: Side, names: list[str]) ->
     # Tokens in the order of the text: a group's A side, then its B side.
     of_a, of_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
     first_a, first_b = (np.searchsorted(of, np.arange(len(shared) + 1)) for of in (of_a, of_b))
-    n_a, n_b, place = len(a.lengths), len(b.lengths), np.empty(len(ids), np.int64)
+    n_a, n_b, place = len(a.lengths), len(b.lengths), np.empty(len(ids_a) + len(ids_b), np.int64)
     here = np.where(np.arange(len(ids_a)) == first_a[of_a], 1, 2)
     here[np.append(0, last_a[:-1])] = 0
     place[np.arange(len(ids_a)) + first_b[of_a]] = ids_a + here * n_a
     here = np.where(np.arange(len(ids_b)) == first_b[of_b], 0, 1)
     place[np.arange(len(ids_b)) + first_a[of_b + 1]] = ids_b + 3 * n_a + here * n_b
-    return "".join(map(names.__getitem__, place.tolist())).split("\n")[1:], groups, links, pairs
+    return "".join(map(names.__getitem__, place.tolist())).split("\n")[1:], np.stack([*counts, groups, links]), pairs
 
 
 def _picked(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -162,13 +174,13 @@ def _picked(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(firsts - (last - sizes), sizes) + np.arange(last[-1] if len(last) else 0)
 
 
-class Numbers(dict[bytes, int]):
+class Numbers(dict[str, int]):
     """A number for each window asked for, that of ``older`` if it has one; those without are listed in ``new``."""
 
-    def __init__(self, older: dict[bytes, int]) -> None:
+    def __init__(self, older: dict[str, int]) -> None:
         self.older, self.next, self.new = older, len(older), []
 
-    def __missing__(self, key: bytes) -> int:
+    def __missing__(self, key: str) -> int:
         number = self.older.get(key)
         if number is None:
             number = self.next
@@ -186,94 +198,100 @@ class Aligner:
         self.sides = Side(a.bytes), Side(b.bytes)
         self.names = [f"{before}{i}" for before in "\n;," for i in range(len(a.bytes))]
         self.names += [f"{before}{i}" for before in "|," for i in range(len(b.bytes))]
-        # Numbers of windows by the ids of both sides, as packed 32-bit numbers; those of B are complements.
-        self.older: dict[bytes, int] = {}
+        # Numbers of windows by their text.
+        self.older: dict[str, int] = {}
         self.memo = Numbers(self.older)
         # By number: the alignments, and where the pairs of each begin.
-        none = np.zeros(0, np.int64)
-        self.strings, self.groups, self.links, self.pairs = [], none, none, none
-        self.begins = none
-
-    def windows(self, ids_a: list[int], ids_b: list[int]) -> tuple[Aligned, np.ndarray]:
-        """The alignments of all windows of a sequence of texts, and the byte at which each begins."""
-        a, b = np.array(ids_a, np.int32), np.array(ids_b, np.int32)
-        starts = []
-        for ids, side in zip((a, b), self.sides, strict=True):
-            own, at = side.lengths[ids], np.flatnonzero(side.spaced[ids])
-            starts.append((at, (np.cumsum(own) - own)[at]))
-        (at_a, byte_a), (at_b, byte_b) = starts
-        # Anchors: both sides have a space-marked token that begins here, so a token of each ends here.  Every
-        # text begins with one.
-        near = np.minimum(np.searchsorted(byte_b, byte_a), max(len(byte_b) - 1, 0))
-        both = np.flatnonzero(byte_b[near] == byte_a) if len(byte_b) else near[:0]
-        cuts_a, cuts_b = np.append(at_a[both], len(a)), np.append(at_b[near[both]], len(b))
-        # The ids of each window one after the other, A's before B's.
-        ids = np.empty(len(a) + len(b), np.int32)
-        ids[np.arange(len(a)) + np.repeat(cuts_b[:-1], np.diff(cuts_a))] = a
-        ids[np.arange(len(b)) + np.repeat(cuts_a[1:], np.diff(cuts_b))] = ~b
-        packed, at = ids.tobytes(), (4 * (cuts_a + cuts_b)).tolist()
-        found = list(map(self.memo.__getitem__, [packed[i:k] for i, k in pairwise(at)]))
-        if self.memo.new:
-            strings, *more = aligned_windows(self.memo.new, *self.sides, self.names)
-            self.memo.new = []
-            self.strings += strings
-            self._hold(*(np.concatenate(x) for x in zip((self.groups, self.links, self.pairs), more, strict=True)))
-        numbers = np.array(found, np.int64)
-        links = self.links[numbers]
-        out = list(map(self.strings.__getitem__, found)), self.groups[numbers], links, self.pairs[_picked(self.begins[numbers], links)]
-        if len(self.memo) > MEMO_WINDOWS // 2:
-            self._forget()
-        return out, byte_a[both]
-
-    def _hold(self, groups: np.ndarray, links: np.ndarray, pairs: np.ndarray) -> None:
-        self.groups, self.links, self.pairs, self.begins = groups, links, pairs, np.cumsum(links) - links
+        self.strings: list[str] = []
+        self._hold(np.zeros((4, 0), np.int64), np.zeros(0, np.int64))
+
+    def _hold(self, figures: np.ndarray, pairs: np.ndarray) -> None:
+        self.figures, self.pairs, self.begins = figures, pairs, np.cumsum(figures[3]) - figures[3]
+
+    def _learn(self, windows: list[str]) -> None:
+        """Align new windows.  One that a tokenizer does not give back has no tokens."""
+        # Those that neither begin nor end with a blank can be tokenised as one text.
+        plain = [self.b.apart and not (w[0].isspace() or w[-1].isspace()) for w in windows]
+        joined = [w for w, p in zip(windows, plain, strict=True) if p]
+        parts = [(np.flatnonzero(plain), self._tokens_joined(joined))] if joined else []
+        if parts and parts[0][1] is None:
+            parts, plain = [], [False] * len(windows)
+        parts += [(np.array([i]), own) for i, p in enumerate(plain) if not p and (own := self._tokens(windows[i]))]
+        figures, pairs, strings = np.zeros((4, len(windows)), np.int64), self.pairs[:0], [""] * len(windows)
+        if parts:
+            order = np.concatenate([at for at, _ in parts])
+            ids = [np.concatenate([own[0][i] for _, own in parts]) for i in range(2)]
+            counts = np.concatenate([own[1] for _, own in parts], axis=1)
+            own, found, own_pairs = aligned_windows(ids, counts, *self.sides, self.names)
+            # In the order of the windows.
+            sorted_, figures[:, order] = np.argsort(order), found
+            pairs = own_pairs[_picked((np.cumsum(found[3]) - found[3])[sorted_], found[3][sorted_])]
+            for at, string in zip(order.tolist(), own, strict=True):
+                strings[at] = string
+        self.strings += strings
+        self._hold(np.concatenate([self.figures, figures], axis=1), np.concatenate([self.pairs, pairs]))
+
+    def _tokens(self, window: str) -> tuple[list[np.ndarray], np.ndarray] | None:
+        """The ids of both sides of a window and how many these are, or None."""
+        ids = self.a.encode([" " + window])[0], self.b.encode([window])[0]
+        whole = (" " + window).encode()
+        if any(b"".join(map(side.bytes.__getitem__, x)) != whole for side, x in zip((self.a, self.b), ids, strict=True)):
+            return None
+        return [np.array(x, np.int64) for x in ids], np.array([[len(x)] for x in ids])
+
+    def _tokens_joined(self, windows: list[str]) -> tuple[list[np.ndarray], np.ndarray] | None:
+        """The same of several windows that spaces join, if the whole of them comes back."""
+        texts = [" ".join(windows[i : i + JOINED]) for i in range(0, len(windows), JOINED)]
+        spaced = [" " + t for t in texts]
+        whole, last = "".join(spaced).encode(), np.cumsum([1 + len(w.encode()) for w in windows])
+        found, counts = [], []
+        for vocabulary, side, encoded in zip((self.a, self.b), self.sides, (self.a.encode(spaced), self.b.encode(texts)), strict=True):
+            ids = list(chain.from_iterable(encoded))
+            if b"".join(map(vocabulary.bytes.__getitem__, ids)) != whole:
+                return None
+            found.append(np.array(ids, np.int64))
+            counts.append(np.diff(np.searchsorted(np.cumsum(side.lengths[found[-1]]), last, side="right"), prepend=0))
+        return found, np.stack(counts)
 
     def _forget(self) -> None:
         """The newer half becomes the older one, but for long windows; the older one goes."""
-        kept = [key for key in self.memo if len(key) <= 4 * MEMO_TOKENS]
+        kept = [key for key in self.memo if len(key) <= MEMO_LETTERS]
         numbers = [self.memo[key] for key in kept]
         at = np.array(numbers, np.int64)
         self.strings = list(map(self.strings.__getitem__, numbers))
-        self._hold(self.groups[at], self.links[at], self.pairs[_picked(self.begins[at], self.links[at])])
+        self._hold(self.figures[:, at], self.pairs[_picked(self.begins[at], self.figures[3, at])])
         self.older = {key: number for number, key in enumerate(kept)}
         self.memo = Numbers(self.older)
 
     def aligned(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
         """Of each text: tokens of both sides, groups, links, the groups as text, the linked pairs of ids and how
         often each is linked."""
-        spaced = [" " + t for t in texts]
-        encoded = list(zip(self.a.encode(spaced), self.b.encode(texts), strict=True))
-        all_a, all_b, ends, counts = [], [], [0], []
-        for text, (ids_a, ids_b) in zip(spaced, encoded, strict=True):
-            whole = text.encode()
-            if (
-                len(text) > 1
-                and b"".join(map(self.b.bytes.__getitem__, ids_b)) == whole
-                and b"".join(map(self.a.bytes.__getitem__, ids_a)) == whole
-            ):
-                all_a += ids_a
-                all_b += ids_b
-                ends.append(ends[-1] + len(whole))
-                counts.append((len(ids_a), len(ids_b)))
-            else:
-                counts.append((0, 0))
-        none = np.zeros(0, np.int64)
-        (strings, groups, links, pairs), begins = self.windows(all_a, all_b) if all_a else (([], none, none, none), none)
-        first = np.searchsorted(begins, ends)
-        groups, sizes = (np.diff(np.append(0, np.cumsum(x))[first]) for x in (groups, links))
+        cut = [(windows_of(t) if self.b.apart else [t]) if t else [] for t in texts]
+        found = list(map(self.memo.__getitem__, [w for windows in cut for w in windows]))
+        if self.memo.new:
+            self._learn(self.memo.new)
+            self.memo.new = []
+        numbers, first = np.array(found, np.int64), np.append(0, np.cumsum([len(windows) for windows in cut]))
+        # A text has tokens if all its windows have some.
+        without = np.append(0, np.cumsum(self.figures[0, numbers] == 0))[first]
+        whole = (np.diff(without) == 0) & (np.diff(first) > 0)
+        numbers = numbers[np.repeat(whole, np.diff(first))]
+        strings = list(map(self.strings.__getitem__, numbers.tolist()))
+        first = np.append(0, np.cumsum(np.diff(first) * whole))
+        figures = self.figures[:, numbers]
+        pairs = self.pairs[_picked(self.begins[numbers], figures[3])]
+        if len(self.memo) > MEMO_WINDOWS // 2 or len(self.pairs) > MEMO_WINDOWS * MEMO_PAIRS:
+            self._forget()
+        figures = np.diff(np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(figures, axis=1)], axis=1)[:, first], axis=1)
         # Linked pairs of all texts, each with the number of its text.
-        number = np.repeat(np.arange(len(sizes)), sizes)
+        number = np.repeat(np.arange(len(texts)), figures[3])
         found, times = np.unique(number * SIDE * SIDE + pairs, return_counts=True)
-        cuts = np.searchsorted(found, np.arange(len(sizes) + 1) * SIDE * SIDE).tolist()
+        cuts = np.searchsorted(found, np.arange(len(texts) + 1) * SIDE * SIDE).tolist()
         found %= SIDE * SIDE
-        first, groups, sizes, at = first.tolist(), groups.tolist(), sizes.tolist(), 0
-        for n_a, n_b in counts:
-            if not n_a:
-                yield 0, 0, 0, 0, "", none, none
-                continue
+        first = first.tolist()
+        for at, (n_a, n_b, groups, links) in enumerate(figures.T.tolist()):
             held = slice(cuts[at], cuts[at + 1])
-            yield n_a, n_b, groups[at], sizes[at], ";".join(strings[first[at] : first[at + 1]]), found[held], times[held]
-            at += 1
+            yield n_a, n_b, groups, links, ";".join(strings[first[at] : first[at + 1]]), found[held], times[held]
 
 
 @lru_cache(maxsize=1)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -122,7 +123,24 @@ def test_older_windows_keep_their_alignments(sides, monkeypatch):
             (want,) = Aligner(*sides).aligned([text])
             assert got[:5] == want[:5]
             assert got[5].tolist() == want[5].tolist() and got[6].tolist() == want[6].tolist()
-        assert len(aligner.strings) == len(aligner.groups) == len(aligner.links) <= 40
+        assert len(aligner.strings) == aligner.figures.shape[1] <= 40
+
+
+def test_windows_have_the_tokens_of_the_whole_text(sides, monkeypatch):
+    """Blanks of all kinds, marks and runs of spaces at every place; each distinct window is tokenised once."""
+    monkeypatch.setattr(module, "JOINED", 3)
+    draw = random.Random(3)
+    parts = [" ", "  ", "    ", "\n", " \n", "\t ", "\u00a0", "\u2003", "\x85", "\x1c", "\u200b", "\u0308", "'s", "a", "Word", "12", "!?", "日本", "🙂", "▁", "é"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(1, 12))) for _ in range(1500)]
+    rows = list(enumerate(texts))
+    got, holding = list(Aligner(*sides).aligned(texts)), plain(rows, sides)
+    figures = {str(i): (r[0], r[1], r[2], hashlib.sha256(r[4].encode()).hexdigest() if r[0] else "", r[3]) for i, r in enumerate(got)}
+    assert figures == {r[0]: r[1:6] for r in holding}
+    assert 0 < sum(not r[0] for r in got) < len(got)
+    counted, encode = [], sides[1].encode
+    monkeypatch.setattr(sides[1], "encode", lambda texts: counted.extend(" ".join(texts).split()) or encode(texts))
+    list(Aligner(*sides).aligned(["some words and some other words"] * 50))
+    assert sorted(counted) == ["and", "other", "some", "words"]
 
 
 def test_vocabularies_are_read_once_by_a_process():
