@@ -2,7 +2,9 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from firnspark.functions import codes
 from firnspark.operators import normalise as N
 from firnspark.sources import bulletins as B
 
@@ -195,3 +197,36 @@ def test_landed_lines_are_compressed(spark, tmp_path):
     B.land_documents(docs, str(tmp_path / "landing"))
     landed = [file for file in (tmp_path / "landing").rglob("part-*")]
     assert landed and all(file.name.endswith(".json.gz") for file in landed)
+
+
+def test_problems_beyond_the_slots_are_checked(spark):
+    good = {"type": "glide", "likelihood": "likely", "expectedSize": {"min": 1, "max": 1}, "aspectElevations": []}
+    for place in range(6):
+        problems = [good | ({"type": "icefall", "likelihood": "odd"} if i == place else {}) for i in range(6)]
+        bad = caic(avalancheProblems={"days": [problems]}, dangerRatings={"days": []})
+        (row,) = rows(spark, "CAIC", bad, mode="quarantine")
+        assert row[N.ERRORS] == ["unknown problem type", "unknown likelihood"]
+        assert row["problem_type_2"] == (9 if place != 2 else 0)
+    with pytest.raises(Exception, match="unknown likelihood"):
+        rows(spark, "CAIC", bad)
+
+
+def test_codes_are_found_in_lists(spark):
+    odd = [None, "", ",", "low,moderate", "LOW", "dryLoose", "cornice", "veryLikely_almostCertain", "_", "certain_x", "very likely"]
+    names = spark.createDataFrame([(name,) for name in odd], "name string")
+    kinds = {"risk": codes.risk_code, "problem": codes.problem_code, "ranged": codes.likelihood_code_ranged, "spaced": codes.likelihood_code_spaced}
+    found = {row.name: tuple(row[kind] for kind in kinds) for row in names.select("name", *[f("name").alias(k) for k, f in kinds.items()]).collect()}
+    none = {name: (0, None, None, None) for name in odd}
+    wanted = none | {"LOW": (1, None, None, None), "dryLoose": (0, 1, None, None), "cornice": (0, 8, None, None)}
+    wanted |= {"veryLikely_almostCertain": (0, None, 4, None), "certain_x": (0, None, 5, None), "very likely": (0, None, None, 4)}
+    assert found == wanted
+    with pytest.raises(ValueError, match="comma"):
+        codes.place_among(["a,b"], F.col("name"))
+
+
+@pytest.mark.parametrize("center, document", [("CAIC", caic()), ("NWAC", nwac())])
+def test_names_are_not_looked_up_in_maps(spark, center, document):
+    """A map's keys are compared one by one in every lambda that looks one up."""
+    checked = N.normalise(documents(spark, center, document), center, mode="quarantine")
+    plan = checked.drop("area_id", "region_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "keys: [NOFORECAST" not in plan and "keys: [n_alp" not in plan
