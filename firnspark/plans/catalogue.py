@@ -14,7 +14,7 @@ from firnspark.plans import oracles as sql
 from firnspark.plans import pipeline, standin
 from firnspark.schema import ColumnSpec, conform, null_violations, table
 from firnspark.session import materialise, scratch_path
-from firnspark.sources import bulletins, storage
+from firnspark.sources import arrays, bulletins, storage
 from firnspark.sources.registry import Registry, deployments, describe_models, linear_payload
 from firnspark.streaming import changes, incremental, winners
 
@@ -1390,13 +1390,15 @@ def incremental_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql.with_steps("caic_components", f"SELECT {_KEYS}, {', '.join(_SHOWN)} FROM caic_components"),
 )
 def incremental_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with one JSON array per month, written again under its own name."""
+    """The same with one JSON array per month, written again under its own name and read by ranges."""
     root = scratch_path(spark, "warehouse")
     warehouse = pipeline.Warehouse(spark, root, pipeline.MONTH)
     stored = monthly_documents(spark, sf_dir)
     for only in ("k % 2 = 0", "true"):
-        bulletins.land_arrays(stored.where(only), f"{root}/landing")
-        incremental.run_incremental(warehouse, "CAIC", f"{root}/landing", f"{root}/progress", created=standin.created())
+        bulletins.land_arrays(stored.where(only), f"{root}/landing", compressed=True)
+        incremental.run_incremental(
+            warehouse, "CAIC", f"{root}/landing", f"{root}/progress", created=standin.created(), split_bytes=arrays.SPLIT_BYTES
+        )
     return plain(warehouse.table("targets").select(*tables.KEYS, *_SHOWN))
 
 

@@ -84,8 +84,11 @@ def replace_partitions(
     requested = materialise(requested.select(*keys).distinct())
     touched = materialise(requested.select(*folders).unionByName(incoming.select(*folders)).distinct())
     # The copy keeps the surviving rows safe while their folders are being replaced.
-    old = within(stored, touched, folders)
-    survivors = materialise(lookup_join(old, requested, keys, "left_anti", 96).select(*df.columns))
+    whole = set(keys) == set(folders)
+    # Of folders that are replaced as a whole, no row is read.
+    read = materialise(touched.join(requested, folders, "left_anti")) if whole else touched
+    old = within(stored, read, folders)
+    survivors = materialise((old if whole else lookup_join(old, requested, keys, "left_anti", 96)).select(*df.columns))
     result = incoming.unionByName(survivors)
     folder_path = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1)
     present = within(stored.select(*folders, folder_path.alias("folder")), touched, folders).distinct()

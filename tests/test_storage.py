@@ -1,3 +1,6 @@
+import datetime as dt
+
+from firnspark.sources import storage
 from firnspark.sources.storage import read_table, replace_partitions
 
 
@@ -44,3 +47,23 @@ def test_names_of_object_stores():
     store, path = open_store("s3a://bucket/folder/x?region=eu-central-1")
     assert isinstance(store, fs.S3FileSystem) and path == "bucket/folder/x"
     assert open_store("file:///tmp/x")[1] == "/tmp/x"
+
+
+def test_no_row_of_a_folder_replaced_as_a_whole_is_read(spark, tmp_path, monkeypatch):
+    path, columns = str(tmp_path / "table"), "center string, day date, value int"
+    first = spark.createDataFrame([("a", dt.date(2023, 1, n), n) for n in (1, 2, 3)], columns)
+    keys = ["center", "day"]
+    storage.replace_partitions(first, path, first, keys, keys)
+
+    def read(*_):
+        raise AssertionError("rows are compared with the request")
+
+    monkeypatch.setattr(storage, "lookup_join", read)
+    new = spark.createDataFrame([("a", dt.date(2023, 1, 2), 20)], columns)
+    requested = spark.createDataFrame([("a", dt.date(2023, 1, n)) for n in (1, 2)], "center string, day date")
+    storage.replace_partitions(new, path, requested, keys, keys)
+    assert sorted(row.value for row in spark.read.parquet(path).collect()) == [3, 20]
+    # A folder that only the new rows name keeps its own.
+    more = spark.createDataFrame([("a", dt.date(2023, 1, 3), 30)], columns)
+    storage.replace_partitions(more, path, requested, keys, keys)
+    assert sorted(row.value for row in spark.read.parquet(path).collect()) == [3, 30]
