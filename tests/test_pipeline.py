@@ -203,3 +203,33 @@ def test_documents_are_scanned_once_and_refusals_have_a_limit(spark, tmp_path, m
     assert reads[0] and not any("FileScan json" in df._jdf.queryExecution().executedPlan().toString() for df in (rows, refused))
     with pytest.raises(pipeline.TooManyRefused, match="2 of 3"):
         pipeline.checked_rows(documents, "NWAC", mode="quarantine", refusal_limit=1)
+
+
+@pytest.mark.parametrize("mode, stored", [("fail", 0), ("lenient", 1)])
+def test_parsed_documents_are_stored_only_to_refuse_some(spark, monkeypatch, mode, stored):
+    from firnspark.sources import bulletins
+
+    texts = spark.createDataFrame([(DAYS[0], json.dumps(document(DAYS[0], "Olympics", 2)))], "landed_date date, document string")
+    labels, store = [], pipeline.materialise
+    monkeypatch.setattr(pipeline, "materialise", lambda frame, *label: labels.append(label) or store(frame, *label))
+    rows, refused = pipeline.checked_rows(bulletins.parse_documents(texts, "NWAC", keep=("landed_date",)), "NWAC", mode=mode)
+    assert labels.count(("parsed",)) == stored
+    assert rows.count() == 1 and refused.count() == 0 and "problems" in refused.columns
+
+
+def test_overwritten_arrays_are_read_by_ranges(spark, tmp_path, monkeypatch):
+    from firnspark.plans import catalogue, standin
+    from firnspark.sources import bulletins
+
+    found = []
+    text = '{"type": "avalancheForecast", "areaId": "a"}'
+    made = spark.createDataFrame([(k, dt.date(2023, 11, 5), text) for k in range(4)], "k long, day date, document string")
+    monkeypatch.setattr(standin, "caic_documents", lambda *_: made)
+
+    def run_incremental(warehouse, center, landing, progress, split_bytes=None, **_):
+        found.append((split_bytes > 0, bulletins.scan_documents(spark, center, landing, split_bytes=split_bytes).count()))
+
+    monkeypatch.setattr(catalogue.incremental, "run_incremental", run_incremental)
+    monkeypatch.setattr(pipeline.Warehouse, "table", lambda *_: spark.range(0).selectExpr(*[f"0 AS {c}" for c in (*catalogue.tables.KEYS, *catalogue._SHOWN)]))
+    assert catalogue.incremental_overwrite(spark, str(tmp_path)).count() == 0
+    assert found == [(True, 2), (True, 4)]
